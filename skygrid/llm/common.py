@@ -81,3 +81,47 @@ class WordHashes:
         for w in set(words) - memo.keys():
             memo[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+
+
+def put_file(uri: str, data: bytes) -> None:
+    """Write a whole file: under another name first, then renamed, so that a
+    retried or duplicate task leaves one complete file."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    store.create_dir(path.rpartition("/")[0], recursive=True)
+    part = f"{path}.{uuid.uuid4().hex}"
+    with store.open_output_stream(part) as out:
+        out.write(data)
+    store.move(part, path)
+
+
+def open_file(uri: str):
+    """A file of the shared store for random access; memory-mapped where the
+    store is a mounted folder."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    return pa.memory_map(path) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(path)
+
+
+def map_array(uri: str, dtype, offset: int = 0, count: int = -1) -> np.ndarray:
+    """A read-only array over a file's bytes; pages come in as they are touched."""
+    with open_file(uri) as f:
+        f.seek(offset)
+        size = f.size() - offset if count < 0 else count * np.dtype(dtype).itemsize
+        return np.frombuffer(f.read_buffer(size), dtype) if size else np.empty(0, dtype)
+
+
+def slices(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Runs of rows whose sizes add up to ``limit`` at most, or single rows."""
+    runs, first, total = [], 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and total + n > limit:
+            runs.append((first, i))
+            first, total = i, 0
+        total += n
+    if len(sizes) > first:
+        runs.append((first, len(sizes)))
+    return runs

@@ -5,13 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, urls
-from .common import table
+from . import jaccard, mixing, packing, perplexity, quality, tokenfiles, urls
+from .common import crc32_mod, shared_dir, table
 
 #: The rules of the URL contract: (host, path, verdict).
 URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
 
+#: Vocabulary file and end id of the token files.
+VOCABULARY = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = shared_dir(spark, "token-files")
+    manifest = tokenfiles.write_token_files(docs, path, public_tokenizers.path(VOCABULARY), END_ID, tokenfiles.files_for(docs))
+    return tokenfiles.read_token_files(manifest)
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90).select("doc_id", "n_shingles", "component_id")
+
+
+#: Score from which a document counts as of quality.
+QUALITY_FROM = 0.3
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= QUALITY_FROM).cast("int").alias("predicted"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list is that of all pages on hosts named after spam."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -28,8 +62,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
 
