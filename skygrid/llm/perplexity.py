@@ -12,15 +12,17 @@ window) and 32-bit log values, in shards by leading bits, written to the
 shared folder and memory-mapped by the scoring tasks.
 
 A document's perplexity is taken over its characters and one end symbol. The
-band of a language runs ``width`` deviations to both sides of the median log
-perplexity of its documents that pass the base rule; the deviation is the
-median absolute one (times 1.4826), ``least_deviation`` at least. Documents
-outside are rejected.
+band of a language lies around the median of its documents that pass the base
+rule. On the log scale it reaches ``width`` median absolute deviations (times
+1.4826) to both sides, and ``least_reach`` at least: by default a document is
+not rejected before its perplexity is below half or above twice the median,
+however alike the other documents are. Documents outside are rejected.
 
 Defined cases: a null or empty text has no words and fails the base rule; a
-null lang is a language of its own; characters beyond the first plane share
+null lang is a language of its own (as is the empty one, the same); characters
+beyond the first plane share
 codes with it; equal rows are judged alike; very long texts are worked
-through whole, in pieces that overlap by a window; an empty table gives no
+through whole, each by itself; an empty table gives no
 rows; other columns are carried by ``filter_documents`` and otherwise ignored.
 """
 
@@ -44,7 +46,7 @@ WHITE = b" \t\n\x0b\x0c\r"
 BATCH_CHARS = 3_000_000
 SHARD_ROWS = 2_000_000
 WIDTH = 8.0
-LEAST_DEVIATION = 0.02
+LEAST_REACH = float(np.log(2))
 
 
 class Windows:
@@ -322,22 +324,22 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
     return docs.mapInArrow(run, T.StructType(fields)).withColumn("base_failed", failed)
 
 
-def bands(measured: DataFrame, width: float = WIDTH, least_deviation: float = LEAST_DEVIATION) -> DataFrame:
+def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
     """b_lang, low, high of log perplexity. Medians are over values rounded
     to 1/1000, so that a language's group holds few distinct values."""
     m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round("log_perplexity", 3).alias("v"))
     middle = m.groupBy("b_lang").agg(F.percentile("v", 0.5).alias("middle"))
     off = m.join(middle.withColumnRenamed("b_lang", "m_lang"), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.abs(F.col("v") - F.col("middle")), 3))
-    reach = off.groupBy("b_lang", "middle").agg((F.greatest(1.4826 * F.percentile("off", 0.5), F.lit(least_deviation)) * width).alias("reach"))
+    reach = off.groupBy("b_lang", "middle").agg(F.greatest(1.4826 * width * F.percentile("off", 0.5), F.lit(least_reach)).alias("reach"))
     return reach.select("b_lang", (F.col("middle") - F.col("reach")).alias("low"), (F.col("middle") + F.col("reach")).alias("high"))
 
 
-def judge(docs: DataFrame, width: float = WIDTH, least_deviation: float = LEAST_DEVIATION) -> DataFrame:
+def judge(docs: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
     """All columns of ``docs``, the measures, and kept."""
     model = cut(kneser_ney(cut(count_windows(docs), "kn-counts")), "kn-model")
     shards = store(model, model.count())
     measured = cut(measure(docs, shards), "kn-measured")
-    b = cut(bands(measured, width, least_deviation), "kn-bands")
+    b = cut(bands(measured, width, least_reach), "kn-bands")
     j = measured.join(b, F.coalesce(F.col("lang").cast("string"), F.lit("")) == F.col("b_lang"), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return j.withColumn("kept", ~F.col("base_failed") & inside).drop("b_lang", "low", "high")
