@@ -125,3 +125,15 @@ def slices(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
     if len(sizes) > first:
         runs.append((first, len(sizes)))
     return runs
+
+
+def text_runs(b, limit: int):
+    """(first row, row after, texts as bytes) over a record batch with a column
+    text, in runs of about ``limit`` bytes; null is empty."""
+    import pyarrow as pa
+    from pyarrow import compute as pc
+
+    column = b["text"].cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for i, j in slices(sizes, limit):
+        yield i, j, [t or b"" for t in column.slice(i, j - i).to_pylist()]

@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,12 +107,11 @@ class Windows:
 def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, list[str]]]:
     """Languages of a batch with row numbers and texts, in bounded runs."""
     langs = np.array([x or "" for x in b["lang"].to_pylist()], object)
-    texts = b["text"].to_pylist()
+    sizes = pc.fill_null(pc.binary_length(b["text"].cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
     for lang in dict.fromkeys(langs):
         rows = np.flatnonzero(langs == lang)
-        sizes = np.fromiter((len(texts[r] or "") for r in rows), np.int64, len(rows))
-        for i, j in slices(sizes, BATCH_CHARS):
-            yield lang, rows[i:j], [texts[r] or "" for r in rows[i:j]]
+        for i, j in slices(sizes[rows], BATCH_CHARS):
+            yield lang, rows[i:j], [t or "" for t in b["text"].take(pa.array(rows[i:j])).to_pylist()]
 
 
 def count_windows(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, mix, slices
+from .common import crc32_mod, mix, text_runs
 
 TRAIN_DOCS = 6000
 BITS = 17
@@ -189,10 +189,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         shares, bias = sent.value
         scorer = Scorer(Model(np.frombuffer(shares, np.float32), bias))
         for b in batches:
-            texts = [t or b"" for t in b["text"].cast(pa.binary()).to_pylist()]
-            z = np.empty(len(texts))
-            for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), BATCH_BYTES):
-                z[i:j] = scorer(texts[i:j])
+            z = np.empty(b.num_rows)
+            for i, j, texts in text_runs(b, BATCH_BYTES):
+                z[i:j] = scorer(texts)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], names=[*b.schema.names, "quality_score"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())]))
