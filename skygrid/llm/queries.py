@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, packing, perplexity, quality, tokenfiles, urls
+from . import jaccard, mixing, neighbours, packing, perplexity, quality, template, tokenfiles, trie, urls
 from .common import crc32_mod, shared_dir, table
 
 #: The rules of the URL contract: (host, path, verdict).
 URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(v, v.where(F.col("vec_id") % 20 == 0).select("vec_id"))
+
+
+def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.train_and_score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: Vocabulary file and end id of the token files.
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -41,6 +50,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= QUALITY_FROM).cast("int").alias("predicted"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
@@ -62,11 +75,14 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
+    "op2_ngram_trie": op2_ngram_trie,
     "op3_token_files": op3_token_files,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
