@@ -140,11 +140,11 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as many times as it is taken, all columns."""
     m = mix_copies(docs, **options).where("copies > 0")
-    m = m.select(*[F.col(c).alias(f"mix_{i}") for i, c in enumerate(KEY)], F.col("rows").alias("mix_rows"), F.col("copies").alias("mix_copies"))
-    d = docs.withColumns({"mix_k0": F.col("doc_id").cast("long"), "mix_k1": F.col("source").cast("string"), "mix_k2": F.xxhash64("text")})
-    joined = d.join(m, [F.col("mix_k0").eqNullSafe(F.col("mix_0")), F.col("mix_k1").eqNullSafe(F.col("mix_1")), F.col("mix_k2") == F.col("mix_2")])
+    m = m.select(F.col("doc_id").alias("mix_doc"), F.col("source").alias("mix_source"), F.col("mix_hash").alias("mix_text"), F.col("rows").alias("mix_rows"), F.col("copies").alias("mix_copies"))
+    d = docs.withColumns({"mix_k_doc": F.col("doc_id").cast("long"), "mix_k_source": F.col("source").cast("string"), "mix_k_text": F.xxhash64("text")})
+    joined = d.join(m, [F.col(f"mix_k_{c}").eqNullSafe(F.col(f"mix_{c}")) for c in ("doc", "source", "text")])
     once, often = joined.where("mix_rows = 1").withColumn("mix_n", F.col("mix_copies")), joined.where("mix_rows > 1")
-    i = F.row_number().over(W.partitionBy("mix_k0", "mix_k1", "mix_k2").orderBy(F.lit(0)))
+    i = F.row_number().over(W.partitionBy("mix_k_doc", "mix_k_source", "mix_k_text").orderBy(F.lit(0)))
     often = often.withColumn("mix_n", F.floor(F.col("mix_copies") / F.col("mix_rows")) + (i <= F.col("mix_copies") % F.col("mix_rows")).cast("long"))
     rows = once.unionByName(often).where("mix_n > 0")
     return rows.withColumn("mix_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_n")))).select(*[F.col(c) for c in docs.columns])
