@@ -12,10 +12,9 @@ _SCHEMA = f"struct<type:string,coordinates:string,geometry:{_GEOMETRY},features:
 EPS = 1e-12
 
 
-def geometry(text: Column) -> Column:
-    """(type, coordinates as text) of a GeoJSON text: a collection's first
-    feature, a feature, or a bare geometry. Null unless (Multi)Polygon."""
-    j = F.from_json(text, _SCHEMA)
+def geometry(j: Column) -> Column:
+    """(type, coordinates as text) of a parsed GeoJSON text: a collection's
+    first feature, a feature, or a bare geometry. Null unless (Multi)Polygon."""
     g = F.when(j["type"] == "FeatureCollection", F.try_element_at(j["features"], F.lit(1))["geometry"]).when(j["type"] == "Feature", j["geometry"]).otherwise(F.struct(j["type"].alias("type"), j["coordinates"].alias("coordinates")))
     return F.when(g["type"].isin("Polygon", "MultiPolygon") & g["coordinates"].isNotNull(), g)
 
@@ -31,14 +30,13 @@ def aoi_edges(areas: DataFrame, text: str = "geojson", strict: bool = True) -> D
     """aoi_id, part, ring, edge, x1, y1, x2, y2. Rings are closed if they are
     not; a ring of fewer than three points holds nothing and gives no edges.
     ``strict`` raises on a text without polygon, else it gives no rows."""
-    g = geometry(F.col(text))
+    g = areas.select("aoi_id", F.from_json(text, _SCHEMA).alias("j")).select("aoi_id", geometry(F.col("j")).alias("g"))
     if strict:
-        g = F.coalesce(g, F.raise_error(F.lit("no Polygon or MultiPolygon")).cast(_GEOMETRY))
-    parts = areas.select("aoi_id", rings(g).alias("parts")).select("aoi_id", F.posexplode("parts").alias("part", "rings"))
+        g = g.select("aoi_id", F.coalesce("g", F.raise_error(F.lit("no Polygon or MultiPolygon")).cast(_GEOMETRY)).alias("g"))
+    parts = g.select("aoi_id", rings(F.col("g")).alias("parts")).select("aoi_id", F.posexplode("parts").alias("part", "rings"))
     ring = parts.select("aoi_id", "part", F.posexplode("rings").alias("ring", "points")).where(F.size("points") >= 3)
-    ring = ring.withColumn("n", F.size("points"))
-    pts = ring.select("aoi_id", "part", "ring", "points", "n", F.posexplode("points").alias("edge", "p"))
-    nxt = F.get("points", (F.col("edge") + 1) % F.col("n"))
+    pts = ring.select("aoi_id", "part", "ring", "points", F.posexplode("points").alias("edge", "p"))
+    nxt = F.get("points", (F.col("edge") + 1) % F.size("points"))
     e = pts.select("aoi_id", "part", "ring", "edge", F.col("p")[0].alias("x1"), F.col("p")[1].alias("y1"), nxt[0].alias("x2"), nxt[1].alias("y2"))
     return e.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
