@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # WGS84, UTM and the MODIS sinusoidal tile grid.
@@ -63,6 +63,18 @@ def to_utm(lon: str, lat: str, epsg: str) -> tuple[str, str]:
     return f"({num(FALSE_EASTING)} + {num(K0 * _RECT)} * ({x}))", f"({south} + {num(K0 * _RECT)} * ({y}))"
 
 
+def with_utm(df: DataFrame, lon: str, lat: str, epsg: str, x: str, y: str) -> DataFrame:
+    """Adds ``to_utm`` step by step, so that no step is written out twice."""
+    sin = f"sin(radians({lat}))"
+    df = df.withColumn("u_t", F.expr(f"sinh(atanh({sin}) - {num(_E)} * atanh({num(_E)} * {sin}))")).withColumn("u_dl", F.expr(f"radians({lon} - {_meridian(epsg)})"))
+    df = df.withColumns({"u_xi": F.expr("atan2(u_t, cos(u_dl))"), "u_eta": F.expr("atanh(sin(u_dl) / sqrt(1e0 + u_t * u_t))")})
+    east = " + ".join(["u_eta", *(f"{num(a)} * cos({2 * j}e0 * u_xi) * sinh({2 * j}e0 * u_eta)" for j, a in enumerate(_ALPHA, 1))])
+    north = " + ".join(["u_xi", *(f"{num(a)} * sin({2 * j}e0 * u_xi) * cosh({2 * j}e0 * u_eta)" for j, a in enumerate(_ALPHA, 1))])
+    south = f"(CASE WHEN {epsg} >= 32700 THEN {num(FALSE_NORTHING)} ELSE 0e0 END)"
+    df = df.withColumns({x: F.expr(f"{num(FALSE_EASTING)} + {num(K0 * _RECT)} * ({east})"), y: F.expr(f"{south} + {num(K0 * _RECT)} * ({north})")})
+    return df.drop("u_t", "u_dl", "u_xi", "u_eta")
+
+
 def from_utm(x: str, y: str, epsg: str) -> tuple[str, str]:
     """Longitude and latitude of an easting and northing."""
     south = f"(CASE WHEN {epsg} >= 32700 THEN {num(FALSE_NORTHING)} ELSE 0e0 END)"
