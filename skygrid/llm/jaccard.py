@@ -13,7 +13,8 @@ more. Documents with the same set are one class; the join runs on classes.
 3. Classes that share a prefix n-gram are candidates if they pass the length
    filter, the positional filter (what may still match behind the shared
    n-gram) and the suffix filter (a lower bound of the symmetric difference
-   from the counts of the sets' n-grams in ``RANGES`` hash ranges).
+   from the counts of the sets' n-grams in equal hash ranges, about ``IN_RANGE``
+   to a range).
 4. First each class meets only the pivot of each of its n-grams, the class
    where that n-gram stands foremost. Links found make components. Then the
    remaining candidates in different components meet; pairs inside a component
@@ -43,15 +44,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, mix, slices, tokens
+from .common import WordHashes, bounded_batches, cut, mix, text_runs, tokens
 
 SKETCH_BITS = 20
 BITMAP_BITS = 27
-RANGES = 32
+IN_RANGE = 2
+MOST_RANGES = 1 << 16
 BUCKET = 48
 BLOCK = 1024
+CHUNK = 512
 BROADCAST_ROWS = 1_000_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def shingle_sets(texts: list[bytes], words: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -84,10 +87,27 @@ def _set_id(s: np.ndarray) -> int:
     return int(mix(x, len(s)).view(np.int64)[0])
 
 
+def _ranges(s: np.ndarray) -> bytes:
+    """N-grams of a set in each of 2 ** k hash ranges; k follows its size.
+    Empty (no bound) should a count not fit a byte."""
+    bits = max(1, min(MOST_RANGES, len(s) // IN_RANGE).bit_length()) - 1
+    counts = np.bincount((s >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def _fold(r: bytes, k: int) -> np.ndarray:
+    return np.frombuffer(r, np.uint8).reshape(k, -1).sum(axis=1, dtype=np.int32)
+
+
+def _apart(r1: bytes, r2: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets."""
+    k = min(len(r1), len(r2))
+    return int(np.abs(_fold(r1, k) - _fold(r2, k)).sum()) if k else 0
+
+
 def _sets(b: pa.RecordBatch, words: int, hashes: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
-    texts = [t or b"" for t in b["text"].cast(pa.binary()).to_pylist()]
-    for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), BATCH_BYTES):
-        yield i, shingle_sets(texts[i:j], words, hashes)
+    for i, _, texts in text_runs(b, BATCH_BYTES):
+        yield i, shingle_sets(texts, words, hashes)
 
 
 def count_sketch(docs: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
@@ -130,7 +150,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> D
                     m = len(s)
                     keep = m - -(-percent * m // 100) + 1 if m else 0
                     first.append(s[np.argsort(rare[(s >> shift).astype(np.int64)], kind="stable")[:keep]].view(np.int64))
-                    ranges.append(np.bincount((s >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES).astype("<i4").tobytes())
+                    ranges.append(_ranges(s))
                 flat = np.concatenate(first) if first else np.empty(0, np.int64)
                 ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
@@ -204,9 +224,8 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
 
     def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            r1, r2 = (np.frombuffer(b"".join(b[c].to_pylist()), "<i4").reshape(-1, RANGES) for c in ("r1", "r2"))
-            total = b["n1"].to_numpy() + b["n2"].to_numpy()
-            hit = pa.array(np.abs(r1 - r2).sum(axis=1) <= _allowed(percent, total))
+            apart = np.fromiter(map(_apart, b["r1"].to_pylist(), b["r2"].to_pylist()), np.int64, b.num_rows)
+            hit = pa.array(apart <= _allowed(percent, b["n1"].to_numpy() + b["n2"].to_numpy()))
             yield pa.RecordBatch.from_arrays([b["a"].filter(hit), b["b"].filter(hit)], names=["a", "b"])
 
     p = cut(p.mapInArrow(suffix, "a long, b long"), "jaccard-pairs")
@@ -224,22 +243,30 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
                 yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["s_class", "grams"])
 
     made = d.join(ids, F.col("doc_id").eqNullSafe(F.col("w_doc")), "left_semi").mapInArrow(make, "s_class long, grams binary")
-    made = cut(made.join(wanted.select("w_class"), F.col("s_class") == F.col("w_class"), "left_semi").dropDuplicates(["s_class"]), "jaccard-sets")
-    p = p.join(made, F.col("b") == F.col("s_class")).select("a", "b", F.col("grams").alias("g2"))
-    p = p.join(made, F.col("a") == F.col("s_class")).select("a", "b", F.col("grams").alias("g1"), "g2")
+    # Each a is a head that its partners pass by, in chunks of bounded size.
+    chunks = p.groupBy(F.col("a").alias("c_a")).agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    p = p.join(chunks, F.col("a") == F.col("c_a")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
+    needs = p.select("a", "chunk", F.lit(1).alias("role"), F.col("b").alias("class")).union(p.select("a", "chunk", F.lit(0), F.col("a")).distinct())
+    j = needs.join(made, F.col("class") == F.col("s_class")).select("a", "chunk", "role", "class", "grams")
+    j = j.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, head = None, np.empty(0, np.uint64)
         for b in batches:
-            hit = []
-            for g1, g2 in zip(b["g1"].to_pylist(), b["g2"].to_pylist()):
-                x, y = np.frombuffer(g1, np.uint64), np.frombuffer(g2, np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                same = int(np.count_nonzero(both[1:] == both[:-1]))
-                hit.append(100 * same >= percent * (len(x) + len(y) - same))
-            mask = pa.array(hit, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b["a"].filter(mask), b["b"].filter(mask)], names=["a", "b"])
-
-    return p.mapInArrow(test, "a long, b long")
+            out_a, out_b = [], []
+            for a, chunk, role, c, grams in zip(*(b[k].to_pylist() for k in ("a", "chunk", "role", "class", "grams"))):
+                x = np.frombuffer(grams, np.uint64)
+                if role == 0:
+                    now, head = (a, chunk), x
+                elif (a, chunk) == now:
+                    both = np.sort(np.concatenate([head, x]), kind="stable")
+                    same = int(np.count_nonzero(both[1:] == both[:-1]))
+                    if 100 * same >= percent * (len(x) + len(head) - same):
+                        out_a.append(a)
+                        out_b.append(c)
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return j.mapInArrow(test, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -273,7 +300,9 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
         i, j = key[1], key[2]
         left, right = g[g["mine"] == i], g[g["mine"] == j]
         n2, p2, c2, id2 = (right[c].to_numpy() for c in ("n", "pos", "comp", "class"))
-        r2 = np.frombuffer(b"".join(right["ranges"]), "<i4").reshape(-1, RANGES)
+        sizes = right["ranges"].map(len).to_numpy()
+        # The right side's counts, folded to each number of ranges.
+        tables = {k: np.stack([_fold(r, k) if len(r) >= k else np.zeros(k, np.int32) for r in right["ranges"]]) for k in {*sizes, *left["ranges"].map(len)} - {0}}
         out_a, out_b = [], []
         for n1, p1, c1, id1, r1 in zip(left["n"], left["pos"], left["comp"], left["class"], left["ranges"]):
             total = n1 + n2
@@ -281,7 +310,11 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
             if i == j:
                 ok &= id2 > id1
             at = np.flatnonzero(ok)
-            at = at[np.abs(r2[at] - np.frombuffer(r1, "<i4")).sum(axis=1) <= _allowed(percent, total[at])]
+            apart, level = np.zeros(len(at), np.int64), np.minimum(sizes[at], len(r1))
+            for k in set(level.tolist()) - {0}:
+                same = level == k
+                apart[same] = np.abs(tables[k][at[same]] - _fold(r1, k)).sum(axis=1)
+            at = at[apart <= _allowed(percent, total[at])]
             out_a.append(np.full(len(at), id1))
             out_b.append(id2[at])
         a, b = np.concatenate(out_a or [np.empty(0, np.int64)]), np.concatenate(out_b or [np.empty(0, np.int64)])
@@ -292,6 +325,7 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, class, component_id: one row per row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     sketch = count_sketch(docs, words)
     sets = cut(prefixes(docs, words, percent, sketch), "jaccard-prefixes")
     full = sets.where("class is not null")
