@@ -40,6 +40,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let Arrow batches hold no more than ``rows`` texts, so that a Python
+    worker's memory stays small beside its executor's."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` with a broadcast hint, if it has no more than ``rows`` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def word_count(text: Column) -> Column:
     """Words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -69,7 +82,7 @@ def mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words with a bounded memo per worker."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         self.limit, self.memo = limit, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
@@ -137,3 +150,11 @@ def text_runs(b, limit: int):
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     for i, j in slices(sizes, limit):
         yield i, j, [t or b"" for t in column.slice(i, j - i).to_pylist()]
+
+
+def worker_state() -> dict:
+    """What a reused Python worker keeps between tasks: only memos of bounded
+    size that any task can fill again."""
+    import sys
+
+    return sys.__dict__.setdefault("_skygrid_worker_state", {})

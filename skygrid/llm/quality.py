@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, mix, text_runs
+from .common import bounded_batches, crc32_mod, mix, text_runs
 
 TRAIN_DOCS = 6000
 BITS = 17
 SUBWORDS = (3, 4, 5)
-MEMO_WORDS = 300_000
-BATCH_BYTES = 4 << 20
+MEMO_WORDS = 200_000
+BATCH_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -162,6 +162,7 @@ def train(texts: list[bytes], labels: np.ndarray, bits: int = BITS, dim: int = 8
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, bits: int = BITS) -> Model:
     """Train on labelled rows of the training folds, in one task."""
+    bounded_batches(docs.sparkSession)
     l = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
     l = l.where(F.col("quality").isin(0, 1) & (crc32_mod(F.col("label_id"), 5) != 0) & F.col("label_id").isNotNull())
     l = l.orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(train_docs)
@@ -183,6 +184,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` and quality_score."""
     from pyspark.sql import types as T
 
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.shares.tobytes(), model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

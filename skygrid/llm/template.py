@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .urls import host_of
 
 BLOCK_PAGES = 200
@@ -264,6 +265,7 @@ def extract(htmls: list[str]) -> list[str]:
 
 def extract_pages(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    bounded_batches(pages.sparkSession)
     p = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     large = p.groupBy("host").count().where(F.col("count") > block_pages).select(F.col("host").alias("large_host"), F.ceil(F.col("count") / block_pages).alias("blocks"))
     if large.count() <= BROADCAST_HOSTS:
