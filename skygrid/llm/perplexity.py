@@ -7,6 +7,10 @@ the discounts and the interpolated probabilities with groupings and joins.
 Characters are counted, not words: their table saturates, so copies of a text
 do not make the text look predictable, and it stays small beside the corpus.
 
+A model that has seen a document finds it predictable, even noise. So documents
+are split in two halves by a hash of doc_id, each half has a model, and every
+document is scored by that of the other half.
+
 The model is stored in sorted hash arrays: 64-bit keys of (language, order,
 window) and 32-bit log values, in shards by leading bits, written to the
 shared folder and memory-mapped by the scoring tasks.
@@ -19,11 +23,11 @@ not rejected before its perplexity is below half or above twice the median,
 however alike the other documents are. Documents outside are rejected.
 
 Defined cases: a null or empty text has no words and fails the base rule; a
-null lang is a language of its own (as is the empty one, the same); characters
-beyond the first plane share
-codes with it; equal rows are judged alike; very long texts are worked
-through whole, each by itself; an empty table gives no
-rows; other columns are carried by ``filter_documents`` and otherwise ignored.
+null lang is the same language as the empty one; null doc_ids are in one half;
+characters beyond the first plane share codes with it; equal rows are judged
+alike; very long texts are worked through whole, each by itself; an empty
+table gives no rows; other columns are carried by ``filter_documents`` and
+otherwise ignored.
 """
 
 from __future__ import annotations
@@ -38,13 +42,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, cut, map_array, mix, put_file, shared_dir, slices
+from .common import WordHashes, bounded_batches, cut, map_array, mix, put_file, shared_dir, slices, small
 
 ORDER = 4
 START, END, OTHER = 1, 2, 3
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 1_500_000
 SHARD_ROWS = 2_000_000
 WIDTH = 8.0
 LEAST_REACH = float(np.log(2))
@@ -114,8 +118,16 @@ def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, list[str]
             yield lang, rows[i:j], [t or "" for t in b["text"].take(pa.array(rows[i:j])).to_pylist()]
 
 
+def model_key(trains: bool) -> Column:
+    """The model that a document's windows count for, or that scores it:
+    language and half."""
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    return F.concat_ws("|", F.coalesce(F.col("lang").cast("string"), F.lit("")), ((1 - half) if trains else half).cast("string"))
+
+
 def count_windows(docs: DataFrame) -> DataFrame:
-    """lang, code, n: how often each window of ORDER stands in all texts."""
+    """lang, code, n: how often each window of ORDER stands in all texts of a
+    language and half."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[list, list]] = {}
@@ -139,7 +151,7 @@ def count_windows(docs: DataFrame) -> DataFrame:
                 part = c[i : i + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part.view(np.int64)), pa.array(n[i : i + 100_000])], names=["lang", "code", "n"])
 
-    d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text")
+    d = docs.select(model_key(trains=True).alias("lang"), "text")
     return d.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
@@ -302,8 +314,9 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
         symbol[list(SYMBOLS)], white[list(WHITE)] = True, True
         for b in batches:
             out = {name: np.zeros(b.num_rows, np.float64 if kind == pa.float64() else np.int64) for name, _, kind in FOUND}
-            langs = b["lang"].cast(pa.string())
-            for lang, rows, texts in _by_language(pa.RecordBatch.from_arrays([langs, b["text"]], names=["lang", "text"])):
+            keys = b["kn_key"]
+            b = b.drop_columns(["kn_key"])
+            for lang, rows, texts in _by_language(pa.RecordBatch.from_arrays([keys, b["text"]], names=["lang", "text"])):
                 w = Windows(texts)
                 lp = model.log_p(lang, w.codes)[w.where]
                 out["log_perplexity"][rows] = -np.add.reduceat(lp, w.doc_start) / (w.size + 1)
@@ -321,25 +334,30 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
 
     fields = [*docs.schema.fields, *[T.StructField(name, kind) for name, kind, _ in FOUND]]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return docs.mapInArrow(run, T.StructType(fields)).withColumn("base_failed", failed)
+    keyed = docs.withColumn("kn_key", model_key(trains=False))
+    return keyed.mapInArrow(run, T.StructType(fields)).withColumn("base_failed", failed)
 
 
 def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
     """b_lang, low, high of log perplexity. Medians are over values rounded
     to 1/1000, so that a language's group holds few distinct values."""
     m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round("log_perplexity", 3).alias("v"))
-    middle = m.groupBy("b_lang").agg(F.percentile("v", 0.5).alias("middle"))
-    off = m.join(middle.withColumnRenamed("b_lang", "m_lang"), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.abs(F.col("v") - F.col("middle")), 3))
+    middle = cut(m.groupBy("b_lang").agg(F.percentile("v", 0.5).alias("middle")), "kn-medians")
+    off = m.join(small(middle.withColumnRenamed("b_lang", "m_lang")), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.abs(F.col("v") - F.col("middle")), 3))
     reach = off.groupBy("b_lang", "middle").agg(F.greatest(1.4826 * width * F.percentile("off", 0.5), F.lit(least_reach)).alias("reach"))
     return reach.select("b_lang", (F.col("middle") - F.col("reach")).alias("low"), (F.col("middle") + F.col("reach")).alias("high"))
 
 
-def judge(docs: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
-    """All columns of ``docs``, the measures, and kept."""
+def judge(docs: DataFrame, columns: list[str] | None = None, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
+    """The named columns of ``docs`` (default: all), the measures, and kept."""
+    bounded_batches(docs.sparkSession)
     model = cut(kneser_ney(cut(count_windows(docs), "kn-counts")), "kn-model")
     shards = store(model, model.count())
-    measured = cut(measure(docs, shards), "kn-measured")
-    b = cut(bands(measured, width, least_reach), "kn-bands")
+    measured = measure(docs, shards)
+    if columns is not None:
+        measured = measured.drop(*(set(docs.columns) - set(columns) - {"lang"}))
+    measured = cut(measured, "kn-measured")
+    b = small(cut(bands(measured, width, least_reach), "kn-bands"))
     j = measured.join(b, F.coalesce(F.col("lang").cast("string"), F.lit("")) == F.col("b_lang"), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return j.withColumn("kept", ~F.col("base_failed") & inside).drop("b_lang", "low", "high")
@@ -347,4 +365,4 @@ def judge(docs: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REAC
 
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that are kept, with their columns."""
-    return judge(docs, **options).where("kept").select(*docs.columns)
+    return judge(docs, None, **options).where("kept").select(*docs.columns)
