@@ -71,8 +71,11 @@ def with_utm(df: DataFrame, lon: str, lat: str, epsg: str, x: str, y: str) -> Da
     east = " + ".join(["u_eta", *(f"{num(a)} * cos({2 * j}e0 * u_xi) * sinh({2 * j}e0 * u_eta)" for j, a in enumerate(_ALPHA, 1))])
     north = " + ".join(["u_xi", *(f"{num(a)} * sin({2 * j}e0 * u_xi) * cosh({2 * j}e0 * u_eta)" for j, a in enumerate(_ALPHA, 1))])
     south = f"(CASE WHEN {epsg} >= 32700 THEN {num(FALSE_NORTHING)} ELSE 0e0 END)"
-    df = df.withColumns({x: F.expr(f"{num(FALSE_EASTING)} + {num(K0 * _RECT)} * ({east})"), y: F.expr(f"{south} + {num(K0 * _RECT)} * ({north})")})
-    return df.drop("u_t", "u_dl", "u_xi", "u_eta")
+    place = F.struct(F.expr(f"{num(FALSE_EASTING)} + {num(K0 * _RECT)} * ({east})").alias(x), F.expr(f"{south} + {num(K0 * _RECT)} * ({north})").alias(y))
+    # Expanding a list of one keeps the optimizer from writing the series out
+    # again wherever x and y are used, which no generated method could hold.
+    df = df.withColumn("u_place", F.explode(F.array(place)))
+    return df.withColumns({x: F.col("u_place")[x], y: F.col("u_place")[y]}).drop("u_t", "u_dl", "u_xi", "u_eta", "u_place")
 
 
 def from_utm(x: str, y: str, epsg: str) -> tuple[str, str]:
