@@ -18,8 +18,9 @@ Probabilities and backoffs are 16-bit codes of log10 in steps of 1/4000. A
 lookup searches a context's successors by bisection; where the bigram before
 stood gives the context of the trigram.
 
-Spark job: each level is counted by tasks over the whole texts, which deal
-their sorted, compressed counts to parts by key range through a shuffle; one
+Spark job: words are counted over the whole texts, which are then encoded once
+as ids; the other levels are counted over these. Counting tasks deal their
+sorted, compressed counts to parts by key range through a shuffle; one
 task a part merges them and writes the part's file to the shared folder. Parts
 follow the number of tokens, and keys are ids in hash order, so hot words
 spread over parts; what one context holds is bounded by the vocabulary.
@@ -41,16 +42,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, map_array, put_file, shared_dir, text_runs, tokens
+from .common import bounded_batches, crc32_mod, cut, map_array, put_file, shared_dir, slices, text_runs, tokens
 
 STEP = 4000
 BATCH_BYTES = 6 << 20
+BATCH_TOKENS = 1_500_000
 HELD_KEYS = 4_000_000
 PART_TOKENS = 4_000_000
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 END = b""
 
 
@@ -195,6 +198,17 @@ class Parts:
 
     def gather(self, name: str, index: np.ndarray) -> np.ndarray:
         """Values of one array by global index, in any order."""
+        if len(self.starts) <= 16 and len(index):
+            out = None
+            for i, a in enumerate(self.starts.tolist()):
+                mine = index >= a
+                if i + 1 < len(self.starts):
+                    mine &= index < self.starts[i + 1]
+                at = np.flatnonzero(mine)
+                if out is None:
+                    out = np.empty(len(index), self[i][name].dtype)
+                out[at] = self[i][name][index[at] - a]
+            return out
         u, order, group = grouped(index)
         got = np.concatenate([self[i][name][u[s] - self.starts[i]] for i, s in self.over(u)]) if len(u) else np.empty(0)
         out = np.empty(len(index), got.dtype)
@@ -311,16 +325,34 @@ class Trigrams:
 # --- counting -------------------------------------------------------------
 
 
-def _texts(b: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes], np.ndarray]]:
-    """Runs of rows with all their tokens, ends included, and lengths."""
-    for i, j, texts in text_runs(b, BATCH_BYTES):
-        flat, size = [], []
-        for t in texts:
-            words = tokens(t)
-            flat += words
-            flat.append(END)
-            size.append(len(words) + 1)
-        yield i, j, flat, np.asarray(size, np.int64)
+def encode(docs: DataFrame, words: dict) -> DataFrame:
+    """doc_id, held_out, ids: the 32-bit ids of each text's words and end, all
+    ones for unknown words. Later passes read these and not the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(words["words"], words["sizes"], words["total"])
+        for b in batches:
+            for i, j, texts in text_runs(b, BATCH_BYTES):
+                lists = [tokens(t) for t in texts]
+                flat: list[bytes] = []
+                for x in lists:
+                    flat += x
+                    flat.append(END)
+                ids = vocabulary.ids(flat).astype(np.uint32)
+                ends = np.cumsum([0, *(4 * (len(x) + 1) for x in lists)])
+                raw = ids.tobytes()
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), b["held_out"].slice(i, j - i), pa.array([raw[x:y] for x, y in zip(ends, ends[1:])], pa.binary())], names=["doc_id", "held_out", "ids"])
+
+    return docs.mapInArrow(run, "doc_id long, held_out boolean, ids binary")
+
+
+def _runs(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of encoded rows: first row, row after, ids (-1 unknown), lengths."""
+    column = b["ids"]
+    n = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    for i, j in slices(n, BATCH_TOKENS):
+        raw = np.frombuffer(b"".join(column.slice(i, j - i).to_pylist()), "<u4")
+        yield i, j, np.where(raw == 0xFFFFFFFF, np.int64(-1), raw.astype(np.int64)), n[i:j]
 
 
 def _previous(ids: np.ndarray, size: np.ndarray, start: int) -> np.ndarray:
@@ -359,28 +391,32 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tu
     return k[first], np.add.reduceat(c, first)
 
 
-def _count_level(docs: DataFrame, make_keys: Callable, bounds: np.ndarray, write_part: Callable) -> dict[int, dict]:
-    """Count keys over the texts, deal them by ``bounds`` (first keys of the
-    parts) and let ``write_part(part, keys, counts)`` store each part."""
+def _count_level(rows: DataFrame, read: Callable, make_keys: Callable, bounds: np.ndarray, write_part: Callable) -> dict[int, dict]:
+    """Count keys, deal them by ``bounds`` (first keys of the parts) and let
+    ``write_part(part, keys, counts)`` store each part. ``read(batch)`` gives
+    pieces, of which ``make_keys()(piece)`` makes keys, or keys and counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_of = make_keys()
-        held, n = [], 0
+        held, counts, n = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            k, c = _merge(held)
+            k, c = _merge(held, counts or None)
             cuts = np.searchsorted(k, bounds[1:])
             parts = [(i, _squeeze(a, b)) for i, (a, b) in enumerate(zip(np.split(k, cuts), np.split(c, cuts))) if len(a)]
             return pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "data"])
 
         for b in batches:
-            for _, _, flat, size in _texts(b):
-                k = keys_of(flat, size)
+            for piece in read(b):
+                k = keys_of(piece)
+                if isinstance(k, tuple):
+                    k, c = k
+                    counts.append(c)
                 held.append(k)
                 n += len(k)
                 if n >= HELD_KEYS:
                     yield flush()
-                    held, n = [], 0
+                    held, counts, n = [], [], 0
         if n:
             yield flush()
 
@@ -389,23 +425,27 @@ def _count_level(docs: DataFrame, make_keys: Callable, bounds: np.ndarray, write
         k, c = _merge([g[0] for g in got], [g[1] for g in got])
         return pd.DataFrame({"part": [key[0]], "said": [json.dumps(write_part(int(key[0]), k, c))]})
 
-    got = docs.select("text").mapInArrow(count, "part int, data binary").groupBy("part").applyInPandas(reduce, "part int, said string").collect()
+    got = rows.mapInArrow(count, "part int, data binary").groupBy("part").applyInPandas(reduce, "part int, said string").collect()
     return {r["part"]: json.loads(r["said"]) for r in got}
 
 
-def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TOKENS) -> dict:
-    """Count all texts of ``docs`` and write the trie; returns what
-    ``load`` needs (file names and sizes of parts)."""
+def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TOKENS) -> tuple[dict, DataFrame]:
+    """Count the texts of ``docs`` (doc_id, text, held_out) that are not held
+    out and write the trie. Returns what ``load`` needs (file names and sizes
+    of parts) and all texts encoded."""
+    bounded_batches(docs.sparkSession)
     path = shared_dir(docs.sparkSession, "ngram-trie")
     bits = max(0, (vocabulary_parts - 1).bit_length())
 
     def word_keys() -> Callable:
         import xxhash
 
-        def keys(flat: list[bytes], size: np.ndarray) -> np.ndarray:
-            c = Counter(flat)
-            h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in c), np.uint64, len(c))
-            return np.repeat(h, np.fromiter(c.values(), np.int64, len(c)))
+        def keys(piece: tuple) -> tuple[np.ndarray, np.ndarray]:
+            c = Counter()
+            for t in piece[2]:
+                c.update(tokens(t))
+            c[END] += len(piece[2])
+            return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in c), np.uint64, len(c)), np.fromiter(c.values(), np.int64, len(c))
 
         return keys
 
@@ -414,26 +454,24 @@ def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TO
         return {"n": len(k), "total": int(c.sum())}
 
     bounds = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
-    said = _count_level(docs, word_keys, bounds, write_words)
+    read = lambda b: text_runs(b, BATCH_BYTES)
+    said = _count_level(docs.where("not held_out").select("text"), read, word_keys, bounds, write_words)
     if not said:
-        return {"words": [], "sizes": [], "total": 0, "bigrams": [], "contexts": [], "nodes": [], "trigrams": [], "node_starts": []}
+        model = {"words": [], "sizes": [], "total": 0, "bigrams": [], "contexts": [], "nodes": [], "trigrams": [], "node_starts": []}
+        return model, cut(encode(docs, model), "trie-ids")
     for i in set(range(1 << bits)) - said.keys():
         said[i] = write_words(i, np.empty(0, np.uint64), np.empty(0, np.int64))
     model = {"words": [f"{path}/words-{i}" for i in range(1 << bits)], "sizes": [said[i]["n"] for i in range(1 << bits)], "total": sum(x["total"] for x in said.values())}
     size, total = sum(model["sizes"]), model["total"]
     parts = max(1, total // part_tokens)
+    encoded = cut(encode(docs, model), "trie-ids")
+    ids_of = encoded.where("not held_out").select("ids")
 
     contexts = np.unique(np.arange(parts) * (size + 1) // parts)
     ends = [*contexts[1:], size + 1]
 
     def bigram_keys() -> Callable:
-        words = Vocabulary(model["words"], model["sizes"], total)
-
-        def keys(flat: list[bytes], n: np.ndarray) -> np.ndarray:
-            ids = words.ids(flat)
-            return (_previous(ids, n, size) << 32 | ids).astype(np.uint64)
-
-        return keys
+        return lambda piece: (_previous(piece[2], piece[3], size) << 32 | piece[2]).astype(np.uint64)
 
     def write_bigrams(part: int, k: np.ndarray, c: np.ndarray) -> dict:
         v, w = (k >> np.uint64(32)).astype(np.int64) - contexts[part], (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -442,7 +480,7 @@ def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TO
         put_file(f"{path}/bigrams-{part}", pack({"succ": w.astype("<u4"), "p": codes(p), "back": codes(back), **ef_encode(first, "first")}))
         return {"n": len(k)}
 
-    said = _count_level(docs, bigram_keys, contexts.astype(np.uint64) << np.uint64(32), write_bigrams)
+    said = _count_level(ids_of, _runs, bigram_keys, contexts.astype(np.uint64) << np.uint64(32), write_bigrams)
     for i in set(range(len(contexts))) - said.keys():
         said[i] = write_bigrams(i, np.empty(0, np.uint64), np.empty(0, np.int64))
     model |= {"bigrams": [f"{path}/bigrams-{i}" for i in range(len(contexts))], "contexts": contexts.tolist(), "nodes": [said[i]["n"] for i in range(len(contexts))]}
@@ -452,10 +490,10 @@ def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TO
     stops = [*starts[1:], nodes]
 
     def trigram_keys() -> Callable:
-        words, two, _ = load(model)
+        _, two, _ = load(model)
 
-        def keys(flat: list[bytes], n: np.ndarray) -> np.ndarray:
-            ids = words.ids(flat)
+        def keys(piece: tuple) -> np.ndarray:
+            _, _, ids, n = piece
             node, place, _, _ = two.find(_previous(ids, n, size), ids)
             before = _previous(node, n, -1)
             inner = before >= 0
@@ -474,10 +512,10 @@ def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TO
         put_file(f"{path}/trigrams-{part}", pack({"succ": place.astype(kind), "p": codes(p), "back": codes(back), **ef_encode(first, "first")}))
         return {"n": len(k)}
 
-    said = _count_level(docs, trigram_keys, starts.astype(np.uint64) << np.uint64(places), write_trigrams)
+    said = _count_level(ids_of, _runs, trigram_keys, starts.astype(np.uint64) << np.uint64(places), write_trigrams)
     for i in set(range(len(starts))) - said.keys():
         write_trigrams(i, np.empty(0, np.uint64), np.empty(0, np.int64))
-    return model | {"trigrams": [f"{path}/trigrams-{i}" for i in range(len(starts))], "node_starts": starts.tolist()}
+    return model | {"trigrams": [f"{path}/trigrams-{i}" for i in range(len(starts))], "node_starts": starts.tolist()}, encoded
 
 
 def _smooth(context: np.ndarray, count: np.ndarray, contexts: int, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -499,38 +537,35 @@ def load(model: dict) -> tuple[Vocabulary, Bigrams, Trigrams]:
     )
 
 
-def log_probabilities(levels: tuple, ids: np.ndarray, size: np.ndarray, p1: np.ndarray) -> np.ndarray:
-    """log10 probability of each token of some texts."""
+def log_probabilities(levels: tuple, ids: np.ndarray, size: np.ndarray, low1: np.ndarray) -> np.ndarray:
+    """log10 probability of each token of some texts; low1 is that of order 1."""
     words, two, three = levels
     node, place, p2, back2 = two.find(_previous(ids, size, words.size), ids)
-    low = np.where(np.isnan(p2), back2 + np.log10(p1), p2)
+    low = np.where(np.isnan(p2), back2 + low1, p2)
     p3, back3 = three.find(_previous(node, size, -1), place)
     return np.where(np.isnan(p3), back3 + low, p3)
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score."""
+def score(encoded: DataFrame, model: dict) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = load(model)
         words = levels[0]
         for b in batches:
-            for i, j, flat, size in _texts(b):
-                ids = words.ids(flat)
-                p1 = words.p(ids)
+            for i, j, ids, size in _runs(b):
+                low1 = np.log10(words.p(ids))
                 at = np.cumsum(size) - size
-                base, full = np.add.reduceat(np.log10(p1), at), np.add.reduceat(log_probabilities(levels, ids, size, p1), at)
+                base, full = np.add.reduceat(low1, at), np.add.reduceat(log_probabilities(levels, ids, size, low1), at)
                 known = np.add.reduceat((ids >= 0).astype(np.int64), at)
-                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.array(size), pa.array(known), pa.array(np.full(j - i, words.total)), pa.array(base), pa.array(full)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), b["held_out"].slice(i, j - i), pa.array(size), pa.array(known), pa.array(np.full(j - i, words.total)), pa.array(base), pa.array(full)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return d.mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return encoded.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def train_and_score(docs: DataFrame, folds: int = 5, held_fold: int = 1) -> DataFrame:
     """Train on documents whose crc32(doc_id) mod ``folds`` is not
     ``held_fold``; score all of them."""
-    fold = crc32_mod(F.col("doc_id"), folds)
-    model = build(docs.where(fold != held_fold))
-    scored = score(docs, model)
-    return scored.select("doc_id", (fold == held_fold).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    held = (crc32_mod(F.col("doc_id"), folds) == held_fold).alias("held_out")
+    model, encoded = build(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held))
+    return score(encoded, model)
