@@ -24,8 +24,11 @@ makes no files; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,60 +37,113 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, open_file, put_file
+from .common import bounded_batches, cut, open_file, put_file, worker_state
 
 # Fixed values of the public zstandard seekable format.
 SKIPPABLE_SEEK = 0x184D2A5E
 SKIPPABLE_INDEX = 0x184D2A50
 SEEK_FOOTER = 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
 
 NO_ID = np.iinfo(np.int64).min
 FRAME_IDS = 1 << 16
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 600_000
+#: ASCII marks: none is a letter, a digit or white space.
+MARKS = string.punctuation
+#: Letters before it are letters to every version of the character tables.
+BEYOND_LATIN = "\u0250"
 MANIFEST = "file_no int, path string, n_docs long, n_ids long, n_bytes long"
 DOCUMENT = "file_no int, doc_id long, doc_no long, file_start long, n_tokens long, ids_crc32 long"
 
 
+class Words(dict):
+    """Id bytes of words with a given lead (a space or nothing) before them,
+    found when first asked for; None for what texts may not be split around."""
+
+    def __init__(self, tokenizer, kind: str, space: str, letters: dict[int, str], first: Words | None = None):
+        super().__init__()
+        self.kind, self.lead, self.space, self.letters, self.marks = kind, " " if space else "", space, letters, {}
+        self.merge, self.encode, self.first = tokenizer.model.tokenize, tokenizer.encode, self if first is None else first
+
+    def _plain(self, text: str) -> bytes:
+        return array(self.kind, self.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes | None:
+        if not word or word[0].isspace() or word[-1].isspace():
+            self[word] = None
+            return None
+        # Pre-tokens end where letters end, and before and after a line end, so
+        # Latin letters and a run of marks behind them go to the library by
+        # themselves, the letters to its model at once.
+        core = word.rstrip(MARKS)
+        left, line, right = word.partition("\n")
+        if core.isalpha() and (core.isascii() or max(core) < BEYOND_LATIN):
+            ids = array(self.kind, [t.id for t in self.merge(self.space + core.translate(self.letters))]).tobytes()
+            if len(core) < len(word):
+                marks = word[len(core) :]
+                if marks not in self.marks:
+                    if len(self.marks) > 10_000:
+                        self.marks.clear()
+                    self.marks[marks] = self._plain(marks)
+                ids += self.marks[marks]
+        elif line and left and right and not left[-1].isspace() and not right[0].isspace():
+            ids = self[left] + self.first.line + self.first[right]
+        else:
+            ids = self._plain(self.lead + word)
+        self[word] = ids
+        return ids
+
+
 class Encoder:
-    """Texts to little-endian id bytes through a bounded memo of words."""
+    """Texts to little-endian id bytes through bounded memos of words."""
 
     def __init__(self, path: str, memo_limit: int = MEMO_LIMIT):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.memo_limit = Tokenizer.from_file(path), memo_limit
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo, self.memo_limit = {}, memo_limit
         kind = self.tokenizer.pre_tokenizer
-        self.splits = type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space and self.tokenizer.normalizer is None and not any(" " in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.splits = sys.byteorder == "little" and type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space and self.tokenizer.normalizer is None and not any(" " in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        if self.splits:
+            # Letters beyond ASCII as the vocabulary writes their bytes.
+            written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            letters = {c: written(chr(c))[0][0] for c in range(128, ord(BEYOND_LATIN)) if chr(c).isalpha()}
+            code = "H" if self.dtype.itemsize == 2 else "I"
+            self.first = Words(self.tokenizer, code, "", letters)
+            self.first.line = self._ids("\n")
+            self.memo = Words(self.tokenizer, code, SPACE, letters, self.first)
+
+    def _ids(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.splits:
-            return self._ids(texts)
-        parts = [t.split(" ") for t in texts]
-        memo = self.memo
-        if len(memo) > self.memo_limit:
-            memo.clear()
-        new = list(set().union(*[p[1:] for p in parts]) - memo.keys())
-        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        memo.update(dict.fromkeys(new))  # None: not to be split around
-        memo.update(zip(plain, self._ids([" " + w for w in plain])))
-        firsts = self._ids([p[0] for p in parts])
-        out = []
-        for text, p, first in zip(texts, parts, firsts):
-            rest = list(map(memo.__getitem__, p[1:]))
-            odd = None in rest or (rest and (not p[0] or p[0][-1].isspace()))
-            out.append(self._ids([text])[0] if odd else first + b"".join(rest))
+            return [self._ids(t) for t in texts]
+        for memo in (self.first, self.memo):
+            if len(memo) > self.memo_limit:
+                memo.clear()
+        out, word, first = [], self.memo.__getitem__, self.first.__getitem__
+        for text in texts:
+            parts = text.split(" ")
+            try:
+                rest = map(word, parts)
+                head = first(parts[0])
+                if len(parts) > 1:
+                    next(rest)  # the first word has no space before it
+                    out.append(head + b"".join(rest))
+                else:
+                    out.append(self._ids(text) if head is None else head)
+            except TypeError:  # white space beside a space
+                out.append(self._ids(text))
         return out
 
 
 class Writer:
     """Builds the bytes of one file."""
 
-    def __init__(self, dtype: np.dtype, frame_ids: int = FRAME_IDS, level: int = 3):
+    def __init__(self, dtype: np.dtype, frame_ids: int = FRAME_IDS, level: int = 1):
         import zstandard
 
         self.zstd, self.dtype, self.most = zstandard.ZstdCompressor(level=level), dtype, frame_ids * dtype.itemsize
@@ -169,7 +225,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = Encoder(tokenizer)
+        held = worker_state()
+        encode = held.get(("encoder", tokenizer)) or held.setdefault(("encoder", tokenizer), Encoder(tokenizer))
         end, writer, no = np.asarray([end_id], encode.dtype).tobytes(), Writer(encode.dtype, frame_ids), TaskContext.get().partitionId()
         for b in batches:
             for at in range(0, b.num_rows, 1000):
@@ -182,6 +239,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
             put_file(uri, data)
             yield pa.RecordBatch.from_pylist([{"file_no": no, "path": uri, "n_docs": len(writer.docs), "n_ids": writer.n_ids, "n_bytes": len(data)}], schema=pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())]))
 
+    bounded_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = d.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
     return cut(dealt.mapInArrow(write, MANIFEST), "token-manifest")
