@@ -16,11 +16,11 @@ window) and 32-bit log values, in shards by leading bits, written to the
 shared folder and memory-mapped by the scoring tasks.
 
 A document's perplexity is taken over its characters and one end symbol. The
-band of a language lies around the median of its documents that pass the base
-rule. On the log scale it reaches ``width`` median absolute deviations (times
-1.4826) to both sides, and ``least_reach`` at least: by default a document is
-not rejected before its perplexity is below half or above twice the median,
-however alike the other documents are. Documents outside are rejected.
+band of a language lies around the median of all its documents that pass the
+base rule. On the log scale it reaches down by ``width`` times 1.4826 times the
+median distance of those below the median, up by that of those above it, and
+``least_reach`` at least, so that documents which are much alike do not reject
+each other. Documents outside are rejected.
 
 Defined cases: a null or empty text has no words and fails the base rule; a
 null lang is the same language as the empty one; null doc_ids are in one half;
@@ -50,8 +50,8 @@ SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
 BATCH_CHARS = 1_500_000
 SHARD_ROWS = 2_000_000
-WIDTH = 8.0
-LEAST_REACH = float(np.log(2))
+WIDTH = 6.0
+LEAST_REACH = 0.1
 
 
 class Windows:
@@ -343,9 +343,12 @@ def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_
     to 1/1000, so that a language's group holds few distinct values."""
     m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round("log_perplexity", 3).alias("v"))
     middle = cut(m.groupBy("b_lang").agg(F.percentile("v", 0.5).alias("middle")), "kn-medians")
-    off = m.join(small(middle.withColumnRenamed("b_lang", "m_lang")), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.abs(F.col("v") - F.col("middle")), 3))
-    reach = off.groupBy("b_lang", "middle").agg(F.greatest(1.4826 * width * F.percentile("off", 0.5), F.lit(least_reach)).alias("reach"))
-    return reach.select("b_lang", (F.col("middle") - F.col("reach")).alias("low"), (F.col("middle") + F.col("reach")).alias("high"))
+    off = m.join(small(middle.withColumnRenamed("b_lang", "m_lang")), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.col("v") - F.col("middle"), 3))
+
+    def reach(side: Column) -> Column:
+        return F.greatest(1.4826 * width * F.percentile(F.when(side >= 0, side), 0.5), F.lit(least_reach))
+
+    return off.groupBy("b_lang", "middle").agg(reach(-F.col("off")).alias("down"), reach(F.col("off")).alias("up")).select("b_lang", (F.col("middle") - F.col("down")).alias("low"), (F.col("middle") + F.col("up")).alias("high"))
 
 
 def judge(docs: DataFrame, columns: list[str] | None = None, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:

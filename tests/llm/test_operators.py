@@ -404,6 +404,26 @@ def test_bands_reject_what_is_far_out(spark):
     assert perplexity.filter_documents(d.limit(0)).count() == 0
 
 
+def test_bands_reject_junk_near_the_language(spark):
+    r = random.Random(6)
+    vocabulary = ["".join(r.choice("etaoinsh") for _ in range(r.randint(2, 6))) for _ in range(300)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(100, 200)))) for i in range(200)]
+    # Lists of the same words: less than twice the usual perplexity.
+    junk = [(900 + i, " ".join(r.choice(vocabulary) + r.choice(("", "", " |", "!!")) for _ in range(120))) for i in range(10)]
+    d = spark.createDataFrame([(i, t, "en") for i, t in [*rows, *junk]], "doc_id long, text string, lang string")
+    got = perplexity.judge(d).collect()
+    middle = np.median([x["log_perplexity"] for x in got])
+    assert all(abs(x["log_perplexity"] - middle) < math.log(2) and not x["base_failed"] for x in got)
+    assert {x["doc_id"] for x in got if x["kept"]} == set(range(200))
+
+
+def test_bands_reach_to_each_side_by_its_own_documents(spark):
+    rows = [("en", v, False) for v in (1.9, 1.95, 2.0, 2.3, 2.6)] + [("en", 9.0, True), (None, 1.0, False)]
+    m = spark.createDataFrame(rows, "lang string, log_perplexity double, base_failed boolean")
+    got = {x["b_lang"]: (x["low"], x["high"]) for x in perplexity.bands(m, 2.0, 0.01).collect()}
+    assert got["en"] == pytest.approx((2 - 2 * 1.4826 * 0.05, 2 + 2 * 1.4826 * 0.3)) and got[""] == pytest.approx((0.99, 1.01))
+
+
 # --- trie -----------------------------------------------------------------
 
 
