@@ -6,16 +6,19 @@ split by a hash of page_id). In a block:
 1. Each page is a sequence of tag tokens; a token's role is its tag with the
    path of structural elements around it and their class or id names.
 2. Roles with the same occurrence vector over the pages form a class.
-3. A class is valid if its tokens keep one order in all pages and, when they
-   repeat, repeat as whole rounds. The class of tokens that stand once in each
-   page spans the template; other valid classes nest in the gap of the class
-   around them, if all their tokens lie in it in every page.
-4. The gaps of the spanning class are the template's slots. A slot's place
-   (navigation, header, advert, ...), how its text varies over the pages and
-   how much of it is link text say if it holds main text. If some slots lie in
-   an article or main element, only those do.
-5. A page's text is what stands in its main slots, without elements that are
-   never main text (menus, forms, scripts, adverts, comments, ...).
+3. The class of tokens that stand once in each page, without inline ones and
+   those that break its order, spans the template. Of the other classes, the
+   tokens that lie in one and the same gap of it in every page nest there; they
+   are valid if they keep one order and repeat as whole rounds in all pages.
+4. The gaps of the spanning class are the template's slots. Pages with text in
+   an article or main element have a template of their own, and there only such
+   text is main. In the others a slot's place (navigation, header, advert, ...),
+   how its text varies over the pages and how much of it is link text say so.
+5. Within main slots, text of a valid role (or of the rest of a slot) that is
+   the same in all pages that have it is the template's, if these pages have
+   more than two different texts; but no page is emptied by this.
+6. A page's text is what remains, without elements that are never main text
+   (menus, forms, scripts, adverts, comments, ...).
 
 Pages are compressed before they move, and each moves once.
 
@@ -97,12 +100,12 @@ class Page:
         #: roles: (role, number of texts before it); texts: (raw text, kind)
         #: with kind 0 text, 1 block bound, 2 white space; flags as bits.
         self.roles: list[tuple[str, int]] = []
-        self.texts: list[tuple[str, bool, bool, bool]] = []  # text, never, in main, in link
+        self.texts: list[tuple[str, bool, bool, bool, str]] = []  # text, never, in main, in link, path
         stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]  # name, path, never, main, link
         for kind, name, names in parse(html):
             if kind == TEXT:
-                _, _, never, main, link = stack[-1]
-                self.texts.append((name or names, never, main, link))
+                _, path, never, main, link = stack[-1]
+                self.texts.append((name or names, never, main, link, path))
                 continue
             if kind == OPEN:
                 if name in CLOSES_P and stack[-1][0] == "p" or name == "li" and stack[-1][0] == "li":
@@ -110,7 +113,7 @@ class Page:
                 _, path, never, main, link = stack[-1]
                 inline = name in INLINE
                 if not inline:
-                    self.texts.append(("\n" if name != "br" else " ", never, main, link))
+                    self.texts.append(("\n" if name != "br" else " ", never, main, link, path))
                     path = f"{path}/{name}.{names}" if names else f"{path}/{name}"
                 # A header inside an article may hold its heading; one outside
                 # is the page's.
@@ -128,10 +131,20 @@ class Page:
     def _end(self, stack: list) -> None:
         name, path, *_ = stack.pop()
         if name not in INLINE and name != "br":
-            _, _, never, main, link = stack[-1]
-            self.texts.append(("\n", never, main, link))
+            _, outer, never, main, link = stack[-1]
+            self.texts.append(("\n", never, main, link, outer))
         self.roles.append((f"{path}|/{name}", len(self.texts)))
 
+    def has_main(self) -> bool:
+        """Some text of an article or main element may be main text."""
+        return any(main and not never and t.strip() for t, never, main, _, _ in self.texts)
+
+
+def structural(role: str) -> bool:
+    """Whether a token bounds blocks of text."""
+    name = role.rpartition("|")[2].lstrip("/")
+    return name not in INLINE and name != "br"
+
 
 def clean(parts: list[str]) -> str:
     """Blocks joined by one space, white space runs as one, references decoded.
@@ -182,34 +195,64 @@ def spanning(pages: list[Page], roles: list[str]) -> list[str]:
     return [r for r in order if r not in bad]
 
 
+def whole_rounds(pages: list[Page], roles: list[str]) -> bool:
+    """Whether some roles of one class keep one order and repeat as whole
+    rounds of it in all pages."""
+    wanted, order = set(roles), []
+    for p in pages:
+        found = [r for r, _ in p.roles if r in wanted]
+        order = order or found[: len(wanted)]
+        if len(found) % len(wanted) or found != order * (len(found) // len(wanted)):
+            return False
+    return True
+
+
 def nested(pages: list[Page], span: list[str], classes: list[list[str]]) -> dict[int, list[list[str]]]:
     """Valid classes by the slot of the spanning class that holds them."""
     place = {r: i + 1 for i, r in enumerate(span)}
     found: dict[int, list[list[str]]] = defaultdict(list)
     where: dict[str, set[int]] = defaultdict(set)
-    for p in pages:
+    held: dict[str, set[int]] = defaultdict(set)
+    for i, p in enumerate(pages):
         slot = 0
         for r, _ in p.roles:
             slot = place.get(r, slot)
             if r not in place:
                 where[r].add(slot)
+                held[r].add(i)
     for c in classes:
-        slots = set().union(*(where[r] for r in c)) if c else set()
-        if len(slots) == 1:
-            found[slots.pop()].append(c)
+        parts: dict[int, list[str]] = defaultdict(list)
+        for r in c:
+            if len(where[r]) == 1:
+                parts[next(iter(where[r]))].append(r)
+        for slot, part in parts.items():
+            if whole_rounds([pages[i] for i in sorted(held[part[0]])], part):
+                found[slot].append(part)
     return found
 
 
 def extract(htmls: list[str]) -> list[str]:
-    """Main texts of pages of one host."""
+    """Main texts of pages of one host. Pages with and without text in an
+    article or main element have a template each."""
     pages = [Page(h) for h in htmls]
-    seen: dict[str, int] = {}
-    distinct = [p for h, p in zip(htmls, pages) if seen.setdefault(h, len(seen)) == len(seen) - 1 and h]
+    out = [""] * len(htmls)
+    for in_main in (True, False):
+        rows = [i for i, p in enumerate(pages) if p.has_main() == in_main]
+        for i, text in zip(rows, _extract([htmls[i] for i in rows], [pages[i] for i in rows], in_main)):
+            out[i] = text
+    return out
+
+
+def _extract(htmls: list[str], pages: list[Page], whole: bool) -> list[str]:
+    """Main texts of pages of one template; ``whole`` if only what stands in an
+    article or main element is one."""
+    distinct = list({h: p for h, p in zip(htmls, pages) if h}.values())
     if not distinct:
         return [""] * len(htmls)
     classes = equivalence_classes(distinct)
-    span = spanning(distinct, classes[0])
-    inner = nested(distinct, span, classes[1:])
+    span = spanning(distinct, [r for r in classes[0] if structural(r)])
+    taken = set(span)
+    inner = nested(distinct, span, [[r for r in classes[0] if r not in taken], *classes[1:]])
     place = {r: i + 1 for i, r in enumerate(span)}
 
     def slots_of(p: Page) -> np.ndarray:
@@ -224,26 +267,23 @@ def extract(htmls: list[str]) -> list[str]:
         return out
 
     n = len(span) + 1
-    chars, linked, in_main, usable = (np.zeros(n, np.int64) for _ in range(4))
+    chars, linked, usable = (np.zeros(n, np.int64) for _ in range(3))
     texts: list[dict[int, str]] = []
     slots = {id(p): slots_of(p) for p in pages}
     for p in distinct:
         held: dict[int, str] = {}
-        for (t, never, main, link), s in zip(p.texts, slots[id(p)].tolist()):
+        for (t, never, main, link, _), s in zip(p.texts, slots[id(p)].tolist()):
             t = t.strip()
-            if t and not never:
+            if t and not never and (main or not whole):
                 usable[s] += 1
                 chars[s] += len(t)
                 linked[s] += len(t) * link
-                in_main[s] += main
                 held[s] = held.get(s, "") + t
         texts.append(held)
-    paths = [""] + [r.rpartition("|")[0] for r in span]
-    named = np.array([bool(MAIN_NAMES.search(x.replace("/", " ").replace(".", " "))) for x in paths])
-    if in_main.any():
-        main_slots = in_main > 0
-    else:
-        main_slots = usable > 0
+    main_slots = usable > 0
+    if not whole:
+        paths = [""] + [r.rpartition("|")[0] for r in span]
+        named = np.array([bool(MAIN_NAMES.search(x.replace("/", " ").replace(".", " "))) for x in paths])
         if (named & main_slots).any():
             main_slots &= named
         else:
@@ -255,11 +295,32 @@ def extract(htmls: list[str]) -> list[str]:
                 fixed = np.array([len({h.get(s, "") for h in texts}) == 1 for s in range(n)])
                 if (main_slots & ~fixed).any():
                     main_slots &= ~fixed
-    whole = bool(in_main.any())
+    valid = {r.rpartition("|")[0] for r in [*span, *(r for found in inner.values() for c in found for r in c)] if structural(r)}
+
+    def kept(p: Page) -> list[tuple[str, tuple[int, str]]]:
+        """Texts of main slots, with what they vary by: slot and valid role."""
+        found = zip(p.texts, slots[id(p)].tolist(), main_slots[slots[id(p)]].tolist())
+        return [(t, (s, path if path in valid else "")) for (t, never, main, _, path), s, k in found if k and not never and (main or not whole or t == "\n")]
+
+    values: dict[tuple[int, str], set[str]] = defaultdict(set)
+    around: dict[tuple[int, str], set[int]] = defaultdict(set)
+    for p in distinct:
+        here: dict[tuple[int, str], list[str]] = defaultdict(list)
+        found = kept(p)
+        for t, u in found:
+            if t.strip():
+                here[u].append(t.strip())
+        text = hash(" ".join(t.strip() for t, _ in found))
+        for u, parts in here.items():
+            if len(values[u]) < 2:
+                values[u].add(" ".join(parts))
+            around[u].add(text)
+    template = {u for u, v in values.items() if len(v) == 1 and len(around[u]) > 2}
     out = []
     for p in pages:
-        keep = main_slots[slots[id(p)]]
-        out.append(clean([t for (t, never, main, _), k in zip(p.texts, keep.tolist()) if k and not never and (main or not whole or t == "\n")]))
+        found = kept(p)
+        text = clean([t for t, u in found if t == "\n" or u not in template])
+        out.append(text or clean([t for t, _ in found]))
     return out
 
 

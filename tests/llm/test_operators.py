@@ -574,6 +574,30 @@ def test_extract_without_article():
     assert template.extract(["plain text only", "", "<p>a", "<a href='b\">x"])[:2] == ["plain text only", ""]
 
 
+def test_extract_drops_what_repeats_in_articles():
+    page = '<body><article><h1>Title {i}</h1><div class="x1">Send this to a friend</div><p>Text <b>{i}</b> goes on</p><p>Always this end</p>{odd}</article></body>'
+    odd = '<div class="x2"><span>Terms</span> apply</div>'
+    got = template.extract([page.format(i=i, odd=odd if i % 2 else "") for i in range(8)])
+    assert got == [f"Title {i} Text {i} goes on Always this end" for i in range(8)]
+    same = ["<article><p>The only text</p></article>" + "<i></i>" * i for i in range(5)]
+    assert template.extract(same) == ["The only text"] * 5
+
+
+def test_extract_host_of_mixed_templates():
+    old = '<html><body><div id="top"><a href=/>Home</a> <a href=/x>X</a></div><div>Long text number {i} about things</div><p>All pages say this</p></body></html>'
+    new = "<html><body><nav>Menu</nav><main><p>New text {i}</p></main></body></html>"
+    got = template.extract([(old if i % 2 else new).format(i=i) for i in range(10)])
+    assert got == [f"Long text number {i} about things" if i % 2 else f"New text {i}" for i in range(10)]
+
+
+def test_classes_are_valid_in_whole_rounds():
+    pages = [template.Page(h) for h in ("<p></p><hr><p></p><hr>", "<p></p><hr>")]
+    bad = [template.Page(h) for h in ("<p></p><p></p><hr><hr>", "<p></p><hr>")]
+    roles = ["/p|p", "/p|/p", "/hr|hr", "/hr|/hr"]
+    assert template.whole_rounds(pages, roles) and not template.whole_rounds(bad, roles)
+    assert template.nested(pages, [], [roles]) == {0: [roles]} and not template.nested(bad, [], [roles])
+
+
 def test_extract_pages(spark):
     rows = [(i, f"http://h{i % 2}.org/{i}", PAGE.format(i=i, w="w")) for i in range(30)]
     rows += [(100, None, "<p>no url</p>"), (101, "http://lone.org/", "<article><p>&eacute;</p></article>"), (102, "http://h0.org/n", None), (103, "http://h0.org/e", ""), (5, rows[5][1], rows[5][2])]
