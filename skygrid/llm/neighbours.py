@@ -9,13 +9,19 @@ substrings of 8 bits; each substring has an index of its own.
 A search widens a Hamming radius. By the pigeonhole principle a code within
 m * (d + 1) - 1 bits of the query's, over m substrings, agrees with it to d
 bits in some substring; so probing all values within d bits in every index
-finds each such code. It stops at the radius that holds ``candidates`` codes
-of the block, takes every code within it, and reranks them by inner products
-of the original vectors in double precision.
+finds each such code. It stops at the radius that holds a number of codes,
+takes every code within it, and reranks them by inner products of the original
+vectors in double precision. A block finds that number by itself: it compares
+``PROBE_QUERIES`` of its queries with all its vectors and takes the number by
+which ``recall`` of their true neighbours is found, ``candidates`` at least and
+the whole block if need be.
 
 Spark deals the vectors to blocks of about ``block_rows`` by a hash of vec_id
 and the queries to groups; a task indexes one block and answers one group, and
-a window keeps each query's best over all blocks. Rotations are fitted on the
+a window keeps each query's best over all blocks. In a block, vectors of like
+length have an index of their own and are lengthened to the longest of these,
+so that a few long vectors do not push the others together. Queries have no
+added coordinate: theirs is the mean. Rotations are fitted on the
 ``sample_rows`` first vectors by hash, a documented bound; all vectors are
 indexed.
 
@@ -40,6 +46,9 @@ from .common import cut
 BITS = 128
 SUBSTRING = 8
 CANDIDATES = 480
+RECALL = 0.95
+PROBE_QUERIES = 128
+RANGE_RATIO = 1.5
 BLOCK_ROWS = 8192
 GROUP_ROWS = 8192
 SAMPLE_ROWS = 10_000
@@ -52,6 +61,40 @@ def lengthen(x: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1, keepdims=True)))])
 
 
+def norm_ranges(x: np.ndarray, ratio: float = RANGE_RATIO) -> list[np.ndarray]:
+    """Row numbers by length: in a range the longest has at most ``ratio``
+    times the length of the shortest."""
+    norms = np.sqrt((x * x).sum(axis=1))
+    order = np.argsort(-norms, kind="stable")
+    falling, out, i = -norms[order], [], 0
+    while i < len(order):
+        j = max(i + 1, int(np.searchsorted(falling, falling[i] / ratio, side="right")))
+        out.append(np.sort(order[i:j]))
+        i = j
+    return out
+
+
+def lengthen_ranges(x: np.ndarray, ranges: list[np.ndarray]) -> np.ndarray:
+    """Rows lengthened to the longest of their range."""
+    out = np.empty((len(x), x.shape[1] + 1))
+    for rows in ranges:
+        part = x[rows]
+        out[rows] = lengthen(part, float(np.sqrt((part * part).sum(axis=1).max())))
+    return out
+
+
+def enough(codes: np.ndarray, asks: np.ndarray, near: np.ndarray, recall: float) -> int:
+    """How many codes a ball must hold at least, so that ``recall`` of the
+    neighbours lies within. near: (row of asks, row of codes) of each."""
+    words, other = np.ascontiguousarray(codes).view("<u8"), np.ascontiguousarray(asks).view("<u8")
+    need = []
+    for a in np.unique(near[:, 0]):
+        far = np.bitwise_count(words ^ other[a]).sum(axis=1)
+        need.append(np.searchsorted(np.sort(far), far[near[near[:, 0] == a, 1]]) + 1)
+    need = np.sort(np.concatenate(need)) if need else np.zeros(1, np.int64)
+    return int(need[max(0, int(np.ceil(recall * len(need))) - 1)])
+
+
 def learn_rotation(x: np.ndarray, bits: int = BITS, rounds: int = 30, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Mean and a matrix to ``bits`` columns whose signs are the code."""
     rng, mean = np.random.default_rng(seed), x.mean(axis=0)
@@ -119,7 +162,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return v.where(F.size("embedding") == (common["dim"] if common else 0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int = CANDIDATES, bits: int = BITS, block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int = CANDIDATES, recall: float = RECALL, bits: int = BITS, block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score. ``queries`` has a column vec_id: which of
     ``vectors`` ask."""
     spark = vectors.sparkSession
@@ -127,23 +170,36 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int
     q = cut(v.join(queries.select(F.col("vec_id").cast("long").alias("q")).distinct(), F.col("vec_id") == F.col("q"), "left_semi"), "mih-queries")
     n, asked = v.count(), q.count()
     blocks, groups = max(1, -(-n // block_rows)), max(1, -(-asked // group_rows))
-    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
-    longest = float(v.agg(F.sqrt(F.max(square))).first()[0] or 1.0)
     sample = v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("embedding").toPandas()
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    mean, matrix = learn_rotation(lengthen(np.stack(sample["embedding"].to_numpy()), longest), bits)
+    first = np.stack(sample["embedding"].to_numpy())
+    mean, matrix = learn_rotation(lengthen_ranges(first, norm_ranges(first)), bits)
 
     def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         ids, x = left["vec_id"].to_numpy(), np.stack(left["embedding"].to_numpy())
         asks, y = right["vec_id"].to_numpy(), np.stack(right["embedding"].to_numpy())
-        index = MultiIndex(binary_codes(lengthen(x, longest), mean, matrix))
-        unit = np.hstack([y / np.sqrt((y * y).sum(axis=1, keepdims=True)), np.zeros((len(y), 1))])
+        ranges = norm_ranges(x)
+        codes = binary_codes(lengthen_ranges(x, ranges), mean, matrix)
+        unit = np.hstack([y / np.sqrt((y * y).sum(axis=1, keepdims=True)), np.full((len(y), 1), mean[-1])])
+        ask_codes = binary_codes(unit, mean, matrix)
+        probes = np.unique(np.linspace(0, len(asks) - 1, min(len(asks), PROBE_QUERIES)).astype(np.int64))
+        scores = np.where(ids == asks[probes, None], -np.inf, y[probes] @ x.T)
+        true = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        parts = []
+        for rows in ranges:
+            place = np.full(len(x), -1)
+            place[rows] = np.arange(len(rows))
+            at = place[true]
+            p, j = np.nonzero(at >= 0)
+            # One more, as a query may find itself.
+            least = max(candidates, enough(codes[rows], ask_codes[probes], np.stack([p, at[p, j]], axis=1), recall)) + 1
+            parts.append((rows, MultiIndex(codes[rows]) if least < len(rows) else None, least))
         q_out, v_out, s_out = [], [], []
-        for ask, code, vector in zip(asks, binary_codes(unit, mean, matrix), y):
-            near = index.within(code, candidates)
+        for ask, code, vector in zip(asks, ask_codes, y):
+            near = np.concatenate([rows if index is None else rows[index.within(code, least)] for rows, index, least in parts])
             near = near[ids[near] != ask]
             score = x[near] @ vector
             best = np.lexsort((ids[near], -score))[:k]

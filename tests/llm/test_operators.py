@@ -536,6 +536,27 @@ def test_neighbours(spark):
     assert len(got) == 45 and hit / total >= 0.9
 
 
+@pytest.mark.parametrize("n, long", [(8192, 0), (4096, 1), (4096, 40)])
+def test_neighbours_of_skewed_lengths(spark, n, long):
+    r = np.random.default_rng(8)
+    x = r.standard_normal((n, 64))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x[:long] *= 10
+    v = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for q in neighbours.nearest(v, v.where("vec_id % 20 = 7").select("vec_id")).collect():
+        got[q["query_id"]].add(q["vec_id"])
+    asks = range(7, n, 20)
+    hit = sum(len(got[i] & {j for j, _ in brute_nearest(x, np.arange(n), i, 20)}) for i in asks)
+    print("recall", n, long, hit / (20 * len(asks)))
+    assert hit / (20 * len(asks)) >= 0.93
+
+
+def test_lengths_fall_in_ranges():
+    x = np.array([[1.0], [-30.0], [1.4], [0.5], [29.0], [2.0]])
+    assert [g.tolist() for g in neighbours.norm_ranges(x)] == [[1, 4], [2, 5], [0], [3]]
+
+
 def test_few_vectors_give_all_others(spark):
     v = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = sorted(map(tuple, neighbours.nearest(v, v.where("vec_id % 20 = 0").select("vec_id")).collect()))
