@@ -60,6 +60,14 @@ def test_composite_ignores_order_and_chips_agree(spark):
     assert cells == again and by_chip == {k: v for k, v in cells.items() if v is not None}
 
 
+def test_composite_chips_aggregates_before_the_shuffle(spark):
+    rows = [("hot", [5, i, None]) for i in range(500, 0, -1)] + [("a", [None, 2, 3]), ("a", None), ("b", None), ("c", []), (None, [1, 2, 3])]
+    c = composite.composite_chips(spark.createDataFrame(rows, "k string, v array<int>").repartition(5), "v", ["k"])
+    assert {r["k"]: r["v"] for r in c.collect()} == {"hot": [5, 1, None], "a": [None, 2, 3], "b": None, "c": [], None: [1, 2, 3]}
+    plan = c._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(" in plan
+
+
 def test_names(spark):
     s = spark.createDataFrame([("a-b_c", "Landsat-9"), ("---", "landsat-8"), (None, None)], "item_id string, platform string").withColumns({"collection": F.lit("landsat-c2-l2"), "acquired": F.lit("2024-01-02").cast("timestamp")})
     n = catalog.with_names(s)
