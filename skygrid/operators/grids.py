@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,24 +72,27 @@ def _source_place(target: DataFrame, t: dict, s: dict) -> DataFrame:
     return placed.drop("c_lon", "c_lat")
 
 
-def regrid_nearest(source: DataFrame, target: DataFrame, s: dict, t: dict, value: str) -> DataFrame:
+def regrid_nearest(source: DataFrame, target: DataFrame, s: dict, t: dict, value: str, key: Sequence[str] = ()) -> DataFrame:
     """Each target cell with the value of the source cell that its centre lies
-    in; null outside. One equi-join on cells; none if the grids are the same."""
+    in; null outside. One equi-join on cells; none if the grids are the same.
+    ``key`` names what both tables hold many grids of, such as scenes."""
     if s == t:
-        return target.join(source.select("row_idx", "col_idx", value), ["row_idx", "col_idx"], "left")
+        return target.join(source.select(*key, "row_idx", "col_idx", value), [*key, "row_idx", "col_idx"], "left")
     p = _source_place(target, t, s).withColumns({"s_row": F.floor("sr"), "s_col": F.floor("sc")}).drop("sr", "sc")
-    src = source.select(F.col("row_idx").cast("long").alias("s_row"), F.col("col_idx").cast("long").alias("s_col"), value)
-    return p.join(src, ["s_row", "s_col"], "left").drop("s_row", "s_col")
+    src = source.select(*key, F.col("row_idx").cast("long").alias("s_row"), F.col("col_idx").cast("long").alias("s_col"), value)
+    return p.join(src, [*key, "s_row", "s_col"], "left").drop("s_row", "s_col")
 
 
-def regrid_bilinear(source: DataFrame, target: DataFrame, s: dict, t: dict, value: str) -> DataFrame:
+def regrid_bilinear(source: DataFrame, target: DataFrame, s: dict, t: dict, value: str, key: Sequence[str] = ()) -> DataFrame:
     """Each target cell with the mean of the four source cells around its
-    centre, weighted by nearness; missing ones are left out."""
+    centre, weighted by nearness; missing ones are left out. ``key`` as for
+    regrid_nearest."""
+    cell = [*key, "row_idx", "col_idx"]
     p = _source_place(target, t, s).withColumns({"fr": F.col("sr") - 0.5, "fc": F.col("sc") - 0.5}).withColumns({"r0": F.floor("fr"), "c0": F.floor("fc")})
     wr, wc = F.col("fr") - F.col("r0"), F.col("fc") - F.col("c0")
     four = [F.struct((F.col("r0") + i).alias("s_row"), (F.col("c0") + j).alias("s_col"), ((wr if i else 1 - wr) * (wc if j else 1 - wc)).alias("w")) for i in (0, 1) for j in (0, 1)]
-    near = p.select("row_idx", "col_idx", F.explode(F.array(*four)).alias("n")).select("row_idx", "col_idx", "n.*")
-    src = source.select(F.col("row_idx").cast("long").alias("s_row"), F.col("col_idx").cast("long").alias("s_col"), F.col(value).cast("double").alias("v"))
-    j = near.join(src, ["s_row", "s_col"], "left").where((F.col("w") > 0) | F.col("v").isNull())
+    near = p.select(*cell, F.explode(F.array(*four)).alias("n")).select(*cell, "n.*")
+    src = source.select(*key, F.col("row_idx").cast("long").alias("s_row"), F.col("col_idx").cast("long").alias("s_col"), F.col(value).cast("double").alias("v"))
+    j = near.join(src, [*key, "s_row", "s_col"], "left").where((F.col("w") > 0) | F.col("v").isNull())
     w = F.sum(F.when(F.col("v").isNotNull(), F.col("w")))
-    return j.groupBy("row_idx", "col_idx").agg((F.sum(F.col("w") * F.col("v")) / F.nullif(w, F.lit(0.0))).alias(value))
+    return j.groupBy(*cell).agg((F.sum(F.col("w") * F.col("v")) / F.nullif(w, F.lit(0.0))).alias(value))

@@ -199,6 +199,21 @@ def test_bilinear_of_a_plane_is_the_plane(spark):
     assert {(r["row_idx"], r["col_idx"]): r["v"] for r in same.collect()} == {(r, c): 2.0 * r + 3.0 * c for r in range(5) for c in range(5)}
 
 
+def test_regrid_of_many_scenes_is_that_of_each(spark):
+    g = {"left_x": 0.0, "top_y": 100.0, "res": 10.0, "epsg": 32652}
+    h = {"left_x": 13.0, "top_y": 88.0, "res": 15.0, "epsg": 32652}
+    s = spark.range(300).selectExpr("CAST(id DIV 100 AS INT) AS scene_no", "CAST(id % 100 DIV 10 AS INT) AS row_idx", "CAST(id % 10 AS INT) AS col_idx", "CASE WHEN id % 13 <> 0 THEN id * id % 97 END AS v")
+    cell = ["scene_no", "row_idx", "col_idx"]
+    for regrid in (grids.regrid_nearest, grids.regrid_bilinear):
+        for to in (g, h):
+            got = sorted(map(tuple, regrid(s, s.select(*cell), g, to, "v", ["scene_no"]).select(*cell, F.round("v", 6)).collect()))
+            want = []
+            for k in range(3):
+                one = s.where(F.col("scene_no") == k).drop("scene_no")
+                want += [(k, *r) for r in regrid(one, one.select("row_idx", "col_idx"), g, to, "v").select("row_idx", "col_idx", F.round("v", 6)).collect()]
+            assert len(got) == 300 and got == sorted(want)
+
+
 def test_layer_rules(spark):
     layers = spark.createDataFrame([("a", "sr", None, 0.0, -1.0)], "field string, kind string, scale double, offset double, fill double")
     with pytest.raises(Exception, match="no scale for a"):
