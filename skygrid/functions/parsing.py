@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def scene_datetime(props: Column) -> Column:
-    """``datetime``, else ``start_datetime``; null if both are absent."""
-    return F.try_to_timestamp(F.coalesce(F.nullif(props["datetime"], F.lit("")), props["start_datetime"]))
+def scene_datetime(props: Column, strict: bool = True) -> Column:
+    """``datetime``, else ``start_datetime``; a Z is UTC. If both are absent it
+    is an error, or null if not ``strict``."""
+    text = F.coalesce(F.nullif(F.try_element_at(props, F.lit("datetime")), F.lit("")), F.nullif(F.try_element_at(props, F.lit("start_datetime")), F.lit("")))
+    if strict:
+        text = F.coalesce(text, F.raise_error(F.lit("a scene has no datetime")).cast("string"))
+    return F.try_to_timestamp(text)
 
 
 def scene_tag(item_id: Column) -> Column:
@@ -55,6 +61,6 @@ def detection_date(text: Column) -> Column:
     return F.try_to_date(F.nullif(text, F.lit("")), "yyyy-M-d")
 
 
-def first_number(*texts: Column) -> Column:
-    """First text that is a number."""
-    return F.coalesce(*[t.try_cast("double") for t in texts])
+def first_number(props: Column, keys: Sequence[str]) -> Column:
+    """The first of some properties that is a number."""
+    return F.coalesce(*[F.try_element_at(props, F.lit(k)).try_cast("double") for k in keys])

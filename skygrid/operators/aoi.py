@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import geo
 
 _GEOMETRY = "struct<type:string,coordinates:string>"
-_SCHEMA = f"struct<type:string,coordinates:string,geometry:{_GEOMETRY},features:array<struct<geometry:{_GEOMETRY}>>>"
+GEOJSON = f"struct<type:string,coordinates:string,geometry:{_GEOMETRY},features:array<struct<geometry:{_GEOMETRY}>>>"
 EPS = 1e-12
+#: An area's box is about this many cells wide or high.
+CELLS_ACROSS = 32
+#: Areas of so few edges are written out as one expression.
+FEW_EDGES = 64
+EDGE = ["x1", "y1", "x2", "y2"]
+BOX = ["west", "south", "east", "north"]
 
 
 def geometry(j: Column) -> Column:
@@ -30,7 +36,7 @@ def aoi_edges(areas: DataFrame, text: str = "geojson", strict: bool = True) -> D
     """aoi_id, part, ring, edge, x1, y1, x2, y2. Rings are closed if they are
     not; a ring of fewer than three points holds nothing and gives no edges.
     ``strict`` raises on a text without polygon, else it gives no rows."""
-    g = areas.select("aoi_id", F.from_json(text, _SCHEMA).alias("j")).select("aoi_id", geometry(F.col("j")).alias("g"))
+    g = areas.select("aoi_id", F.from_json(text, GEOJSON).alias("j")).select("aoi_id", geometry(F.col("j")).alias("g"))
     if strict:
         g = g.select("aoi_id", F.coalesce("g", F.raise_error(F.lit("no Polygon or MultiPolygon")).cast(_GEOMETRY)).alias("g"))
     parts = g.select("aoi_id", rings(F.col("g")).alias("parts")).select("aoi_id", F.posexplode("parts").alias("part", "rings"))
@@ -45,64 +51,161 @@ def aoi_bbox(edges: DataFrame) -> DataFrame:
     return edges.groupBy("aoi_id").agg(F.min("x1").alias("west"), F.min("y1").alias("south"), F.max("x1").alias("east"), F.max("y1").alias("north"))
 
 
+def shapes(edges: DataFrame) -> DataFrame:
+    """One row per area: its box, and its parts as (outer ring, holes) of
+    edges. An area's edges come from one GeoJSON text, so a row is as large as
+    its text."""
+    low, high = {"west": "x1", "south": "y1"}, {"east": "x1", "north": "y1"}
+    box = [F.min(c).alias(n) for n, c in low.items()] + [F.max(c).alias(n) for n, c in high.items()]
+    again = [F.min(n).alias(n) for n in low] + [F.max(n).alias(n) for n in high]
+    ring = edges.groupBy("aoi_id", "part", "ring").agg(F.collect_list(F.struct(*EDGE)).alias("e"), *box)
+    part = ring.groupBy("aoi_id", "part").agg(F.max(F.when(F.col("ring") == 0, F.col("e"))).alias("outer"), F.collect_list(F.when(F.col("ring") > 0, F.col("e"))).alias("holes"), *again)
+    # A part without outer ring holds nothing, so it is left out.
+    return part.where(F.col("outer").isNotNull()).groupBy("aoi_id").agg(F.collect_list(F.struct("outer", "holes")).alias("parts"), *again)
+
+
+def _hits(e: Column, x: Column, y: Column) -> tuple[Column, Column]:
+    """Whether a point lies on an edge, and whether the edge crosses the ray
+    from the point to the right."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    on = (F.abs((x - e["x1"]) * dy - (y - e["y1"]) * dx) <= EPS) & x.between(F.least(e["x1"], e["x2"]) - EPS, F.greatest(e["x1"], e["x2"]) + EPS) & y.between(F.least(e["y1"], e["y2"]) - EPS, F.greatest(e["y1"], e["y2"]) + EPS)
+    crosses = ((e["y1"] > y) != (e["y2"] > y)) & F.coalesce(x < dx * F.try_divide(y - e["y1"], dy) + e["x1"], F.lit(False))
+    return on, crosses
+
+
+def holds(parts: Column, x: Column, y: Column) -> Column:
+    """Whether an area's parts hold a point: even-odd per ring; an outer bound
+    is inside, a hole's bound outside. Rings are walked inside the row."""
+
+    def in_ring(ring: Column) -> Column:
+        def step(state: Column, e: Column) -> Column:
+            on, crosses = _hits(e, x, y)
+            return state.bitwiseXOR(crosses.cast("int")).bitwiseOR(F.when(on, 2).otherwise(0))
+
+        return F.aggregate(ring, F.lit(0), step) > 0
+
+    return F.exists(parts, lambda p: in_ring(p["outer"]) & ~F.exists(p["holes"], in_ring))
+
+
+def holds_written_out(edges: DataFrame, x: Column, y: Column, most: int = FEW_EDGES) -> Column | None:
+    """``holds`` for all areas of ``edges`` together as one expression, which
+    needs neither join nor shuffle; None if they have more than ``most`` edges."""
+    rows = edges.select("aoi_id", "part", "ring", *EDGE).limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    parts: dict[tuple, dict[int, list]] = {}
+    for r in rows:
+        parts.setdefault((r["aoi_id"], r["part"]), {}).setdefault(r["ring"], []).append({c: F.lit(r[c]) for c in EDGE})
+
+    def in_ring(ring: list) -> Column:
+        on, odd = F.lit(False), F.lit(False)
+        for e in ring:
+            o, c = _hits(e, x, y)
+            on, odd = on | o, odd != c
+        return on | odd
+
+    found = F.lit(False)
+    for held in parts.values():
+        inside = in_ring(held.get(0, []))
+        for no, ring in held.items():
+            if no > 0:
+                inside = inside & ~in_ring(ring)
+        found = found | inside
+    return F.coalesce(found, F.lit(False))
+
+
+def _level() -> Column:
+    """The power of two that is the side of a cell of an area's box."""
+    return F.ceil(F.log2(F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"), F.lit(1e-9)) / CELLS_ACROSS)).cast("int")
+
+
+def _area_cells(edges: DataFrame) -> DataFrame:
+    """level, cx, cy, aoi_id, near: the cells of each area's box that it meets.
+
+    A cell's side is 2 ** level, so that a box has few cells however large it
+    is. A cell that no edge touches lies inside as a whole (``near`` is null)
+    or is left out; the others hold the edges that decide about their points:
+    those in their rows that do not end left of them.
+    """
+    s = shapes(edges)
+    s = s.withColumn("level", _level()).withColumn("side", F.pow(F.lit(2.0), F.col("level")))
+    first, last = ({c: F.floor(F.col(b) / F.col("side")) for c, b in zip(("cx", "cy"), pair)} for pair in (("west", "south"), ("east", "north")))
+    s = s.withColumn("cx", F.explode(F.sequence(first["cx"], last["cx"]))).withColumn("cy", F.explode(F.sequence(first["cy"], last["cy"])))
+    s = s.withColumns({"x0": F.col("cx") * F.col("side"), "y0": F.col("cy") * F.col("side")}).withColumns({"xe": F.col("x0") + F.col("side"), "ye": F.col("y0") + F.col("side")})
+
+    def beside(e: Column) -> Column:
+        return (F.greatest(e["y1"], e["y2"]) >= F.col("y0") - 2 * EPS) & (F.least(e["y1"], e["y2"]) <= F.col("ye") + 2 * EPS) & (F.greatest(e["x1"], e["x2"]) >= F.col("x0") - 2 * EPS)
+
+    def touches(e: Column) -> Column:
+        return F.least(e["x1"], e["x2"]) <= F.col("xe") + 2 * EPS
+
+    near = F.transform("parts", lambda p: F.struct(F.filter(p["outer"], beside).alias("outer"), F.transform(p["holes"], lambda h: F.filter(h, beside)).alias("holes")))
+    # Expanding a list of one keeps ``near`` from being worked out once a use.
+    s = s.select("aoi_id", "level", "cx", "cy", "x0", "y0", "xe", "ye", F.explode(F.array(near)).alias("near"))
+    touched = F.exists("near", lambda p: F.exists(p["outer"], touches) | F.exists(p["holes"], lambda h: F.exists(h, touches)))
+    s = s.withColumn("touched", touched)
+    inside = holds(F.col("near"), (F.col("x0") + F.col("xe")) / 2, (F.col("y0") + F.col("ye")) / 2)
+    return s.where(F.col("touched") | inside).select("level", "cx", "cy", "aoi_id", F.when(F.col("touched"), F.col("near")).alias("near"))
+
+
 def points_in_areas(points: DataFrame, edges: DataFrame, key: list[str], x: str = "lon", y: str = "lat") -> DataFrame:
-    """key, aoi_id of the points inside: even-odd per ring; an outer bound is
-    inside, a hole's bound outside.
+    """key, aoi_id of the points inside, by the rules of ``holds``; a row of
+    ``points`` that an area holds gives one row.
 
-    Points meet areas by whole cells of a grid that covers each area's box, so
-    the join is on keys; then edges join by area and each point-ring pair is
-    decided by one grouping.
+    One equi-join on cells, which adaptive execution can split or broadcast;
+    points of whole cells need no test, others are tested in the row.
     """
-    cell = 0.25
-    box = aoi_bbox(edges)
-    cells = box.select("aoi_id", "west", "south", "east", "north", F.explode(F.sequence(F.floor(F.col("west") / cell), F.floor(F.col("east") / cell))).alias("cx"), F.floor(F.col("south") / cell).alias("cy0"), F.floor(F.col("north") / cell).alias("cy1"))
-    cells = cells.select("aoi_id", "west", "south", "east", "north", "cx", F.explode(F.sequence("cy0", "cy1")).alias("cy"))
-    p = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, F.col(x).alias("px"), F.col(y).alias("py"))
-    p = p.withColumns({"cx": F.floor(F.col("px") / cell), "cy": F.floor(F.col("py") / cell)})
-    near = p.join(cells, ["cx", "cy"]).where(F.col("px").between(F.col("west"), F.col("east")) & F.col("py").between(F.col("south"), F.col("north"))).select(*key, "px", "py", "aoi_id")
-    j = near.join(edges, "aoi_id")
-    cross = (F.col("px") - F.col("x1")) * (F.col("y2") - F.col("y1")) - (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1"))
-    on_edge = (F.abs(cross) <= EPS) & F.col("px").between(F.least("x1", "x2") - EPS, F.greatest("x1", "x2") + EPS) & F.col("py").between(F.least("y1", "y2") - EPS, F.greatest("y1", "y2") + EPS)
-    meets = F.col("px") < (F.col("x2") - F.col("x1")) * F.try_divide(F.col("py") - F.col("y1"), F.col("y2") - F.col("y1")) + F.col("x1")
-    crosses = ((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))) & F.coalesce(meets, F.lit(False))
-    ring = j.groupBy(*key, "aoi_id", "part", "ring").agg(F.max(on_edge.cast("int")).alias("edge"), F.sum(crosses.cast("int")).alias("hits"))
-    inside = (F.col("edge") == 1) | (F.col("hits") % 2 == 1)
-    part = ring.groupBy(*key, "aoi_id", "part").agg(F.max(F.when(F.col("ring") == 0, inside)).alias("outer"), F.max(F.when(F.col("ring") > 0, inside)).alias("hole"))
-    return part.where(F.col("outer") & ~F.coalesce("hole", F.lit(False))).select(*key, "aoi_id").distinct()
+    cells = _area_cells(edges).withColumnsRenamed({"level": "c_level", "cx": "c_cx", "cy": "c_cy"})
+    # One level per power of two of box sizes: a handful, whatever the data.
+    levels = sorted(r[0] for r in aoi_bbox(edges).select(_level().alias("level")).distinct().collect())
+    p = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
+    p = p.withColumn("p_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>"))) if len(levels) != 1 else p.withColumn("p_level", F.lit(levels[0]))
+    side = F.pow(F.lit(2.0), F.col("p_level"))
+    p = p.withColumns({"p_cx": F.floor(F.col("px") / side), "p_cy": F.floor(F.col("py") / side)})
+    near = p.join(cells, (F.col("p_level") == F.col("c_level")) & (F.col("p_cx") == F.col("c_cx")) & (F.col("p_cy") == F.col("c_cy")))
+    return near.where(F.col("near").isNull() | holds(F.col("near"), F.col("px"), F.col("py"))).select(*key, "aoi_id")
 
 
 def boxes_meet(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return (a["west"] <= b["east"]) & (a["east"] >= b["west"]) & (a["south"] <= b["north"]) & (a["north"] >= b["south"])
 
 
-def _cells(df: DataFrame, size: float, **box: str) -> DataFrame:
-    w, s, e, n = (F.col(box[k]) for k in ("west", "south", "east", "north"))
+def _cells(df: DataFrame, size: float, prefix: str = "") -> DataFrame:
+    w, s, e, n = (F.col(prefix + k) for k in BOX)
     df = df.withColumn("cx", F.explode(F.sequence(F.floor(w / size), F.floor(e / size))))
     return df.withColumn("cy", F.explode(F.sequence(F.floor(s / size), F.floor(n / size))))
 
 
 def boxes_in_areas(scenes: DataFrame, edges: DataFrame, exact: bool = True, size: float = 0.5) -> DataFrame:
     """item_id, aoi_id of the scene boxes that meet an area: by box, and if
-    ``exact`` with the area itself (a corner of one in the other, or edges
-    that cross)."""
-    box = aoi_bbox(edges).select("aoi_id", *[F.col(c).alias(f"a_{c}") for c in ("west", "south", "east", "north")])
-    s = _cells(scenes.select("item_id", "west", "south", "east", "north"), size, west="west", south="south", east="east", north="north")
-    a = _cells(box, size, west="a_west", south="a_south", east="a_east", north="a_north")
-    meet = boxes_meet({c: F.col(c) for c in ("west", "south", "east", "north")}, {c: F.col(f"a_{c}") for c in ("west", "south", "east", "north")})
-    near = s.join(a, ["cx", "cy"]).where(meet).select("item_id", "aoi_id", "west", "south", "east", "north").distinct()
+    ``exact`` with the area itself (an edge of the area meets the box, or the
+    box lies inside).
+
+    Boxes meet by cells; a pair is taken in the cell of the lower left corner
+    of what both boxes share, so it comes once and nothing is grouped.
+    """
+    a = (shapes(edges) if exact else aoi_bbox(edges)).withColumnsRenamed({c: f"a_{c}" for c in BOX})
+    # Pairs cost far more than scenes, so scenes are spread before they meet;
+    # a stated number keeps adaptive execution from judging by their bytes.
+    tasks = int(scenes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = _cells(scenes.select("item_id", *BOX).repartition(tasks, "item_id"), size)
+    meet = boxes_meet({c: F.col(c) for c in BOX}, {c: F.col(f"a_{c}") for c in BOX})
+    once = (F.col("cx") == F.floor(F.greatest("west", "a_west") / size)) & (F.col("cy") == F.floor(F.greatest("south", "a_south") / size))
+    near = s.join(_cells(a, size, "a_"), ["cx", "cy"]).where(meet & once)
     if not exact:
         return near.select("item_id", "aoi_id")
-    corners = scenes.select("item_id", F.explode(F.array(*[F.struct(F.col(x).alias("lon"), F.col(y).alias("lat")) for x in ("west", "east") for y in ("south", "north")])).alias("c")).select("item_id", "c.*")
-    by_corner = points_in_areas(corners, edges, ["item_id"])
-    j = near.join(edges.where("ring = 0"), "aoi_id")
-    vertex = F.col("x1").between(F.col("west"), F.col("east")) & F.col("y1").between(F.col("south"), F.col("north"))
-    # An edge crosses the box if its own box does and the box's corners don't
-    # all lie on one side of it.
-    side = [(F.col("x2") - F.col("x1")) * (F.col(y) - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col(x) - F.col("x1")) for x in ("west", "east") for y in ("south", "north")]
-    over = (F.least("x1", "x2") <= F.col("east")) & (F.greatest("x1", "x2") >= F.col("west")) & (F.least("y1", "y2") <= F.col("north")) & (F.greatest("y1", "y2") >= F.col("south"))
-    crossed = over & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
-    by_edge = j.where(vertex | crossed).select("item_id", "aoi_id")
-    return by_corner.unionByName(by_edge).distinct()
+    corners = [(F.col(x), F.col(y)) for x in ("west", "east") for y in ("south", "north")]
+
+    def in_box(e: Column) -> Column:
+        # An edge meets the box if its own box does and the box's corners
+        # don't all lie on one side of it.
+        side = [(e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]) for x, y in corners]
+        over = (F.least(e["x1"], e["x2"]) <= F.col("east") + EPS) & (F.greatest(e["x1"], e["x2"]) >= F.col("west") - EPS) & (F.least(e["y1"], e["y2"]) <= F.col("north") + EPS) & (F.greatest(e["y1"], e["y2"]) >= F.col("south") - EPS)
+        return over & (F.least(*side) <= EPS) & (F.greatest(*side) >= -EPS)
+
+    inside = F.exists("parts", lambda p: F.exists(p["outer"], in_box) | F.exists(p["holes"], lambda h: F.exists(h, in_box)))
+    # A box that no edge meets lies inside or outside as a whole.
+    return near.where(inside | holds(F.col("parts"), *corners[0])).select("item_id", "aoi_id")
 
 
 def utm_of_areas(boxes: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing, radiometry
-from .aoi import boxes_meet
+from .aoi import GEOJSON, boxes_meet, geometry, rings
 
 # Asset and label of each band number, and bands masks need.
 SENTINEL_BANDS = tuple((i, a) for i, a in enumerate("B01 B02 B03 B04 B05 B06 B07 B08 B8A B09 B11 B12".split(), 1))
@@ -32,6 +32,19 @@ def scene_search(scenes: DataFrame, start: str, end: str, bbox: tuple[float, flo
     return s
 
 
+def in_time_order(scenes: DataFrame) -> DataFrame:
+    """Scenes by time, then id; for what is shown or written, as it shuffles."""
+    return scenes.orderBy("acquired", "item_id")
+
+
+def scene_groups(named: DataFrame) -> DataFrame:
+    """Scenes by prefix and date, which are composited together: their ids in
+    order of time, and how many there are."""
+    held = F.array_sort(F.collect_list(F.struct("acquired", "item_id")))
+    g = named.groupBy("prefix", "date_token").agg(held.alias("held"))
+    return g.select("prefix", "date_token", F.col("held.item_id").alias("item_ids"), F.size("held").alias("n_scenes"))
+
+
 def landsat_only(scenes: DataFrame) -> DataFrame:
     return scenes.where(F.lower("platform").isin(*LANDSAT))
 
@@ -54,29 +67,56 @@ def with_offset(scenes: DataFrame, *baselines: str) -> DataFrame:
     return scenes.withColumn("baseline", b).withColumn("dn_offset", offset)
 
 
+# Properties that may hold a sun angle, the first number wins.
+SUN_AZIMUTH = ("view:sun_azimuth", "s2:mean_solar_azimuth", "solar_azimuth", "sun_azimuth")
+SUN_ZENITH = ("view:sun_zenith", "s2:mean_solar_zenith", "solar_zenith", "sun_zenith")
+SUN_ELEVATION = ("view:sun_elevation", "sun_elevation", "solar_elevation")
+
+
+def typed_scenes(items: DataFrame, strict: bool = True) -> DataFrame:
+    """Adds to catalog items (geometry: GeoJSON text, props: map) what searches
+    and metadata read: acquired, platform, cloud_cover, processing_baseline,
+    sun angles, and the geometry's box (null without polygon)."""
+    props = F.col("props")
+    g = geometry(F.from_json("geometry", GEOJSON))
+    points = F.flatten(F.flatten(rings(g)))
+    x, y = F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
+    return items.withColumns({
+        "acquired": parsing.scene_datetime(props, strict), "platform": F.try_element_at(props, F.lit("platform")),
+        "cloud_cover": F.try_element_at(props, F.lit("eo:cloud_cover")).try_cast("double"),
+        "processing_baseline": F.coalesce(F.try_element_at(props, F.lit("s2:processing_baseline")), F.try_element_at(props, F.lit("processing_baseline"))),
+        "sun_azimuth": parsing.first_number(props, SUN_AZIMUTH), "sun_zenith": parsing.first_number(props, SUN_ZENITH), "sun_elevation": parsing.first_number(props, SUN_ELEVATION),
+        "west": F.array_min(x), "south": F.array_min(y), "east": F.array_max(x), "north": F.array_max(y),
+    })
+
+
 def scene_metadata(scenes: DataFrame) -> DataFrame:
-    """Acquisition date, image id, sun angles (zenith else 90 - elevation),
+    """Acquisition time, image id, sun angles (zenith else 90 - elevation),
     baseline and offset of scenes that have a geometry."""
     s = with_offset(scenes, "processing_baseline").where(F.col("west").isNotNull())
     return s.select(
-        F.date_format("acquired", "yyyy-MM-dd").alias("acquisition_date"), F.col("item_id").alias("image_id"),
+        F.date_format("acquired", "yyyy-MM-dd HH:mm:ss").alias("acquisition_date"), F.col("item_id").alias("image_id"),
         F.col("sun_azimuth").alias("solar_azimuth"), F.coalesce("sun_zenith", 90.0 - F.col("sun_elevation")).alias("solar_zenith"),
-        "baseline", F.when(F.col("collection") == "sentinel-2-l2a", F.col("dn_offset")).alias("dn_offset"), "west", "south", "east", "north",
+        "processing_baseline", "baseline", F.when(F.col("collection") == "sentinel-2-l2a", F.col("dn_offset")).alias("dn_offset"), "west", "south", "east", "north",
     )
 
 
 def feature_json(metadata: DataFrame) -> DataFrame:
-    """image_id and a GeoJSON feature per row."""
+    """image_id and a GeoJSON feature per row: unknown sun angles are null, an
+    unknown baseline or offset is left out."""
     ring = [("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south")]
-    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*[F.array(x, y) for x, y in ring])).alias("coordinates"))
-    props = F.struct(F.col("acquisition_date").alias("Acquisition_Date"), F.col("image_id").alias("Image_ID"), "solar_azimuth", "solar_zenith", "baseline", "dn_offset")
-    return metadata.select("image_id", F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), props.alias("properties"))).alias("feature"))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*[F.array(x, y) for x, y in ring])).alias("coordinates"))
+    known = F.to_json(F.struct(F.col("acquisition_date").alias("Acquisition_Date"), F.col("image_id").alias("Image_ID"), F.col("solar_azimuth").alias("Solar_Azimuth_Angle"), F.col("solar_zenith").alias("Solar_Zenith_Angle")), {"ignoreNullFields": "false"})
+    more = F.to_json(F.struct(F.col("processing_baseline").alias("Processing_Baseline"), F.col("dn_offset").alias("DN_Add_Offset")))
+    props = F.concat(F.rtrim(known, F.lit("}")), F.when(more == "{}", "").otherwise(F.lit(",")), F.ltrim(more, F.lit("{")))
+    head = F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.col("image_id").alias("id")))
+    return metadata.select("image_id", F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"properties":'), props, F.lit("}")).alias("feature"))
 
 
 def item_crs(scenes: DataFrame) -> DataFrame:
-    """item_id, epsg: from the properties, else the first asset that has one.
-    Needs ``props`` (map) and ``assets`` (map of structs with epsg)."""
-    from_assets = F.try_element_at(F.filter(F.transform(F.array_sort(F.map_keys("assets")), lambda k: F.try_element_at("assets", k)["epsg"]), lambda e: e.isNotNull()), F.lit(1))
+    """item_id, epsg: from the properties, else the first asset, in the order
+    of the map, that has one. Needs ``props`` (map) and ``assets`` (map of structs with epsg)."""
+    from_assets = F.try_element_at(F.filter(F.transform(F.map_values("assets"), lambda a: a["epsg"]), lambda e: e.isNotNull()), F.lit(1))
     return scenes.select("item_id", F.coalesce(F.try_element_at("props", F.lit("proj:epsg")).try_cast("int"), from_assets).alias("epsg"))
 
 
@@ -99,12 +139,15 @@ def scene_bands(satellite: Column, requested: Column, cloud: Column, snow: Colum
     return F.array_sort(F.array_intersect(bands, known)), F.array_sort(F.array_except(requested, known))
 
 
-def band_assets(scenes: DataFrame, bands: DataFrame, assets: DataFrame) -> DataFrame:
-    """Each scene's requested bands with their asset's href; null where the
-    scene has none. scenes: item_id, collection, bands; bands: collection,
+def band_assets(scenes: DataFrame, bands: DataFrame, assets: DataFrame, strict: bool = True) -> DataFrame:
+    """Each scene's requested bands with their asset's href. Where the scene
+    has none it is an error, or null if not ``strict``. scenes: item_id, collection, bands; bands: collection,
     band_no, asset; assets: item_id, asset, href."""
     want = scenes.select("item_id", "collection", F.explode("bands").alias("band_no")).join(F.broadcast(bands), ["collection", "band_no"])
-    return want.join(assets, ["item_id", "asset"], "left").select("item_id", "band_no", "asset", "href")
+    href = F.col("href")
+    if strict:
+        href = F.coalesce(href, F.raise_error(F.concat_ws(" ", F.lit("no asset"), "asset", F.lit("in scene"), "item_id")).cast("string"))
+    return want.join(assets, ["item_id", "asset"], "left").select("item_id", "band_no", "asset", href.alias("href"))
 
 
 def work_actions(scenes: DataFrame, images: DataFrame, composites: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, radiometry
-from .aoi import points_in_areas
+from .aoi import FEW_EDGES, holds_written_out, points_in_areas
 
 
 def tile_affine(tiles: DataFrame, pixels: int) -> DataFrame:
@@ -24,35 +26,54 @@ def global_cells(cells: DataFrame, pixels: int) -> DataFrame:
     return cells.withColumns({"grow": F.col("v") * pixels + F.col("row_idx"), "gcol": F.col("h") * pixels + F.col("col_idx")})
 
 
-def crop_window(grid: DataFrame, res: float) -> DataFrame:
+def crop_window(grid: DataFrame, res: float, strict: bool = True) -> DataFrame:
     """Row and column offsets and lengths of an area's box (ax0, ay0, ax1,
     ay1) on a grid (left_x, top_y, width, height): offsets rounded down,
-    lengths up, cut to the grid. Without overlap the area gets no row."""
+    lengths up, cut to the grid. Without overlap it is an error if ``strict``,
+    else the area gets no row."""
     g = grid.withColumns({"right_x": F.col("left_x") + F.col("width") * res, "bottom_y": F.col("top_y") - F.col("height") * res})
     x0, x1 = F.greatest("ax0", "left_x"), F.least("ax1", "right_x")
     y0, y1 = F.greatest("ay0", "bottom_y"), F.least("ay1", "top_y")
-    g = g.withColumns({"ox0": x0, "ox1": x1, "oy0": y0, "oy1": y1}).where((F.col("ox0") < F.col("ox1")) & (F.col("oy0") < F.col("oy1")))
+    g = g.withColumns({"ox0": x0, "ox1": x1, "oy0": y0, "oy1": y1})
+    meet = (F.col("ox0") < F.col("ox1")) & (F.col("oy0") < F.col("oy1"))
+    if strict:
+        g = g.withColumn("ox0", F.when(meet, F.col("ox0")).otherwise(F.raise_error(F.lit("an area does not overlap its grid")).cast("double")))
+    else:
+        g = g.where(meet)
     c0, r0 = F.floor((F.col("ox0") - F.col("left_x")) / res), F.floor((F.col("top_y") - F.col("oy1")) / res)
     n_c, n_r = F.ceil((F.col("ox1") - F.col("ox0")) / res), F.ceil((F.col("oy1") - F.col("oy0")) / res)
     return g.select(*grid.columns, c0.alias("col_off"), r0.alias("row_off"), F.least(n_c, F.col("width") - c0).alias("n_cols"), F.least(n_r, F.col("height") - r0).alias("n_rows"))
 
 
-def cells_in_areas(cells: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
-    """Key and aoi_id of the cells whose centre (cx_m, cy_m, in the edges'
-    projection) lies in an area. Edges in metres are given in degrees-like
-    units by dividing both by 100 km, so that the meeting grid fits."""
-    scale = 100000.0
-    e = edges.withColumns({c: F.col(c) / scale for c in ("x1", "y1", "x2", "y2")})
-    return points_in_areas(cells.withColumns({"lon": F.col("cx_m") / scale, "lat": F.col("cy_m") / scale}), e, key)
-
-
-def mask_outside(cells: DataFrame, inside: DataFrame, key: list[str], sr: list[str], qa: dict[str, int | None]) -> DataFrame:
-    """Surface reflectance outside is missing; QA outside gets its fill value,
-    or stays if it has none."""
-    j = cells.join(inside.select(*key).distinct().withColumn("in_area", F.lit(True)), key, "left").withColumn("in_area", F.coalesce("in_area", F.lit(False)))
+def crop_cells(cells: DataFrame, windows: DataFrame, key: list[str]) -> DataFrame:
+    """The cells in their grid's window, counted from its upper left corner.
+    windows: key, row_off, col_off, n_rows, n_cols; a grid has one."""
+    w = windows.select(*key, "row_off", "col_off", "n_rows", "n_cols").alias("w")
+    j = cells.alias("c").join(w, [F.col(f"c.{k}") == F.col(f"w.{k}") for k in key])
+    row, col = F.col("c.row_idx") - F.col("w.row_off"), F.col("c.col_idx") - F.col("w.col_off")
+    inside = (row >= 0) & (row < F.col("w.n_rows")) & (col >= 0) & (col < F.col("w.n_cols"))
+    moved = {"row_idx": row.cast("int").alias("row_idx"), "col_idx": col.cast("int").alias("col_idx")}
+    return j.where(inside).select(*[moved.get(n, F.col(f"c.`{n}`")) for n in cells.columns])
+
+
+def in_areas(cells: DataFrame, edges: DataFrame, key: list[str], x: str = "cx_m", y: str = "cy_m", most: int = FEW_EDGES) -> DataFrame:
+    """Adds ``in_area``: whether a cell's centre, in the edges' projection,
+    lies in some area. The edges of a few areas are written out as one
+    expression; others meet the cells by ``points_in_areas``."""
+    written = holds_written_out(edges, F.col(x), F.col(y), most)
+    if written is not None:
+        return cells.withColumn("in_area", written)
+    inside = points_in_areas(cells, edges, key, x, y).select(*key).distinct().withColumn("in_area", F.lit(True)).alias("i")
+    j = cells.alias("c").join(inside, [F.col(f"c.{k}").eqNullSafe(F.col(f"i.{k}")) for k in key], "left")
+    return j.select("c.*", F.coalesce("i.in_area", F.lit(False)).alias("in_area"))
+
+
+def mask_outside(cells: DataFrame, sr: list[str], qa: dict[str, int | None]) -> DataFrame:
+    """cells with in_area. Surface reflectance outside is missing; QA outside
+    gets its fill value, or stays if it has none."""
     new: dict[str, Column] = {b: F.when(F.col("in_area"), F.col(b)) for b in sr}
     new |= {b: F.when(F.col("in_area"), F.col(b)).otherwise(F.lit(fill)) for b, fill in qa.items() if fill is not None}
-    return j.withColumns(new)
+    return cells.withColumns(new)
 
 
 def scale_layers(cells: DataFrame, layers: DataFrame) -> DataFrame:
@@ -64,23 +85,36 @@ def scale_layers(cells: DataFrame, layers: DataFrame) -> DataFrame:
     return j.withColumn("value", F.when(F.col("kind") == "sr", sr)).withColumn("qa", F.when(F.col("kind") == "qa", F.col("dn").cast("long")))
 
 
-def layer_groups(layers: DataFrame) -> DataFrame:
-    """Layers by kind and resolution: output suffix, common fill value (null
-    unless all share it), members in order."""
-    g = layers.groupBy("kind", "resolution").agg(
+def layer_groups(layers: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """Layers by kind and resolution (and ``key``, such as a product): output
+    suffix, common fill value (null unless all share it), members in order."""
+    g = layers.groupBy(*key, "kind", "resolution").agg(
         F.count("*").alias("n_layers"), F.sort_array(F.collect_list("field")).alias("fields"), F.count_distinct("fill").alias("n_fills"),
         F.count_if(F.col("fill").isNull()).alias("n_without"), F.min("fill").alias("any_fill"), F.max("bits").alias("bits"),
     )
     suffix = F.when(F.col("n_layers") == 1, F.col("fields")[0]).when(F.col("kind") == "qa", F.concat(F.lit("QA_"), "resolution")).otherwise(F.col("resolution"))
     common = F.when((F.col("n_fills") == 1) & (F.col("n_without") == 0), F.col("any_fill"))
-    return g.select("kind", "resolution", "n_layers", F.array_join("fields", ",").alias("fields"), suffix.alias("suffix"), common.alias("fill"), F.when(F.col("kind") == "qa", radiometry.widest_integer(F.col("bits"))).otherwise("float").alias("dtype"))
+    return g.select(*key, "kind", "resolution", "n_layers", F.array_join("fields", ",").alias("fields"), suffix.alias("suffix"), common.alias("fill"), F.when(F.col("kind") == "qa", radiometry.widest_integer(F.col("bits"))).otherwise("float").alias("dtype"))
+
+
+TAGS = ("field", "scale", "offset", "fill", "sds_path")
 
 
-def layer_tags(layers: DataFrame) -> DataFrame:
+def _bands(layers: DataFrame, key: Sequence[str]) -> DataFrame:
+    return layers.groupBy(*key, "kind", "resolution").agg(F.sort_array(F.collect_list(F.struct(*TAGS))).alias("bands"))
+
+
+def layer_tags(layers: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     """Tags of each output: band order and the attributes of its bands."""
-    band = F.struct("field", "scale", "offset", "fill", "sds_path")
-    g = layers.groupBy("kind", "resolution").agg(F.sort_array(F.collect_list(band)).alias("bands"))
-    return g.select("kind", "resolution", F.posexplode("bands").alias("i", "b")).select("kind", "resolution", (F.col("i") + 1).alias("band_index"), "b.*")
+    g = _bands(layers, key)
+    return g.select(*key, "kind", "resolution", F.posexplode("bands").alias("i", "b")).select(*key, "kind", "resolution", (F.col("i") + 1).alias("band_index"), "b.*")
+
+
+def layer_sidecars(layers: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """Key, kind, resolution and ``sidecar``: a JSON text of an output's bands
+    in order, with nulls for what they lack."""
+    body = F.struct("kind", "resolution", F.transform("bands", lambda b, i: F.struct((i + 1).alias("band_index"), *[b[c].alias(c) for c in TAGS])).alias("bands"))
+    return _bands(layers, key).select(*key, "kind", "resolution", F.to_json(body, {"ignoreNullFields": "false"}).alias("sidecar"))
 
 
 def missing_layers(layers: DataFrame, found: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from .functions import geo, parsing, radiometry
 from .operators import aoi, catalog, chips, composite, detections, grids, pixels, report, tiles
 from .plans import imagery
 from .plans.scratch import cut, shared_dir
-from .sources import readers, views
+from .sources import readers, sinks, views
 from .sources.views import read
 from .streaming import detections as stream
 
@@ -99,10 +99,11 @@ def mask_apply(spark, d):
     return _masked(spark, d).select("scene_no", "row_idx", "col_idx", "masked", *BANDS)
 
 
-@query(_with("cloud AS (SELECT scene_no, row_idx, col_idx, cloud_class FROM fx_pixels WHERE row_idx % 7 <> 0), sn AS (SELECT scene_no, row_idx, col_idx, 1 AS snow FROM fx_pixels WHERE row_idx % 5 = 0)") + " SELECT p.scene_no, p.row_idx, p.col_idx, p.b03, c.cloud_class, s.snow FROM fx_pixels p JOIN cloud c ON p.scene_no = c.scene_no AND p.row_idx = c.row_idx AND p.col_idx = c.col_idx LEFT JOIN sn s ON p.scene_no = s.scene_no AND p.row_idx = s.row_idx AND p.col_idx = s.col_idx", "fx_pixels")
+@query(_with("cloud AS (SELECT scene_no, row_idx, col_idx, cloud_class FROM fx_pixels), sn AS (SELECT scene_no, row_idx, col_idx, 1 AS snow FROM fx_pixels WHERE row_idx % 5 = 0)") + " SELECT p.scene_no, p.row_idx, p.col_idx, p.b03, c.cloud_class, s.snow FROM fx_pixels p JOIN cloud c ON p.scene_no = c.scene_no AND p.row_idx = c.row_idx AND p.col_idx = c.col_idx LEFT JOIN sn s ON p.scene_no = s.scene_no AND p.row_idx = s.row_idx AND p.col_idx = s.col_idx", "fx_pixels")
 def mask_join(spark, d):
+    """A cloud mask of all cells, a snow mask of every fifth row of cells."""
     p = read(spark, d, "fx_pixels")
-    cloud = p.where("row_idx % 7 <> 0").select(*pixels.CELL, "cloud_class")
+    cloud = p.select(*pixels.CELL, "cloud_class")
     snow = p.where("row_idx % 5 = 0").select(*pixels.CELL, F.lit(1).alias("snow"))
     return pixels.join_masks(p.drop("cloud_class"), cloud, snow).select(*pixels.CELL, "b03", "cloud_class", "snow")
 
@@ -137,6 +138,19 @@ def composite_snowmasked(spark, d):
     return composite.composite_min(s, ["b03"])
 
 
+_OUT = ["b03", "b04", "b11"]
+
+
+@query(_with(f"{_R}, {_S}, {_M}, c AS (SELECT {_CELLS}, " + ", ".join(f"min(CASE WHEN NOT masked THEN {b} END) AS m_{b}, min(CASE WHEN snow <> 1 THEN {b} END) AS s_{b}" for b in _OUT) + f", CAST(coalesce(min(cloud_class), 0) AS FLOAT) AS class, CAST(coalesce(max(nullif(snow, 255)), 255) AS FLOAT) AS snow FROM m GROUP BY {_CELLS})".replace("class, CAST", "class, CAST")).replace("greatest(b01, b03, b04, b08, b11) = 0 AND least(b01, b03, b04, b08, b11) = 0", "greatest(b03, b04, b11) = 0 AND least(b03, b04, b11) = 0").replace("b01 = 0 OR", "b03 = 0 OR") + " SELECT prefix AS satellite, CAST(date_token AS INT) AS date_token, row_idx, col_idx, layer, band, value FROM (" + " UNION ALL ".join(f"SELECT {_CELLS}, '{layer}' AS layer, '{band}' AS band, {c} AS value FROM c" for layer, band, c in [*[("masked", b, f"m_{b}") for b in _OUT], ("cloudmask", "class", "class"), *[("snowmasked", b, f"s_{b}") for b in _OUT], ("snowmask", "snow", "snow")]) + ") q WHERE value IS NOT NULL", "fx_pixels")
+def composite_outputs(spark, d):
+    """All layers of each day as chips, written by satellite, layer and day,
+    read back and unpacked."""
+    path = shared_dir(spark, "layers")
+    sinks.write_layers(imagery.composite_outputs(read(spark, d, "fx_pixels"), _OUT, classes=(1, 3)), path)
+    back = chips.unpack_chips(spark.read.parquet(path), ["values"], ["satellite", "date_token", "layer", "band"])
+    return back.withColumnRenamed("values", "value").select("satellite", "date_token", "row_idx", "col_idx", "layer", "band", "value")
+
+
 @query("SELECT label, CAST(i AS INT) AS place, min(v) AS v FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings) q GROUP BY label, i")
 def composite_min_chips(spark, d):
     c = composite.composite_chips(read(spark, d, "embeddings"), "embedding", ["label"])
@@ -152,8 +166,8 @@ def chips_unpack(spark, d):
 @query(" SELECT scene_no, row_idx, col_idx, b03, b04 FROM fx_pixels", "fx_pixels")
 def chips_pack(spark, d):
     """Packs and unpacks again: the cells come back."""
-    packed = chips.pack_chips(read(spark, d, "fx_pixels"), ["b03", "b04"], ["scene_no"], 32)
-    return chips.unpack_chips(packed, ["b03", "b04"], ["scene_no"], 32)
+    packed = chips.pack_chips(read(spark, d, "fx_pixels"), ["b03", "b04"], ["scene_no"])
+    return chips.unpack_chips(packed, ["b03", "b04"], ["scene_no"])
 
 
 @query(" SELECT scene_no, row_idx, col_idx, CASE WHEN b03 > 5000 THEN 1 ELSE 0 END AS cloud_class FROM fx_pixels", "fx_pixels")
@@ -203,22 +217,68 @@ def scene_stem(spark, d):
     return catalog.with_names(read(spark, d, "fx_scenes")).select("item_id", "prefix", "stem")
 
 
-@query(f" SELECT strftime(acquired, '%Y-%m-%d') AS acquisition_date, item_id AS image_id, sun_azimuth AS solar_azimuth, coalesce(sun_zenith, 90e0 - sun_elevation) AS solar_zenith, try_cast(nullif(trim(processing_baseline), '') AS DOUBLE) AS baseline, CASE WHEN collection = 'sentinel-2-l2a' THEN {_OFFSET} END AS dn_offset, west, south, east, north FROM fx_scenes", "fx_scenes")
+@query(f" SELECT strftime(acquired, '%Y-%m-%d %H:%M:%S') AS acquisition_date, item_id AS image_id, sun_azimuth AS solar_azimuth, coalesce(sun_zenith, 90e0 - sun_elevation) AS solar_zenith, processing_baseline, try_cast(nullif(trim(processing_baseline), '') AS DOUBLE) AS baseline, CASE WHEN collection = 'sentinel-2-l2a' THEN {_OFFSET} END AS dn_offset, west, south, east, north FROM fx_scenes", "fx_scenes")
 def scene_metadata(spark, d):
     return catalog.scene_metadata(read(spark, d, "fx_scenes"))
 
 
-@query()
-def scene_features_json(spark, d):
-    return catalog.feature_json(catalog.scene_metadata(read(spark, d, "fx_scenes")))
+_META = f"strftime(acquired, '%Y-%m-%d %H:%M:%S') AS acquired, sun_azimuth AS azimuth, coalesce(sun_zenith, 90e0 - sun_elevation) AS zenith, processing_baseline AS baseline, CASE WHEN collection = 'sentinel-2-l2a' THEN {_OFFSET} END AS dn_offset"
+_FEATURE = "type string, id string, geometry struct<type:string,coordinates:array<array<array<double>>>>, properties struct<Acquisition_Date:string,Image_ID:string,Solar_Azimuth_Angle:double,Solar_Zenith_Angle:double,Processing_Baseline:string,DN_Add_Offset:double>"
 
 
-@query(" SELECT item_id, CAST(CASE WHEN scene_no % 3 = 0 THEN 32652 WHEN scene_no % 3 = 1 THEN 32653 END AS INT) AS epsg FROM fx_scenes", "fx_scenes")
+@query(f" SELECT item_id AS image_id, 'Feature' AS kind, item_id AS id, {_META}, west AS x0, north AS y2, 5 AS n_points, sun_zenith IS NULL AND sun_elevation IS NULL AS null_zenith FROM fx_scenes", "fx_scenes")
+def scene_features_json(spark, d):
+    """Features as text lines, written, and read back from their JSON."""
+    path = shared_dir(spark, "features")
+    sinks.write_features(catalog.feature_json(catalog.scene_metadata(read(spark, d, "fx_scenes"))), path)
+    f = spark.read.text(path).select("value", F.from_json("value", _FEATURE).alias("f")).select("value", "f.*")
+    p, ring = F.col("properties"), F.col("geometry")["coordinates"][0]
+    return f.select(
+        p["Image_ID"].alias("image_id"), F.col("type").alias("kind"), "id", p["Acquisition_Date"].alias("acquired"), p["Solar_Azimuth_Angle"].alias("azimuth"), p["Solar_Zenith_Angle"].alias("zenith"),
+        p["Processing_Baseline"].alias("baseline"), p["DN_Add_Offset"].alias("dn_offset"), ring[0][0].alias("x0"), ring[2][1].alias("y2"), F.size(ring).alias("n_points"), F.col("value").contains('"Solar_Zenith_Angle":null').alias("null_zenith"),
+    )
+
+
+@query(f" SELECT item_id, {_META}, round(cloud_cover, 6) AS cloud_cover, round(west, 6) AS west, round(north, 6) AS north FROM fx_scenes WHERE CAST(acquired AS DATE) BETWEEN DATE '1993-01-01' AND DATE '1997-12-31' AND cloud_cover < 80 AND west <= 131.2e0 AND east >= 130.5e0 AND south <= 33e0 AND north >= 32.4e0", "fx_scenes")
+def scene_catalog(spark, d):
+    """The catalog written as items (a geometry, a map of properties, assets),
+    read back, searched and described. Sun angles stand under various keys."""
+    s = read(spark, d, "fx_scenes")
+    number = lambda c: F.col(c).cast("string")
+    even = F.col("scene_no") % 2 == 0
+    props = F.map_filter(F.create_map(
+        F.when(F.col("scene_no") % 3 == 0, "datetime").otherwise("start_datetime"), F.concat(F.date_format("acquired", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")), F.lit("platform"), F.col("platform"), F.lit("eo:cloud_cover"), number("cloud_cover"),
+        F.when(even, "s2:processing_baseline").otherwise("processing_baseline"), F.col("processing_baseline"), F.lit("view:sun_azimuth"), F.when(even, number("sun_azimuth")).otherwise("none"), F.lit("sun_azimuth"), number("sun_azimuth"),
+        F.when(even, "s2:mean_solar_zenith").otherwise("solar_zenith"), number("sun_zenith"), F.when(even, "view:sun_elevation").otherwise("solar_elevation"), number("sun_elevation"),
+    ), lambda k, v: v.isNotNull())
+    corners = F.array(*[F.array(F.col(x), F.col(y)) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
+    shape = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")))
+    path = shared_dir(spark, "catalog")
+    s.select("item_id", "collection", shape.alias("geometry"), props.alias("props")).write.json(path)
+    found = catalog.scene_search(readers.read_scenes(spark, path), "1993-01-01", "1997-12-31", BBOX)
+    m = catalog.scene_metadata(found).join(found.select(F.col("item_id").alias("image_id"), "cloud_cover"), "image_id")
+    return m.select(
+        F.col("image_id").alias("item_id"), F.col("acquisition_date").alias("acquired"), F.col("solar_azimuth").alias("azimuth"), F.col("solar_zenith").alias("zenith"), F.col("processing_baseline").alias("baseline"), "dn_offset",
+        *[F.round(c, 6).alias(c) for c in ("cloud_cover", "west", "north")],
+    )
+
+
+@query(f" SELECT {_PREFIX} AS prefix, strftime(acquired, '%Y%m%d') AS date_token, string_agg(item_id, ',' ORDER BY acquired, item_id) AS item_ids, CAST(count(*) AS INT) AS n_scenes FROM fx_scenes GROUP BY 1, 2", "fx_scenes")
+def scene_groups(spark, d):
+    g = catalog.scene_groups(catalog.with_names(read(spark, d, "fx_scenes")))
+    return g.withColumn("item_ids", F.array_join("item_ids", ","))
+
+
+@query(" SELECT item_id, CAST(CASE WHEN scene_no % 3 = 0 THEN 32652 WHEN scene_no % 3 = 1 THEN 32653 WHEN scene_no % 2 = 0 THEN 32651 END AS INT) AS epsg FROM fx_scenes", "fx_scenes")
 def scene_crs(spark, d):
+    """From the properties, if they hold a number, else from the first asset
+    in the item's order (not in that of names) that has one."""
     s = read(spark, d, "fx_scenes")
     n = F.col("scene_no") % 3
-    asset = F.struct(F.lit("x").alias("href"), F.when(n == 1, F.lit(32653)).alias("epsg"))
-    return catalog.item_crs(s.select("item_id", F.create_map(F.lit("proj:epsg"), F.when(n == 0, F.lit("32652"))).alias("props"), F.create_map(F.lit("B02"), asset).alias("assets")))
+    epsgs = (("visual", F.lit(None).cast("int")), ("B08", F.when(n == 1, F.lit(32653))), ("B02", F.when(F.col("scene_no") % 2 == 0, F.lit(32651))))
+    assets = F.create_map(*[x for name, e in epsgs for x in (F.lit(name), F.struct(F.lit("x").alias("href"), e.alias("epsg")))])
+    props = F.create_map(F.lit("proj:epsg"), F.when(n == 0, F.lit("32652")).otherwise("unknown"))
+    return catalog.item_crs(s.select("item_id", props.alias("props"), assets.alias("assets")))
 
 
 @query(" SELECT collection, platform, min_by(item_id, (acquired, item_id)) AS item_id FROM fx_scenes GROUP BY collection, platform", "fx_scenes")
@@ -248,7 +308,7 @@ def band_assets(spark, d):
     bands = spark.createDataFrame(table, "collection string, band_no int, asset string")
     want = s.select("item_id", "collection", F.array(F.lit(3), F.lit(8)).alias("bands"))
     assets = s.join(F.broadcast(bands), "collection").where("(scene_no + band_no) % 6 <> 0").select("item_id", "asset", F.concat_ws("/", "item_id", "asset").alias("href"))
-    return catalog.band_assets(want, bands, assets)
+    return catalog.band_assets(want, bands, assets, strict=False)
 
 
 @query(f" SELECT item_id, CASE WHEN day % 3 = 0 THEN 'skip' WHEN scene_no % 4 = 0 THEN 'mask' ELSE 'download' END AS action FROM (SELECT *, CAST(day(acquired) AS INT) AS day, {_STEM} AS stem FROM fx_scenes) q", "fx_scenes")
@@ -330,7 +390,7 @@ def aoi_bbox(spark, d):
 
 _INSIDE = """x AS (SELECT p.event_id, e.aoi_id, e.part, e.ring,
    max(CASE WHEN abs((lon - x1) * (y2 - y1) - (lat - y1) * (x2 - x1)) <= 1e-12 AND lon >= least(x1, x2) - 1e-12 AND lon <= greatest(x1, x2) + 1e-12 AND lat >= least(y1, y2) - 1e-12 AND lat <= greatest(y1, y2) + 1e-12 THEN 1 ELSE 0 END) AS on_edge,
-   sum(CASE WHEN (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / ((y2 - y1) + 1e-300) + x1 THEN 1 ELSE 0 END) % 2 AS odd
+   sum(CASE WHEN (y1 > lat) <> (y2 > lat) AND lon - x1 < (x2 - x1) * ((lat - y1) / nullif(y2 - y1, 0)) THEN 1 ELSE 0 END) % 2 AS odd
   FROM p JOIN b ON p.lon BETWEEN b.w AND b.e AND p.lat BETWEEN b.s AND b.n JOIN fx_edges e ON e.aoi_id = b.aoi_id GROUP BY p.event_id, e.aoi_id, e.part, e.ring),
  y AS (SELECT event_id, aoi_id, part, max(CASE WHEN ring = 0 AND (on_edge = 1 OR odd = 1) THEN 1 ELSE 0 END) AS o, max(CASE WHEN ring > 0 AND (on_edge = 1 OR odd = 1) THEN 1 ELSE 0 END) AS h FROM x GROUP BY event_id, aoi_id, part)"""
 _BOXES = "b AS (SELECT aoi_id, min(x1) AS w, min(y1) AS s, max(x1) AS e, max(y1) AS n FROM fx_edges GROUP BY aoi_id)"
@@ -347,7 +407,16 @@ def scene_intersects(spark, d):
     return aoi.boxes_in_areas(read(spark, d, "fx_scenes"), _edges(spark, d), exact=False)
 
 
-@query()
+_CORNERS = "p AS (SELECT item_id AS event_id, unnest([west, west, east, east]) AS lon, unnest([south, north, south, north]) AS lat, unnest([1, 2, 3, 4]) AS corner FROM fx_scenes)"
+# An edge meets a box if its part inside the box's west and east, then inside
+# its south and north, is not empty (cut step by step, with a small margin).
+_MEETS = """k AS (SELECT item_id, aoi_id, west, east, south, north, x1, y1, x2, y2, x2 - x1 AS dx, y2 - y1 AS dy FROM fx_scenes JOIN b ON west <= b.e AND east >= b.w AND south <= b.n AND north >= b.s JOIN fx_edges USING (aoi_id)),
+ z AS (SELECT item_id, aoi_id FROM k WHERE least(x1, x2) <= east + 1e-9 AND greatest(x1, x2) >= west - 1e-9 AND least(y1, y2) <= north + 1e-9 AND greatest(y1, y2) >= south - 1e-9
+   AND greatest(0e0, CASE WHEN dx > 0 THEN (west - 1e-9 - x1) / dx WHEN dx < 0 THEN (east + 1e-9 - x1) / dx ELSE 0e0 END, CASE WHEN dy > 0 THEN (south - 1e-9 - y1) / dy WHEN dy < 0 THEN (north + 1e-9 - y1) / dy ELSE 0e0 END)
+    <= least(1e0, CASE WHEN dx > 0 THEN (east + 1e-9 - x1) / dx WHEN dx < 0 THEN (west - 1e-9 - x1) / dx ELSE 1e0 END, CASE WHEN dy > 0 THEN (north + 1e-9 - y1) / dy WHEN dy < 0 THEN (south - 1e-9 - y1) / dy ELSE 1e0 END))"""
+
+
+@query(_with(", ".join([_CORNERS, _BOXES, _INSIDE.replace("p.event_id", "concat(p.event_id, '|', p.corner)", 1).replace("SELECT concat(p.event_id, '|', p.corner), ", "SELECT concat(p.event_id, '|', p.corner) AS event_id, ").replace("GROUP BY p.event_id", "GROUP BY p.event_id, p.corner"), _MEETS])) + " SELECT split_part(event_id, '|', 1) AS item_id, aoi_id FROM y WHERE o = 1 AND h = 0 UNION SELECT item_id, aoi_id FROM z", "fx_scenes", "fx_edges")
 def scene_intersects_exact(spark, d):
     return aoi.boxes_in_areas(read(spark, d, "fx_scenes"), _edges(spark, d))
 
@@ -355,24 +424,32 @@ def scene_intersects_exact(spark, d):
 _CENTRE = ("((west + east) / 2e0)", "((south + north) / 2e0)")
 
 
-@query(f" SELECT item_id, CAST({geo.utm_epsg(*_CENTRE)} AS INT) AS epsg FROM fx_scenes", "fx_scenes")
+@query(" SELECT item_id, CAST((CASE WHEN south + north < 0 THEN 32701 ELSE 32601 END) + least(59, floor(((west + east) / 2e0 + 180e0) / 6e0)) AS INT) AS epsg FROM fx_scenes", "fx_scenes")
 def utm_zone(spark, d):
     return aoi.utm_of_areas(read(spark, d, "fx_scenes")).select("item_id", F.col("epsg").cast("int").alias("epsg"))
 
 
-_GROWN = geo.expand_bbox(5000.0)
-
-
-@query(" SELECT item_id, " + ", ".join(f"round({_GROWN[c]}, 9) AS {c}" for c in _GROWN) + " FROM fx_scenes", "fx_scenes")
+@query(_with("c AS (SELECT *, 5000e0 / 111320e0 AS up, 5000e0 / (111320e0 * cos((south + north) / 2e0 * pi() / 180e0)) AS side FROM fx_scenes)") + " SELECT item_id, round(west - side, 9) AS west, round(south - up, 9) AS south, round(east + side, 9) AS east, round(north + up, 9) AS north FROM c", "fx_scenes")
 def bbox_expand(spark, d):
     s = read(spark, d, "fx_scenes")
     return s.select("item_id", *[F.round(F.expr(e), 9).alias(c) for c, e in geo.expand_bbox(5000.0).items()])
 
 
+def _utm_sql(source: str, out: str, lon: str = "lon", lat: str = "lat") -> str:
+    """SQL steps from degrees to metres of zone 52 north, by tangents: the
+    conformal latitude's from the latitude's, then the series of order three
+    in their usual form, with its coefficients for WGS84 as numbers."""
+    return f"""{out}_1 AS (SELECT *, tan({lat} * pi() / 180e0) AS t, ({lon} - 129e0) * pi() / 180e0 AS dl, 0.08181919084262149e0 AS ecc FROM {source}),
+ {out}_2 AS (SELECT *, sinh(ecc * atanh(ecc * t / sqrt(1e0 + t * t))) AS sigma FROM {out}_1), {out}_3 AS (SELECT *, t * sqrt(1e0 + sigma * sigma) - sigma * sqrt(1e0 + t * t) AS tc FROM {out}_2),
+ {out}_4 AS (SELECT *, atan2(tc, cos(dl)) AS xi, asinh(sin(dl) / sqrt(tc * tc + cos(dl) * cos(dl))) AS eta FROM {out}_3),
+ {out} AS (SELECT *, 5e5 + 6364902.166165086e0 * (eta + 0.0008377318188192541e0 * cos(2e0 * xi) * sinh(2e0 * eta) + 7.608496958699166e-07 * cos(4e0 * xi) * sinh(4e0 * eta) + 1.2034877875966646e-09 * cos(6e0 * xi) * sinh(6e0 * eta)) AS ux,
+  6364902.166165086e0 * (xi + 0.0008377318188192541e0 * sin(2e0 * xi) * cosh(2e0 * eta) + 7.608496958699166e-07 * sin(4e0 * xi) * cosh(4e0 * eta) + 1.2034877875966646e-09 * sin(6e0 * xi) * cosh(6e0 * eta)) AS uy FROM {out}_4)"""
+
+
 _XY = geo.to_utm("west", "south", "32652")
 
 
-@query(f" SELECT item_id, round({_XY[0]}, 3) AS x, round({_XY[1]}, 3) AS y FROM fx_scenes", "fx_scenes")
+@query(_with(_utm_sql("fx_scenes", "u", "west", "south")) + " SELECT item_id, round(ux, 3) AS x, round(uy, 3) AS y FROM u", "fx_scenes")
 def project_utm(spark, d):
     return read(spark, d, "fx_scenes").select("item_id", *[F.round(F.expr(e), 3).alias(n) for n, e in zip("xy", _XY)])
 
@@ -387,19 +464,17 @@ def unproject_utm(spark, d):
 _SINU = geo.to_sinusoidal("west", "south")
 
 
-@query(f" SELECT item_id, round({_SINU[0]}, 3) AS x, round({_SINU[1]}, 3) AS y FROM fx_scenes", "fx_scenes")
+@query(" SELECT item_id, round(6371007.181e0 * west * pi() / 180e0 * sin((90e0 - south) * pi() / 180e0), 3) AS x, round(6371007.181e0 * pi() * south / 180e0, 3) AS y FROM fx_scenes", "fx_scenes")
 def project_sinusoidal(spark, d):
     return read(spark, d, "fx_scenes").select("item_id", *[F.round(F.expr(e), 3).alias(n) for n, e in zip("xy", _SINU)])
 
 
 # --- grids ----------------------------------------------------------------
 
-_PTS = [geo.to_utm(x, y, "32652") for x, y in grids.CORNERS]
-_GX0, _GX1 = (f"{f}({', '.join(f'round({p[0]}, 6)' for p in _PTS)})" for f in ("least", "greatest"))
-_GY0, _GY1 = (f"{f}({', '.join(f'round({p[1]}, 6)' for p in _PTS)})" for f in ("least", "greatest"))
+_CORNER_ROWS = "c AS (SELECT item_id, unnest([west, east, east, west]) AS lon, unnest([south, south, north, north]) AS lat FROM fx_scenes)"
 
 
-@query(_with(f"q AS (SELECT item_id, floor({_GX0} / 30e0) * 30e0 AS a, floor({_GY0} / 30e0) * 30e0 AS b, ceil({_GX1} / 30e0) * 30e0 AS c, ceil({_GY1} / 30e0) * 30e0 AS d FROM fx_scenes)") + " SELECT item_id, a AS left_x, d AS top_y, CAST(greatest(1, ceil((c - a) / 30e0)) AS INT) AS width, CAST(greatest(1, ceil((d - b) / 30e0)) AS INT) AS height FROM q", "fx_scenes")
+@query(_with(f"{_CORNER_ROWS}, {_utm_sql('c', 'u')}, q AS (SELECT item_id, floor(round(min(ux), 6) / 30e0) AS a, floor(round(min(uy), 6) / 30e0) AS b, ceil(round(max(ux), 6) / 30e0) AS c, ceil(round(max(uy), 6) / 30e0) AS d FROM u GROUP BY item_id)") + " SELECT item_id, CAST(a * 30 AS DOUBLE) AS left_x, CAST(d * 30 AS DOUBLE) AS top_y, CAST(c - a AS INT) AS width, CAST(d - b AS INT) AS height FROM q", "fx_scenes")
 def scene_grid(spark, d):
     return grids.scene_grid(read(spark, d, "fx_scenes"), 30.0, snap=True, epsg="32652").select("item_id", "left_x", "top_y", "width", "height")
 
@@ -427,7 +502,7 @@ _CROP = "SELECT *, left_x - 35e0 + grid_id % 400 AS ax0, left_x + 205e0 + grid_i
 @query(_with(f"q AS ({_CROP.format(t='fx_grids')}), o AS (SELECT *, greatest(ax0, left_x) AS ox0, least(ax1, left_x + width * 10e0) AS ox1, greatest(ay0, top_y - height * 10e0) AS oy0, least(ay1, top_y) AS oy1 FROM q)") + " SELECT grid_id, CAST(floor((ox0 - left_x) / 10e0) AS BIGINT) AS col_off, CAST(floor((top_y - oy1) / 10e0) AS BIGINT) AS row_off, CAST(least(ceil((ox1 - ox0) / 10e0), width - floor((ox0 - left_x) / 10e0)) AS BIGINT) AS n_cols, CAST(least(ceil((oy1 - oy0) / 10e0), height - floor((top_y - oy1) / 10e0)) AS BIGINT) AS n_rows FROM o WHERE ox0 < ox1 AND oy0 < oy1", "fx_grids")
 def crop_window(spark, d):
     g = read(spark, d, "fx_grids").selectExpr("*", "left_x - 35e0 + grid_id % 400 AS ax0", "left_x + 205e0 + grid_id % 400 AS ax1", "top_y - 310e0 - grid_id % 300 AS ay0", "top_y + 35e0 - grid_id % 300 AS ay1")
-    c = tiles.crop_window(g, 10.0)
+    c = tiles.crop_window(g, 10.0, strict=False)
     return c.select("grid_id", *[F.col(x).cast("long").alias(x) for x in ("col_off", "row_off", "n_cols", "n_rows")])
 
 
@@ -438,20 +513,20 @@ _SY = "(3600000e0 - (3599991e0 - (t.row_idx + 0.5e0) * 15e0)) / 20e0"
 
 
 def _source_cells(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "fx_pixels").where("scene_no = 0").select("row_idx", "col_idx", "b03")
+    return read(spark, d, "fx_pixels").select(*pixels.CELL, "b03")
 
 
-@query(_with("s AS (SELECT row_idx, col_idx, b03 FROM fx_pixels WHERE scene_no = 0)") + f" SELECT t.row_idx, t.col_idx, s.b03 FROM s AS t LEFT JOIN s ON s.row_idx = floor({_SY}) AND s.col_idx = floor({_SX})", "fx_pixels")
+@query(_with("s AS (SELECT scene_no, row_idx, col_idx, b03 FROM fx_pixels)") + f" SELECT t.scene_no, t.row_idx, t.col_idx, s.b03 FROM s AS t LEFT JOIN s ON s.scene_no = t.scene_no AND s.row_idx = floor({_SY}) AND s.col_idx = floor({_SX})", "fx_pixels")
 def regrid_nearest(spark, d):
     s = _source_cells(spark, d)
-    return grids.regrid_nearest(s, s.select("row_idx", "col_idx"), _SOURCE, _TARGET, "b03").select("row_idx", "col_idx", "b03")
+    return grids.regrid_nearest(s, s.select(*pixels.CELL), _SOURCE, _TARGET, "b03", ["scene_no"]).select(*pixels.CELL, "b03")
 
 
-@query(_with(f"""s AS (SELECT row_idx, col_idx, b03 FROM fx_pixels WHERE scene_no = 0), f AS (SELECT row_idx, col_idx, {_SY.replace('t.', '')} - 0.5e0 AS fr, {_SX.replace('t.', '')} - 0.5e0 AS fc FROM s),
- n AS (SELECT row_idx, col_idx, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE WHEN j = 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) AS w FROM f CROSS JOIN (VALUES (0), (1)) AS a(i) CROSS JOIN (VALUES (0), (1)) AS b(j))""") + " SELECT n.row_idx, n.col_idx, round(sum(w * s.b03) / nullif(sum(CASE WHEN s.b03 IS NOT NULL THEN w END), 0), 6) AS b03 FROM n LEFT JOIN s ON s.row_idx = sr AND s.col_idx = sc GROUP BY n.row_idx, n.col_idx", "fx_pixels")
+@query(_with(f"""s AS (SELECT scene_no, row_idx, col_idx, b03 FROM fx_pixels), f AS (SELECT scene_no, row_idx, col_idx, {_SY.replace('t.', '')} - 0.5e0 AS fr, {_SX.replace('t.', '')} - 0.5e0 AS fc FROM s),
+ n AS (SELECT scene_no, row_idx, col_idx, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE WHEN j = 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) AS w FROM f CROSS JOIN (VALUES (0), (1)) AS a(i) CROSS JOIN (VALUES (0), (1)) AS b(j))""") + " SELECT n.scene_no, n.row_idx, n.col_idx, round(sum(w * s.b03) / nullif(sum(CASE WHEN s.b03 IS NOT NULL THEN w END), 0), 6) AS b03 FROM n LEFT JOIN s ON s.scene_no = n.scene_no AND s.row_idx = sr AND s.col_idx = sc GROUP BY n.scene_no, n.row_idx, n.col_idx", "fx_pixels")
 def regrid_bilinear(spark, d):
     s = _source_cells(spark, d)
-    return grids.regrid_bilinear(s, s.select("row_idx", "col_idx"), _SOURCE, _TARGET, "b03").select("row_idx", "col_idx", F.round("b03", 6).alias("b03"))
+    return grids.regrid_bilinear(s, s.select(*pixels.CELL), _SOURCE, _TARGET, "b03", ["scene_no"]).select(*pixels.CELL, F.round("b03", 6).alias("b03"))
 
 
 # --- detections -----------------------------------------------------------
@@ -499,10 +574,10 @@ def request_windows(spark, d):
     return detections.request_windows(periods, 4)
 
 
-@query(" SELECT event_id, source, CASE WHEN starts_with(source, 'MODIS') THEN confidence END AS confidence, scan FROM fx_detections WHERE event_id % 3 <> 1", "fx_detections")
+@query(" SELECT event_id, source, CASE WHEN starts_with(source, 'MODIS') THEN confidence END AS confidence, scan FROM fx_detections", "fx_detections")
 def detections_union(spark, d):
     """Two products with different headers, all rows."""
-    t = read(spark, d, "fx_detections").where("event_id % 3 <> 1")
+    t = read(spark, d, "fx_detections")
     modis = t.where("source LIKE 'MODIS%'").select("event_id", "source", "confidence", "scan")
     viirs = t.where("source NOT LIKE 'MODIS%'").select("event_id", "source", "scan")
     return detections.union_all([modis, viirs])
@@ -524,8 +599,9 @@ def detections_period(spark, d):
     return t.select("event_id", detections.family(F.col("source")).alias("family"), "day").orderBy("day", "event_id")
 
 
-_DX = f"greatest(375e0, coalesce(try_cast(nullif(scan, '') AS DOUBLE), 0.375e0) * 1000e0) / 2e0 / {geo.metres_per_degree_lon('lat')}"
-_DY = "greatest(375e0, coalesce(try_cast(nullif(track, '') AS DOUBLE), 0.375e0) * 1000e0) / 2e0 / 111320e0"
+_HALF_KM = "CASE WHEN try_cast({c} AS DOUBLE) > 0.375e0 THEN try_cast({c} AS DOUBLE) ELSE 0.375e0 END / 2e0"
+_DX = f"{_HALF_KM.format(c='scan')} / (111.32e0 * cos(lat * pi() / 180e0))"
+_DY = f"{_HALF_KM.format(c='track')} / 111.32e0"
 _FOOT = f"f AS (SELECT *, lon - {_DX} AS x0, lat - {_DY} AS y0, lon + {_DX} AS x1, lat + {_DY} AS y1 FROM t WHERE lon IS NOT NULL AND lat IS NOT NULL AND day IS NOT NULL)"
 
 
@@ -541,11 +617,10 @@ def detection_bounds(spark, d):
     return b.select("day", *[F.round(c, 9).alias(c) for c in ("x0", "y0", "x1", "y1")])
 
 
-_RX, _RY = geo.to_utm("lon", "lat", "32652")
-_HALF = "greatest(1000e0, coalesce(try_cast(nullif({c}, '') AS DOUBLE), 1e0) * 1000e0) / 2e0"
+_SIDE = "CASE WHEN try_cast({c} AS DOUBLE) > 1 THEN try_cast({c} AS DOUBLE) ELSE 1e0 END * 500e0"
 
 
-@query(_with(f"""{_TYPED}, u AS (SELECT day, {_RX} AS px, {_RY} AS py, {_HALF.format(c='scan')} AS dx, {_HALF.format(c='track')} AS dy FROM t WHERE lon IS NOT NULL AND lat IS NOT NULL AND day IS NOT NULL),
+@query(_with(f"""{_TYPED}, o AS (SELECT * FROM t WHERE lon IS NOT NULL AND lat IS NOT NULL AND day IS NOT NULL), {_utm_sql('o', 'p')}, u AS (SELECT day, ux AS px, uy AS py, {_SIDE.format(c='scan')} AS dx, {_SIDE.format(c='track')} AS dy FROM p),
  w AS (SELECT day, greatest(CAST(floor((px - dx - 668000e0) / 1000e0) AS BIGINT), 0) AS c0, least(CAST(ceil((px + dx - 668000e0) / 1000e0) AS BIGINT) - 1, 39) AS c1, greatest(CAST(floor((3652000e0 - (py + dy)) / 1000e0) AS BIGINT), 0) AS r0, least(CAST(ceil((3652000e0 - (py - dy)) / 1000e0) AS BIGINT) - 1, 44) AS r1 FROM u),
  g AS (SELECT a.i AS row_idx, b.j AS col_idx FROM (SELECT unnest(generate_series(0, 44)) AS i) a CROSS JOIN (SELECT unnest(generate_series(0, 39)) AS j) b)""") + " SELECT day, row_idx, col_idx, count(*) AS n FROM w JOIN g ON row_idx BETWEEN r0 AND r1 AND col_idx BETWEEN c0 AND c1 GROUP BY day, row_idx, col_idx", "fx_detections")
 def detection_raster(spark, d):
@@ -553,16 +628,21 @@ def detection_raster(spark, d):
     return detections.count_on_grid(f, 668000.0, 3652000.0, 1000.0, 40, 45, ["day"])
 
 
-@query(_with(_TYPED) + " SELECT day, source, count(*) AS n FROM t WHERE lon IS NOT NULL AND lat IS NOT NULL AND day IS NOT NULL GROUP BY day, source", "fx_detections")
+@query(" SELECT day, source, count(DISTINCT (latitude, longitude, acq_date, acq_time)) AS n FROM (SELECT *, try_cast(acq_date AS DATE) AS day FROM fx_detections) q WHERE day IS NOT NULL AND try_cast(nullif(latitude, '') AS DOUBLE) IS NOT NULL AND try_cast(nullif(longitude, '') AS DOUBLE) IS NOT NULL GROUP BY day, source", "fx_detections")
 def detections_stream(spark, d):
-    """The table as files in order of time, worked off as a stream. Every row
-    is a detection of its own here, so the identity is its id."""
-    path = shared_dir(spark, "detections-stream")
+    """The table as it would arrive in polls, in order of time. The last polls
+    bring half of the last day again, which counts once, and rows of the first
+    day at places that no row has, which are weeks late and dropped."""
     raw = read(spark, d, "fx_detections").drop("frp")
-    raw.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(f"{path}/in")
-    t = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
-    counts = stream.daily_counts(t.drop("ts"), delay="60 days", identity=["event_id"])
-    stream.run_to_table(counts, f"{path}/out", f"{path}/state").awaitTermination()
+    day = F.to_date("ts")
+    a, b = raw.agg(F.min(day), F.max(day)).first()
+    span = max(1, -(-((b - a).days + 1) // 4)) if a else 1
+    late = raw.where(day == F.lit(a)).withColumn("latitude", F.concat("latitude", F.lit("5")))
+    polls = [raw.where(F.floor(F.date_diff(day, F.lit(a)) / span) == i) for i in range(4)] + [raw.where(day == F.lit(b)).where("event_id % 2 = 0"), late]
+    path = shared_dir(spark, "detections-stream")
+    for i, p in enumerate(polls):
+        p.drop("ts").write.parquet(f"{path}/in/{i}")
+        stream.poll(spark, f"{path}/in", p.drop("ts").schema, f"{path}/out", f"{path}/state")
     return stream.latest(spark.read.parquet(f"{path}/out"))
 
 
@@ -597,17 +677,14 @@ def granules_by_date(spark, d):
     return catalog.granules_by_date(_granules(spark, d)).withColumn("tiles", F.array_join("tiles", ","))
 
 
-@query(_with(f"{_GRAN}, m AS (SELECT acq_date, count(*) AS n FROM g WHERE product = 'MOD09GA' AND h < 4 GROUP BY acq_date), w AS (SELECT product AS window_id, CAST(unnest(generate_series(CAST(min(acq_date) AS TIMESTAMP), CAST(max(acq_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS acq_date FROM g GROUP BY product)") + " SELECT window_id, w.acq_date, coalesce(n, 0) AS n_granules, CASE WHEN n IS NULL THEN 'skip' ELSE 'process' END AS action FROM w LEFT JOIN m ON w.acq_date = m.acq_date", "fx_granules")
+@query(_with(f"{_GRAN}, m AS (SELECT acq_date, count(*) AS n FROM g GROUP BY acq_date), w AS (SELECT product AS window_id, CAST(unnest(generate_series(CAST(min(acq_date) AS TIMESTAMP), CAST(max(acq_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS acq_date FROM g GROUP BY product)") + " SELECT window_id, w.acq_date, coalesce(n, 0) AS n_granules, CASE WHEN n IS NULL THEN 'skip' ELSE 'process' END AS action FROM w LEFT JOIN m ON w.acq_date = m.acq_date", "fx_granules")
 def calendar_coverage(spark, d):
     g = _granules(spark, d)
     windows = g.groupBy(F.col("product").alias("window_id")).agg(F.min("acq_date").alias("start"), F.max("acq_date").alias("end"))
-    return catalog.calendar_coverage(windows, g.where("product = 'MOD09GA' AND h < 4"))
-
-
-_TO = [f"CAST({e} AS DOUBLE)" for e in geo.tile_origin("h", "v")]
+    return catalog.calendar_coverage(windows, g)
 
 
-@query(_with(_GRAN) + f" SELECT granule_id, round({_TO[0]}, 6) AS x_min, round({_TO[1]}, 6) AS y_max, round({geo.num(geo.TILE_SIZE / 2400)}, 6) AS pixel_m, '500m' AS label FROM g", "fx_granules")
+@query(_with(_GRAN) + " SELECT granule_id, round((h - 18) * 1111950.5196666667e0, 6) AS x_min, round((9 - v) * 1111950.5196666667e0, 6) AS y_max, 463.312717e0 AS pixel_m, '500m' AS label FROM g", "fx_granules")
 def tile_affine(spark, d):
     t = tiles.tile_affine(_granules(spark, d), 2400)
     return t.select("granule_id", *[F.round(c, 6).alias(c) for c in ("x_min", "y_max", "pixel_m")], "label")
@@ -628,24 +705,26 @@ def sr_scale(spark, d):
 
 
 LAYERS = (
-    ("sur_refl_b01", "sr", "500m", 16, 0.0001, 0.0, -28672.0, "sur_refl_b01_1"), ("sur_refl_b02", "sr", "500m", 16, 0.0001, None, -28672.0, "sur_refl_b02_1"),
-    ("QC_500m", "qa", "500m", 32, None, None, 787410671.0, "QC_500m_1"), ("state_1km", "qa", "1km", 16, None, None, 65535.0, "state_1km_1"),
+    ("sur_refl_b01", "sr", "500m", 16, 0.0001, 0.0, -28672.0, -100.0, 16000.0, "sur_refl_b01_1"), ("sur_refl_b02", "sr", "500m", 16, 0.0001, None, -28672.0, -100.0, 16000.0, "sur_refl_b02_1"),
+    ("QC_500m", "qa", "500m", 32, None, None, 787410671.0, None, None, "QC_500m_1"), ("state_1km", "qa", "1km", 16, None, None, 65535.0, 0.0, 57335.0, "state_1km_1"),
 )
-_LAYERS = "layers(field, kind, resolution, bits, scale, \"offset\", fill, sds_path) AS (VALUES ('sur_refl_b01', 'sr', '500m', 16, 0.0001e0, 0e0, -28672e0, 'sur_refl_b01_1'), ('sur_refl_b02', 'sr', '500m', 16, 0.0001e0, NULL, -28672e0, 'sur_refl_b02_1'), ('QC_500m', 'qa', '500m', 32, NULL, NULL, 787410671e0, 'QC_500m_1'), ('state_1km', 'qa', '1km', 16, NULL, NULL, 65535e0, 'state_1km_1'))"
+_LAYERS = "layers(field, kind, resolution, bits, scale, \"offset\", fill, valid_min, valid_max, sds_path) AS (VALUES ('sur_refl_b01', 'sr', '500m', 16, 0.0001e0, 0e0, -28672e0, -100e0, 16000e0, 'sur_refl_b01_1'), ('sur_refl_b02', 'sr', '500m', 16, 0.0001e0, NULL, -28672e0, -100e0, 16000e0, 'sur_refl_b02_1'), ('QC_500m', 'qa', '500m', 32, NULL, NULL, 787410671e0, NULL, NULL, 'QC_500m_1'), ('state_1km', 'qa', '1km', 16, NULL, NULL, 65535e0, 0e0, 57335e0, 'state_1km_1'))"
 _LONG = "c AS (SELECT platform, h, v, granule_ord, row_idx, col_idx, CASE (row_idx + col_idx) % 5 WHEN 0 THEN 'sur_refl_b01' WHEN 1 THEN 'sur_refl_b02' WHEN 2 THEN 'QC_500m' WHEN 3 THEN 'state_1km' ELSE 'other' END AS field, CASE WHEN (row_idx + col_idx) % 5 IN (0, 1) THEN sr_dn ELSE qa_raw END AS dn FROM fx_tile_pixels)"
 
 
 def _layers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LAYERS, "field string, kind string, resolution string, bits int, scale double, offset double, fill double, sds_path string")
+    return spark.createDataFrame(LAYERS, "field string, kind string, resolution string, bits int, scale double, offset double, fill double, valid_min double, valid_max double, sds_path string")
 
 
 def _long(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "fx_tile_pixels").selectExpr("platform", "h", "v", "granule_ord", "row_idx", "col_idx", "CASE (row_idx + col_idx) % 5 WHEN 0 THEN 'sur_refl_b01' WHEN 1 THEN 'sur_refl_b02' WHEN 2 THEN 'QC_500m' WHEN 3 THEN 'state_1km' ELSE 'other' END AS field", "CASE WHEN (row_idx + col_idx) % 5 IN (0, 1) THEN sr_dn ELSE qa_raw END AS dn")
 
 
-@query(_with(f"{_LAYERS}, {_LONG}") + " SELECT platform, h, v, granule_ord, row_idx, col_idx, c.field, dn, resolution, fill FROM c JOIN layers ON c.field = layers.field", "fx_tile_pixels")
+@query(_with(f"{_LAYERS}, {_LONG}") + " SELECT platform, h, v, granule_ord, row_idx, col_idx, c.field, dn, resolution, fill, dn >= coalesce(valid_min, dn) AND dn <= coalesce(valid_max, dn) AS is_valid FROM c JOIN layers ON c.field = layers.field", "fx_tile_pixels")
 def layer_scan(spark, d):
-    return readers.layer_scan(_long(spark, d), _layers(spark)).select("platform", "h", "v", "granule_ord", "row_idx", "col_idx", "field", "dn", "resolution", "fill")
+    c = readers.layer_scan(_long(spark, d), _layers(spark), complete=True)
+    valid = readers.in_valid_range(F.col("dn"), F.col("valid_min"), F.col("valid_max"))
+    return c.select("platform", "h", "v", "granule_ord", "row_idx", "col_idx", "field", "dn", "resolution", "fill", valid.alias("is_valid"))
 
 
 @query(_with(f"{_LAYERS}, {_LONG}") + " SELECT platform, h, v, granule_ord, row_idx, col_idx, c.field, CASE WHEN kind = 'qa' THEN CAST(dn AS BIGINT) END AS qa FROM c JOIN layers ON c.field = layers.field WHERE kind = 'qa'", "fx_tile_pixels")
@@ -653,16 +732,53 @@ def qa_passthrough(spark, d):
     return tiles.scale_layers(_long(spark, d), _layers(spark)).where("kind = 'qa'").select("platform", "h", "v", "granule_ord", "row_idx", "col_idx", "field", "qa")
 
 
-@query(_with(f"{_LAYERS}, {_LONG}, k AS (SELECT l.* FROM layers l WHERE field IN (SELECT field FROM c))") + " SELECT kind, resolution, count(*) AS n_layers, string_agg(field, ',' ORDER BY field) AS fields, CASE WHEN count(*) = 1 THEN min(field) WHEN kind = 'qa' THEN concat('QA_', resolution) ELSE resolution END AS suffix, CASE WHEN count(DISTINCT fill) = 1 THEN min(fill) END AS fill, CASE WHEN kind = 'qa' THEN CASE WHEN max(bits) <= 8 THEN 'smallint' WHEN max(bits) <= 16 THEN 'int' ELSE 'bigint' END ELSE 'float' END AS dtype FROM k GROUP BY kind, resolution", "fx_tile_pixels")
+# Layers of products, eight each, out of the parts table.
+_PRODUCT_LAYERS = """SELECT p_partkey // 8 AS product, concat('band_', CAST(p_partkey AS STRING)) AS field, CASE WHEN p_partkey % 3 = 0 THEN 'qa' ELSE 'sr' END AS kind, CASE WHEN p_size < 25 THEN '500m' ELSE '1km' END AS resolution,
+ CAST(CASE WHEN p_size % 3 = 0 THEN 8 WHEN p_size % 3 = 1 THEN 16 ELSE 32 END AS INT) AS bits, CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_retailprice AS DOUBLE) END AS scale, CASE WHEN p_partkey % 5 = 0 THEN 0.5e0 END AS "offset",
+ CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_size < 10 THEN 255e0 ELSE 65535e0 END AS fill, p_name AS sds_path FROM part"""
+
+
+def _product_layers(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "part").selectExpr(
+        "p_partkey DIV 8 AS product", "concat('band_', p_partkey) AS field", "CASE WHEN p_partkey % 3 = 0 THEN 'qa' ELSE 'sr' END AS kind", "CASE WHEN p_size < 25 THEN '500m' ELSE '1km' END AS resolution",
+        "CASE p_size % 3 WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 32 END AS bits", "CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_retailprice AS DOUBLE) END AS scale", "CASE WHEN p_partkey % 5 = 0 THEN 0.5e0 END AS offset",
+        "CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_size < 10 THEN 255e0 ELSE 65535e0 END AS fill", "p_name AS sds_path",
+    )
+
+
+@query(f"WITH k AS ({_PRODUCT_LAYERS}) SELECT product, kind, resolution, count(*) AS n_layers, string_agg(field, ',' ORDER BY field) AS fields, CASE WHEN count(*) = 1 THEN min(field) WHEN kind = 'qa' THEN concat('QA_', resolution) ELSE resolution END AS suffix, CASE WHEN count(DISTINCT fill) = 1 AND count(fill) = count(*) THEN min(fill) END AS fill, CASE WHEN kind = 'qa' THEN CASE WHEN max(bits) <= 8 THEN 'smallint' WHEN max(bits) <= 16 THEN 'int' ELSE 'bigint' END ELSE 'float' END AS dtype FROM k GROUP BY product, kind, resolution")
 def layer_groups(spark, d):
-    present = _long(spark, d).select("field").distinct()
-    return tiles.layer_groups(_layers(spark).join(present, "field", "left_semi"))
+    return tiles.layer_groups(_product_layers(spark, d), ["product"])
 
 
-@query(_with(f"{_LAYERS}, {_LONG}, k AS (SELECT l.* FROM layers l WHERE field IN (SELECT field FROM c))") + " SELECT kind, resolution, CAST(row_number() OVER (PARTITION BY kind, resolution ORDER BY field) AS INT) AS band_index, field, scale, \"offset\", fill, sds_path FROM k", "fx_tile_pixels")
+@query(f"WITH k AS ({_PRODUCT_LAYERS}) SELECT product, kind, resolution, CAST(row_number() OVER (PARTITION BY product, kind, resolution ORDER BY field) AS INT) AS band_index, field, scale, \"offset\", fill, sds_path FROM k")
 def layer_tags(spark, d):
-    present = _long(spark, d).select("field").distinct()
-    return tiles.layer_tags(_layers(spark).join(present, "field", "left_semi"))
+    return tiles.layer_tags(_product_layers(spark, d), ["product"])
+
+
+@query(f"WITH k AS ({_PRODUCT_LAYERS}) SELECT product, kind, resolution, count(*) AS n_bands, min(field) AS first_field, count(*) FILTER (fill IS NULL) AS n_null_fill FROM k GROUP BY product, kind, resolution")
+def layer_sidecars(spark, d):
+    """The JSON texts, read again."""
+    bands = "struct<bands:array<struct<band_index:int,field:string,scale:double,offset:double,fill:double,sds_path:string>>>"
+    t = tiles.layer_sidecars(_product_layers(spark, d), ["product"]).withColumn("b", F.from_json("sidecar", bands)["bands"])
+    return t.select("product", "kind", "resolution", F.size("b").cast("long").alias("n_bands"), F.col("b")[0]["field"].alias("first_field"), F.size(F.filter("b", lambda x: x["fill"].isNull())).cast("long").alias("n_null_fill"))
+
+
+@query(f"WITH k AS ({_PRODUCT_LAYERS}) SELECT k.field FROM k WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE concat('band_', CAST(l_partkey AS STRING)) = k.field AND l_linenumber = 1 AND l_quantity > 30)")
+def missing_layers(spark, d):
+    """Layers that no cell has: parts that no order asks for first and much."""
+    found = read(spark, d, "lineitem").where("l_linenumber = 1 AND l_quantity > 30").select(F.concat(F.lit("band_"), "l_partkey").alias("field"))
+    return tiles.missing_layers(_product_layers(spark, d), found).select("field")
+
+
+_ODD = "SELECT scene_no, row_idx, col_idx FROM fx_pixels WHERE {c}"
+
+
+@query(_with("a AS (" + _ODD.format(c="b01 > 0") + "), b AS (" + _ODD.format(c="b08 > 0") + ")") + " SELECT *, 'image' AS only_in FROM (SELECT * FROM a EXCEPT SELECT * FROM b) q UNION ALL SELECT *, 'mask' AS only_in FROM (SELECT * FROM b EXCEPT SELECT * FROM a) q", "fx_pixels")
+def unmatched_cells(spark, d):
+    """Cells with data in the first band against cells with data in another."""
+    p = read(spark, d, "fx_pixels")
+    return tiles.unmatched_cells(p.where("b01 > 0"), p.where("b08 > 0"), pixels.CELL)
 
 
 @query(" SELECT grid_id % 50 AS grp, count(DISTINCT (width, height)) AS n_shapes, count(*) AS n_members FROM fx_grids GROUP BY grid_id % 50 HAVING count(DISTINCT (width, height)) > 1", "fx_grids")
@@ -672,16 +788,29 @@ def shape_violations(spark, d):
 
 _AREA = [(11119505.2, 4000000.0), (11119505.2, 4447000.0), (11900000.0, 4447000.0), (11500000.0, 4000000.0)]
 _AREA_SQL = ", ".join(f"({geo.num(a[0])}, {geo.num(a[1])}, {geo.num(b[0])}, {geo.num(b[1])})" for a, b in zip(_AREA, [*_AREA[1:], _AREA[0]]))
-_CX = f"({geo.tile_origin('h', 'v')[0]} + (col_idx + 0.5e0) * {geo.num(geo.TILE_SIZE / 1200)})"
-_CY = f"({geo.tile_origin('h', 'v')[1]} - (row_idx + 0.5e0) * {geo.num(geo.TILE_SIZE / 1200)})"
+_CX, _CY = ("(" + geo.tile_origin("h", "v")[i] + f" {sign} ({c} + 0.5e0) * {geo.num(geo.TILE_SIZE / 1200)})" for i, (sign, c) in enumerate((("+", "col_idx"), ("-", "row_idx"))))
+_CENTRES = "p AS (SELECT *, (h - 18 + (col_idx + 0.5e0) / 1200) * 1111950.5196666667e0 AS x, (9 - v - (row_idx + 0.5e0) / 1200) * 1111950.5196666667e0 AS y FROM fx_tile_pixels)"
 
 
-@query(_with(f"""p AS (SELECT platform, h, v, granule_ord, row_idx, col_idx, sr_dn, qa_raw, {_CX} / 100000e0 AS x, {_CY} / 100000e0 AS y FROM fx_tile_pixels), e(x1, y1, x2, y2) AS (SELECT c1 / 100000e0, c2 / 100000e0, c3 / 100000e0, c4 / 100000e0 FROM (VALUES {_AREA_SQL}) AS q(c1, c2, c3, c4)),
- i AS (SELECT platform, h, v, granule_ord, row_idx, col_idx, any_value(sr_dn) AS sr_dn, any_value(qa_raw) AS qa_raw, sum(CASE WHEN (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1 AS inside FROM p CROSS JOIN e GROUP BY platform, h, v, granule_ord, row_idx, col_idx)""") + " SELECT platform, h, v, granule_ord, row_idx, col_idx, CASE WHEN inside THEN sr_dn END AS sr_dn, CASE WHEN inside THEN qa_raw ELSE 65535 END AS qa_raw FROM i", "fx_tile_pixels")
+@query(_with(f"""{_CENTRES}, e(x1, y1, x2, y2) AS (VALUES {_AREA_SQL}),
+ i AS (SELECT platform, h, v, granule_ord, row_idx, col_idx, any_value(sr_dn) AS sr_dn, any_value(qa_raw) AS qa_raw, sum(CASE WHEN (y1 > y) <> (y2 > y) AND (x - x1) / (x2 - x1) < (y - y1) / (y2 - y1) THEN CASE WHEN x2 > x1 THEN 1 ELSE 0 END WHEN (y1 > y) <> (y2 > y) AND x2 = x1 AND x < x1 THEN 1 WHEN (y1 > y) <> (y2 > y) AND x2 < x1 THEN 1 ELSE 0 END) % 2 = 1 AS inside FROM p CROSS JOIN e GROUP BY platform, h, v, granule_ord, row_idx, col_idx)""") + " SELECT platform, h, v, granule_ord, row_idx, col_idx, CASE WHEN inside THEN sr_dn END AS sr_dn, CASE WHEN inside THEN qa_raw ELSE 65535 END AS qa_raw FROM i", "fx_tile_pixels")
 def aoi_pixel_mask(spark, d):
     cells = read(spark, d, "fx_tile_pixels").withColumns({"cx_m": F.expr(_CX), "cy_m": F.expr(_CY)})
     rows = [(0, 0, 0, i, *a, *b) for i, (a, b) in enumerate(zip(_AREA, [*_AREA[1:], _AREA[0]]))]
     edges = spark.createDataFrame(rows, "aoi_id int, part int, ring int, edge int, x1 double, y1 double, x2 double, y2 double")
     key = ["platform", "h", "v", "granule_ord", "row_idx", "col_idx"]
-    inside = tiles.cells_in_areas(cells, edges, key)
-    return tiles.mask_outside(cells, inside, key, ["sr_dn"], {"qa_raw": 65535}).select(*key, "sr_dn", "qa_raw")
+    return tiles.mask_outside(tiles.in_areas(cells, edges, key), ["sr_dn"], {"qa_raw": 65535}).select(*key, "sr_dn", "qa_raw")
+
+
+@query(_with("w AS (SELECT *, row_idx - 100 AS r, col_idx - CASE h WHEN 28 THEN 300 ELSE 0 END AS c FROM fx_tile_pixels)") + " SELECT platform, h, v, granule_ord, CAST(r AS INT) AS row_idx, CAST(c AS INT) AS col_idx, sr_dn FROM w WHERE r BETWEEN 0 AND 799 AND c BETWEEN 0 AND CASE h WHEN 28 THEN 899 ELSE 599 END", "fx_tile_pixels")
+def crop_cells(spark, d):
+    """Each tile's cells in the window of one area on it, which lies across
+    both: from a quarter of the left tile to half of the right one."""
+    size, res = 1200, geo.TILE_SIZE / 1200
+    t = read(spark, d, "fx_tile_pixels")
+    x, y = geo.tile_origin("h", "v")
+    left, top = geo.SINU_X_MIN + 28 * geo.TILE_SIZE, geo.SINU_Y_MAX - 5 * geo.TILE_SIZE
+    # A tenth of a cell inside, so that rounding does not move the window.
+    box = {"ax0": left + 300.1 * res, "ax1": left + (1800 - 0.1) * res, "ay0": top - (900 - 0.1) * res, "ay1": top - 100.1 * res}
+    grid = t.select("h", "v").distinct().select("h", "v", F.expr(x).alias("left_x"), F.expr(y).alias("top_y"), F.lit(size).alias("width"), F.lit(size).alias("height"), *[F.lit(b).alias(n) for n, b in box.items()])
+    return tiles.crop_cells(t, tiles.crop_window(grid, res), ["h", "v"]).select("platform", "h", "v", "granule_ord", "row_idx", "col_idx", "sr_dn")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parsing, radiometry
+from ..functions import radiometry
+from ..operators.catalog import typed_scenes
+from ..operators.tiles import missing_layers
 
 DETECTION_COLUMNS = ("latitude", "longitude", "brightness", "scan", "track", "acq_date", "acq_time", "satellite", "instrument", "confidence", "version", "bright_t31", "frp", "daynight")
 SCENE_SCHEMA = "item_id string, collection string, geometry string, props map<string,string>, assets map<string,struct<href:string,media_type:string,epsg:int>>"
@@ -16,13 +18,9 @@ def read_areas(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("aoi_id"), F.col("value").alias("geojson"))
 
 
-def read_scenes(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """An exported catalog: properties as a map, acquired from them."""
-    s = spark.read.schema(SCENE_SCHEMA).format(fmt).load(path)
-    return s.withColumns({
-        "acquired": parsing.scene_datetime(F.col("props")), "platform": F.try_element_at("props", F.lit("platform")),
-        "cloud_cover": F.try_element_at("props", F.lit("eo:cloud_cover")).try_cast("double"), "processing_baseline": F.try_element_at("props", F.lit("s2:processing_baseline")),
-    })
+def read_scenes(spark: SparkSession, path: str, fmt: str = "json", strict: bool = True) -> DataFrame:
+    """An exported catalog, one item a row, ready for searches and metadata."""
+    return typed_scenes(spark.read.schema(SCENE_SCHEMA).format(fmt).load(path), strict)
 
 
 def read_detections(spark: SparkSession, path: str, columns=DETECTION_COLUMNS) -> DataFrame:
@@ -36,6 +34,18 @@ def nodata_to_null(pixels: DataFrame, bands: list[str], nodata=0) -> DataFrame:
     return pixels.withColumns({b: radiometry.nodata_to_null(F.col(b), nodata) for b in bands})
 
 
-def layer_scan(cells: DataFrame, layers: DataFrame) -> DataFrame:
-    """Cells of the known layers with their attributes; other fields are left out."""
+def layer_scan(cells: DataFrame, layers: DataFrame, complete: bool = False) -> DataFrame:
+    """Cells of the known layers with their attributes (scale, offset, fill,
+    valid range, ...); other fields are left out. A null valid bound is open.
+    ``complete`` makes a layer without cells an error, found by a pass over
+    the fields."""
+    if complete:
+        absent = [r["field"] for r in missing_layers(layers, cells).select("field").limit(10).collect()]
+        if absent:
+            raise ValueError(f"layers without cells: {', '.join(sorted(absent))}")
     return cells.join(F.broadcast(layers), "field")
+
+
+def in_valid_range(value: Column, low: Column, high: Column) -> Column:
+    """Whether a stored number lies in its layer's valid range."""
+    return value.between(F.coalesce(low, value), F.coalesce(high, value))

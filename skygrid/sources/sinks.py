@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from ..operators.detections import family
 
 
-def write_detections_by_day(located: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """One folder per family and day; points with typed columns."""
+def write_detections_by_day(located: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", file_rows: int = 2_000_000) -> None:
+    """One folder per family and day; points with typed columns. A day's rows
+    are dealt to files of about ``file_rows``, so a hot day is many tasks."""
     d = located.withColumns({"family": family(F.col("source")), "acq_day": F.date_format("day", "yyyyMMdd")})
-    d.repartition("family", "acq_day").write.mode(mode).partitionBy("family", "acq_day").format(fmt).save(path)
+    files = d.groupBy(F.col("family").alias("n_family"), F.col("acq_day").alias("n_day")).agg(F.ceil(F.count("*") / file_rows).alias("n_files"))
+    dealt = d.join(files, (F.col("family") == F.col("n_family")) & (F.col("acq_day") == F.col("n_day"))).drop("n_family", "n_day")
+    dealt = dealt.withColumn("n_files", F.pmod(F.xxhash64("lon", "lat", F.monotonically_increasing_id()), F.col("n_files")))
+    dealt.repartition("family", "acq_day", "n_files").drop("n_files").write.mode(mode).partitionBy("family", "acq_day").format(fmt).save(path)
 
 
 def write_period(located: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -21,7 +25,8 @@ def write_period(located: DataFrame, path: str, mode: str = "overwrite") -> None
 
 
 def write_layers(chips: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Composite layers by satellite, layer and day."""
+    """Composite layers, as ``plans.imagery.composite_outputs`` gives
+    them, by satellite, layer and day."""
     chips.write.mode(mode).partitionBy("satellite", "layer", "date_token").parquet(path)
 
 

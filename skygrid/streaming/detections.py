@@ -35,6 +35,13 @@ def run_to_table(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start()
 
 
+def poll(spark, folder: str, schema, out: str, checkpoint: str, **options) -> None:
+    """One poll: works off the files that came since the last one and keeps
+    the watermark and the seen identities in the checkpoint."""
+    arrived = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+    run_to_table(daily_counts(arrived, **options), out, checkpoint).awaitTermination()
+
+
 def latest(updates: DataFrame) -> DataFrame:
     """The last count of each day and source."""
     return updates.groupBy("day", "source").agg(F.max_by("n", "batch").alias("n"))

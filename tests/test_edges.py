@@ -1,13 +1,16 @@
 """Hand-computed cases, and properties that hold between forms."""
 
 import datetime as dt
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from skygrid.functions import geo, parsing, radiometry
 from skygrid.operators import aoi, catalog, chips, composite, detections, grids, pixels, report, tiles
-from skygrid.plans import imagery
+from skygrid.plans import detections as fires
+from skygrid.plans import imagery, surface_reflectance
 from skygrid.sources import readers, sinks
 
 
@@ -103,12 +106,44 @@ def test_count_on_grid_cuts_to_the_grid(spark):
 
 
 def test_metadata(spark):
-    s = spark.createDataFrame([("i", "sentinel-2-l2a", "05.09", 10.0, None, 30.0, 1.0)], "item_id string, collection string, processing_baseline string, sun_azimuth double, sun_zenith double, sun_elevation double, west double")
-    s = s.withColumns({"south": F.lit(1.0), "east": F.lit(2.0), "north": F.lit(2.0), "acquired": F.lit("2024-01-02").cast("timestamp")})
+    s = spark.createDataFrame([("i", "sentinel-2-l2a", "05.09", 10.0, None, 30.0, 1.0), ("j", "landsat-c2-l2", None, None, None, None, 1.0), ("k", "landsat-c2-l2", None, None, None, None, None)], "item_id string, collection string, processing_baseline string, sun_azimuth double, sun_zenith double, sun_elevation double, west double")
+    s = s.withColumns({"south": F.lit(1.0), "east": F.lit(2.0), "north": F.lit(2.0), "acquired": F.lit("2024-01-02 03:04:05").cast("timestamp")})
     m = catalog.scene_metadata(s)
-    assert m.first()["solar_zenith"] == 60.0
-    doc = sinks.feature_collection(catalog.feature_json(m))
-    assert '"Image_ID":"i"' in doc and doc.startswith('{"type":"FeatureCollection"')
+    assert {r["image_id"]: r["solar_zenith"] for r in m.collect()} == {"i": 60.0, "j": None}
+    doc = json.loads(sinks.feature_collection(catalog.feature_json(m)))
+    assert doc["type"] == "FeatureCollection"
+    props = {f["id"]: f["properties"] for f in doc["features"]}
+    assert props["i"] == {"Acquisition_Date": "2024-01-02 03:04:05", "Image_ID": "i", "Solar_Azimuth_Angle": 10.0, "Solar_Zenith_Angle": 60.0, "Processing_Baseline": "05.09", "DN_Add_Offset": 1000.0}
+    assert props["j"] == {"Acquisition_Date": "2024-01-02 03:04:05", "Image_ID": "j", "Solar_Azimuth_Angle": None, "Solar_Zenith_Angle": None}
+
+
+def test_catalog_items(spark, tmp_path):
+    items = [
+        {"item_id": "a", "collection": "sentinel-2-l2a", "geometry": '{"type":"Polygon","coordinates":[[[1,2],[4,2],[4,6,9],[1,6]]]}', "props": {"datetime": "2024-01-05T10:00:00Z", "s2:processing_baseline": "05.00", "view:sun_azimuth": "x", "sun_azimuth": "7", "eo:cloud_cover": "3.5"}, "assets": {"z": {"href": "h", "epsg": None}, "b": {"href": "h", "epsg": 2}, "a": {"href": "h", "epsg": 1}}},
+        {"item_id": "b", "collection": "landsat-c2-l2", "geometry": None, "props": {"datetime": "", "start_datetime": "2024-01-01T00:00:00Z", "processing_baseline": "q", "solar_elevation": "20"}, "assets": {}},
+    ]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.json").write_text("\n".join(map(json.dumps, items)))
+    s = readers.read_scenes(spark, str(tmp_path / "c"))
+    r = {x["item_id"]: x for x in catalog.in_time_order(s).collect()}
+    assert list(r) == ["b", "a"] and [r["a"][c] for c in ("west", "south", "east", "north", "sun_azimuth", "cloud_cover", "processing_baseline")] == [1.0, 2.0, 4.0, 6.0, 7.0, 3.5, "05.00"]
+    assert r["b"]["west"] is None and r["b"]["processing_baseline"] == "q" and r["b"]["sun_elevation"] == 20.0
+    assert [x["item_id"] for x in catalog.scene_search(s, "2024-01-01", "2024-01-31", (3, 3, 9, 9)).collect()] == ["a"]
+    assert values(catalog.scene_metadata(s), "image_id") == ["a"]
+    assert {x["item_id"]: x["epsg"] for x in catalog.item_crs(s).collect()} == {"a": 2, "b": None}
+    (tmp_path / "c" / "x.json").write_text(json.dumps({"item_id": "n", "props": {}}))
+    with pytest.raises(Exception, match="no datetime"):
+        readers.read_scenes(spark, str(tmp_path / "c")).collect()
+    assert values(readers.read_scenes(spark, str(tmp_path / "c"), strict=False), "acquired") == [None]
+
+
+def test_band_assets(spark):
+    s = spark.createDataFrame([("i", "c", [1, 2])], "item_id string, collection string, bands array<int>")
+    b = spark.createDataFrame([("c", 1, "B01"), ("c", 2, "B02")], "collection string, band_no int, asset string")
+    a = spark.createDataFrame([("i", "B01", "x")], "item_id string, asset string, href string")
+    assert {r["band_no"]: r["href"] for r in catalog.band_assets(s, b, a, strict=False).collect()} == {1: "x", 2: None}
+    with pytest.raises(Exception, match="no asset B02 in scene i"):
+        catalog.band_assets(s, b, a).collect()
 
 
 def test_utm_zones(spark):
@@ -169,6 +204,88 @@ def test_point_in_polygon(spark):
         aoi.aoi_edges(spark.createDataFrame([(1, '{"type":"Point","coordinates":[1,2]}')], "aoi_id int, geojson string")).collect()
 
 
+def test_points_in_areas_of_all_sizes(spark):
+    """Against a plain walk over the edges; areas from tiny to huge, parts
+    with holes, points on corners, edges and cell bounds."""
+    r = random.Random(1)
+    texts, shapes = [], []
+    for i in range(30):
+        x, y, w = r.choice((-3.0, 0.0, 1.5)), r.choice((-2.0, 0.0, 0.25)), 2.0 ** r.randint(-12, 6)
+        star = [[x + w * r.choice((0, 0.25, 0.5, 1)), y + w * r.choice((0, 0.125, 0.5, 1))] for _ in range(r.randint(3, 9))]
+        parts = [[star, [[x + w / 4, y + w / 4], [x + w / 2, y + w / 4], [x + w / 2, y + w / 2]]], [[[x - w, y - w], [x - w / 2, y - w], [x - w, y - w / 2]]]]
+        texts.append((i, json.dumps({"type": "MultiPolygon", "coordinates": parts})))
+        shapes.append((i, parts, x, y, w))
+    pts = []
+    for i, parts, x, y, w in shapes:
+        pts += [tuple(p) for part in parts for ring in part for p in ring]
+        pts += [(x + w * r.choice((r.random(), r.randint(-8, 8) / 8)), y + w * r.choice((r.random(), r.randint(-8, 8) / 8))) for _ in range(20)]
+    pts = list(enumerate(pts))
+
+    def ring_holds(ring, px, py):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+            if (x1, y1) == (x2, y2):
+                continue
+            if abs((px - x1) * (y2 - y1) - (py - y1) * (x2 - x1)) <= 1e-12 and min(x1, x2) - 1e-12 <= px <= max(x1, x2) + 1e-12 and min(y1, y2) - 1e-12 <= py <= max(y1, y2) + 1e-12:
+                return True
+            if (y1 > py) != (y2 > py) and px < (x2 - x1) * ((py - y1) / (y2 - y1)) + x1:
+                odd = not odd
+        return odd
+
+    want = sorted((k, i) for k, (px, py) in pts for i, parts, *_ in shapes if any(ring_holds(p[0], px, py) and not any(ring_holds(h, px, py) for h in p[1:]) for p in parts))
+    edges = aoi.aoi_edges(spark.createDataFrame(texts, "aoi_id int, geojson string")).cache()
+    p = spark.createDataFrame([(k, *xy) for k, xy in pts], "id int, lon double, lat double")
+    assert sorted(map(tuple, aoi.points_in_areas(p, edges, ["id"]).collect())) == want
+    written = aoi.holds_written_out(edges, F.col("lon"), F.col("lat"), 10_000)
+    assert sorted(values(p.where(written), "id")) == sorted({k for k, _ in want})
+    assert aoi.holds_written_out(edges, F.col("lon"), F.col("lat"), 5) is None
+    assert aoi.points_in_areas(p, edges.limit(0), ["id"]).count() == 0
+
+
+def test_areas_in_files(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text('{"type":"Polygon",\n"coordinates":[[[0,0],[1,0],[1,1]]]}')
+    a = readers.read_areas(spark, str(tmp_path))
+    assert values(a, "aoi_id") == ["a.geojson"] and aoi.aoi_edges(a).count() == 3
+
+
+def test_boxes_in_areas(spark):
+    square = '{"type":"Polygon","coordinates":[[[0,0],[0,10],[10,10],[10,0]],[[4,4],[6,4],[6,6],[4,6]]]}'
+    e = aoi.aoi_edges(spark.createDataFrame([(1, square)], "aoi_id int, geojson string"))
+    boxes = {"in": (1, 1, 2, 2), "hole": (4.5, 4.5, 5.5, 5.5), "over_hole": (3, 3, 7, 7), "out": (11, 11, 12, 12), "around": (-1, -1, 11, 11), "touch": (10, 3, 12, 4), "hole_edge": (5, 5, 6.5, 5.5)}
+    s = spark.createDataFrame([(k, *map(float, v)) for k, v in boxes.items()], "item_id string, west double, south double, east double, north double")
+    assert sorted(values(aoi.boxes_in_areas(s, e), "item_id")) == sorted(set(boxes) - {"hole", "out"})
+    assert sorted(values(aoi.boxes_in_areas(s, e, exact=False), "item_id")) == sorted(set(boxes) - {"out"})
+
+
+def test_chips_with_gaps_and_repeats(spark):
+    rows = [(1, 300, 5, 7, None), (1, 300, 5, 3, 9), (1, 0, 0, 1, 1), (1, 255, 255, 2, None), (2, -1, -1, 4, 4)]
+    c = spark.createDataFrame(rows, "scene int, row_idx int, col_idx int, a int, b int")
+    packed = chips.pack_chips(c, ["a", "b"], ["scene"])
+    assert {r["n"] for r in packed.select(F.size("a").alias("n")).collect()} == {65536}
+    got = sorted(map(tuple, chips.unpack_chips(packed, ["a", "b"], ["scene"]).collect()))
+    assert got == [(1, 0, 0, 1, 1), (1, 255, 255, 2, None), (1, 300, 5, 3, 9), (2, -1, -1, 4, 4)]
+
+
+def test_crop(spark):
+    g = spark.createDataFrame([(1, 0.0, 100.0, 10, 10, 25.0, 55.0, 41.0, 1000.0), (2, 0.0, 100.0, 10, 10, 200.0, 300.0, 0.0, 50.0)], "g int, left_x double, top_y double, width int, height int, ax0 double, ax1 double, ay0 double, ay1 double")
+    w = tiles.crop_window(g, 10.0, strict=False)
+    assert [tuple(r)[-4:] for r in w.collect()] == [(2, 0, 3, 6)]
+    with pytest.raises(Exception, match="does not overlap"):
+        tiles.crop_window(g, 10.0).collect()
+    cells = spark.range(100).selectExpr("1 AS g", "CAST(id DIV 10 AS INT) AS row_idx", "CAST(id % 10 AS INT) AS col_idx", "id AS w_g")
+    got = sorted(map(tuple, tiles.crop_cells(cells, w, ["g"]).collect()))
+    assert got == sorted((1, r, c, r * 10 + c + 2) for r in range(6) for c in range(3))
+    assert pixels.window_slice(cells, 2, 4, 0, 3).count() == 6
+
+
+def test_mask_outside(spark):
+    e = aoi.aoi_edges(spark.createDataFrame([(1, '{"type":"Polygon","coordinates":[[[0,0],[0,2],[2,2],[2,0]]]}')], "aoi_id int, geojson string"))
+    cells = spark.createDataFrame([(1, 1.0, 1.0, 5, 6, 7), (2, 3.0, 1.0, 5, 6, 7), (3, None, 1.0, 5, 6, 7)], "k int, cx_m double, cy_m double, s int, q int, r int")
+    for most in (64, 0):
+        m = tiles.mask_outside(tiles.in_areas(cells, e, ["k"], most=most), ["s"], {"q": 9, "r": None})
+        assert sorted((x["k"], x["s"], x["q"], x["r"]) for x in m.collect()) == [(1, 5, 6, 7), (2, None, 9, 7), (3, None, 9, 7)]
+
+
 def test_bands(spark):
     b, unknown = catalog.scene_bands(F.lit("sentinel2"), F.array(F.lit(2), F.lit(40)), F.lit(True), F.lit(True))
     r = spark.range(1).select(b.alias("b"), unknown.alias("u")).first()
@@ -264,6 +381,56 @@ def test_sinks_round_trip(spark, tmp_path):
     assert readers.read_detections(spark, str(tmp_path / "empty")).count() == 0
 
 
+def test_hot_days_are_many_files(spark, tmp_path):
+    d = spark.range(1000).selectExpr("'MODIS_SP' AS source", "'2024-01-05' AS acq_date", "CAST(id AS STRING) AS longitude", "'1' AS latitude")
+    # Partitions this small would be joined into one task.
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        sinks.write_detections_by_day(detections.located(detections.typed(d)), str(tmp_path / "hot"), file_rows=100)
+    finally:
+        spark.conf.unset(name)
+    assert len(list((tmp_path / "hot" / "family=modis" / "acq_day=20240105").glob("*.parquet"))) > 2
+    assert spark.read.parquet(str(tmp_path / "hot")).count() == 1000
+
+
+def test_layers_round_trip(spark, tmp_path):
+    cells = spark.createDataFrame([("S2C", "d", 0, 0, 3000, 4000, 100, 0), ("S2C", "d", 0, 1, 3000, 1000, 9000, 3), ("S2C", "e", 0, 0, 0, 0, 0, 1)], "prefix string, date_token string, row_idx int, col_idx int, b03 int, b04 int, b11 int, cloud_class int")
+    sinks.write_layers(imagery.composite_outputs(cells, ["b03", "b04", "b11"], size=4), str(tmp_path / "l"))
+    back = chips.unpack_chips(spark.read.parquet(str(tmp_path / "l")), ["values"], ["date_token", "layer", "band"], 4)
+    got = {(r["date_token"], r["layer"], r["band"], r["col_idx"]): round(r["values"], 4) for r in back.collect()}
+    assert got[("d", "snowmask", "snow", 0)] == 1.0 and ("d", "masked", "b03", 0) not in got and ("d", "snowmasked", "b03", 0) not in got
+    assert ("d", "masked", "b03", 1) not in got and got[("d", "snowmasked", "b03", 1)] == 0.3 and got[("d", "cloudmask", "class", 1)] == 3.0
+    assert got[("e", "snowmask", "snow", 0)] == 255.0
+    sinks.write_bands(pixels.split_bands(cells, ["b03", "b04"], ["date_token", "row_idx", "col_idx"]), str(tmp_path / "b"))
+    assert {r["band"]: r["n"] for r in spark.read.parquet(str(tmp_path / "b")).groupBy("band").agg(F.count("*").alias("n")).collect()} == {"b03": 3, "b04": 3}
+
+
+def test_layer_scan_is_complete(spark):
+    layers = spark.createDataFrame([("a", 0.0, None), ("b", None, None)], "field string, valid_min double, valid_max double")
+    cells = spark.createDataFrame([("a", -1), ("a", 5), ("x", 2)], "field string, dn int")
+    c = readers.layer_scan(cells, layers)
+    assert sorted(values(c.where(readers.in_valid_range(F.col("dn"), F.col("valid_min"), F.col("valid_max"))), "dn")) == [5]
+    with pytest.raises(ValueError, match="without cells: b"):
+        readers.layer_scan(cells, layers, complete=True)
+
+
+def test_process_period_and_days(spark):
+    raw = spark.createDataFrame([("MODIS_SP", "2024-01-05", "1", "1", 1), ("MODIS_SP", "2024-01-05", "9", "9", 2), ("MODIS_NRT", "2024-01-05", "1", "1", 3), ("MODIS_SP", "2024-03-05", "1", "1", 4), ("MODIS_SP", "x", "1", "1", 5)], "source string, acq_date string, longitude string, latitude string, k int")
+    e = aoi.aoi_edges(spark.createDataFrame([(1, '{"type":"Polygon","coordinates":[[[0,0],[0,2],[2,2],[2,0]]]}')], "aoi_id int, geojson string"))
+    assert sorted(values(fires.process_period(raw, "2024-01-01", "2024-01-31"), "k")) == [1, 2, 3]
+    assert values(fires.process_period(raw, "2024-01-01", "2024-01-31", "sp", e, ["k"]), "k") == [1]
+    with pytest.raises(ValueError, match="tell rows apart"):
+        fires.process_period(raw, "2024-01-01", "2024-01-31", edges=e)
+    g = spark.createDataFrame([(1, "MOD09GA.A2024002.h28v05.061.x.hdf"), (2, "MOD09GA.A2024002.h28v05.061.y.hdf"), (3, "browse.jpg"), (4, "MOD09GA.A2024009.h28v05.061.x.hdf")], "granule_id int, filename string")
+    cells = spark.createDataFrame([(1, "a", 0, 0, -9), (2, "a", 0, 0, 5), (1, "a", 0, 1, -9), (4, "a", 0, 0, 7)], "granule_id int, field string, row_idx int, col_idx int, dn int")
+    layers = spark.createDataFrame([("a", "sr", 0.5, 1.0, -9.0)], "field string, kind string, scale double, offset double, fill double")
+    w = spark.createDataFrame([(1, dt.date(2024, 1, 1), dt.date(2024, 1, 3))], "window_id int, start date, end date")
+    v, report_ = surface_reflectance.process_days(g, cells, layers, w)
+    assert sorted((r["col_idx"], r["value"]) for r in v.collect()) == [(0, 3.5), (1, None)]
+    assert sorted((r["acq_date"].day, r["action"]) for r in report_.collect()) == [(1, "skip"), (2, "process"), (3, "skip")]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "event_id long, source string, acq_date string, longitude string, latitude string, scan string, track string")
     t = detections.typed(none)

@@ -27,8 +27,8 @@ def test_query(spark, db, name):
     df = sky.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     rows = sorted(tuple(map(repr, r)) for r in df.select(*cols).collect())
-    assert rows
     if name not in sky.SQL:
+        assert rows
         return
     rel = db.sql("SELECT " + ", ".join(f'"{c}"' for c in cols) + f" FROM ({sky.SQL[name]}) q")
     assert [TYPES[t] for _, t in df.select(*cols).dtypes] == [str(t) for t in rel.types]
