@@ -132,11 +132,55 @@ def test_packing_holds_everything(spark):
     assert packing.pack_documents(frame(spark, [])).count() == 0
 
 
-def test_best_fit():
-    bins, caps = packing.pack(np.array([60, 50, 40, 30, 10, 6]), (16, 64, 100))
-    assert len(set(bins)) == len(caps) and sum(caps) <= 264
-    bins, caps = packing.pack(np.array([9]), (16, 64, 100))
-    assert caps == [16]
+def least_capacity(lengths, caps):
+    """The least total capacity over all ways to share pieces among bins."""
+    best = math.inf
+
+    def place(i, bins):
+        nonlocal best
+        if i == len(lengths):
+            best = min(best, sum(min(c for c in caps if c >= b) for b in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= caps[-1]:
+                place(i + 1, [*bins[:k], bins[k] + lengths[i], *bins[k + 1 :]])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def test_best_fit_against_all_packings():
+    r, caps, total, least = random.Random(11), (16, 64, 100), 0, 0
+    for _ in range(150):
+        lengths = sorted((r.choice((r.randint(1, 100), r.randint(1, 20))) for _ in range(r.randint(1, 7))), reverse=True)
+        bins, final, _ = packing.pack(np.array(lengths), caps, 0, math.inf)
+        used = collections.Counter()
+        for b, n in zip(bins.tolist(), lengths):
+            used[b] += n
+        assert [min(c for c in caps if c >= used[b]) for b in range(len(final))] == final and max(used.values()) <= 100
+        best = least_capacity(lengths, caps)
+        assert sum(final) <= 2 * best
+        total, least = total + sum(final), least + best
+    assert total <= 1.1 * least
+
+
+def test_lengths_of_sequences_are_chosen_by_what_fills_them():
+    lengths = np.sort(np.minimum(2048, 1 + np.random.default_rng(0).lognormal(5.3, 1.0, 20_000).astype(np.int64)))[::-1]
+    _, final, opened = packing.pack(lengths)
+    assert all(opened.count(c) > 100 for c in packing.CAPACITIES)
+    assert sum(final) <= 1.001 * lengths.sum()
+    dearer = sum(c + packing.OVERHEAD + c * c / packing.ATTENTION for c in packing.pack(lengths, (2048,))[1])
+    assert sum(c + packing.OVERHEAD + c * c / packing.ATTENTION for c in final) < 0.95 * dearer
+    # Six pieces of 300 fill 2048 no better than three fill 1024; 1100 fits one size only.
+    assert set(packing.pack(np.full(600, 300))[2]) == {1024} and set(packing.pack(np.full(9, 1100))[2]) == {2048}
+    assert packing.pack(np.array([9]), (16, 64, 100))[1] == [16] and packing.pack(np.empty(0, np.int64))[1] == []
+
+
+def test_packing_keeps_large_ids_beside_nulls(spark):
+    big = (1 << 53) + 1
+    d = spark.createDataFrame([(None, "a b c"), (big, "a b"), (-(1 << 63), "a")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_words"] for r in packing.pack_documents(d).collect()} == {None: 3, big: 2, -(1 << 63): 1}
 
 
 # --- URLs -----------------------------------------------------------------
