@@ -30,7 +30,7 @@ Defined cases: null and empty texts and texts without words have the empty set
 (n_shingles 0), link with nothing and are components of their own; a text with
 fewer words than ``words`` has its whole sequence as its only n-gram; null
 doc_ids take part, and a component's id is its smallest id that is not null;
-equal rows appear as often as they stand in the table; an empty table gives no
+a doc_id that stands on different texts names each of them; equal rows appear as often as they stand in the table; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded_batches, cut, mix, text_runs, tokens
+from .common import WORD, WordHashes, bounded_batches, cut, mix, text_runs, tokens
 
 SKETCH_BITS = 20
 BITMAP_BITS = 27
@@ -134,15 +134,21 @@ def count_sketch(docs: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.nda
     return np.concatenate([np.frombuffer(r["counts"], "<u4") for r in sorted(got, key=lambda r: r["chunk"])]) if got else np.zeros(1 << bits, np.uint32)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, text. A doc_id may stand on rows of different texts;
+    with the text's hash it names what rows are alike."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
 def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, class (null for empty sets), prefix, ranges."""
+    """doc_id, text_key, n_shingles, class (null for empty sets), prefix, ranges."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch.tobytes())
     shift = np.uint64(64 - (len(sketch).bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rare = WordHashes(), np.frombuffer(sent.value, np.uint32)
         for b in batches:
-            ids = b["doc_id"]
+            ids, keys = b["doc_id"], b["text_key"]
             for i, sets in _sets(b, words, hashes):
                 n = [len(s) for s in sets]
                 first, ranges = [], []
@@ -154,12 +160,11 @@ def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> D
                 flat = np.concatenate(first) if first else np.empty(0, np.int64)
                 ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, len(sets)), pa.array(n, pa.int64()), pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
+                    ids.slice(i, len(sets)), keys.slice(i, len(sets)), pa.array(n, pa.int64()), pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(ranges, pa.binary()),
-                ], names=["doc_id", "n_shingles", "class", "prefix", "ranges"])
+                ], names=["doc_id", "text_key", "n_shingles", "class", "prefix", "ranges"])
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return d.mapInArrow(run, "doc_id long, n_shingles long, class long, prefix array<long>, ranges binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, class long, prefix array<long>, ranges binary")
 
 
 def shared_bitmap(classes: DataFrame, bits: int = BITMAP_BITS) -> bytes:
@@ -230,10 +235,8 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
 
     p = cut(p.mapInArrow(suffix, "a long, b long"), "jaccard-pairs")
     wanted = p.select(F.col("a").alias("class")).union(p.select("b")).distinct()
-    wanted = cut(wanted.join(classes.select("class", "first_doc"), "class").select(F.col("first_doc").alias("w_doc"), F.col("class").alias("w_class")), "jaccard-wanted")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = wanted.select("w_doc").distinct()
-    if wanted.count() <= BROADCAST_ROWS:
+    ids = cut(wanted.join(classes, "class").select(F.col("first.doc_id").alias("w_doc"), F.col("first.text_key").alias("w_key")).distinct(), "jaccard-wanted")
+    if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +245,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
             for _, sets in _sets(b, words, hashes):
                 yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["s_class", "grams"])
 
-    made = d.join(ids, F.col("doc_id").eqNullSafe(F.col("w_doc")), "left_semi").mapInArrow(make, "s_class long, grams binary")
+    made = keyed(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("text_key") == F.col("w_key")), "left_semi").select("text").mapInArrow(make, "s_class long, grams binary")
     # Each a is a head that its partners pass by, in chunks of bounded size.
     chunks = p.groupBy(F.col("a").alias("c_a")).agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     p = p.join(chunks, F.col("a") == F.col("c_a")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
@@ -323,13 +326,20 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("gram", "i", "j").applyInPandas(meet, "a long, b long")
 
 
+def _first() -> Column:
+    """Orders rows by doc_id, null last, then by text."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+
+
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, class, component_id: one row per row of ``docs``."""
+    """doc_id, text_key, n_shingles, class, component_id, and first, the first
+    row of the component (by doc_id, null last, then by text): one row per row
+    of ``docs``."""
     bounded_batches(docs.sparkSession)
     sketch = count_sketch(docs, words)
     sets = cut(prefixes(docs, words, percent, sketch), "jaccard-prefixes")
     full = sets.where("class is not null")
-    classes = cut(full.groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.min("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges")), "jaccard-classes")
+    classes = cut(full.groupBy("class").agg(F.min(_first()).alias("first"), F.min("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges")), "jaccard-classes")
     rows = cut(prefix_rows(classes, shared_bitmap(classes)), "jaccard-rows")
 
     bucket = rows.groupBy(F.col("gram").alias("b_gram")).agg(F.count("*").alias("size"), F.min(F.struct("pos", "n", "class")).alias("pivot")).where("size > 1")
@@ -355,26 +365,28 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     if not more.isEmpty():
         comp = cut(components(comp.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "jaccard-components")
 
-    named = classes.select("class", "first_doc").join(comp, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
-    roots = named.groupBy(F.col("root").alias("g_root")).agg(F.min("first_doc").alias("component_id"))
-    named = named.join(roots, F.col("root") == F.col("g_root")).select(F.col("class").alias("n_class"), "component_id")
-    out = sets.select("doc_id", "n_shingles", "class").join(named, F.col("class") == F.col("n_class"), "left")
-    return out.select("doc_id", "n_shingles", "class", F.coalesce("component_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("component_id"))
+    named = classes.select("class", "first").join(comp, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
+    roots = named.groupBy(F.col("root").alias("g_root")).agg(F.min("first").alias("c_first"))
+    named = named.join(roots, F.col("root") == F.col("g_root")).select(F.col("class").alias("n_class"), "c_first")
+    out = sets.select("doc_id", "text_key", "n_shingles", "class").join(named, F.col("class") == F.col("n_class"), "left")
+    out = out.withColumn("first", F.coalesce("c_first", _first()))
+    return out.select("doc_id", "text_key", "n_shingles", "class", F.col("first.doc_id").alias("component_id"), "first")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, one of each component: the one with the smallest doc_id
-    (of rows with equal doc_ids, one). Documents without an n-gram all stay,
-    as do rows without a doc_id, which can't be named."""
-    found = cut(jaccard_components(docs, words, percent).where("doc_id is not null"), "jaccard-found")
-    lone = found.where("class is null").select(F.col("doc_id").alias("k_doc"))
-    first = found.where("class is not null").groupBy("component_id").agg(F.min("doc_id").alias("k_doc")).select("k_doc")
-    keep = cut(first.union(lone).distinct(), "jaccard-keep")
-    hint = F.broadcast(keep) if keep.count() <= BROADCAST_ROWS else keep
-    doc_id = F.col("doc_id").cast("long")
-    kept = docs.join(hint, doc_id == F.col("k_doc"), "left_semi")
-    often = cut(found.groupBy(F.col("doc_id").alias("k_doc")).count().where("count > 1").select("k_doc"), "jaccard-often")
-    if not often.isEmpty():
-        once = kept.join(often, doc_id == F.col("k_doc"), "left_anti")
-        kept = once.unionByName(kept.join(often, doc_id == F.col("k_doc"), "left_semi").dropDuplicates(["doc_id"]))
-    return kept.unionByName(docs.where("doc_id is null"))
+    """The documents, one of each component: the one with the smallest doc_id,
+    then text hash; a row without doc_id only where all are. Of rows alike in
+    doc_id and text the least in order of all columns (which must have an
+    order) stays. Documents without an n-gram all stay. Columns are carried,
+    whatever their names."""
+    found = cut(jaccard_components(docs, words, percent), "jaccard-found")
+    first = found.where("class is not null").groupBy("first").agg(F.count_if((F.col("first.text_key") == F.col("text_key")) & F.col("first.doc_id").eqNullSafe(F.col("doc_id"))).alias("rows"))
+    keep = cut(first.select("first.doc_id", "first.text_key", "rows"), "jaccard-keep")
+    # The document travels as one column, so that no name can clash.
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("has_words"))
+    k = (F.broadcast(keep) if keep.count() <= BROADCAST_ROWS else keep).alias("k")
+    full = d.where("has_words").alias("d").join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.text_key") == F.col("k.text_key"))).select("d.doc", "d.doc_id", "d.text_key", "k.rows")
+    kept = full.where("rows = 1").select("doc")
+    if not keep.where("rows > 1").isEmpty():
+        kept = kept.unionByName(full.where("rows > 1").groupBy("doc_id", "text_key").agg(F.min("doc").alias("doc")).select("doc"))
+    return kept.unionByName(d.where("not has_words").select("doc")).select("doc.*")

@@ -16,7 +16,8 @@ outgrows ``fan`` times a small factor.
 Defined cases: null text or one without words has size 0 and takes 0 words;
 null source is a source of its own, last in order; rows equal in doc_id,
 source and text share their copies evenly, the odd ones going to the first of
-them; an empty table gives no rows; other columns are carried or ignored.
+them; an empty table gives no rows; other columns are carried, whatever their
+names, or ignored.
 """
 
 from __future__ import annotations
@@ -127,8 +128,6 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_COPIES, fan: int
     return joined.select(*KEY, "source_size", "target", "rows", (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"))
 
 
-
-
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document row: doc_id, size, source_size, target, copies, taken."""
     m = mix_copies(docs, **options).select(*KEY, "source_size", "target", "rows", "copies")
@@ -139,12 +138,13 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as many times as it is taken, all columns."""
-    m = mix_copies(docs, **options).where("copies > 0")
-    m = m.select(F.col("doc_id").alias("mix_doc"), F.col("source").alias("mix_source"), F.col("mix_hash").alias("mix_text"), F.col("rows").alias("mix_rows"), F.col("copies").alias("mix_copies"))
-    d = docs.withColumns({"mix_k_doc": F.col("doc_id").cast("long"), "mix_k_source": F.col("source").cast("string"), "mix_k_text": F.xxhash64("text")})
-    joined = d.join(m, [F.col(f"mix_k_{c}").eqNullSafe(F.col(f"mix_{c}")) for c in ("doc", "source", "text")])
-    once, often = joined.where("mix_rows = 1").withColumn("mix_n", F.col("mix_copies")), joined.where("mix_rows > 1")
-    i = F.row_number().over(W.partitionBy("mix_k_doc", "mix_k_source", "mix_k_text").orderBy(F.lit(0)))
-    often = often.withColumn("mix_n", F.floor(F.col("mix_copies") / F.col("mix_rows")) + (i <= F.col("mix_copies") % F.col("mix_rows")).cast("long"))
-    rows = once.unionByName(often).where("mix_n > 0")
-    return rows.withColumn("mix_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_n")))).select(*[F.col(c) for c in docs.columns])
+    m = mix_copies(docs, **options).where("copies > 0").select("doc_id", "source", "mix_hash", "rows", "copies").alias("m")
+    # The document travels as one column, so that no name can clash.
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("mix_hash")]
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *key).alias("d")
+    joined = d.join(m, [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in ("doc_id", "source", "mix_hash")]).select("d.*", "m.rows", "m.copies")
+    once, often = joined.where("rows = 1"), joined.where("rows > 1")
+    i = F.row_number().over(W.partitionBy("doc_id", "source", "mix_hash").orderBy(F.lit(0)))
+    often = often.withColumn("copies", F.floor(F.col("copies") / F.col("rows")) + (i <= F.col("copies") % F.col("rows")).cast("long"))
+    rows = once.unionByName(often).where("copies > 0")
+    return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("i")).select("doc.*")

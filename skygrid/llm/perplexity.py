@@ -26,8 +26,8 @@ Defined cases: a null or empty text has no words and fails the base rule; a
 null lang is the same language as the empty one; null doc_ids are in one half;
 characters beyond the first plane share codes with it; equal rows are judged
 alike; very long texts are worked through whole, each by itself; an empty
-table gives no rows; other columns are carried by ``filter_documents`` and
-otherwise ignored.
+table gives no rows; other columns are carried, whatever their names, by
+``filter_documents`` and otherwise ignored.
 """
 
 from __future__ import annotations
@@ -305,6 +305,9 @@ def _dup_lines(text: str) -> int:
 FOUND = [("n_words", T.LongType(), pa.int64()), ("word_chars", T.LongType(), pa.int64()), ("n_symbols", T.LongType(), pa.int64()), ("n_dup_lines", T.LongType(), pa.int64()), ("n_repeat_words", T.LongType(), pa.int64()), ("log_perplexity", T.DoubleType(), pa.float64())]
 
 
+MADE = [*[name for name, _, _ in FOUND], "base_failed", "kept", "kn_key"]
+
+
 def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
     """All columns of ``docs``, the text counts, base_failed and log_perplexity."""
 
@@ -352,8 +355,10 @@ def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_
 
 
 def judge(docs: DataFrame, columns: list[str] | None = None, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
-    """The named columns of ``docs`` (default: all), the measures, and kept."""
+    """The named columns of ``docs`` (default: all), the measures, and kept.
+    These take the place of columns of the same names."""
     bounded_batches(docs.sparkSession)
+    docs = docs.drop(*MADE)
     model = cut(kneser_ney(cut(count_windows(docs), "kn-counts")), "kn-model")
     shards = store(model, model.count())
     measured = measure(docs, shards)
@@ -361,11 +366,14 @@ def judge(docs: DataFrame, columns: list[str] | None = None, width: float = WIDT
         measured = measured.drop(*(set(docs.columns) - set(columns) - {"lang"}))
     measured = cut(measured, "kn-measured")
     b = small(cut(bands(measured, width, least_reach), "kn-bands"))
-    j = measured.join(b, F.coalesce(F.col("lang").cast("string"), F.lit("")) == F.col("b_lang"), "left")
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
-    return j.withColumn("kept", ~F.col("base_failed") & inside).drop("b_lang", "low", "high")
+    j = measured.alias("m").join(b.alias("b"), F.coalesce(F.col("m.lang").cast("string"), F.lit("")) == F.col("b.b_lang"), "left")
+    inside = F.coalesce(F.col("m.log_perplexity").between(F.col("b.low"), F.col("b.high")), F.lit(True))
+    return j.select("m.*", (~F.col("m.base_failed") & inside).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are kept, with their columns."""
-    return judge(docs, None, **options).where("kept").select(*docs.columns)
+    """The documents that are kept, with their columns, whatever their names."""
+    read = ("doc_id", "lang", "text")
+    own = {c: c if c in read else f"c{i}" for i, c in enumerate(docs.columns)}
+    kept = judge(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), None, **options).where("kept")
+    return kept.select(*[F.col(n).alias(c) for c, n in own.items()])

@@ -2,9 +2,10 @@
 
 A document's features are its words, the byte n-grams of each word between
 word bounds, and its pairs of neighbouring words (a word repeated at once is
-one feature, whatever the word). Each feature hashes to a learned vector; the
-vectors are averaged, and a softmax over two classes gives the score. Training
-is stochastic gradient descent in numpy, one document at a time.
+one feature, whatever the word: a bounded sample can't hold all such pairs).
+Each feature hashes to a learned vector; the vectors are averaged, and a
+softmax over two classes gives the score. Training is stochastic gradient
+descent in numpy, one document at a time.
 
 Training takes at most ``train_docs`` labelled documents, the first by a hash
 of doc_id: a documented bound, so that one task holds them. The model is a
@@ -16,7 +17,8 @@ Defined cases: a null or empty text has no features and gets the score of the
 bias alone; null doc_ids count as empty text in the fold rule; labels that are
 null are not learned from, and a document with several labels counts once for
 each; without any label every score is 0.5; rows of equal text score alike;
-an empty table gives no rows; other columns are ignored, and never inputs.
+an empty table gives no rows; other columns are carried or ignored, and never
+inputs.
 """
 
 from __future__ import annotations
@@ -72,7 +74,8 @@ def _word_features(words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _pair_buckets(h: np.ndarray, bits: int) -> np.ndarray:
-    """Buckets of neighbouring word hashes; equal neighbours share one bucket."""
+    """Buckets of neighbouring word hashes; equal neighbours share one bucket,
+    as a pair of equal words says the same of a text whichever word it is."""
     a, b = h[:-1], h[1:]
     pair = np.where(a == b, np.uint64(7), mix(mix(a, b), 2))
     return (mix(pair, 3) >> np.uint64(64 - bits)).astype(np.int64)
@@ -181,7 +184,17 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, bits:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and quality_score."""
+    """All columns of ``docs`` and quality_score, which takes the place of a
+    column of that name."""
+    return _scored(docs.drop("quality_score"), model, None)
+
+
+def filter_documents(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The documents that score ``least`` or more, with their columns."""
+    return _scored(docs, model, least)
+
+
+def _scored(docs: DataFrame, model: Model, least: float | None) -> DataFrame:
     from pyspark.sql import types as T
 
     bounded_batches(docs.sparkSession)
@@ -194,6 +207,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             z = np.empty(b.num_rows)
             for i, j, texts in text_runs(b, BATCH_BYTES):
                 z[i:j] = scorer(texts)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], names=[*b.schema.names, "quality_score"])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())]))
+            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            if least is None:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, "quality_score"])
+            else:
+                yield b.filter(pa.array(p >= least))
+
+    added = [T.StructField("quality_score", T.DoubleType())] if least is None else []
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))

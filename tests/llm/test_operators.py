@@ -306,9 +306,41 @@ def test_jaccard(spark, words, percent, monkeypatch):
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None)
     assert got == brute_components(rows, words, percent) and len(found) == len(rows)
     kept = [r["doc_id"] for r in jaccard.keep_one(d, words, percent).collect()]
+    assert len(kept) == len({r["first"] for r in found if r["n_shingles"]}) + sum(not r["n_shingles"] for r in found)
     empty = {r["doc_id"] for r in found if r["n_shingles"] == 0}
     firsts = {c for i, n, c in got if n}
-    assert sorted(x for x in kept if x is not None) == sorted(firsts | {e for e in empty if e is not None})
+    assert {x for x in kept if x is not None} == (firsts | empty) - {None}
+
+
+def test_keep_one_keeps_texts_that_share_an_id(spark):
+    a, b, c = ("one two three four five six", "red green blue black white grey", "sun moon star sky sea land")
+    rows = [(1, a, "x"), (1, b, "x"), (2, b, "x"), (None, c, "x"), (None, c, "y"), (None, c, "y"), (None, a, "z"), (3, "", "e"), (3, None, "e"), (3, "", "e"), (7, a, "p"), (7, a, "o"), (0, c + " cloud", "q"), (0, "zwölf ganz andere Wörter stehen hier", "q"), (0, "zwölf ganz andere Wörter stehen hier", "a")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, k_doc string")
+    got = sorted((tuple(r) for r in jaccard.keep_one(d, 5, 80).collect()), key=repr)
+    assert got == sorted([(1, a, "x"), (1, b, "x"), (None, c, "x"), (3, "", "e"), (3, None, "e"), (3, "", "e"), (0, c + " cloud", "q"), (0, "zwölf ganz andere Wörter stehen hier", "a")], key=repr)
+
+
+CLASHING = ["mix_doc", "mix_copies", "m", "doc", "rows", "copies", "i", "n_words", "b_lang", "low", "high", "kept", "kn_key", "log_perplexity", "base_failed", "k_doc", "class", "first", "text_key", "quality_score", "label_id", "quality", "has_words", "c0", "d"]
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice("ab cd ef gh ij kl mn".split()) + r.choice("xyz") for _ in range(80)), "en", "s", 1) for i in range(12)]
+    base = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    d = base.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id")).alias(c) for c in CLASHING])
+    want = {i: tuple(f"{c}-{i}" for c in CLASHING) for i in range(12)}
+    labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id long, quality int")
+    stages = (lambda x: quality.filter_documents(x, quality.fit(x, labels), 0.0), perplexity.filter_documents, lambda x: jaccard.keep_one(x, 5, 80), mixing.mix_documents)
+    for stage in stages:
+        out = stage(d)
+        assert out.columns == d.columns
+        got = {x["doc_id"]: tuple(x[c] for c in CLASHING) for x in out.collect()}
+        assert got == want
+    assert packing.pack_documents(d).count() == 12
+    s = quality.score(d, quality.fit(d, labels))
+    assert dict(s.dtypes)["quality_score"] == "double" and len(s.columns) == len(d.columns)
+    j = perplexity.judge(d)
+    assert dict(j.dtypes)["n_words"] == "bigint" and len(j.columns) == len(set(j.columns))
 
 
 def test_no_documents_to_join(spark):
@@ -349,6 +381,36 @@ def test_classifier(spark):
     assert np.array_equal(model.shares, again.shares) and model.bias == again.bias
 
 
+def test_scores_are_means_of_learned_vectors(spark):
+    """Scores again from the model's table, one feature at a time."""
+    import xxhash
+
+    def one(x, y):
+        return int(quality.mix(np.array([x], np.uint64), y)[0])
+
+    r = random.Random(9)
+    rows = [(i, " ".join(r.choice(("ab", "Ünï", "c", "long-word", "x,")) for _ in range(r.randint(0, 30)))) for i in range(60)]
+    d = frame(spark, rows)
+    model = quality.fit(d, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"), bits=10)
+    assert abs(model.shares).max() > 0
+    for x in quality.score(d, model).collect():
+        words, found = (x["text"] or "").encode().split(), []
+        for w in words:
+            raw = b"<" + w + b">"
+            found.append(one(xxhash.xxh3_64_intdigest(w), 1))
+            for n in (3, 4, 5):
+                for k in range(len(raw) - n + 1):
+                    g = n
+                    for byte in raw[k : k + n]:
+                        g = one(g, byte)
+                    found.append(one(g, 1))
+        for a, b in zip(words, words[1:]):
+            pair = 7 if a == b else one(one(xxhash.xxh3_64_intdigest(a), xxhash.xxh3_64_intdigest(b)), 2)
+            found.append(one(pair, 3))
+        z = model.bias + (float(np.mean([model.shares[f >> 54] for f in found])) if found else 0.0)
+        assert x["quality_score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6)
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows = [(i, f"text number {i} a b c") for i in range(60)]
     flip = lambda i: 1 - i % 2 if zlib.crc32(str(i).encode()) % 5 == 0 else i % 2
