@@ -8,8 +8,9 @@ more. Documents with the same set are one class; the join runs on classes.
    n-gram in each hash range. N-grams are ordered by counter, then hash: rare
    first, the same order everywhere, so the prefix filter stays exact.
 2. A class's prefix, its n - ceil(t * n) + 1 rarest n-grams, meets another's if
-   they link. A bitmap of fixed size drops prefix n-grams that only one class
-   has (a few pass by chance, which costs rows, not results).
+   they link. A bitmap that follows the number of prefix n-grams up to a bound
+   drops those that only one class has (some pass by chance, which costs rows,
+   not results); beyond the bound all go to the grouping by n-gram.
 3. Classes that share a prefix n-gram are candidates if they pass the length
    filter, the positional filter (what may still match behind the shared
    n-gram) and the suffix filter (a lower bound of the symmetric difference
@@ -44,15 +45,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHashes, bounded_batches, cut, mix, text_runs, tokens
+from .common import WORD, WordHashes, bounded_batches, cut, mix, small, text_runs, tokens
 
 SKETCH_BITS = 20
-BITMAP_BITS = 27
+#: A bitmap of 64 MB at most.
+BITMAP_BITS = 29
+LEAST_BITS = 20
+SUMMED = 256
 IN_RANGE = 2
 MOST_RANGES = 1 << 16
 BUCKET = 48
 BLOCK = 1024
-CHUNK = 512
+CHUNK = 128
 BROADCAST_ROWS = 1_000_000
 BATCH_BYTES = 2 << 20
 
@@ -112,6 +116,9 @@ def _sets(b: pa.RecordBatch, words: int, hashes: WordHashes) -> Iterator[tuple[i
 
 def count_sketch(docs: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
     """Documents per hash range of n-grams, over all documents."""
+    import zstandard
+    from pyspark import TaskContext
+
     chunks = 16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -121,17 +128,24 @@ def count_sketch(docs: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.nda
         for b in batches:
             for _, sets in _sets(b, words, hashes):
                 total += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        packed = [zstandard.compress(c.astype("<u4").tobytes()) for c in np.split(total, chunks)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(chunks), pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
+        packed = [zstandard.compress(np.minimum(c, 0xFFFFFFFF).astype("<u4").tobytes()) for c in np.split(total, chunks)]
+        task = np.full(chunks, TaskContext.get().partitionId(), np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(range(chunks), pa.int32()), pa.array(task), pa.array(packed, pa.binary())], names=["chunk", "task", "counts"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
         total = sum(np.frombuffer(zstandard.decompress(c), "<u4").astype(np.int64) for c in rows["counts"])
-        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()]})
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "task": rows["task"].iloc[:1] // SUMMED, "counts": [zstandard.compress(np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes())]})
 
-    got = docs.select("text").mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect()
-    return np.concatenate([np.frombuffer(r["counts"], "<u4") for r in sorted(got, key=lambda r: r["chunk"])]) if got else np.zeros(1 << bits, np.uint32)
+    # A tree of sums: no group holds more than SUMMED pieces of any chunk.
+    kind = "chunk int, task int, counts binary"
+    sums = docs.select("text").mapInArrow(count, kind).groupBy("chunk", F.floor(F.col("task") / SUMMED).alias("group")).applyInPandas(add, kind)
+    sums = cut(sums, "jaccard-sketch")
+    while (sums.agg(F.max("task")).first()[0] or 0) > 0:
+        sums = cut(sums.groupBy("chunk", F.floor(F.col("task") / SUMMED).alias("group")).applyInPandas(add, kind), "jaccard-sketch")
+    got = sums.collect()
+    return np.concatenate([np.frombuffer(zstandard.decompress(r["counts"]), "<u4") for r in sorted(got, key=lambda r: r["chunk"])]) if got else np.zeros(1 << bits, np.uint32)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -167,9 +181,14 @@ def prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) -> D
     return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, class long, prefix array<long>, ranges binary")
 
 
-def shared_bitmap(classes: DataFrame, bits: int = BITMAP_BITS) -> bytes:
-    """A bit for each hash range in which some n-gram is in two prefixes."""
+def shared_bitmap(classes: DataFrame, most_bits: int = BITMAP_BITS) -> bytes | None:
+    """A bit for each hash range in which some n-gram is in two prefixes. It
+    has four bits for each n-gram, up to 2 ** most_bits, which bounds what is
+    broadcast; None where it would be too full to be of use."""
     rows = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    if rows > 2 << most_bits:
+        return None
+    bits = min(most_bits, max(LEAST_BITS, (4 * rows).bit_length()))
     parts = 1 << max(3, (rows // 4_000_000).bit_length())
     low = bits - (parts.bit_length() - 1)
 
@@ -190,8 +209,10 @@ def shared_bitmap(classes: DataFrame, bits: int = BITMAP_BITS) -> bytes:
     return b"".join(r["marks"] for r in sorted(got, key=lambda r: r["part"])) if got else bytes(1 << (bits - 3))
 
 
-def prefix_rows(classes: DataFrame, bitmap: bytes) -> DataFrame:
+def prefix_rows(classes: DataFrame, bitmap: bytes | None) -> DataFrame:
     """class, n, pos, gram of the prefix n-grams that may be shared."""
+    if bitmap is None:
+        return classes.select("class", "n", F.posexplode("prefix").alias("pos", "gram"))
     sent = classes.sparkSession.sparkContext.broadcast(bitmap)
     shift = np.uint64(64 - (len(bitmap).bit_length() + 2))
 
@@ -365,9 +386,11 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     if not more.isEmpty():
         comp = cut(components(comp.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "jaccard-components")
 
-    named = classes.select("class", "first").join(comp, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
-    roots = named.groupBy(F.col("root").alias("g_root")).agg(F.min("first").alias("c_first"))
-    named = named.join(roots, F.col("root") == F.col("g_root")).select(F.col("class").alias("n_class"), "c_first")
+    # Only linked classes are grouped and named again; others stand alone.
+    linked = classes.select("class", "first").join(comp, F.col("class") == F.col("node"))
+    roots = cut(linked.groupBy(F.col("root").alias("g_root")).agg(F.min("first").alias("g_first")), "jaccard-roots")
+    linked = comp.join(small(roots), F.col("root") == F.col("g_root")).select("node", "g_first")
+    named = classes.join(linked, F.col("class") == F.col("node"), "left").select(F.col("class").alias("n_class"), F.coalesce("g_first", "first").alias("c_first"))
     out = sets.select("doc_id", "text_key", "n_shingles", "class").join(named, F.col("class") == F.col("n_class"), "left")
     out = out.withColumn("first", F.coalesce("c_first", _first()))
     return out.select("doc_id", "text_key", "n_shingles", "class", F.col("first.doc_id").alias("component_id"), "first")

@@ -298,10 +298,13 @@ def brute_components(rows, words, percent):
 def test_jaccard(spark, words, percent, monkeypatch):
     monkeypatch.setattr(jaccard, "BUCKET", 4)
     monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "SUMMED", 2)
+    if words == 5:
+        monkeypatch.setattr(jaccard, "shared_bitmap", lambda classes: None)
     base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split()
     chain = [(2000 + i, " ".join([*base[: 20 - i % 3], *[f"w{i}"] * (i % 4)] * 3)) for i in range(60)]
     rows = corpus(150, seed=words) + chain + [(5, "One TWO three"), (6000, "one two THREE"), (None, "one two three"), (6001, "É b c"), (6002, "é b c")]
-    d = frame(spark, rows)
+    d = frame(spark, rows).repartition(7)
     found = jaccard.jaccard_components(d, words, percent).collect()
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None)
     assert got == brute_components(rows, words, percent) and len(found) == len(rows)
