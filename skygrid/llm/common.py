@@ -109,6 +109,14 @@ def put_file(uri: str, data: bytes) -> None:
     store.move(part, path)
 
 
+def remove_file(uri: str) -> None:
+    """Remove a file that no task reads any more."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    store.delete_file(path)
+
+
 def open_file(uri: str):
     """A file of the shared store for random access; memory-mapped where the
     store is a mounted folder."""

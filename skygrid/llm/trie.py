@@ -3,7 +3,7 @@
 Model: words and one end per text, orders 1 to 3. Order 1 is the add-half
 estimate of the base score. Orders 2 and 3 interpolate absolute discounting
 with the order below: p(w|c) = max(n(cw) - D, 0) / n(c) + b(c) * p(w|c'), with
-b(c) = D * successors(c) / n(c) and D from the counts of counts of the part.
+b(c) = D * successors(c) / n(c) and D from the counts of counts of the level.
 
 Layout, one set of files per level:
 
@@ -20,10 +20,16 @@ stood gives the context of the trigram.
 
 Spark job: words are counted over the whole texts, which are then encoded once
 as ids; the other levels are counted over these. Counting tasks deal their
-sorted, compressed counts to parts by key range through a shuffle; one
-task a part merges them and writes the part's file to the shared folder. Parts
-follow the number of tokens, and keys are ids in hash order, so hot words
-spread over parts; what one context holds is bounded by the vocabulary.
+sorted, compressed counts to parts by key range through a shuffle. A part is
+merged by one task, which stores its counts and tells how many occur once and
+twice; once the level's discount is known, a second task smooths the part and
+writes its file. So the model does not depend on how it is cut into parts.
+
+Parts are ranges of (context, successor) between quantiles of a sample of keys
+and hold about ``part_tokens`` tokens, so a frequent context is spread over
+several. What such a context has in other parts (its total, its number of
+successors, their places) is known from the first and last contexts of each
+part. The vocabulary is cut by hash, into more parts for more input splits.
 Scoring tasks memory-map the files, so workers of a machine share pages.
 
 Defined cases: a null or empty text is one end token; null doc_ids count as
@@ -46,13 +52,15 @@ from pyarrow import compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc32_mod, cut, map_array, put_file, shared_dir, slices, text_runs, tokens
+from .common import bounded_batches, crc32_mod, cut, map_array, mix, open_file, put_file, remove_file, shared_dir, slices, text_runs, tokens
 
 STEP = 4000
 BATCH_BYTES = 6 << 20
 BATCH_TOKENS = 1_500_000
 HELD_KEYS = 4_000_000
 PART_TOKENS = 4_000_000
+PART_SAMPLE = 400
+SPLITS_OF_PART = 16
 MEMO_WORDS = 300_000
 END = b""
 
@@ -253,18 +261,26 @@ class Vocabulary:
 
 
 class Bigrams:
-    """Level 2: context ids 0 .. V (V stands for the start of a text)."""
+    """Level 2: context ids 0 .. V (V stands for the start of a text).
 
-    def __init__(self, uris: list[str], contexts: np.ndarray, sizes: list[int]):
-        self.by_context, self.nodes = Parts(uris, contexts), Parts(uris, np.cumsum([0, *sizes])[:-1])
-        self.nodes.held = self.by_context.held
+    ``bounds`` has the first key (context << 32 | successor) of each part and
+    ``offsets`` how many successors of its first context earlier parts hold.
+    """
+
+    def __init__(self, uris: list[str], bounds: list[int], offsets: list[int], sizes: list[int]):
+        self.by_key, self.nodes = Parts(uris, np.asarray(bounds, np.int64)), Parts(uris, np.cumsum([0, *sizes])[:-1])
+        self.nodes.held, self.offsets = self.by_key.held, offsets
+
+    def _local(self, i: int, v: np.ndarray) -> np.ndarray:
+        """A part's contexts counted from its first."""
+        return v - (int(self.by_key.starts[i]) >> 32)
 
     def starts(self, v: np.ndarray) -> np.ndarray:
         """Global index of the first successor of each context."""
         u, order, group = grouped(v)
         got = np.empty(len(u), np.int64)
-        for i, s in self.by_context.over(u):
-            got[s] = EliasFano(self.by_context[i], "first").get(u[s] - self.by_context.starts[i]) + self.nodes.starts[i]
+        for i, s in self.by_key.over(u << 32):
+            got[s] = EliasFano(self.by_key[i], "first").get(self._local(i, u[s])) + self.nodes.starts[i]
         out = np.empty(len(v), np.int64)
         out[order] = got[group]
         return out
@@ -275,21 +291,20 @@ class Bigrams:
         n = len(v)
         node, place, p, back = np.full(n, -1, np.int64), np.full(n, -1, np.int64), np.full(n, np.nan), np.zeros(n)
         some = np.flatnonzero(v >= 0)
-        if not len(some) or not self.by_context.uris:
+        if not len(some) or not self.by_key.uris:
             return node, place, p, back
         u, order, group = grouped(v[some] << 32 | (w[some] + 1))
         uv, uw = u >> 32, (u & 0xFFFFFFFF) - 1
         u_node, u_place, u_p, u_back = (x[: len(u)].copy() for x in (np.full(len(u), -1, np.int64), np.full(len(u), -1, np.int64), np.full(len(u), np.nan), np.zeros(len(u))))
-        for i, s in self.by_context.over(uv):
-            a = self.by_context[i]
-            local = uv[s] - self.by_context.starts[i]
+        for i, s in self.by_key.over(uv << 32 | np.maximum(uw, 0)):
+            a, local = self.by_key[i], self._local(i, uv[s])
             new = np.concatenate([[True], local[1:] != local[:-1]])
             lo, hi = (x[np.cumsum(new) - 1] for x in EliasFano(a, "first").span(local[new]))
             u_back[s] = a["back"][local] / -STEP
             at, there = find_successor(a["succ"], lo, hi, uw[s])
             hit = np.flatnonzero(there) + s.start
             u_node[hit] = at[there] + self.nodes.starts[i]
-            u_place[hit] = (at - lo)[there]
+            u_place[hit] = (at - lo + np.where(local == 0, self.offsets[i], 0))[there]
             u_p[hit] = a["p"][at[there]] / -STEP
         back_to = some[order]
         node[back_to], place[back_to], p[back_to], back[back_to] = u_node[group], u_place[group], u_p[group], u_back[group]
@@ -297,10 +312,10 @@ class Bigrams:
 
 
 class Trigrams:
-    """Level 3: contexts are nodes of level 2."""
+    """Level 3: contexts are nodes of level 2; keys are node << places | place."""
 
-    def __init__(self, uris: list[str], starts: np.ndarray):
-        self.parts = Parts(uris, starts)
+    def __init__(self, uris: list[str], bounds: list[int], places: int):
+        self.parts, self.places = Parts(uris, np.asarray(bounds, np.int64)), places
 
     def find(self, node: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of p (nan: no such trigram), log10 backoff of the context."""
@@ -308,17 +323,17 @@ class Trigrams:
         some = np.flatnonzero(node >= 0)
         if not len(some) or not self.parts.uris:
             return p, back
-        u, order, group = grouped(node[some])
-        query, to = place[some][order], some[order]
-        for i, s in self.parts.over(u):
-            a = self.parts[i]
-            local = u[s] - self.parts.starts[i]
-            lo, hi = EliasFano(a, "first").span(local)
-            mine = slice(*np.searchsorted(group, [s.start, s.stop]))
-            g = group[mine] - s.start
-            back[to[mine]] = (a["back"][local] / -STEP)[g]
-            at, there = find_successor(a["succ"], lo[g], hi[g], query[mine])
-            p[to[mine][there]] = a["p"][at[there]] / -STEP
+        u, order, group = grouped(node[some] << self.places | (place[some] + 1))
+        nodes, query = u >> self.places, (u & ((1 << self.places) - 1)) - 1
+        u_p, u_back = np.full(len(u), np.nan), np.zeros(len(u))
+        for i, s in self.parts.over(nodes << self.places | np.maximum(query, 0)):
+            a, local = self.parts[i], nodes[s] - (int(self.parts.starts[i]) >> self.places)
+            new = np.concatenate([[True], local[1:] != local[:-1]])
+            lo, hi = (x[np.cumsum(new) - 1] for x in EliasFano(a, "first").span(local[new]))
+            u_back[s] = a["back"][local] / -STEP
+            at, there = find_successor(a["succ"], lo, hi, query[s])
+            u_p[np.flatnonzero(there) + s.start] = a["p"][at[there]] / -STEP
+        p[some[order]], back[some[order]] = u_p[group], u_back[group]
         return p, back
 
 
@@ -391,9 +406,9 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tu
     return k[first], np.add.reduceat(c, first)
 
 
-def _count_level(rows: DataFrame, read: Callable, make_keys: Callable, bounds: np.ndarray, write_part: Callable) -> dict[int, dict]:
+def _count_level(rows: DataFrame, read: Callable, make_keys: Callable, bounds: np.ndarray, store_part: Callable) -> dict[int, dict]:
     """Count keys, deal them by ``bounds`` (first keys of the parts) and let
-    ``write_part(part, keys, counts)`` store each part. ``read(batch)`` gives
+    ``store_part(part, keys, counts)`` store each part. ``read(batch)`` gives
     pieces, of which ``make_keys()(piece)`` makes keys, or keys and counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,18 +438,91 @@ def _count_level(rows: DataFrame, read: Callable, make_keys: Callable, bounds: n
     def reduce(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         got = [_unsqueeze(d) for d in rows["data"]]
         k, c = _merge([g[0] for g in got], [g[1] for g in got])
-        return pd.DataFrame({"part": [key[0]], "said": [json.dumps(write_part(int(key[0]), k, c))]})
+        return pd.DataFrame({"part": [key[0]], "said": [json.dumps(store_part(int(key[0]), k, c))]})
 
     got = rows.mapInArrow(count, "part int, data binary").groupBy("part").applyInPandas(reduce, "part int, said string").collect()
     return {r["part"]: json.loads(r["said"]) for r in got}
 
 
-def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TOKENS) -> tuple[dict, DataFrame]:
+def quantiles(rows: DataFrame, make_keys: Callable, tokens: int, part_tokens: int) -> np.ndarray:
+    """First keys of parts of about ``part_tokens``, by a sample of about
+    ``PART_SAMPLE`` keys a part, drawn by hash. Where the bounds lie decides
+    about balance, not about results."""
+    parts = max(1, tokens // part_tokens)
+    if parts == 1:
+        return np.zeros(1, np.uint64)
+    most = np.uint64(min(2**64 - 1, int(2.0**64 * PART_SAMPLE * parts / tokens)))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of, found = make_keys(), []
+        for b in batches:
+            for piece in _runs(b):
+                k = keys_of(piece)
+                found.append(k[mix(k, mix(np.arange(len(k), dtype=np.uint64), 9)) <= most])
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(found).tobytes() if found else b""], pa.binary())], names=["keys"])
+
+    drawn = np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows.mapInArrow(draw, "keys binary").collect()] or [np.empty(0, np.uint64)]))
+    at = np.arange(1, parts) * len(drawn) // parts
+    return np.unique(np.concatenate([np.zeros(1, np.uint64), drawn[at] if len(drawn) else drawn]))
+
+
+def _level(spark, rows: DataFrame, make_keys: Callable, bounds: np.ndarray, shift: int, contexts: int, path: str, write_part: Callable) -> dict:
+    """Count one level, then smooth and write its parts with one discount.
+
+    ``write_part(part, keys, smooth)`` writes a part's file, where
+    ``smooth(lower)`` gives probabilities, backoffs and first places. Returns
+    the parts' sizes and the offsets of their first contexts' successors."""
+    firsts = [int(b) >> shift for b in bounds]
+    # A part's last context goes on in the next part unless that begins with a
+    # context of its own; the last part ends with the last context.
+    lasts = [(int(b) - 1) >> shift for b in bounds[1:]] + [contexts - 1]
+
+    def store_part(part: int, k: np.ndarray, c: np.ndarray) -> dict:
+        put_file(f"{path}-{part}-counts", _squeeze(k, c))
+        context = (k >> np.uint64(shift)).astype(np.int64)
+        ends = {v: [int(c[context == v].sum()), int((context == v).sum())] for v in {firsts[part], lasts[part]}}
+        return {"n": len(k), "once": int((c == 1).sum()), "twice": int((c == 2).sum()), "ends": list(ends.items())}
+
+    said = _count_level(rows, _runs, make_keys, bounds, store_part)
+    once, twice = sum(x["once"] for x in said.values()), sum(x["twice"] for x in said.values())
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    whole: dict[int, list[int]] = {}
+    offsets = []
+    for i in range(len(bounds)):
+        offsets.append(whole.get(firsts[i], [0, 0])[1])
+        for v, (total, kinds) in said.get(i, {"ends": []})["ends"]:
+            held = whole.setdefault(v, [0, 0])
+            held[0] += total
+            held[1] += kinds
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part, some, ends in zip(b["part"].tolist(), b["some"].tolist(), b["ends"].tolist()):
+                k, c = np.empty(0, np.uint64), np.empty(0, np.int64)
+                if some:
+                    with open_file(f"{path}-{part}-counts") as f:
+                        k, c = _unsqueeze(f.read())
+                context = (k >> np.uint64(shift)).astype(np.int64) - firsts[part]
+                known = {int(v) - firsts[part]: x for v, x in json.loads(ends).items()}
+                write_part(part, k, lambda lower: _smooth(context, c, lasts[part] - firsts[part] + 1, lower, discount, known))  # noqa: B023
+                yield pd.DataFrame({"part": [part]})
+
+    todo = [(i, i in said, json.dumps({v: whole[v] for v in {firsts[i], lasts[i]} if v in whole})) for i in range(len(bounds))]
+    spark.createDataFrame(todo, "part int, some boolean, ends string").repartition(len(todo), "part").mapInPandas(write, "part int").collect()
+    for i in said:
+        remove_file(f"{path}-{i}-counts")
+    return {"sizes": [said[i]["n"] if i in said else 0 for i in range(len(bounds))], "offsets": offsets}
+
+
+def build(docs: DataFrame, vocabulary_parts: int | None = None, part_tokens: int = PART_TOKENS) -> tuple[dict, DataFrame]:
     """Count the texts of ``docs`` (doc_id, text, held_out) that are not held
-    out and write the trie. Returns what ``load`` needs (file names and sizes
+    out and write the trie. Returns what ``load`` needs (file names and bounds
     of parts) and all texts encoded."""
-    bounded_batches(docs.sparkSession)
-    path = shared_dir(docs.sparkSession, "ngram-trie")
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    path = shared_dir(spark, "ngram-trie")
+    if vocabulary_parts is None:
+        vocabulary_parts = max(8, docs.rdd.getNumPartitions() // SPLITS_OF_PART)
     bits = max(0, (vocabulary_parts - 1).bit_length())
 
     def word_keys() -> Callable:
@@ -457,37 +545,27 @@ def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TO
     read = lambda b: text_runs(b, BATCH_BYTES)
     said = _count_level(docs.where("not held_out").select("text"), read, word_keys, bounds, write_words)
     if not said:
-        model = {"words": [], "sizes": [], "total": 0, "bigrams": [], "contexts": [], "nodes": [], "trigrams": [], "node_starts": []}
+        model = {"words": [], "sizes": [], "total": 0}
         return model, cut(encode(docs, model), "trie-ids")
     for i in set(range(1 << bits)) - said.keys():
         said[i] = write_words(i, np.empty(0, np.uint64), np.empty(0, np.int64))
     model = {"words": [f"{path}/words-{i}" for i in range(1 << bits)], "sizes": [said[i]["n"] for i in range(1 << bits)], "total": sum(x["total"] for x in said.values())}
     size, total = sum(model["sizes"]), model["total"]
-    parts = max(1, total // part_tokens)
     encoded = cut(encode(docs, model), "trie-ids")
     ids_of = encoded.where("not held_out").select("ids")
 
-    contexts = np.unique(np.arange(parts) * (size + 1) // parts)
-    ends = [*contexts[1:], size + 1]
-
     def bigram_keys() -> Callable:
         return lambda piece: (_previous(piece[2], piece[3], size) << 32 | piece[2]).astype(np.uint64)
 
-    def write_bigrams(part: int, k: np.ndarray, c: np.ndarray) -> dict:
-        v, w = (k >> np.uint64(32)).astype(np.int64) - contexts[part], (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        words = Vocabulary(model["words"], model["sizes"], total)
-        p, back, first = _smooth(v, c, int(ends[part] - contexts[part]), words.p(w))
+    def write_bigrams(part: int, k: np.ndarray, smooth: Callable) -> None:
+        w = (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        p, back, first = smooth(Vocabulary(model["words"], model["sizes"], total).p(w))
         put_file(f"{path}/bigrams-{part}", pack({"succ": w.astype("<u4"), "p": codes(p), "back": codes(back), **ef_encode(first, "first")}))
-        return {"n": len(k)}
 
-    said = _count_level(ids_of, _runs, bigram_keys, contexts.astype(np.uint64) << np.uint64(32), write_bigrams)
-    for i in set(range(len(contexts))) - said.keys():
-        said[i] = write_bigrams(i, np.empty(0, np.uint64), np.empty(0, np.int64))
-    model |= {"bigrams": [f"{path}/bigrams-{i}" for i in range(len(contexts))], "contexts": contexts.tolist(), "nodes": [said[i]["n"] for i in range(len(contexts))]}
-    nodes = sum(model["nodes"])
-    places = int(size + 1).bit_length()
-    starts = np.unique(np.arange(parts) * nodes // parts)
-    stops = [*starts[1:], nodes]
+    bounds = quantiles(ids_of, bigram_keys, total, part_tokens)
+    got = _level(spark, ids_of, bigram_keys, bounds, 32, size + 1, f"{path}/bigrams", write_bigrams)
+    model |= {"bigrams": [f"{path}/bigrams-{i}" for i in range(len(bounds))], "bounds": bounds.tolist(), "offsets": got["offsets"], "nodes": got["sizes"]}
+    places = int(size + 2).bit_length()
 
     def trigram_keys() -> Callable:
         _, two, _ = load(model)
@@ -501,39 +579,39 @@ def build(docs: DataFrame, vocabulary_parts: int = 8, part_tokens: int = PART_TO
 
         return keys
 
-    def write_trigrams(part: int, k: np.ndarray, c: np.ndarray) -> dict:
+    def write_trigrams(part: int, k: np.ndarray, smooth: Callable) -> None:
         _, two, _ = load(model)
         node, place = (k >> np.uint64(places)).astype(np.int64), (k & np.uint64((1 << places) - 1)).astype(np.int64)
         u, order, group = grouped(node)
         second = two.nodes.gather("succ", u).astype(np.int64) if len(u) else u
         lower = two.nodes.gather("p", (two.starts(second) if len(u) else u)[group] + place) if len(u) else np.empty(0)
-        p, back, first = _smooth(node - starts[part], c, int(stops[part] - starts[part]), 10.0 ** (lower / -STEP))
+        p, back, first = smooth(10.0 ** (lower / -STEP))
         kind = "<u2" if not len(place) or place.max() < 1 << 16 else "<u4"
         put_file(f"{path}/trigrams-{part}", pack({"succ": place.astype(kind), "p": codes(p), "back": codes(back), **ef_encode(first, "first")}))
-        return {"n": len(k)}
 
-    said = _count_level(ids_of, _runs, trigram_keys, starts.astype(np.uint64) << np.uint64(places), write_trigrams)
-    for i in set(range(len(starts))) - said.keys():
-        write_trigrams(i, np.empty(0, np.uint64), np.empty(0, np.int64))
-    return model | {"trigrams": [f"{path}/trigrams-{i}" for i in range(len(starts))], "node_starts": starts.tolist()}, encoded
+    third = quantiles(ids_of, trigram_keys, total, part_tokens)
+    _level(spark, ids_of, trigram_keys, third, places, max(1, sum(model["nodes"])), f"{path}/trigrams", write_trigrams)
+    return model | {"trigrams": [f"{path}/trigrams-{i}" for i in range(len(third))], "third": third.tolist(), "places": places}, encoded
 
 
-def _smooth(context: np.ndarray, count: np.ndarray, contexts: int, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Interpolated probabilities, backoffs and first places of contexts."""
-    once, twice = int((count == 1).sum()), int((count == 2).sum())
-    d = once / (once + 2 * twice) if once and twice else 0.5
+def _smooth(context: np.ndarray, count: np.ndarray, contexts: int, lower: np.ndarray, d: float, known: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Interpolated probabilities, backoffs and first places of contexts.
+    ``known`` has total and successors of contexts that lie in other parts too."""
     successors = np.bincount(context, minlength=contexts)
+    first = np.concatenate([[0], np.cumsum(successors)])
     totals = np.bincount(context, count, contexts)
+    for v, (total, kinds) in known.items():
+        totals[v], successors[v] = total, kinds
     back = np.where(totals > 0, d * successors / np.maximum(totals, 1), 1.0)
     p = (count - d) / totals[context] + back[context] * lower if len(context) else np.empty(0)
-    return p, back, np.concatenate([[0], np.cumsum(successors)])
+    return p, back, first
 
 
 def load(model: dict) -> tuple[Vocabulary, Bigrams, Trigrams]:
     return (
         Vocabulary(model["words"], model["sizes"], model["total"]),
-        Bigrams(model.get("bigrams", []), np.asarray(model.get("contexts", []), np.int64), model.get("nodes", [])),
-        Trigrams(model.get("trigrams", []), np.asarray(model.get("node_starts", []), np.int64)),
+        Bigrams(model.get("bigrams", []), model.get("bounds", []), model.get("offsets", []), model.get("nodes", [])),
+        Trigrams(model.get("trigrams", []), model.get("third", []), model.get("places", 0)),
     )
 
 
