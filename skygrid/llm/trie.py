@@ -60,6 +60,7 @@ BATCH_TOKENS = 1_500_000
 HELD_KEYS = 4_000_000
 PART_TOKENS = 4_000_000
 PART_SAMPLE = 400
+TEXTS_DRAWN = 4
 SPLITS_OF_PART = 16
 MEMO_WORDS = 300_000
 END = b""
@@ -446,12 +447,13 @@ def _count_level(rows: DataFrame, read: Callable, make_keys: Callable, bounds: n
 
 def quantiles(rows: DataFrame, make_keys: Callable, tokens: int, part_tokens: int) -> np.ndarray:
     """First keys of parts of about ``part_tokens``, by a sample of about
-    ``PART_SAMPLE`` keys a part, drawn by hash. Where the bounds lie decides
-    about balance, not about results."""
+    ``PART_SAMPLE`` keys a part, drawn by hash from one text of
+    ``TEXTS_DRAWN``. Where the bounds lie decides about balance, not about
+    results: every key is counted."""
     parts = max(1, tokens // part_tokens)
     if parts == 1:
         return np.zeros(1, np.uint64)
-    most = np.uint64(min(2**64 - 1, int(2.0**64 * PART_SAMPLE * parts / tokens)))
+    most = np.uint64(min(2**64 - 1, int(2.0**64 * TEXTS_DRAWN * PART_SAMPLE * parts / tokens)))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_of, found = make_keys(), []
@@ -461,6 +463,7 @@ def quantiles(rows: DataFrame, make_keys: Callable, tokens: int, part_tokens: in
                 found.append(k[mix(k, mix(np.arange(len(k), dtype=np.uint64), 9)) <= most])
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(found).tobytes() if found else b""], pa.binary())], names=["keys"])
 
+    rows = rows.where(F.pmod(F.xxhash64("ids"), F.lit(TEXTS_DRAWN)) == 0)
     drawn = np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows.mapInArrow(draw, "keys binary").collect()] or [np.empty(0, np.uint64)]))
     at = np.arange(1, parts) * len(drawn) // parts
     return np.unique(np.concatenate([np.zeros(1, np.uint64), drawn[at] if len(drawn) else drawn]))
