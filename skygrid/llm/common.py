@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,8 +98,9 @@ class WordHashes:
         return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 
-def put_file(uri: str, data: bytes) -> None:
-    """Write a whole file: under another name first, then renamed, so that a
+@contextmanager
+def new_file(uri: str) -> Iterator:
+    """A stream to a file that has another name until it is whole, so that a
     retried or duplicate task leaves one complete file."""
     from pyarrow import fs
 
@@ -105,10 +108,16 @@ def put_file(uri: str, data: bytes) -> None:
     store.create_dir(path.rpartition("/")[0], recursive=True)
     part = f"{path}.{uuid.uuid4().hex}"
     with store.open_output_stream(part) as out:
-        out.write(data)
+        yield out
     store.move(part, path)
 
 
+def put_file(uri: str, data: bytes) -> None:
+    """Write a whole file, as ``new_file`` does."""
+    with new_file(uri) as out:
+        out.write(data)
+
+
 def remove_file(uri: str) -> None:
     """Remove a file that no task reads any more."""
     from pyarrow import fs

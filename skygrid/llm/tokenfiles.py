@@ -7,9 +7,11 @@ and then decompresses only the frames of the documents it wants. Frames end at
 document bounds and hold about ``frame_ids`` ids; a longer document has a
 frame of its own.
 
-Documents are range-partitioned by doc_id and sorted, one file a partition,
-so the files in order of number hold the ids in ascending doc_id order. Files
-are written to the shared folder and renamed when complete.
+Documents are range-partitioned by doc_id and the text's hash and sorted, one
+file a partition, so the files in order of number hold the ids in ascending
+doc_id order, and rows that share a doc_id or have none may fill many files.
+Frames are written to the shared folder as they fill, and a file is renamed
+when complete.
 
 Encoding: a space between two characters that are not white space always
 begins a pre-token of a byte-level vocabulary, so what stands between such
@@ -18,8 +20,9 @@ spaces is encoded once by the tokenizers library and remembered, up to
 go to the library whole.
 
 Defined cases: a null text is empty and has just the end id; null doc_ids come
-first; rows of equal doc_id follow each other in order of text; an empty table
-makes no files; other columns are ignored.
+first; rows of equal doc_id follow each other in order of the text's hash; any
+64-bit doc_id reads back as it is; an empty table makes no files; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, cut, open_file, put_file, worker_state
+from .common import bounded_batches, cut, new_file, open_file, small, worker_state
 
 # Fixed values of the public zstandard seekable format.
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -47,7 +51,8 @@ WITH_CHECKSUMS = 0x80
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
 
-NO_ID = np.iinfo(np.int64).min
+#: The document index by columns: doc_id, ids, frame, whether it has a doc_id.
+INDEX = ("<i8", "<u4", "<u4", "u1")
 FRAME_IDS = 1 << 16
 MEMO_LIMIT = 600_000
 #: ASCII marks: none is a letter, a digit or white space.
@@ -141,18 +146,30 @@ class Encoder:
 
 
 class Writer:
-    """Builds the bytes of one file."""
+    """Writes one file to a stream, frame by frame; only the open frame and
+    the index (17 bytes a document) are held."""
 
-    def __init__(self, dtype: np.dtype, frame_ids: int = FRAME_IDS, level: int = 1):
+    def __init__(self, out, dtype: np.dtype, frame_ids: int = FRAME_IDS, level: int = 1):
         import zstandard
 
         self.zstd, self.dtype, self.most = zstandard.ZstdCompressor(level=level), dtype, frame_ids * dtype.itemsize
-        self.out, self.frames, self.docs, self.open, self.held, self.n_ids = [], [], [], [], 0, 0
+        self.out, self.frames, self.open, self.held, self.n_ids, self.n_bytes = out, [], [], 0, 0, 0
+        #: doc_id, ids, frame, and whether there is a doc_id.
+        self.index = {"q": array("q"), "I": array("I"), "L": array("I"), "B": array("B")}
+
+    @property
+    def n_docs(self) -> int:
+        return len(self.index["q"])
+
+    def _write(self, data: bytes) -> None:
+        self.out.write(data)
+        self.n_bytes += len(data)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         if self.open and self.held + len(ids) > self.most:
             self._end_frame()
-        self.docs.append((NO_ID if doc_id is None else doc_id, len(ids) // self.dtype.itemsize, len(self.frames)))
+        for column, x in zip(self.index.values(), (doc_id or 0, len(ids) // self.dtype.itemsize, len(self.frames), doc_id is not None)):
+            column.append(x)
         self.open.append(ids)
         self.held += len(ids)
         self.n_ids += len(ids) // self.dtype.itemsize
@@ -163,16 +180,18 @@ class Writer:
         data = b"".join(self.open)
         packed = self.zstd.compress(data)
         self.frames.append((len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
-        self.out.append(packed)
+        self._write(packed)
         self.open, self.held = [], 0
 
-    def finish(self) -> bytes:
+    def finish(self) -> None:
+        """Writes the open frame, the index and the seek table."""
         if self.open:
             self._end_frame()
-        rows = np.array(self.docs, dtype=[("doc_id", "<i8"), ("n", "<u4"), ("frame", "<u4")])
-        index = struct.pack("<B", self.dtype.itemsize) + self.zstd.compress(b"".join(rows[c].tobytes() for c in rows.dtype.names))
+        columns = [np.asarray(c).astype(kind).tobytes() for c, kind in zip(self.index.values(), INDEX)]
+        index = struct.pack("<B", self.dtype.itemsize) + self.zstd.compress(b"".join(columns))
         table = np.array(self.frames, "<u4").reshape(-1, 3).tobytes() + struct.pack("<IBI", len(self.frames), WITH_CHECKSUMS, SEEK_FOOTER)
-        return b"".join([*self.out, struct.pack("<II", SKIPPABLE_INDEX, len(index)), index, struct.pack("<II", SKIPPABLE_SEEK, len(table)), table])
+        for part in (struct.pack("<II", SKIPPABLE_INDEX, len(index)), index, struct.pack("<II", SKIPPABLE_SEEK, len(table)), table):
+            self._write(part)
 
 
 class Reader:
@@ -192,8 +211,9 @@ class Reader:
         index = self._at(at + 8, struct.unpack("<I", self._at(at + 4, 4))[0])
         self.dtype = np.dtype({2: "<u2", 4: "<u4"}[index[0]])
         raw = self.zstd.decompress(index[1:])
-        m = len(raw) // 16
-        self.doc_id, self.n_ids, self.frame = np.frombuffer(raw, "<i8", m), np.frombuffer(raw, "<u4", m, 8 * m).astype(np.int64), np.frombuffer(raw, "<u4", m, 12 * m)
+        m = len(raw) // 17
+        self.doc_id, self.n_ids, self.frame, self.named = (np.frombuffer(raw, kind, m, at * m) for kind, at in zip(INDEX, (0, 8, 12, 16)))
+        self.n_ids = self.n_ids.astype(np.int64)
         first = np.concatenate([[True], self.frame[1:] != self.frame[:-1]]) if m else np.zeros(0, bool)
         before = np.cumsum(self.n_ids) - self.n_ids
         self.in_frame = before - np.maximum.accumulate(np.where(first, before, 0)) if m else before
@@ -227,22 +247,25 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         held = worker_state()
         encode = held.get(("encoder", tokenizer)) or held.setdefault(("encoder", tokenizer), Encoder(tokenizer))
-        end, writer, no = np.asarray([end_id], encode.dtype).tobytes(), Writer(encode.dtype, frame_ids), TaskContext.get().partitionId()
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                for doc_id, ids in zip(part["doc_id"].to_pylist(), encode([t or "" for t in part["text"].to_pylist()])):
-                    writer.add(doc_id, ids + end)
-        if writer.docs:
+        end, no = np.asarray([end_id], encode.dtype).tobytes(), TaskContext.get().partitionId()
+        batches = (b for b in batches if b.num_rows)
+        head = next(batches, None)
+        if head is not None:
             uri = f"{path}/part-{no:05d}.ids.zst"
-            data = writer.finish()
-            put_file(uri, data)
-            yield pa.RecordBatch.from_pylist([{"file_no": no, "path": uri, "n_docs": len(writer.docs), "n_ids": writer.n_ids, "n_bytes": len(data)}], schema=pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())]))
+            with new_file(uri) as out:
+                writer = Writer(out, encode.dtype, frame_ids)
+                for b in chain([head], batches):
+                    for at in range(0, b.num_rows, 1000):
+                        part = b.slice(at, 1000)
+                        for doc_id, ids in zip(part["doc_id"].to_pylist(), encode([t or "" for t in part["text"].to_pylist()])):
+                            writer.add(doc_id, ids + end)
+                writer.finish()
+            yield pa.RecordBatch.from_pylist([{"file_no": no, "path": uri, "n_docs": writer.n_docs, "n_ids": writer.n_ids, "n_bytes": writer.n_bytes}], schema=pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())]))
 
     bounded_batches(docs.sparkSession)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dealt = d.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
-    return cut(dealt.mapInArrow(write, MANIFEST), "token-manifest")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    dealt = d.repartitionByRange(files, "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key", "text")
+    return cut(dealt.select("doc_id", "text").mapInArrow(write, MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -259,16 +282,16 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     sums.append(zlib.crc32(r.document(i, frame).astype("<u4").tobytes()))
                 n = len(sums)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, no, np.int32)), pa.array(r.doc_id, mask=r.doc_id == NO_ID), pa.array(np.arange(n, dtype=np.int64)),
+                    pa.array(np.full(n, no, np.int32)), pa.array(r.doc_id, mask=r.named == 0), pa.array(np.arange(n, dtype=np.int64)),
                     pa.array(np.cumsum(r.n_ids) - r.n_ids), pa.array(r.n_ids), pa.array(np.asarray(sums, np.int64)),
                 ], names=["file_no", "doc_id", "doc_no", "file_start", "n_tokens", "ids_crc32"])
 
     files = max(1, manifest.count())
     each = manifest.select("file_no", "path").repartition(files).mapInArrow(read, DOCUMENT)
     before = manifest.select(F.col("file_no").alias("of_file"), (F.sum("n_ids").over(W.orderBy("file_no")) - F.col("n_ids")).alias("before"))
-    return each.join(F.broadcast(before), F.col("file_no") == F.col("of_file")).select("doc_id", (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
+    return each.join(small(before), F.col("file_no") == F.col("of_file")).select("doc_id", (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def files_for(docs: DataFrame, most: int = 4096) -> int:
-    """As many files as the input has splits."""
-    return max(1, min(most, docs.select("doc_id", "text").rdd.getNumPartitions()))
+def files_for(docs: DataFrame) -> int:
+    """As many files as the input has splits, so a file is about a split."""
+    return max(1, docs.select("doc_id", "text").rdd.getNumPartitions())

@@ -2,6 +2,7 @@
 
 import collections
 import html
+import io
 import math
 import os
 import random
@@ -220,12 +221,13 @@ def test_token_files(spark, vocabulary, tmp_path):
     from tokenizers import Tokenizer
 
     odd = ["it's we'll don't", "a  b\n c \t d", " lead", "trail ", "x\u00a0y z", "<|endoftext|> a b", "1,2 3.5 a. b, c.. ,d", "\u4f60\u597d \u4e16\u754c", "\U0001f600 hi", "", None, "naïve Éa. ßen, \u0107x"]
-    rows = corpus(60) + [(500 + i, t) for i, t in enumerate(odd)] + [(None, "no id"), (7, "again")]
+    rows = corpus(60) + [(500 + i, t) for i, t in enumerate(odd)] + [(None, "no id"), (None, "nor here"), (7, "again"), (-(1 << 63), "least"), ((1 << 53) + 1, "large")]
     d = frame(spark, rows)
+    keys = {r["text"]: r["k"] for r in d.select("text", F.xxhash64("text").alias("k")).collect()}
     manifest = tokenfiles.write_token_files(d, f"file://{tmp_path}/out", vocabulary, 2, 5, frame_ids=500)
     got = tokenfiles.read_token_files(manifest).orderBy("start").collect()
     t, at, want = Tokenizer.from_file(vocabulary), 0, []
-    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, keys[r[1]])):
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
         want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
@@ -236,10 +238,12 @@ def test_token_files(spark, vocabulary, tmp_path):
 
 
 def test_broken_frame_is_seen(vocabulary, tmp_path):
-    w = tokenfiles.Writer(np.dtype("<u2"), 100)
+    out = io.BytesIO()
+    w = tokenfiles.Writer(out, np.dtype("<u2"), 100)
     for i in range(5):
         w.add(i, np.arange(90, dtype="<u2").tobytes())
-    data = bytearray(w.finish())
+    w.finish()
+    data = bytearray(out.getvalue())
     p = tmp_path / "x"
     p.write_bytes(data)
     assert tokenfiles.Reader(f"file://{p}").document(3).tolist() == list(range(90))
@@ -254,10 +258,12 @@ def test_broken_frame_is_seen(vocabulary, tmp_path):
 def test_frames_are_plain_zstandard():
     import zstandard
 
-    w = tokenfiles.Writer(np.dtype("<u2"), 10)
+    data = io.BytesIO()
+    w = tokenfiles.Writer(data, np.dtype("<u2"), 10)
     for i in range(4):
         w.add(i, np.full(9, i, "<u2").tobytes())
-    out = zstandard.ZstdDecompressor().decompressobj(read_across_frames=True).decompress(w.finish())
+    w.finish()
+    out = zstandard.ZstdDecompressor().decompressobj(read_across_frames=True).decompress(data.getvalue())
     assert np.frombuffer(out, "<u2").tolist() == [i for i in range(4) for _ in range(9)]
 
 
