@@ -12,8 +12,8 @@ split by a hash of page_id). In a block:
    are valid if they keep one order and repeat as whole rounds in all pages.
 4. The gaps of the spanning class are the template's slots. Pages with text in
    an article or main element have a template of their own, and there only such
-   text is main. In the others a slot's place (navigation, header, advert, ...),
-   how its text varies over the pages and how much of it is link text say so.
+   text is main. In the others it is the slots whose text varies over the
+   pages and is not mostly link text; names such as "content" break ties only.
 5. Within main slots, text of a valid role (or of the rest of a slot) that is
    the same in all pages that have it is the template's, if these pages have
    more than two different texts; but no page is emptied by this.
@@ -24,7 +24,8 @@ Pages are compressed before they move, and each moves once.
 
 Defined cases: null or empty html has the empty text; a null url belongs to
 the host without a name; a page alone on its host is its own template; equal
-rows are each extracted; very long pages are worked through whole; an empty
+rows are each extracted and change no other page's text; page_ids keep all 64
+bits, beside nulls too; very long pages are worked through whole; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -36,7 +37,6 @@ from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -282,19 +282,22 @@ def _extract(htmls: list[str], pages: list[Page], whole: bool) -> list[str]:
         texts.append(held)
     main_slots = usable > 0
     if not whole:
+        # Slots that vary over the pages are main; repeated lists of links are
+        # menus even if nothing names them so.
+        menu = np.array([any("/a" in r.rpartition("|")[2] or r.endswith("|a") for c in inner.get(s, ()) for r in c) for s in range(n)])
+        dense = (linked * 2 > chars) | (menu & (linked * 3 > chars))
+        if (main_slots & ~dense).any():
+            main_slots &= ~dense
+        if len(distinct) > 2:
+            fixed = np.array([len({h.get(s, "") for h in texts}) == 1 for s in range(n)])
+            if (main_slots & ~fixed).any():
+                main_slots &= ~fixed
+        # Names only break ties: where few pages show no variation, or among
+        # slots of which the named ones hold most of the text.
         paths = [""] + [r.rpartition("|")[0] for r in span]
-        named = np.array([bool(MAIN_NAMES.search(x.replace("/", " ").replace(".", " "))) for x in paths])
-        if (named & main_slots).any():
-            main_slots &= named
-        else:
-            # Repeated lists of links are menus even if nothing names them so.
-            menu = np.array([any("/a" in r.rpartition("|")[2] or r.endswith("|a") for c in inner.get(s, ()) for r in c) for s in range(n)])
-            main_slots &= linked * 2 <= chars
-            main_slots &= ~(menu & (linked * 3 > chars))
-            if len(distinct) > 2:
-                fixed = np.array([len({h.get(s, "") for h in texts}) == 1 for s in range(n)])
-                if (main_slots & ~fixed).any():
-                    main_slots &= ~fixed
+        named = main_slots & np.array([bool(MAIN_NAMES.search(x.replace("/", " ").replace(".", " "))) for x in paths])
+        if named.any() and (len(distinct) <= 2 or 2 * chars[named].sum() >= chars[main_slots].sum()):
+            main_slots = named
     valid = {r.rpartition("|")[0] for r in [*span, *(r for found in inner.values() for c in found for r in c)] if structural(r)}
 
     def kept(p: Page) -> list[tuple[str, tuple[int, str]]]:
@@ -327,7 +330,7 @@ def _extract(htmls: list[str], pages: list[Page], whole: bool) -> list[str]:
 def extract_pages(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     bounded_batches(pages.sparkSession)
-    p = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
     large = p.groupBy("host").count().where(F.col("count") > block_pages).select(F.col("host").alias("large_host"), F.ceil(F.col("count") / block_pages).alias("blocks"))
     if large.count() <= BROADCAST_HOSTS:
         large = F.broadcast(large)
@@ -341,12 +344,12 @@ def extract_pages(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame
             packed = [z.compress(h or b"") for h in b["html"].cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b["host"], b["block"], b["page_id"], b["url"], pa.array(packed, pa.binary())], names=["host", "block", "page_id", "url", "html"])
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
         import zstandard
 
         z = zstandard.ZstdDecompressor()
-        texts = extract([z.decompress(h).decode("utf-8", "replace") for h in rows["html"]])
-        return pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+        texts = extract([z.decompress(h).decode("utf-8", "replace") for h in rows["html"].to_pylist()])
+        return pa.table({"page_id": rows["page_id"], "url": rows["url"], "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
     moved = p.select("host", "block", "page_id", "url", "html").mapInArrow(squeeze, "host string, block long, page_id long, url string, html binary")
-    return moved.groupBy("host", "block").applyInPandas(run, "page_id long, url string, text string, n_chars long")
+    return moved.groupBy("host", "block").applyInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -729,6 +729,35 @@ def test_extract_host_of_mixed_templates():
     assert got == [f"Long text number {i} about things" if i % 2 else f"New text {i}" for i in range(10)]
 
 
+def test_names_only_break_ties():
+    page = '<body><div class="q1"><a href=/>Home</a> <a href=/x>X</a></div><div class="{a}">Same words on all pages of this site</div><div class="{b}">Long text number {i} about things {w}</div><div class="q4">Same end</div></body>'
+    want = [f"Long text number {i} about things {'w' * i}" for i in range(1, 6)]
+    for a, b in (("q2", "q3"), ("content", "q3"), ("main", "q3"), ("q2", "content")):
+        assert template.extract([page.format(i=i, w="w" * i, a=a, b=b) for i in range(1, 6)]) == want
+
+
+def test_without_the_template_more_text_would_stay(monkeypatch):
+    """The classes decide what is main: with no roles in them, the parts that
+    repeat over a host's pages stay."""
+    page = '<body><div class="q1">This site is about things</div><div class="q2">Text number {i} is here</div></body>'
+    pages = [page.format(i=i) for i in range(6)]
+    assert template.extract(pages) == [f"Text number {i} is here" for i in range(6)]
+    article = '<body><article><div class="q1">Tell a friend</div><p>Text number {i} is here</p></article></body>'
+    articles = [article.format(i=i) for i in range(6)]
+    assert template.extract(articles) == [f"Text number {i} is here" for i in range(6)]
+    monkeypatch.setattr(template, "equivalence_classes", lambda pages: [[]])
+    assert template.extract(pages) != [f"Text number {i} is here" for i in range(6)]
+    assert template.extract(articles) != [f"Text number {i} is here" for i in range(6)]
+
+
+def test_repeated_pages_change_no_text():
+    page = "<article><p>Fixed {w}</p><p>one {x}</p></article>"
+    a, b, c = (page.format(w=w, x=x) for w, x in (("one", "x"), ("two", "y"), ("one", "z")))
+    alone = dict(zip("abc", template.extract([a, b, c])))
+    assert template.extract([a, a, b, c, c]) == [alone[k] for k in "aabcc"]
+    assert template.extract([a, b]) == template.extract([a, a, b])[1:]
+
+
 def test_classes_are_valid_in_whole_rounds():
     pages = [template.Page(h) for h in ("<p></p><hr><p></p><hr>", "<p></p><hr>")]
     bad = [template.Page(h) for h in ("<p></p><p></p><hr><hr>", "<p></p><hr>")]
@@ -741,12 +770,14 @@ def test_extract_pages(spark):
     rows = [(i, f"http://h{i % 2}.org/{i}", PAGE.format(i=i, w="w")) for i in range(30)]
     rows += [(100, None, "<p>no url</p>"), (101, "http://lone.org/", "<article><p>&eacute;</p></article>"), (102, "http://h0.org/n", None), (103, "http://h0.org/e", ""), (5, rows[5][1], rows[5][2])]
     rows += [(104, "http://long.org", "<article><p>" + "word " * 100_000 + "</p></article>")]
+    rows += [((1 << 53) + 1, "http://h0.org/big", "<article>big</article>"), (None, "http://h0.org/none", "<article>none</article>")]
     d = spark.createDataFrame([(*r, "c", "b") for r in rows], "page_id long, url string, html string, host string, block string")
     got = collections.Counter(map(tuple, template.extract_pages(d, block_pages=7).collect()))
     assert sum(got.values()) == len(rows)
     text = {r[0]: r[2] for r in got}
     assert text[3] == "Head & 3 First bold3tail line two <x> end Second w" and text[101] == "é" and text[102] == text[103] == "" and text[100] == "no url"
     assert all(n == len(t) for _, _, t, n in got) and got[(5, rows[5][1], text[5], len(text[5]))] == 2 and len(text[104]) == 499_999
+    assert text[(1 << 53) + 1] == "big" and text[None] == "none"
     assert template.extract_pages(d.limit(0)).count() == 0
 
 
