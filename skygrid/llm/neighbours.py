@@ -181,7 +181,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         ids, x = left["vec_id"].to_numpy(), np.stack(left["embedding"].to_numpy())
         asks, y = right["vec_id"].to_numpy(), np.stack(right["embedding"].to_numpy())
-        ranges = norm_ranges(x)
+        ranges, longest = norm_ranges(x), np.sqrt((x * x).sum(axis=1).max())
         codes = binary_codes(lengthen_ranges(x, ranges), mean, matrix)
         unit = np.hstack([y / np.sqrt((y * y).sum(axis=1, keepdims=True)), np.full((len(y), 1), mean[-1])])
         ask_codes = binary_codes(unit, mean, matrix)
@@ -201,7 +201,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int
         for ask, code, vector in zip(asks, ask_codes, y):
             near = np.concatenate([rows if index is None else rows[index.within(code, least)] for rows, index, least in parts])
             near = near[ids[near] != ask]
-            score = x[near] @ vector
+            # A product of matrices may round equal rows apart, by their places.
+            # So it only picks, with a margin, and each row is summed by itself.
+            rough = x[near] @ vector
+            if len(near) > k:
+                near = near[rough >= np.partition(rough, len(near) - k)[len(near) - k] - 1e-10 * longest * np.sqrt(vector @ vector)]
+            score = (x[near] * vector).sum(axis=1)
             best = np.lexsort((ids[near], -score))[:k]
             q_out.append(np.full(len(best), ask))
             v_out.append(ids[near[best]])

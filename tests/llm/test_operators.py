@@ -670,6 +670,42 @@ def test_neighbours_of_skewed_lengths(spark, n, long):
     assert hit / (20 * len(asks)) >= 0.93
 
 
+def test_equal_vectors_score_alike_wherever_they_stand(spark):
+    r = np.random.default_rng(3)
+    for n in (401, 402, 403):
+        x = r.standard_normal((n, 50))
+        x[r.choice(n, 40, replace=False)] = x[0] * 2
+        v = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+        got = collections.defaultdict(list)
+        for q in neighbours.nearest(v, v.where("vec_id % 20 = 0").select("vec_id"), block_rows=137).orderBy("query_id", "rank").collect():
+            got[q["query_id"]].append((q["vec_id"], q["score"]))
+        for i, found in got.items():
+            exact = {j: float((x[j] * x[i]).sum()) for j in range(n) if j != i}
+            assert found == sorted(exact.items(), key=lambda p: (-p[1], p[0]))[:20]
+
+
+def test_recall_where_few_are_visited():
+    """Vectors in groups: balls of under a tenth of the codes hold the nearest."""
+    r = np.random.default_rng(6)
+    x = np.repeat(r.standard_normal((80, 48)), 100, axis=0) + 0.35 * r.standard_normal((8000, 48))
+    ranges = neighbours.norm_ranges(x)
+    long = neighbours.lengthen_ranges(x, ranges)
+    mean, matrix = neighbours.learn_rotation(long)
+    codes = neighbours.binary_codes(long, mean, matrix)
+    asks = np.arange(0, 8000, 80)
+    unit = np.hstack([x[asks] / np.sqrt((x[asks] ** 2).sum(axis=1, keepdims=True)), np.full((len(asks), 1), mean[-1])])
+    ask_codes = neighbours.binary_codes(unit, mean, matrix)
+    hit = visited = 0
+    indexes = [(rows, neighbours.MultiIndex(codes[rows])) for rows in ranges]
+    for i, code in zip(asks, ask_codes):
+        near = np.concatenate([rows[index.within(code, 1 + 300 * len(rows) // 8000)] for rows, index in indexes])
+        visited += len(near)
+        want = {j for j, _ in brute_nearest(x, np.arange(8000), i, 20)}
+        hit += len(want & set(near.tolist()))
+    print("recall", hit / (20 * len(asks)), "visited", visited / len(asks) / 8000)
+    assert visited < 0.1 * 8000 * len(asks) and hit >= 0.9 * 20 * len(asks)
+
+
 def test_lengths_fall_in_ranges():
     x = np.array([[1.0], [-30.0], [1.4], [0.5], [29.0], [2.0]])
     assert [g.tolist() for g in neighbours.norm_ranges(x)] == [[1, 4], [2, 5], [0], [3]]
