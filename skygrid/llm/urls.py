@@ -5,7 +5,7 @@ The filter is a table of blocks of 512 bits (8 longs). A URL's hash picks one
 block and one bit in each long, so a test reads one row. The filter is
 broadcast while its size, known from the count of listed URLs, stays under
 ``broadcast_bytes``; beyond, pages and blocks meet by block number in a
-shuffle. Only pages that pass it go to the exact join.
+shuffle. Only pages that pass it are compared in the exact join.
 
 Defined cases: a null url or one without ``://`` has empty host and path,
 fits no rule and is in no list; equal urls are judged alike; an empty table
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 BITS_PER_URL = 16
 BROADCAST_BYTES = 32 << 20
 
@@ -64,21 +66,35 @@ def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
 
 
 def in_list(urls: DataFrame, listed: DataFrame, bits_per_url: int = BITS_PER_URL, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``urls`` (with column canonical) plus maybe_listed and listed."""
+    """``urls`` (with column canonical) plus maybe_listed and listed.
+
+    While filter and list are small both are broadcast, and one pass over the
+    urls does. Beyond, urls are written once; those without host are left out
+    of the joins, and only possible hits are shuffled to the exact one.
+    """
     listed = listed.where("canonical is not null").select("canonical").distinct()
-    blocks = max(1, -(-listed.count() * bits_per_url // 512))
-    bloom = bloom_blocks(listed, blocks).withColumnRenamed("block", "bloom_block")
-    if blocks * 80 <= broadcast_bytes:
-        bloom = F.broadcast(bloom)
-    at = urls.withColumn("url_block", F.expr(f"pmod(xxhash64(canonical), {blocks})"))
+    n, size = listed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("canonical") + 50), F.lit(0))).first()
+    blocks = max(1, -(-n * bits_per_url // 512))
+    bloom = bloom_blocks(listed, blocks).alias("b")
+    u = urls.withColumn("url_block", F.expr(f"pmod(xxhash64(canonical), {blocks})"))
     hit = F.lit(True)
     for i, m in enumerate(_masks()):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(m) == m)
-    tested = at.join(bloom, F.col("url_block") == F.col("bloom_block"), "left")
-    tested = tested.withColumn("maybe_listed", F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False))).select(*urls.columns, "maybe_listed")
+        hit = hit & (F.col(f"b.w{i}").bitwiseAND(m) == m)
+    maybe = F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False)).alias("maybe_listed")
     exact = listed.select(F.col("canonical").alias("listed_url"))
-    sure = tested.where("maybe_listed").join(exact, F.col("canonical") == F.col("listed_url"), "left").withColumn("listed", F.col("listed_url").isNotNull()).drop("listed_url")
-    return tested.where("not maybe_listed").withColumn("listed", F.lit(False)).unionByName(sure)
+    few = blocks * 80 <= broadcast_bytes and size <= broadcast_bytes
+    if not few:
+        u = cut(u, "urls")
+    asked = (u if few else u.where("canonical is not null")).alias("u")
+    tested = asked.join(F.broadcast(bloom) if few else bloom, F.col("u.url_block") == F.col("b.block"), "left").select(*[F.col(f"u.`{c}`") for c in urls.columns], maybe)
+    sure = tested if few else tested.where("maybe_listed")
+    on = F.col("maybe_listed") & (F.col("canonical") == F.col("listed_url"))
+    sure = sure.join(F.broadcast(exact) if few else exact, on, "left").select(*tested.columns, F.col("listed_url").isNotNull().alias("listed"))
+    if few:
+        return sure
+    none = F.lit(False)
+    lone = u.where("canonical is null").select(*urls.columns, none.alias("maybe_listed"), none.alias("listed"))
+    return sure.unionByName(tested.where("not maybe_listed").withColumn("listed", none)).unionByName(lone)
 
 
 def judge_urls(pages: DataFrame, listed_urls: DataFrame, rules, **options) -> DataFrame:

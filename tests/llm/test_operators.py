@@ -202,10 +202,10 @@ def test_urls(spark):
 
 def test_bloom_filter_has_no_misses_and_few_false_hits(spark):
     listed = spark.range(3000).selectExpr("concat('h/', id) AS canonical")
-    asked = spark.range(9000).selectExpr("concat('h/', id) AS canonical")
+    asked = spark.range(9000).selectExpr("concat('h/', id) AS canonical", "1 AS block").unionByName(spark.range(20).selectExpr("CAST(NULL AS STRING) AS canonical", "2 AS block"))
     for limit in (1 << 20, 0):
         r = urls.in_list(asked, listed, broadcast_bytes=limit)
-        assert r.where("listed").count() == 3000 and r.where("maybe_listed").count() < 3300 and r.count() == 9000
+        assert r.where("listed").count() == 3000 and r.where("maybe_listed").count() < 3300 and r.count() == 9020 and r.columns == [*asked.columns, "maybe_listed", "listed"]
     assert urls.in_list(asked, listed.limit(0)).where("maybe_listed").count() == 0
 
 
