@@ -52,6 +52,7 @@ SKETCH_BITS = 20
 BITMAP_BITS = 29
 LEAST_BITS = 20
 SUMMED = 256
+LARGE_CLASS = 1000
 IN_RANGE = 2
 MOST_RANGES = 1 << 16
 BUCKET = 48
@@ -360,7 +361,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     sketch = count_sketch(docs, words)
     sets = cut(prefixes(docs, words, percent, sketch), "jaccard-prefixes")
     full = sets.where("class is not null")
-    classes = cut(full.groupBy("class").agg(F.min(_first()).alias("first"), F.min("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges")), "jaccard-classes")
+    classes = cut(full.groupBy("class").agg(F.count("*").alias("rows"), F.min(_first()).alias("first"), F.min("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges")), "jaccard-classes")
     rows = cut(prefix_rows(classes, shared_bitmap(classes)), "jaccard-rows")
 
     bucket = rows.groupBy(F.col("gram").alias("b_gram")).agg(F.count("*").alias("size"), F.min(F.struct("pos", "n", "class")).alias("pivot")).where("size > 1")
@@ -390,9 +391,16 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     linked = classes.select("class", "first").join(comp, F.col("class") == F.col("node"))
     roots = cut(linked.groupBy(F.col("root").alias("g_root")).agg(F.min("first").alias("g_first")), "jaccard-roots")
     linked = comp.join(small(roots), F.col("root") == F.col("g_root")).select("node", "g_first")
-    named = classes.join(linked, F.col("class") == F.col("node"), "left").select(F.col("class").alias("n_class"), F.coalesce("g_first", "first").alias("c_first"))
-    out = sets.select("doc_id", "text_key", "n_shingles", "class").join(named, F.col("class") == F.col("n_class"), "left")
-    out = out.withColumn("first", F.coalesce("c_first", _first()))
+    named = classes.join(linked, F.col("class") == F.col("node"), "left").select(F.col("class").alias("n_class"), "rows", F.coalesce("g_first", "first").alias("first"))
+    named = cut(named, "jaccard-named")
+    # Classes with many rows, of which there are few, come by broadcast, so
+    # that no class fills a task; rows without n-gram need no join.
+    each = sets.select("doc_id", "text_key", "n_shingles", "class")
+    large = small(named.where(F.col("rows") > LARGE_CLASS).drop("rows"))
+    on = F.col("class") == F.col("n_class")
+    others = each.where("class is not null").join(large.select("n_class"), on, "left_anti").join(named.drop("rows"), on)
+    lone = each.where("class is null").withColumns({"n_class": F.col("class"), "first": _first()})
+    out = each.join(large, on).unionByName(others).unionByName(lone)
     return out.select("doc_id", "text_key", "n_shingles", "class", F.col("first.doc_id").alias("component_id"), "first")
 
 

@@ -305,6 +305,7 @@ def test_jaccard(spark, words, percent, monkeypatch):
     monkeypatch.setattr(jaccard, "BUCKET", 4)
     monkeypatch.setattr(jaccard, "BLOCK", 8)
     monkeypatch.setattr(jaccard, "SUMMED", 2)
+    monkeypatch.setattr(jaccard, "LARGE_CLASS", 2)
     if words == 5:
         monkeypatch.setattr(jaccard, "shared_bitmap", lambda classes: None)
     base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split()
