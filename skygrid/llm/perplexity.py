@@ -15,9 +15,12 @@ The model is stored in sorted hash arrays: 64-bit keys of (language, order,
 window) and 32-bit log values, in shards by leading bits, written to the
 shared folder and memory-mapped by the scoring tasks.
 
-A document's perplexity is taken over its characters and one end symbol. The
-band of a language lies around the median of all its documents that pass the
-base rule. On the log scale it reaches down by ``width`` times 1.4826 times the
+A document's perplexity is taken over its characters and one end symbol, and
+again for stretches of about 200 of these; ``typical`` is the median over its
+stretches, so that one foreign passage, name list or address does not make a
+document look like junk, which is odd throughout. The band of a language lies
+around the median of all its documents that pass the base rule, by what is
+typical of each. On the log scale it reaches down by ``width`` times 1.4826 times the
 median distance of those below the median, up by that of those above it, and
 ``least_reach`` at least, so that documents which are much alike do not reject
 each other. Documents outside are rejected.
@@ -50,6 +53,7 @@ SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
 BATCH_CHARS = 1_500_000
 SHARD_ROWS = 2_000_000
+STRETCH = 200
 WIDTH = 6.0
 LEAST_REACH = 0.1
 
@@ -297,12 +301,23 @@ def _repeat_words(words: list[list[bytes]], hashes: WordHashes) -> np.ndarray:
     return np.bincount(doc[covered].astype(np.int64), minlength=len(words))
 
 
+def _typical(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The median over a document's stretches of about STRETCH symbols of the
+    mean in each (the lower one of two)."""
+    m = np.maximum(1, size // STRETCH)
+    doc = np.repeat(np.arange(len(m)), m)
+    no = np.arange(len(doc)) - np.repeat(np.cumsum(m) - m, m)
+    at = start[doc] + no * size[doc] // m[doc]
+    mean = np.add.reduceat(x, at) / np.diff(np.append(at, len(x)))
+    return mean[np.lexsort((mean, doc))][np.cumsum(m) - m + (m - 1) // 2]
+
+
 def _dup_lines(text: str) -> int:
     lines = [x for x in text.split("\n") if x.strip(" \t\x0b\x0c\r")]
     return len(lines) - len(set(lines))
 
 
-FOUND = [("n_words", T.LongType(), pa.int64()), ("word_chars", T.LongType(), pa.int64()), ("n_symbols", T.LongType(), pa.int64()), ("n_dup_lines", T.LongType(), pa.int64()), ("n_repeat_words", T.LongType(), pa.int64()), ("log_perplexity", T.DoubleType(), pa.float64())]
+FOUND = [("n_words", T.LongType(), pa.int64()), ("word_chars", T.LongType(), pa.int64()), ("n_symbols", T.LongType(), pa.int64()), ("n_dup_lines", T.LongType(), pa.int64()), ("n_repeat_words", T.LongType(), pa.int64()), ("log_perplexity", T.DoubleType(), pa.float64()), ("typical", T.DoubleType(), pa.float64())]
 
 
 MADE = [*[name for name, _, _ in FOUND], "base_failed", "kept", "kn_key"]
@@ -323,6 +338,7 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
                 w = Windows(texts)
                 lp = model.log_p(lang, w.codes)[w.where]
                 out["log_perplexity"][rows] = -np.add.reduceat(lp, w.doc_start) / (w.size + 1)
+                out["typical"][rows] = _typical(-lp, w.doc_start, w.size + 1)
                 ascii_ = np.minimum(w.chars, 127)
                 for name, table in (("n_symbols", symbol), ("word_chars", white)):
                     # Text counts run over the pads too: the pads are neither.
@@ -342,9 +358,9 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
 
 
 def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
-    """b_lang, low, high of log perplexity. Medians are over values rounded
+    """b_lang, low, high of the typical log perplexity. Medians are over values rounded
     to 1/1000, so that a language's group holds few distinct values."""
-    m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round("log_perplexity", 3).alias("v"))
+    m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round("typical", 3).alias("v"))
     middle = cut(m.groupBy("b_lang").agg(F.percentile("v", 0.5).alias("middle")), "kn-medians")
     off = m.join(small(middle.withColumnRenamed("b_lang", "m_lang")), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.col("v") - F.col("middle"), 3))
 
@@ -367,7 +383,7 @@ def judge(docs: DataFrame, columns: list[str] | None = None, width: float = WIDT
     measured = cut(measured, "kn-measured")
     b = small(cut(bands(measured, width, least_reach), "kn-bands"))
     j = measured.alias("m").join(b.alias("b"), F.coalesce(F.col("m.lang").cast("string"), F.lit("")) == F.col("b.b_lang"), "left")
-    inside = F.coalesce(F.col("m.log_perplexity").between(F.col("b.low"), F.col("b.high")), F.lit(True))
+    inside = F.coalesce(F.col("m.typical").between(F.col("b.low"), F.col("b.high")), F.lit(True))
     return j.select("m.*", (~F.col("m.base_failed") & inside).alias("kept"))
 
 

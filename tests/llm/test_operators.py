@@ -509,6 +509,27 @@ def test_model_matches_formulas(spark):
     assert sum(p((ord("t"), ord("h"), ord("e"), c)) for c in {ord(c) for t in texts for c in t} | {2}) == pytest.approx(1, abs=0.05)
 
 
+def test_typical_perplexity_is_the_median_stretch():
+    r = np.random.default_rng(2)
+    size = np.array([1, 1, 199, 200, 399, 400, 1000, 777, 2])
+    x = r.random(size.sum())
+    start = np.cumsum(size) - size
+    for a, n, got in zip(start, size, perplexity._typical(x, start, size)):
+        m = max(1, n // perplexity.STRETCH)
+        means = sorted(x[a + i * n // m : a + (i + 1) * n // m].mean() for i in range(m))
+        assert got == pytest.approx(means[(m - 1) // 2])
+
+
+def test_a_foreign_passage_does_not_reject(spark):
+    r = random.Random(12)
+    vocabulary = ["".join(r.choice("etaoinsh") for _ in range(r.randint(2, 6))) for _ in range(300)]
+    say = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    odd = " ".join("".join(chr(r.randrange(0xC0, 0x2FF)) for _ in range(6)) for _ in range(30))
+    rows = [(i, say(300)) for i in range(150)] + [(500, say(150) + " " + odd + " " + say(150)), (501, " ".join(odd for _ in range(4)))]
+    d = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    assert {x["doc_id"] for x in perplexity.filter_documents(d).collect()} == {*range(150), 500}
+
+
 def test_bands_reject_what_is_far_out(spark):
     r = random.Random(5)
     vocabulary = ["".join(r.choice("etaoinsh") for _ in range(r.randint(2, 6))) for _ in range(300)]
@@ -535,7 +556,7 @@ def test_bands_reject_junk_near_the_language(spark):
 
 def test_bands_reach_to_each_side_by_its_own_documents(spark):
     rows = [("en", v, False) for v in (1.9, 1.95, 2.0, 2.3, 2.6)] + [("en", 9.0, True), (None, 1.0, False)]
-    m = spark.createDataFrame(rows, "lang string, log_perplexity double, base_failed boolean")
+    m = spark.createDataFrame(rows, "lang string, typical double, base_failed boolean")
     got = {x["b_lang"]: (x["low"], x["high"]) for x in perplexity.bands(m, 2.0, 0.01).collect()}
     assert got["en"] == pytest.approx((2 - 2 * 1.4826 * 0.05, 2 + 2 * 1.4826 * 0.3)) and got[""] == pytest.approx((0.99, 1.01))
 
