@@ -8,7 +8,6 @@ documents; the last returns one row per piece of a packed sequence.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skygrid.llm import jaccard, mixing, packing, perplexity, quality
 from skygrid.llm.common import cut, table
@@ -19,7 +18,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier takes to be of quality. It learns from
     the labelled rows of the training folds among its input."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("quality_score") >= QUALITY_FROM).select(*docs.columns)
+    return quality.filter_documents(docs, model, QUALITY_FROM)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
