@@ -56,6 +56,7 @@ SHARD_ROWS = 2_000_000
 STRETCH = 200
 WIDTH = 6.0
 LEAST_REACH = 0.1
+BROADCAST_LANGUAGES = 100_000
 
 
 class Windows:
@@ -175,6 +176,9 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     """(lang, code, n) of the top order -> lang, kind, code, value: log
     probabilities of windows of k (kind k) and log weights of contexts of k
     (kind 16 + k), interpolated modified Kneser-Ney."""
+    # What has a row a language comes by broadcast while there are few.
+    few = counts.select("lang").distinct().count() <= BROADCAST_LANGUAGES
+    hint = F.broadcast if few else (lambda df: df)
     grams, raw = {ORDER: counts}, counts
     for k in range(ORDER - 1, 0, -1):
         raw = raw.groupBy("lang", F.col("code").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("code")).agg(F.count("*").alias("n"))
@@ -183,7 +187,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     parts, lower = [], None
     for k in range(1, ORDER + 1):
         g = grams[k].withColumn("context", F.shiftrightunsigned("code", 16))
-        d = F.broadcast(_discounts(g))
+        d = hint(_discounts(g))
         contexts = g.groupBy("lang", "context").agg(F.sum("n").cast("double").alias("total"), F.count_if(F.col("n") == 1).alias("m1"), F.count_if(F.col("n") == 2).alias("m2"), F.count_if(F.col("n") > 2).alias("m3"))
         contexts = contexts.join(d, F.col("lang") == F.col("d_lang")).withColumn("gamma", (F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total"))
         contexts = contexts.select(F.col("lang").alias("c_lang"), F.col("context").alias("c_context"), "total", "gamma", "d1", "d2", "d3")
@@ -192,7 +196,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         own = F.greatest(F.col("n") - cut_by, F.lit(0.0)) / F.col("total")
         if lower is None:
             v = grams[1].groupBy("lang").agg((1.0 / (F.count("*") + 1)).alias("p_low")).withColumnRenamed("lang", "l_lang")
-            j = j.join(F.broadcast(v), F.col("lang") == F.col("l_lang"))
+            j = j.join(hint(v), F.col("lang") == F.col("l_lang"))
             base = grams[1].groupBy("lang").agg(F.log(1.0 / (F.count("*") + 1)).alias("value")).select("lang", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("code"), "value")
             parts.append(base)
         else:
