@@ -15,8 +15,8 @@ feature's share of the logit is sent. Scoring covers every whole text.
 
 Defined cases: a null or empty text has no features and gets the score of the
 bias alone; null doc_ids count as empty text in the fold rule; labels that are
-null are not learned from, and a document with several labels counts once for
-each; without any label every score is 0.5; rows of equal text score alike;
+null are not learned from, a document with both labels counts once for each,
+and of a doc_id on several rows the least text counts; without any label every score is 0.5; rows of equal text score alike;
 an empty table gives no rows; other columns are carried or ignored, and never
 inputs.
 """
@@ -168,12 +168,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, bits:
     bounded_batches(docs.sparkSession)
     l = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
     l = l.where(F.col("quality").isin(0, 1) & (crc32_mod(F.col("label_id"), 5) != 0) & F.col("label_id").isNotNull())
-    l = l.orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(train_docs)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(F.broadcast(l), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "quality")
+    l = l.distinct().orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(train_docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(F.broadcast(l), F.col("doc_id") == F.col("label_id"))
+    # A doc_id may stand on any number of rows; one text of each is learned from.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "quality": []}), *batches]).sort_values(["doc_id", "quality", "text"])
-        held = held.drop_duplicates(["doc_id", "quality"]) if len(held) > train_docs else held
+        held = pd.concat([pd.DataFrame({"doc_id": [], "quality": [], "text": []}), *batches]).sort_values(["doc_id", "quality"])
         m = train([bytes(t) for t in held["text"]], held["quality"].to_numpy(), bits)
         yield pd.DataFrame({"shares": [m.shares.tobytes()], "bias": [m.bias]})
 

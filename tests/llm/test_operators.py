@@ -430,6 +430,14 @@ def test_held_out_labels_do_not_matter(spark):
     assert np.array_equal(a.shares, b.shares)
 
 
+def test_classifier_learns_one_text_of_a_repeated_id(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)] * 2 + [(1, None)], "doc_id long, quality int")
+    rows = [(i, f"text number {i} a b c") for i in range(1, 40)]
+    a = quality.fit(frame(spark, rows), labels)
+    b = quality.fit(frame(spark, rows + [(1, "z other text")] * 500 + rows[:5] + [(1, "zz")]), labels)
+    assert np.array_equal(a.shares, b.shares) and a.bias == b.bias
+
+
 def test_classifier_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     m = quality.fit(frame(spark, [(1, "a")]), none)
