@@ -36,26 +36,36 @@ FAN = 64
 KEY = ["size", "mix_hash", "doc_id", "source"]
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """Adds rank, from 0: the sources' order by code point, null last. Ranges
+    of sources are sorted apart; only their sizes, a row a partition, meet."""
+    order = [F.col("source").isNull(), F.col("source")]
+    r = sources.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
+    r = cut(r, "mix-ranked").withColumn("part", F.shiftrightunsigned("id", 33))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = r.groupBy("part").agg(F.count("*").alias("n"))
+    parts = parts.select(F.col("part").alias("r_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    at = F.col("start") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    return r.join(F.broadcast(parts), F.col("part") == F.col("r_part")).withColumn("rank", at).drop("id", "part", "r_part", "start")
+
+
 def source_targets(sources: DataFrame, weights=WEIGHTS, cap: int = MAX_COPIES) -> DataFrame:
     """(source, source_size) -> source, source_size, target.
 
-    A level L is raised until the sum of min(L * weight, cap * size) is the
-    total. Sources stop in order of cap / weight; the level for the rest is
-    what remains over the weights that remain. One row per source meets here.
+    Shares are level * weight. Sources whose share is above cap * size stop
+    there, and the level of the others rises by what these leave, until no
+    more stop: one sum over the sources a round.
     """
-    one = W.orderBy(F.col("source").isNull(), "source")
-    k = (F.row_number().over(one) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (k + 1).cast("int"))
-    s = sources.withColumn("weight", weight).withColumn("most", F.lit(float(cap)) * F.col("source_size"))
-    every = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    order = W.orderBy(F.col("most") / F.col("weight"), F.col("source").isNull(), "source")
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    after = order.rowsBetween(0, W.unboundedFollowing)
-    s = s.withColumn("total", F.sum("source_size").over(every).cast("double"))
-    s = s.withColumn("level", (F.col("total") - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after))
-    s = s.withColumn("open_level", F.min(F.when(F.col("most") > F.col("level") * F.col("weight"), F.struct(F.col("most") / F.col("weight"), "level"))).over(every)["level"])
-    target = F.when(F.col("open_level").isNull(), F.col("most")).otherwise(F.least("most", F.col("open_level") * F.col("weight")))
-    return s.select("source", "source_size", target.alias("target"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    s = ranked(cut(sources.select("source", "source_size"), "mix-sources"))
+    s = s.select("source", "source_size", weight.alias("weight"), (F.lit(float(cap)) * F.col("source_size")).alias("most"))
+    level, stopped = 0.0, -1
+    while True:
+        stops = (F.col("most") <= level * F.col("weight")) if stopped >= 0 else F.lit(False)
+        now = s.agg(F.count_if(stops), F.sum(F.col("source_size").cast("double")), F.sum(F.when(stops, F.col("most"))), F.sum(F.when(~stops, F.col("weight")))).first()
+        if now[0] == stopped or not now[3]:
+            return s.select("source", "source_size", F.least("most", level * F.col("weight")).alias("target"))
+        level, stopped = (now[1] - (now[2] or 0.0)) / now[3], now[0]
 
 
 def _uniform(*parts: Column) -> Column:

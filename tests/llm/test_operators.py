@@ -72,6 +72,28 @@ def test_targets(spark):
     assert [got[n] for n in names] == pytest.approx(targets_by_hand([sizes[n] for n in names], (5, 2, 1), 3))
 
 
+def test_targets_of_many_sources(spark):
+    """Ranks and targets hold over several ranges of sources."""
+    r = random.Random(3)
+    sizes = {f"{chr(r.choice((65, 97, 233, 0xFFFD, 0x1F600)))}{i}": int(10 ** r.uniform(0, 7)) for i in range(400)} | {None: 5000, "": 12, "empty": 0}
+    d = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(5)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        assert mixing.ranked(d).select(F.spark_partition_id()).distinct().count() > 1
+        ranks = {x["source"]: x["rank"] for x in mixing.ranked(d).collect()}
+        got = {x["source"]: x["target"] for x in mixing.source_targets(d).collect()}
+    finally:
+        spark.conf.unset(name)
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    assert [ranks[n] for n in names] == list(range(len(names)))
+    want = targets_by_hand([sizes[n] for n in names], (5, 2, 1), 3)
+    assert [got[n] for n in names] == pytest.approx(want)
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+    nothing = mixing.source_targets(spark.createDataFrame([("a", 0), (None, 0)], "source string, source_size long")).collect()
+    assert [x["target"] for x in nothing] == [0.0, 0.0]
+
+
 def test_mix(spark):
     rows = corpus(400)
     d = frame(spark, rows + rows[:7] + [(None, "no id at all")])
