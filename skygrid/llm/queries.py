@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, neighbours, packing, perplexity, quality, template, tokenfiles, trie, urls
+from . import jaccard, lexical, mixing, neighbours, packing, perplexity, pieces, quality, template, tokenfiles, trie, urls, whitening
 from .common import crc32_mod, shared_dir, table
 
 #: The rules of the URL contract: (host, path, verdict).
@@ -74,6 +74,28 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.best_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+#: Model file of the merge-type encoding.
+PIECES = "piece_bpe_32k.model"
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path(PIECES)
+    encoded = pieces.encode_documents(table(spark, sf_dir, "documents"), model)
+    d = pieces.decode_documents(encoded, model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_ngram_trie": op2_ngram_trie,
@@ -85,6 +107,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 SQL = {
@@ -107,5 +132,24 @@ l AS (SELECT DISTINCT canonical FROM c WHERE contains(host, 'spam'))
 SELECT c.page_id, c.host, c.path, m.rule, coalesce(m.rule_verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
        l.canonical IS NOT NULL AS listed
 FROM c LEFT JOIN m ON c.page_id = m.page_id LEFT JOIN l ON c.canonical = l.canonical
+""",
+    "op11_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_all FROM d WHERE len(terms) > 0),
+p AS (SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(terms) AS term FROM d) q GROUP BY row_no, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p CROSS JOIN s GROUP BY term),
+m AS (SELECT row_no, doc_id, 75 + (25 * len(terms) * n_docs) // n_all AS m FROM d CROSS JOIN s WHERE len(terms) > 0),
+i AS (
+  SELECT item_id, term, count(*) AS n FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark) q) q
+  GROUP BY item_id, term),
+r AS (
+  SELECT item_id, any_value(doc_id) AS doc_id, row_no, CAST(sum(n * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN w USING (term) JOIN m USING (row_no) GROUP BY item_id, row_no)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0) q WHERE rank <= 20
 """,
 }

@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_html_extraction": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op9_quality_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op10_source_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op11_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12_whitening": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"},
+    "op13_sentencepiece": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
 
@@ -36,7 +39,7 @@ def test_query(spark, name):
     assert rows
     if name in llm.SQL:
         c = duckdb.connect()
-        for t in ("pages", "documents"):
+        for t in ("pages", "documents", "benchmark"):
             c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         assert rows == sorted(tuple(map(repr, r)) for r in c.sql(f"SELECT {', '.join(cols)} FROM ({llm.SQL[name]}) q").fetchall())
 
