@@ -253,8 +253,11 @@ def _model(path: str) -> bytes:
         return f.read()
 
 
-def _fields(df: DataFrame, names: Sequence[str]) -> str:
-    return "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in df.select(*[F.col(f"`{n}`") for n in names]).schema.fields)
+def _keyed(df: DataFrame, key: Sequence[str], *more) -> tuple[DataFrame, str]:
+    """The key columns, under names that any column may have had, and more."""
+    keys = [F.col(f"`{k}`").alias(f"key_{i}") for i, k in enumerate(key)]
+    types = df.select(*keys).schema.fields
+    return df.select(*keys, *more), "".join(f"{f.name} {f.dataType.simpleString()}, " for f in types)
 
 
 def encode_documents(docs: DataFrame, model: str, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -262,7 +265,7 @@ def encode_documents(docs: DataFrame, model: str, key: Sequence[str] = ("doc_id"
     shuffle. ``model`` is a model file's path."""
     bounded_batches(docs.sparkSession)
     blob, n_key = _model(model), len(key)
-    d = docs.select(*[F.col(f"`{k}`") for k in key], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("encoded_text"))
+    d, types = _keyed(docs, key, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _pieces(blob)
@@ -275,7 +278,7 @@ def encode_documents(docs: DataFrame, model: str, key: Sequence[str] = ("doc_id"
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found) if found else np.empty(0, np.int32), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(n_key)), ids], names=[*b.schema.names[:n_key], "ids"])
 
-    return d.mapInArrow(run, _fields(docs, key) + "ids array<int>")
+    return d.mapInArrow(run, types + "ids array<int>").toDF(*key, "ids")
 
 
 def decode_documents(encoded: DataFrame, model: str, key: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -294,4 +297,5 @@ def decode_documents(encoded: DataFrame, model: str, key: Sequence[str] = ("doc_
                 texts = [p.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ()) for x in part]
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(n_key + 1)), pa.array(texts, pa.string())], names=[*b.schema.names[: n_key + 1], "decoded"])
 
-    return encoded.select(*[F.col(f"`{k}`") for k in key], "ids").mapInArrow(run, _fields(encoded, key) + "ids array<int>, decoded string")
+    d, types = _keyed(encoded, key, "ids")
+    return d.mapInArrow(run, types + "ids array<int>, decoded string").toDF(*key, "ids", "decoded")
