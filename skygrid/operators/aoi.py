@@ -119,29 +119,46 @@ def _level() -> Column:
     return F.ceil(F.log2(F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"), F.lit(1e-9)) / CELLS_ACROSS)).cast("int")
 
 
+def _spread(shaped: DataFrame, key: str) -> DataFrame:
+    """Areas dealt to all tasks. They are few bytes before they are taken apart
+    into cells; a stated number keeps adaptive execution from judging by that."""
+    return shaped.repartition(int(shaped.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _kept(parts: Column, wanted) -> Column:
+    """Parts with those edges of their rings that are wanted."""
+    return F.transform(parts, lambda p: F.struct(F.filter(p["outer"], wanted).alias("outer"), F.transform(p["holes"], lambda h: F.filter(h, wanted)).alias("holes")))
+
+
 def _area_cells(edges: DataFrame) -> DataFrame:
     """level, cx, cy, aoi_id, near: the cells of each area's box that it meets.
 
     A cell's side is 2 ** level, so that a box has few cells however large it
     is. A cell that no edge touches lies inside as a whole (``near`` is null)
     or is left out; the others hold the edges that decide about their points:
-    those in their rows that do not end left of them.
+    those in their rows that do not end left of them. Edges are dealt to rows
+    of cells first, so each is looked at once a row and not once a cell.
     """
-    s = shapes(edges)
+    s = _spread(shapes(edges), "aoi_id")
     s = s.withColumn("level", _level()).withColumn("side", F.pow(F.lit(2.0), F.col("level")))
-    first, last = ({c: F.floor(F.col(b) / F.col("side")) for c, b in zip(("cx", "cy"), pair)} for pair in (("west", "south"), ("east", "north")))
-    s = s.withColumn("cx", F.explode(F.sequence(first["cx"], last["cx"]))).withColumn("cy", F.explode(F.sequence(first["cy"], last["cy"])))
-    s = s.withColumns({"x0": F.col("cx") * F.col("side"), "y0": F.col("cy") * F.col("side")}).withColumns({"xe": F.col("x0") + F.col("side"), "ye": F.col("y0") + F.col("side")})
+    s = s.withColumns({"cx0": F.floor(F.col("west") / F.col("side")), "cx1": F.floor(F.col("east") / F.col("side"))})
+    s = s.withColumn("cy", F.explode(F.sequence(F.floor(F.col("south") / F.col("side")), F.floor(F.col("north") / F.col("side")))))
+    s = s.withColumns({"y0": F.col("cy") * F.col("side"), "ye": F.col("cy") * F.col("side") + F.col("side")})
+
+    def in_row(e: Column) -> Column:
+        return (F.greatest(e["y1"], e["y2"]) >= F.col("y0") - 2 * EPS) & (F.least(e["y1"], e["y2"]) <= F.col("ye") + 2 * EPS)
 
-    def beside(e: Column) -> Column:
-        return (F.greatest(e["y1"], e["y2"]) >= F.col("y0") - 2 * EPS) & (F.least(e["y1"], e["y2"]) <= F.col("ye") + 2 * EPS) & (F.greatest(e["x1"], e["x2"]) >= F.col("x0") - 2 * EPS)
+    # Expanding a list of one keeps the edges from being worked out once a use.
+    s = s.select("aoi_id", "level", "side", "cx0", "cx1", "cy", "y0", "ye", F.explode(F.array(_kept(F.col("parts"), in_row))).alias("row"))
+    s = s.withColumn("cx", F.explode(F.sequence("cx0", "cx1"))).withColumn("x0", F.col("cx") * F.col("side")).withColumn("xe", F.col("x0") + F.col("side"))
+
+    def ahead(e: Column) -> Column:
+        return F.greatest(e["x1"], e["x2"]) >= F.col("x0") - 2 * EPS
 
     def touches(e: Column) -> Column:
         return F.least(e["x1"], e["x2"]) <= F.col("xe") + 2 * EPS
 
-    near = F.transform("parts", lambda p: F.struct(F.filter(p["outer"], beside).alias("outer"), F.transform(p["holes"], lambda h: F.filter(h, beside)).alias("holes")))
-    # Expanding a list of one keeps ``near`` from being worked out once a use.
-    s = s.select("aoi_id", "level", "cx", "cy", "x0", "y0", "xe", "ye", F.explode(F.array(near)).alias("near"))
+    s = s.select("aoi_id", "level", "cx", "cy", "x0", "y0", "xe", "ye", F.explode(F.array(_kept(F.col("row"), ahead))).alias("near"))
     touched = F.exists("near", lambda p: F.exists(p["outer"], touches) | F.exists(p["holes"], lambda h: F.exists(h, touches)))
     s = s.withColumn("touched", touched)
     inside = holds(F.col("near"), (F.col("x0") + F.col("xe")) / 2, (F.col("y0") + F.col("ye")) / 2)
@@ -208,6 +225,107 @@ def boxes_in_areas(scenes: DataFrame, edges: DataFrame, exact: bool = True, size
     return near.where(inside | holds(F.col("parts"), *corners[0])).select("item_id", "aoi_id")
 
 
+def _meet(a: Column, b: Column) -> Column:
+    """Whether two edges share a point: their boxes do, and neither lies on one
+    side of the other."""
+
+    def side(e: Column, x: Column, y: Column) -> Column:
+        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+
+    def over(p: str, q: str) -> Column:
+        return (F.least(a[p], a[q]) <= F.greatest(b[p], b[q]) + EPS) & (F.greatest(a[p], a[q]) >= F.least(b[p], b[q]) - EPS)
+
+    def astride(e: Column, f: Column) -> Column:
+        s1, s2 = side(e, f["x1"], f["y1"]), side(e, f["x2"], f["y2"])
+        return (F.least(s1, s2) <= EPS) & (F.greatest(s1, s2) >= -EPS)
+
+    return over("x1", "x2") & over("y1", "y2") & astride(a, b) & astride(b, a)
+
+
+def polygons_in_areas(footprints: DataFrame, edges: DataFrame, size: float = 0.5) -> DataFrame:
+    """item_id, aoi_id of the footprints (edges, with the item's id as
+    ``aoi_id``) that share a point with an area; bounds belong to both.
+
+    Boxes meet by cells, each pair in the cell of the lower left corner of what
+    their boxes share, so it comes once. Of both only the edges in that shared
+    box are tried against each other; where none meet, one holds a part of the
+    other as a whole or they are apart (a footprint in a hole is).
+    """
+    f = _spread(shapes(footprints).withColumnRenamed("aoi_id", "item_id"), "item_id")
+    a = shapes(edges).withColumnsRenamed({c: f"a_{c}" for c in (*BOX, "parts")})
+    meet = boxes_meet({c: F.col(c) for c in BOX}, {c: F.col(f"a_{c}") for c in BOX})
+    once = (F.col("cx") == F.floor(F.greatest("west", "a_west") / size)) & (F.col("cy") == F.floor(F.greatest("south", "a_south") / size))
+    near = _cells(f, size).join(_cells(a, size, "a_"), ["cx", "cy"]).where(meet & once)
+    shared = {"s_west": F.greatest("west", "a_west"), "s_south": F.greatest("south", "a_south"), "s_east": F.least("east", "a_east"), "s_north": F.least("north", "a_north")}
+
+    def in_shared(e: Column) -> Column:
+        return (F.greatest(e["x1"], e["x2"]) >= F.col("s_west") - EPS) & (F.least(e["x1"], e["x2"]) <= F.col("s_east") + EPS) & (F.greatest(e["y1"], e["y2"]) >= F.col("s_south") - EPS) & (F.least(e["y1"], e["y2"]) <= F.col("s_north") + EPS)
+
+    def tried(parts: str) -> Column:
+        rings = F.flatten(F.transform(parts, lambda p: F.concat(F.array(p["outer"]), p["holes"])))
+        return F.flatten(F.transform(rings, lambda r: F.filter(r, in_shared)))
+
+    near = near.withColumns(shared).select("item_id", "aoi_id", "parts", "a_parts", F.explode(F.array(F.struct(tried("parts").alias("mine"), tried("a_parts").alias("theirs")))).alias("e"))
+    cross = F.exists(F.col("e")["mine"], lambda a: F.exists(F.col("e")["theirs"], lambda b: _meet(a, b)))
+
+    def some_inside(inner: str, outer: str) -> Column:
+        return F.exists(inner, lambda p: holds(F.col(outer), p["outer"][0]["x1"], p["outer"][0]["y1"]))
+
+    return near.where(cross | some_inside("parts", "a_parts") | some_inside("a_parts", "parts")).select("item_id", "aoi_id")
+
+
+#: How far, in metres, a projected edge may lie beside its chord.
+TOLERANCE = 0.01
+
+
+def _split(edges: DataFrame, to, tolerance: float) -> DataFrame:
+    """Edges in degrees, split into equal pieces where the projected edge, at
+    its quarters, lies further than ``tolerance`` beside its chord. The
+    distance falls with the square of the pieces."""
+    x, y = to("(x1 + (x2 - x1) * (q / 4e0))", "(y1 + (y2 - y1) * (q / 4e0))")
+    e = edges.withColumn("at", F.expr(f"transform(sequence(0, 4), q -> named_struct('x', {x}, 'y', {y}))"))
+    beside = F.array_max(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda q: F.hypot(*[F.get("at", q)[c] - F.col("at")[0][c] - (F.col("at")[4][c] - F.col("at")[0][c]) * q / 4.0 for c in ("x", "y")])))
+    n = F.greatest(F.lit(1), F.ceil(F.sqrt(1.2 * beside / tolerance))).cast("int")
+    e = e.withColumn("pieces", n).drop("at").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+
+    def place(a: str, b: str, k: Column) -> Column:
+        return F.when(k == 0, F.col(a)).when(k == F.col("pieces"), F.col(b)).otherwise(F.col(a) + (F.col(b) - F.col(a)) * k / F.col("pieces"))
+
+    k = F.col("piece")
+    return e.withColumns({"x1": place("x1", "x2", k), "y1": place("y1", "y2", k), "x2": place("x1", "x2", k + 1), "y2": place("y1", "y2", k + 1)}).drop("pieces", "piece")
+
+
+def project_edges(edges: DataFrame, crs: str, tolerance: float = TOLERANCE) -> DataFrame:
+    """Edges in degrees as edges in metres: of the sinusoidal grid for
+    "sinusoidal", else of the UTM zone whose EPSG code ``crs`` is (a number or
+    a column of ``edges``). Straight lines in degrees are none in metres, so
+    edges are split until no piece lies further than ``tolerance`` metres
+    beside its chord. Neighbouring pieces share their ends exactly."""
+
+    def to(lon: str, lat: str) -> tuple[str, str]:
+        return geo.to_sinusoidal(lon, lat) if crs == "sinusoidal" else geo.to_utm(lon, lat, crs)
+
+    # A second round splits what quarters of the whole edge did not show.
+    e = _split(_split(edges, to, tolerance), to, tolerance)
+    ends = F.explode(F.array(F.struct(*[F.expr(t).alias(n) for i in (1, 2) for n, t in zip((f"x{i}", f"y{i}"), to(f"x{i}", f"y{i}"))])))
+    e = e.withColumn("metres", ends)
+    return e.withColumns({c: F.col("metres")[c] for c in EDGE}).drop("metres").where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+
+
+def covering_tiles(edges: DataFrame, tolerance: float = 1.0) -> DataFrame:
+    """aoi_id, h, v: the sinusoidal tiles that share a point with an area given
+    in degrees. Tiles are squares in metres, curved in degrees, so the area is
+    projected, and met with the 36 x 18 tiles as boxes, grown by ``tolerance``
+    metres: an area whose bound is a tile's meets the tiles on both sides."""
+    m = project_edges(edges, "sinusoidal", tolerance)
+    u = {c: (F.col(c) - F.lit(geo.SINU_X_MIN)) / geo.TILE_SIZE for c in ("x1", "x2")} | {c: (F.lit(geo.SINU_Y_MAX) - F.col(c)) / geo.TILE_SIZE for c in ("y1", "y2")}
+    h, v = F.expr("id DIV 18"), F.expr("id % 18")
+    grown = tolerance / geo.TILE_SIZE
+    grid = edges.sparkSession.range(36 * 18).select(F.col("id").alias("item_id"), *[c.cast("double").alias(n) for n, c in zip(BOX, (h - grown, v - grown, h + 1 + grown, v + 1 + grown))])
+    met = boxes_in_areas(grid, m.withColumns(u), size=1.0)
+    return met.select("aoi_id", F.expr("CAST(item_id DIV 18 AS INT)").alias("h"), F.expr("CAST(item_id % 18 AS INT)").alias("v"))
+
+
 def utm_of_areas(boxes: DataFrame) -> DataFrame:
     """Adds the EPSG code of the UTM zone of each box's centre."""
     return boxes.withColumn("epsg", F.expr(geo.utm_epsg("((west + east) / 2e0)", "((south + north) / 2e0)")))
