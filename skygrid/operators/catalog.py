@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing, radiometry
 from .aoi import GEOJSON, boxes_meet, geometry, rings
+from .sizes import small
 
 # Asset and label of each band number, and bands masks need.
 SENTINEL_BANDS = tuple((i, a) for i, a in enumerate("B01 B02 B03 B04 B05 B06 B07 B08 B8A B09 B11 B12".split(), 1))
@@ -143,7 +144,7 @@ def band_assets(scenes: DataFrame, bands: DataFrame, assets: DataFrame, strict:
     """Each scene's requested bands with their asset's href. Where the scene
     has none it is an error, or null if not ``strict``. scenes: item_id, collection, bands; bands: collection,
     band_no, asset; assets: item_id, asset, href."""
-    want = scenes.select("item_id", "collection", F.explode("bands").alias("band_no")).join(F.broadcast(bands), ["collection", "band_no"])
+    want = scenes.select("item_id", "collection", F.explode("bands").alias("band_no")).join(small(bands), ["collection", "band_no"])
     href = F.col("href")
     if strict:
         href = F.coalesce(href, F.raise_error(F.concat_ws(" ", F.lit("no asset"), "asset", F.lit("in scene"), "item_id")).cast("string"))
@@ -189,9 +190,12 @@ def granules_by_date(granules: DataFrame) -> DataFrame:
     return granules.groupBy("product", "acq_date").agg(F.sort_array(F.collect_set("tile")).alias("tiles"), F.count("*").alias("n_granules"))
 
 
-def calendar_coverage(windows: DataFrame, granules: DataFrame) -> DataFrame:
-    """Each day of the windows with its granules; days without are skipped."""
-    days = windows.select("window_id", F.explode(F.sequence("start", "end")).alias("acq_date"))
-    n = granules.groupBy("acq_date").agg(F.count("*").alias("n"))
-    j = days.join(n, "acq_date", "left").withColumn("n_granules", F.coalesce("n", F.lit(0)))
-    return j.select("window_id", "acq_date", "n_granules", F.when(F.col("n_granules") > 0, "process").otherwise("skip").alias("action"))
+def calendar_coverage(windows: DataFrame, granules: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """Each day of the windows with its granules; days without are skipped.
+    ``key`` names what windows and granules must agree in, such as a product:
+    another platform's granules don't make a day one to process."""
+    key = ["product"] if key is None else key
+    days = windows.select("window_id", *key, F.explode(F.sequence("start", "end")).alias("acq_date"))
+    n = granules.groupBy(*key, "acq_date").agg(F.count("*").alias("n"))
+    j = days.join(n, [*key, "acq_date"], "left").withColumn("n_granules", F.coalesce("n", F.lit(0)))
+    return j.select("window_id", *key, "acq_date", "n_granules", F.when(F.col("n_granules") > 0, "process").otherwise("skip").alias("action"))

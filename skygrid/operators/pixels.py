@@ -15,10 +15,26 @@ def to_reflectance(pixels: DataFrame, bands: list[str], preset: str = "sentinel2
     return pixels.withColumns({b: reflectance(F.col(b), preset) for b in bands})
 
 
-def join_masks(pixels: DataFrame, cloud: DataFrame, snow: DataFrame | None = None, key: list[str] = CELL) -> DataFrame:
-    """Cloud classes by an inner join on cells, snow by a left one."""
-    j = pixels.join(cloud, key)
-    return j.join(snow, key, "left") if snow is not None else j
+def join_masks(pixels: DataFrame, cloud: DataFrame, snow: DataFrame | None = None, key: list[str] = CELL, strict: bool = True) -> DataFrame:
+    """Cloud classes by cell, snow where there is some. A cell that only the
+    image or only the cloud mask has is an error, found by the join itself, as
+    is one of the snow mask beside the image; without ``strict`` such cells
+    are left out."""
+    if not strict:
+        j = pixels.join(cloud, key)
+        return j.join(snow, key, "left") if snow is not None else j
+    j = _same_cells(pixels, cloud, key, "an image and its cloud mask differ in their cells", "full")
+    # A right join would lose the image's cells; a full one shows both sides.
+    return _same_cells(j, snow, key, "a snow mask has cells that its image lacks", "left of") if snow is not None else j
+
+
+def _same_cells(a: DataFrame, b: DataFrame, key: list[str], message: str, kind: str) -> DataFrame:
+    """Full join of cells; raises where ``b`` has no partner, and for kind
+    "full" where ``a`` has none."""
+    names = [*a.columns, *[c for c in b.columns if c not in key]]
+    j = a.withColumn("in_a", F.lit(True)).join(b.withColumn("in_b", F.lit(True)), key, "full")
+    fine = F.col("in_a").isNotNull() & (F.col("in_b").isNotNull() if kind == "full" else F.lit(True))
+    return j.where(F.when(fine, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))).select(*names)
 
 
 def masked_out(cloud: Column, snow: Column, first_band: Column, bands: list[Column], classes=CLOUD_CLASSES, nodata=0) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, radiometry
 from .aoi import FEW_EDGES, holds_written_out, points_in_areas
+from .sizes import small
 
 
 def tile_affine(tiles: DataFrame, pixels: int) -> DataFrame:
@@ -27,10 +28,16 @@ def global_cells(cells: DataFrame, pixels: int) -> DataFrame:
 
 
 def crop_window(grid: DataFrame, res: float, strict: bool = True) -> DataFrame:
+    """``crop_windows`` of grids of one resolution."""
+    return crop_windows(grid.withColumn("res", F.lit(float(res))), strict).drop(*(["res"] if "res" not in grid.columns else []))
+
+
+def crop_windows(grid: DataFrame, strict: bool = False) -> DataFrame:
     """Row and column offsets and lengths of an area's box (ax0, ay0, ax1,
-    ay1) on a grid (left_x, top_y, width, height): offsets rounded down,
+    ay1) on a grid (left_x, top_y, res, width, height): offsets rounded down,
     lengths up, cut to the grid. Without overlap it is an error if ``strict``,
     else the area gets no row."""
+    res = F.col("res")
     g = grid.withColumns({"right_x": F.col("left_x") + F.col("width") * res, "bottom_y": F.col("top_y") - F.col("height") * res})
     x0, x1 = F.greatest("ax0", "left_x"), F.least("ax1", "right_x")
     y0, y1 = F.greatest("ay0", "bottom_y"), F.least("ay1", "top_y")
@@ -79,7 +86,7 @@ def mask_outside(cells: DataFrame, sr: list[str], qa: dict[str, int | None]) ->
 def scale_layers(cells: DataFrame, layers: DataFrame) -> DataFrame:
     """cells: field, dn. layers: field, kind, scale, offset, fill. SR layers
     are scaled, QA passes; an SR layer without scale is an error."""
-    j = cells.join(F.broadcast(layers.select("field", "kind", "scale", "offset", "fill")), "field")
+    j = cells.join(small(layers.select("field", "kind", "scale", "offset", "fill")), "field")
     missing = F.raise_error(F.concat(F.lit("no scale for "), F.col("field"))).cast("float")
     sr = F.when(F.col("scale").isNull(), missing).otherwise(radiometry.scale_offset(F.col("dn"), F.col("scale"), F.col("offset"), F.col("fill")))
     return j.withColumn("value", F.when(F.col("kind") == "sr", sr)).withColumn("qa", F.when(F.col("kind") == "qa", F.col("dn").cast("long")))

@@ -1,16 +1,31 @@
-"""From tiled granules to scaled, clipped daily grids."""
+"""From tiled granules to scaled, clipped daily grids and layers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import catalog, tiles
+from ..functions import geo
+from ..operators import aoi, catalog, intervals, spans, tiles
+from ..operators.sizes import small
+
+FIRST = ["product", "acq_date", "field", "h", "v", "row_idx", "col_idx"]
+
+
+def mosaic(cells: DataFrame, layers: DataFrame, key: list[str]) -> DataFrame:
+    """The first granule with data wins, in order of ids. Raw numbers are
+    BIGINT, as fills of unsigned 32-bit layers are beyond INT."""
+    c = cells.join(small(layers.select("field", F.col("fill").cast("long").alias("fill"))), "field").withColumn("dn", F.col("dn").cast("long"))
+    first = F.min_by("dn", F.when(F.col("fill").isNull() | (F.col("dn") != F.col("fill")), F.col("granule_id")))
+    return c.groupBy(*key).agg(F.coalesce(first, F.min("fill")).alias("dn"))
 
 
 def process_days(granules: DataFrame, cells: DataFrame, layers: DataFrame, windows: DataFrame, done: DataFrame | None = None, expected: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(values, report). granules: granule_id, filename; cells: granule_id,
-    field, row_idx, col_idx, dn; windows: window_id, start, end.
+    """(values, report) of whole tiles. granules: granule_id, filename; cells:
+    granule_id, field, row_idx, col_idx, dn; windows: window_id, start, end and,
+    if a window is one product's, product.
 
     Days whose outputs are all there are left out. Where tiles of a day
     overlap, the first granule with data wins. Platforms are never merged.
@@ -18,10 +33,105 @@ def process_days(granules: DataFrame, cells: DataFrame, layers: DataFrame, windo
     g = catalog.parse_granules(granules)
     if done is not None:
         g = catalog.skip_existing(g, done, ["product", "acq_date"], expected)
-    days = windows.select(F.explode(F.sequence("start", "end")).alias("acq_date")).distinct()
-    g = g.join(days, "acq_date", "left_semi")
-    c = cells.join(g.select("granule_id", "product", "acq_date", "h", "v"), "granule_id").join(F.broadcast(layers.select("field", "fill")), "field")
-    key = ["product", "acq_date", "field", "h", "v", "row_idx", "col_idx"]
+    by = ["product"] if "product" in windows.columns else []
+    days = windows.select(*by, F.explode(F.sequence("start", "end")).alias("acq_date")).distinct()
+    g = g.join(days, [*by, "acq_date"], "left_semi")
+    c = cells.join(g.select("granule_id", "product", "acq_date", "h", "v"), "granule_id")
+    return tiles.scale_layers(mosaic(c, layers, FIRST), layers), catalog.calendar_coverage(windows, g, by)
+
+
+@dataclass
+class Layers:
+    """What an area's days come to. values: aoi_id, product, acq_date, kind,
+    resolution, field, row_idx, col_idx (in the area's window), value, qa.
+    windows: each output's place on its mosaic. groups, sidecars: one row an
+    output, as ``tiles.layer_groups`` and ``layer_sidecars`` give them.
+    report: each day of each window with what becomes of it."""
+
+    values: DataFrame
+    windows: DataFrame
+    groups: DataFrame
+    sidecars: DataFrame
+    report: DataFrame
+
+
+def _grid_of_days(days: DataFrame, layers: DataFrame) -> DataFrame:
+    """The mosaic of each area's day: the rectangle of tiles that its granules
+    span, once a pixel count of the layers."""
+    span = {n: f(c).alias(n) for n, f, c in (("h0", F.min, "h"), ("h1", F.max, "h"), ("v0", F.min, "v"), ("v1", F.max, "v"))}
+    m = days.groupBy("aoi_id", "product", "acq_date").agg(*span.values())
+    m = m.join(small(layers.select("product", "pixels").distinct()), "product")
+    x, y = geo.tile_origin("h0", "v0")
+    return m.select(
+        "aoi_id", "product", "acq_date", "pixels", "h0", "v0", F.expr(x).alias("left_x"), F.expr(y).alias("top_y"), (F.lit(geo.TILE_SIZE) / F.col("pixels")).alias("res"),
+        ((F.col("h1") - F.col("h0") + 1) * F.col("pixels")).alias("width"), ((F.col("v1") - F.col("v0") + 1) * F.col("pixels")).alias("height"),
+    )
+
+
+def process_areas(granules: DataFrame, cells: DataFrame, layers: DataFrame, windows: DataFrame, areas: DataFrame, done: DataFrame | None = None, clip: bool = True, tolerance: float = aoi.TOLERANCE) -> Layers:
+    """From GeoJSON in degrees to layers, for all areas, windows and products in
+    one job. granules and cells as for process_days; layers: product, field,
+    kind, resolution, pixels (a tile's side), bits, scale, offset, fill,
+    sds_path; windows: aoi_id, window_id, start, end; areas: aoi_id, geojson.
+
+    An area's tiles follow from its shape on the sinusoidal grid. A day's
+    granules of these tiles are mosaicked, cut to the window of the area's box
+    on that mosaic, scaled, and masked outside the area: reflectance is missing
+    there and QA has its fill. ``done`` (aoi_id, product, acq_date) is left out.
+    """
+    edges = aoi.aoi_edges(areas)
+    on_grid = aoi.project_edges(edges, "sinusoidal", tolerance)
+    found = intervals.granules_in_windows(catalog.parse_granules(granules), windows, edges)
+    wanted = found if done is None else catalog.skip_existing(found, done, ["aoi_id", "product", "acq_date"])
+    days = wanted.select("aoi_id", "product", "acq_date", "granule_id", "h", "v").distinct()
+    grid = _grid_of_days(days, layers)
+    if clip:
+        box = aoi.aoi_bbox(on_grid).select("aoi_id", F.col("west").alias("ax0"), F.col("south").alias("ay0"), F.col("east").alias("ax1"), F.col("north").alias("ay1"))
+        # An area that only touches a tile has no window on it, and no row.
+        window = tiles.crop_windows(grid.join(box, "aoi_id"))
+    else:
+        window = grid.withColumns({"col_off": F.lit(0).cast("long"), "row_off": F.lit(0).cast("long"), "n_cols": F.col("width").cast("long"), "n_rows": F.col("height").cast("long")})
+    window = window.select("aoi_id", "product", "acq_date", "pixels", "h0", "v0", "left_x", "top_y", "res", "row_off", "col_off", "n_rows", "n_cols")
+    place = small(layers.select("product", "field", "kind", "resolution", "pixels"))
+    c = cells.join(days, "granule_id").join(place, ["product", "field"]).join(window.drop("left_x", "top_y", "res"), ["aoi_id", "product", "acq_date", "pixels"])
+    row = (F.col("v") - F.col("v0")) * F.col("pixels") + F.col("row_idx") - F.col("row_off")
+    col = (F.col("h") - F.col("h0")) * F.col("pixels") + F.col("col_idx") - F.col("col_off")
+    c = c.withColumns({"row_idx": row.cast("long"), "col_idx": col.cast("long")}).where((F.col("row_idx") >= 0) & (F.col("row_idx") < F.col("n_rows")) & (F.col("col_idx") >= 0) & (F.col("col_idx") < F.col("n_cols")))
+    out = ["aoi_id", "product", "acq_date", "kind", "resolution", "pixels", "field"]
+    m = _mosaic_of_products(c, layers, [*out, "row_idx", "col_idx"])
+    if clip:
+        # Windows of one place and size share their rows' spans.
+        raster = ["left_x", "top_y", "res", "n_rows", "n_cols"]
+        moved = window.withColumns({"left_x": F.col("left_x") + F.col("col_off") * F.col("res"), "top_y": F.col("top_y") - F.col("row_off") * F.col("res")})
+        rasters = moved.select("aoi_id", *raster).distinct().withColumnsRenamed({"n_rows": "height", "n_cols": "width"})
+        runs = spans.row_spans(on_grid, rasters.withColumn("raster", _raster_of("width", "height")), ["raster"])
+        m = m.join(moved.select("aoi_id", "product", "acq_date", "pixels", _raster_of("n_cols", "n_rows").alias("raster")), ["aoi_id", "product", "acq_date", "pixels"])
+        m = spans.in_spans(m, runs, ["aoi_id", "raster"]).drop("raster")
+    else:
+        m = m.withColumn("in_area", F.lit(True))
+    values = _scaled(m, layers).drop("in_area", "pixels")
+    used = days.select("product").distinct().join(small(layers), "product")
+    products = sorted(r["product"] for r in layers.select("product").distinct().collect())
+    asked = windows if "product" in windows.columns else windows.withColumn("product", F.explode(F.array(*map(F.lit, products))))
+    coverage = catalog.calendar_coverage(asked, days, ["aoi_id", "product"])
+    return Layers(values, window, tiles.layer_groups(used, ["product"]), tiles.layer_sidecars(used, ["product"]), coverage)
+
+
+def _raster_of(width: str, height: str) -> Column:
+    return F.struct("left_x", "top_y", "res", F.col(width).cast("long").alias("width"), F.col(height).cast("long").alias("height"))
+
+
+def _mosaic_of_products(cells: DataFrame, layers: DataFrame, key: list[str]) -> DataFrame:
+    c = cells.join(small(layers.select("product", "field", F.col("fill").cast("long").alias("fill"))), ["product", "field"]).withColumn("dn", F.col("dn").cast("long"))
     first = F.min_by("dn", F.when(F.col("fill").isNull() | (F.col("dn") != F.col("fill")), F.col("granule_id")))
-    mosaic = c.groupBy(*key).agg(F.coalesce(first, F.min("fill").cast("int")).alias("dn"))
-    return tiles.scale_layers(mosaic, layers), catalog.calendar_coverage(windows, g)
+    return c.groupBy(*key).agg(F.coalesce(first, F.min("fill")).alias("dn"))
+
+
+def _scaled(cells: DataFrame, layers: DataFrame) -> DataFrame:
+    """Scaled reflectance inside the area; QA, with its fill outside."""
+    keyed = layers.withColumn("layer", F.concat_ws("/", "product", "field")).select(F.col("layer").alias("field"), "kind", "scale", "offset", "fill")
+    c = cells.withColumn("name", F.col("field")).withColumn("field", F.concat_ws("/", "product", "field")).drop("kind")
+    s = tiles.scale_layers(c, keyed)
+    value = F.when(F.col("in_area"), F.col("value"))
+    qa = F.when(F.col("in_area") | F.col("fill").isNull(), F.col("qa")).when(F.col("kind") == "qa", F.col("fill").cast("long"))
+    return s.select("aoi_id", "product", "acq_date", "kind", "resolution", "pixels", F.col("name").alias("field"), "row_idx", "col_idx", "in_area", value.alias("value"), qa.alias("qa"))

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import geo, parsing, radiometry
-from .operators import aoi, catalog, chips, composite, detections, grids, pixels, report, tiles
-from .plans import imagery
+from .operators import aoi, catalog, chips, composite, detections, grids, intervals, pixels, report, spans, tiles
+from .plans import imagery, surface_reflectance
 from .plans.scratch import cut, shared_dir
-from .sources import readers, sinks, views
+from .sources import outputs, readers, sinks, views
 from .sources.views import read
 from .streaming import detections as stream
 
@@ -421,6 +421,52 @@ def scene_intersects_exact(spark, d):
     return aoi.boxes_in_areas(read(spark, d, "fx_scenes"), _edges(spark, d))
 
 
+# Whole thousandths of a degree, so that touching is exact.
+_POLYGONS = """a AS (SELECT aoi_id, part, ring, edge, CAST(round(x1 * 1000) AS BIGINT) AS x1, CAST(round(y1 * 1000) AS BIGINT) AS y1, CAST(round(x2 * 1000) AS BIGINT) AS x2, CAST(round(y2 * 1000) AS BIGINT) AS y2 FROM fx_edges),
+ fb AS (SELECT item_id, min(x1) AS w, min(y1) AS s, max(x1) AS e, max(y1) AS n FROM fx_footprints GROUP BY item_id), ab AS (SELECT aoi_id, min(x1) AS w, min(y1) AS s, max(x1) AS e, max(y1) AS n FROM a GROUP BY aoi_id),
+ k AS (SELECT item_id, aoi_id FROM fb JOIN ab ON fb.w <= ab.e AND fb.e >= ab.w AND fb.s <= ab.n AND fb.n >= ab.s),
+ o AS (SELECT k.item_id, k.aoi_id, (f.x2 - f.x1) * (a.y1 - f.y1) - (f.y2 - f.y1) * (a.x1 - f.x1) AS s1, (f.x2 - f.x1) * (a.y2 - f.y1) - (f.y2 - f.y1) * (a.x2 - f.x1) AS s2, (a.x2 - a.x1) * (f.y1 - a.y1) - (a.y2 - a.y1) * (f.x1 - a.x1) AS s3, (a.x2 - a.x1) * (f.y2 - a.y1) - (a.y2 - a.y1) * (f.x2 - a.x1) AS s4
+   FROM k JOIN fx_footprints f ON f.item_id = k.item_id JOIN a ON a.aoi_id = k.aoi_id WHERE least(f.x1, f.x2) <= greatest(a.x1, a.x2) AND greatest(f.x1, f.x2) >= least(a.x1, a.x2) AND least(f.y1, f.y2) <= greatest(a.y1, a.y2) AND greatest(f.y1, f.y2) >= least(a.y1, a.y2)),
+ fi AS (SELECT k.item_id, k.aoi_id, a.part, a.ring, sum(CASE WHEN (a.y1 > f.y1) <> (a.y2 > f.y1) AND (f.x1 - a.x1) * abs(a.y2 - a.y1) < (a.x2 - a.x1) * (f.y1 - a.y1) * sign(a.y2 - a.y1) THEN 1 ELSE 0 END) % 2 AS odd FROM k JOIN fx_footprints f ON f.item_id = k.item_id AND f.edge = 0 JOIN a ON a.aoi_id = k.aoi_id GROUP BY k.item_id, k.aoi_id, a.part, a.ring),
+ ai AS (SELECT k.item_id, k.aoi_id, a.part, sum(CASE WHEN (f.y1 > a.y1) <> (f.y2 > a.y1) AND (a.x1 - f.x1) * abs(f.y2 - f.y1) < (f.x2 - f.x1) * (a.y1 - f.y1) * sign(f.y2 - f.y1) THEN 1 ELSE 0 END) % 2 AS odd FROM k JOIN a ON a.aoi_id = k.aoi_id AND a.ring = 0 AND a.edge = 0 JOIN fx_footprints f ON f.item_id = k.item_id GROUP BY k.item_id, k.aoi_id, a.part)
+ SELECT item_id, aoi_id FROM o WHERE sign(s1) * sign(s2) <= 0 AND sign(s3) * sign(s4) <= 0 UNION SELECT item_id, aoi_id FROM ai WHERE odd = 1
+ UNION SELECT item_id, aoi_id FROM (SELECT item_id, aoi_id, part, max(CASE WHEN ring = 0 THEN odd ELSE 0 END) AS outer_odd, max(CASE WHEN ring > 0 THEN odd ELSE 0 END) AS hole_odd FROM fi GROUP BY item_id, aoi_id, part) q WHERE outer_odd = 1 AND hole_odd = 0"""
+
+
+@query(_with(_POLYGONS), "fx_footprints", "fx_edges")
+def scene_intersects_polygons(spark, d):
+    """Scenes whose tilted footprints share a point with an area."""
+    f = read(spark, d, "fx_footprints").select(F.col("item_id").alias("aoi_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "edge", *[(F.col(c) / 1000).alias(c) for c in aoi.EDGE])
+    return aoi.polygons_in_areas(f, _edges(spark, d))
+
+
+def _windows(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "fx_windows").withColumnsRenamed({"first_day": "start", "last_day": "end"})
+
+
+@query(f" SELECT w.aoi_id, w.window_id, s.item_id FROM ({SQL['scene_intersects_exact']}) m JOIN fx_scenes s ON s.item_id = m.item_id JOIN fx_windows w ON w.aoi_id = m.aoi_id AND CAST(s.acquired AS DATE) BETWEEN first_day AND last_day WHERE s.cloud_cover < 80", "fx_scenes", "fx_windows")
+def scenes_in_windows(spark, d):
+    """All areas' searches, with all their windows, in one job."""
+    return intervals.scenes_in_windows(read(spark, d, "fx_scenes"), _windows(spark, d), _edges(spark, d))
+
+
+def _region_texts(spark: SparkSession, d: str) -> DataFrame:
+    ring = F.array(*[F.array(x, y) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
+    return read(spark, d, "fx_regions").select("aoi_id", F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))).alias("geojson"))
+
+
+# A rectangle of positive degrees meets, in a row of tiles, those from its west
+# at the row's northmost latitude to its east at the southmost one.
+_TILES = """z AS (SELECT r.*, CAST(v AS INT) AS v, greatest(south, 80e0 - v * 10) AS lo, least(north, 90e0 - v * 10) AS hi FROM fx_regions r CROSS JOIN (SELECT unnest(generate_series(0, 17)) AS v) q),
+ t AS (SELECT aoi_id, v, CAST(unnest(generate_series(CAST(floor(18 + west * cos(hi * pi() / 180e0) / 10) AS BIGINT), CAST(floor(18 + east * cos(lo * pi() / 180e0) / 10) AS BIGINT))) AS INT) AS h FROM z WHERE lo <= hi)"""
+
+
+@query(_with(_TILES) + " SELECT aoi_id, h, v FROM t", "fx_regions")
+def area_tiles(spark, d):
+    """From GeoJSON to the tiles that cover it."""
+    return aoi.covering_tiles(aoi.aoi_edges(_region_texts(spark, d)))
+
+
 _CENTRE = ("((west + east) / 2e0)", "((south + north) / 2e0)")
 
 
@@ -672,15 +718,24 @@ def granule_search(spark, d):
     return catalog.granule_search(_granules(spark, d), covering, "1996-03-01", "1996-08-31").select("granule_id")
 
 
+@query(_with(f"{_GRAN}, {_TILES}") + " SELECT w.aoi_id, w.window_id, g.granule_id FROM g JOIN t ON g.h = t.h AND g.v = t.v JOIN fx_windows w ON w.aoi_id = t.aoi_id AND g.acq_date BETWEEN first_day AND last_day", "fx_granules", "fx_regions", "fx_windows")
+def granules_in_windows(spark, d):
+    """Granules on the tiles that cover each region, in each of its windows."""
+    found = intervals.granules_in_windows(_granules(spark, d), _windows(spark, d), aoi.aoi_edges(_region_texts(spark, d)))
+    return found.select("aoi_id", "window_id", "granule_id")
+
+
 @query(_with(_GRAN) + " SELECT product, acq_date, string_agg(DISTINCT tile, ',' ORDER BY tile) AS tiles, count(*) AS n_granules FROM g GROUP BY product, acq_date", "fx_granules")
 def granules_by_date(spark, d):
     return catalog.granules_by_date(_granules(spark, d)).withColumn("tiles", F.array_join("tiles", ","))
 
 
-@query(_with(f"{_GRAN}, m AS (SELECT acq_date, count(*) AS n FROM g GROUP BY acq_date), w AS (SELECT product AS window_id, CAST(unnest(generate_series(CAST(min(acq_date) AS TIMESTAMP), CAST(max(acq_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS acq_date FROM g GROUP BY product)") + " SELECT window_id, w.acq_date, coalesce(n, 0) AS n_granules, CASE WHEN n IS NULL THEN 'skip' ELSE 'process' END AS action FROM w LEFT JOIN m ON w.acq_date = m.acq_date", "fx_granules")
+@query(_with(f"{_GRAN}, m AS (SELECT product, acq_date, count(*) AS n FROM g GROUP BY product, acq_date), w AS (SELECT product AS window_id, product, CAST(unnest(generate_series(CAST(min(acq_date) AS TIMESTAMP), CAST(max(acq_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS acq_date FROM g GROUP BY product)") + " SELECT window_id, w.product, w.acq_date, coalesce(n, 0) AS n_granules, CASE WHEN n IS NULL THEN 'skip' ELSE 'process' END AS action FROM w LEFT JOIN m ON w.product = m.product AND w.acq_date = m.acq_date", "fx_granules")
 def calendar_coverage(spark, d):
+    """A product's days from its first to its last; another product's granules
+    don't make a day one to process."""
     g = _granules(spark, d)
-    windows = g.groupBy(F.col("product").alias("window_id")).agg(F.min("acq_date").alias("start"), F.max("acq_date").alias("end"))
+    windows = g.groupBy(F.col("product").alias("window_id"), "product").agg(F.min("acq_date").alias("start"), F.max("acq_date").alias("end"))
     return catalog.calendar_coverage(windows, g)
 
 
@@ -814,3 +869,81 @@ def crop_cells(spark, d):
     box = {"ax0": left + 300.1 * res, "ax1": left + (1800 - 0.1) * res, "ay0": top - (900 - 0.1) * res, "ay1": top - 100.1 * res}
     grid = t.select("h", "v").distinct().select("h", "v", F.expr(x).alias("left_x"), F.expr(y).alias("top_y"), F.lit(size).alias("width"), F.lit(size).alias("height"), *[F.lit(b).alias(n) for n, b in box.items()])
     return tiles.crop_cells(t, tiles.crop_window(grid, res), ["h", "v"]).select("platform", "h", "v", "granule_ord", "row_idx", "col_idx", "sr_dn")
+
+
+_DEGREES = '{"type":"Feature","geometry":{"type":"Polygon","coordinates":[[[121.03,30.41],[131.52,31.07],[128.55,38.21],[123.31,39.13],[121.03,30.41]],[[125.2,33.1],[127.9,33.4],[126.4,36.2],[125.2,33.1]]]}}'
+_DEGREE_EDGES = "e(ring, x1, y1, x2, y2) AS (VALUES (0, 121.03e0, 30.41e0, 131.52e0, 31.07e0), (0, 131.52e0, 31.07e0, 128.55e0, 38.21e0), (0, 128.55e0, 38.21e0, 123.31e0, 39.13e0), (0, 123.31e0, 39.13e0, 121.03e0, 30.41e0), (1, 125.2e0, 33.1e0, 127.9e0, 33.4e0), (1, 127.9e0, 33.4e0, 126.4e0, 36.2e0), (1, 126.4e0, 36.2e0, 125.2e0, 33.1e0))"
+# Cells' centres are taken back to degrees, where the area's edges are straight.
+_IN_DEGREES = """c AS (SELECT *, (9 - v - (row_idx + 0.5e0) / 1200) * 10e0 AS lat FROM fx_tile_pixels), l AS (SELECT *, (h - 18 + (col_idx + 0.5e0) / 1200) * 10e0 / cos(lat * pi() / 180e0) AS lon FROM c),
+ i AS (SELECT platform, h, v, granule_ord, row_idx, col_idx, any_value(sr_dn) AS sr_dn, any_value(qa_raw) AS qa_raw, sum(CASE WHEN ring = 0 AND (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1 AND sum(CASE WHEN ring = 1 AND (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 0 AS inside
+  FROM l CROSS JOIN e GROUP BY platform, h, v, granule_ord, row_idx, col_idx)"""
+_MASKED = " SELECT platform, h, v, granule_ord, row_idx, col_idx, CASE WHEN inside THEN sr_dn END AS sr_dn, CASE WHEN inside THEN qa_raw ELSE 65535 END AS qa_raw FROM i"
+_PIXEL = ["platform", "h", "v", "granule_ord", "row_idx", "col_idx"]
+
+
+@query(_with(f"{_DEGREE_EDGES}, {_IN_DEGREES}") + _MASKED, "fx_tile_pixels")
+def aoi_pixel_mask_degrees(spark, d):
+    """From GeoJSON in degrees, projected to the tiles' grid, to a mask."""
+    edges = aoi.project_edges(aoi.aoi_edges(spark.createDataFrame([(1, _DEGREES)], "aoi_id int, geojson string")), "sinusoidal")
+    cells = read(spark, d, "fx_tile_pixels").withColumns({"cx_m": F.expr(_CX), "cy_m": F.expr(_CY)})
+    return tiles.mask_outside(tiles.in_areas(cells, edges, _PIXEL), ["sr_dn"], {"qa_raw": 65535}).select(*_PIXEL, "sr_dn", "qa_raw")
+
+
+@query(_with(f"{_DEGREE_EDGES}, {_IN_DEGREES}") + _MASKED, "fx_tile_pixels")
+def aoi_row_spans(spark, d):
+    """The same mask by runs of columns, worked out once a row of each tile."""
+    edges = aoi.project_edges(aoi.aoi_edges(spark.createDataFrame([(1, _DEGREES)], "aoi_id int, geojson string")), "sinusoidal")
+    cells = read(spark, d, "fx_tile_pixels").withColumn("aoi_id", F.lit(1))
+    x, y = geo.tile_origin("h", "v")
+    of_tiles = cells.select("aoi_id", "h", "v").distinct().select("aoi_id", "h", "v", F.expr(x).alias("left_x"), F.expr(y).alias("top_y"), F.lit(geo.TILE_SIZE / 1200).alias("res"), F.lit(1200).alias("width"), F.lit(1200).alias("height"))
+    masked = spans.in_spans(cells, spans.row_spans(edges, of_tiles, ["h", "v"]), ["aoi_id", "h", "v"])
+    return tiles.mask_outside(masked, ["sr_dn"], {"qa_raw": 65535}).select(*_PIXEL, "sr_dn", "qa_raw")
+
+
+_AREA_LAYERS = (("refl", "sr", "500m", 24, 16, 0.0001, None, -28672.0, "refl_1"), ("qc", "qa", "500m", 24, 32, None, None, 4294967295.0, "qc_1"), ("state", "qa", "1km", 12, 16, None, None, 65535.0, "state_1"))
+_AREA_SQL_STEPS = f"""{_GRAN}, {_TILES}, days AS (SELECT DISTINCT t.aoi_id, g.product, g.acq_date, g.granule_id, g.h, g.v FROM g JOIN t ON g.h = t.h AND g.v = t.v JOIN fx_windows w ON w.aoi_id = t.aoi_id AND g.acq_date BETWEEN first_day AND last_day),
+ ext AS (SELECT aoi_id, product, acq_date, min(h) AS h0, max(h) AS h1, min(v) AS v0, max(v) AS v1 FROM days GROUP BY aoi_id, product, acq_date),
+ box AS (SELECT x.*, p, 18 + west * cos(north * pi() / 180e0) / 10e0 AS ax0, 18 + east * cos(south * pi() / 180e0) / 10e0 AS ax1, 9 - north / 10e0 AS ay0, 9 - south / 10e0 AS ay1, west, south, east, north FROM ext x JOIN fx_regions r USING (aoi_id) CROSS JOIN (VALUES (12), (24)) AS s(p)),
+ win AS (SELECT *, CAST(floor((greatest(ax0, h0) - h0) * p) AS BIGINT) AS c0, CAST(floor((greatest(ay0, v0) - v0) * p) AS BIGINT) AS r0, CAST(ceil((least(ax1, h1 + 1) - greatest(ax0, h0)) * p) AS BIGINT) AS nc, CAST(ceil((least(ay1, v1 + 1) - greatest(ay0, v0)) * p) AS BIGINT) AS nr FROM box WHERE greatest(ax0, h0) < least(ax1, h1 + 1) AND greatest(ay0, v0) < least(ay1, v1 + 1)),
+ k AS (SELECT *, CASE field WHEN 'state' THEN 12 ELSE 24 END AS p, CASE field WHEN 'refl' THEN -28672 WHEN 'qc' THEN 4294967295 ELSE 65535 END AS fill FROM fx_granule_cells),
+ j AS (SELECT d.aoi_id, d.product, d.acq_date, k.granule_id, k.field, k.dn, k.fill, (d.v - w.v0) * w.p + k.row_idx AS gr, (d.h - w.h0) * w.p + k.col_idx AS gc, w.* EXCLUDE (aoi_id, product, acq_date) FROM k JOIN days d ON d.granule_id = k.granule_id JOIN win w ON w.aoi_id = d.aoi_id AND w.product = d.product AND w.acq_date = d.acq_date AND w.p = k.p),
+ m AS (SELECT aoi_id, product, acq_date, field, gr, gc, coalesce(min_by(dn, granule_id) FILTER (dn <> fill), any_value(fill)) AS dn, any_value(fill) AS fill, any_value(c0) AS c0, any_value(r0) AS r0, any_value(h0) AS h0, any_value(v0) AS v0, any_value(p) AS p, any_value(west) AS west, any_value(south) AS south, any_value(east) AS east, any_value(north) AS north
+   FROM j WHERE gr BETWEEN r0 AND r0 + least(nr, (v1 - v0 + 1) * p - r0) - 1 AND gc BETWEEN c0 AND c0 + least(nc, (h1 - h0 + 1) * p - c0) - 1 GROUP BY aoi_id, product, acq_date, field, gr, gc),
+ n AS (SELECT *, (9 - v0 - (gr + 0.5e0) / p) * 10e0 AS lat FROM m), q AS (SELECT *, (h0 - 18 + (gc + 0.5e0) / p) * 10e0 / cos(lat * pi() / 180e0) AS lon FROM n), i AS (SELECT *, lat BETWEEN south AND north AND lon BETWEEN west AND east AS inside FROM q)"""
+
+
+@query(_with(_AREA_SQL_STEPS) + """ SELECT aoi_id, product, acq_date, CASE field WHEN 'refl' THEN 'sr' ELSE 'qa' END AS kind, CASE field WHEN 'state' THEN '1km' ELSE '500m' END AS resolution, field, gr - r0 AS row_idx, gc - c0 AS col_idx,
+ CASE WHEN field = 'refl' AND inside AND dn <> fill THEN CAST(CAST(CAST(dn AS FLOAT) AS DOUBLE) * 0.0001e0 AS FLOAT) END AS value, CASE WHEN field <> 'refl' THEN CASE WHEN inside THEN dn ELSE fill END END AS qa FROM i""", "fx_granules", "fx_regions", "fx_windows", "fx_granule_cells")
+def area_layers(spark, d):
+    """The whole tiled plan: from GeoJSON and windows to the cropped, masked and
+    scaled layers of every region, product and day."""
+    layers = spark.createDataFrame([(p, *x) for p in ("MOD09GA", "MYD09GA", "VNP09GA") for x in _AREA_LAYERS], "product string, field string, kind string, resolution string, pixels int, bits int, scale double, offset double, fill double, sds_path string")
+    out = surface_reflectance.process_areas(read(spark, d, "fx_granules"), read(spark, d, "fx_granule_cells"), layers, _windows(spark, d), _region_texts(spark, d))
+    return out.values
+
+
+@query(_with(_TYPED) + f" SELECT {_FAMILY} AS family, strftime(day, '%Y%m%d') AS acq_day, CASE WHEN day = (SELECT min(day) FROM t WHERE lon IS NOT NULL AND lat IS NOT NULL) THEN 3 ELSE 2 END AS version, count(*) AS n, CAST(max(count(*)) OVER (PARTITION BY day) AS BIGINT) > 0 AS is_done FROM t WHERE day IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL GROUP BY 1, 2, day", "fx_detections")
+def outputs_rerun(spark, d):
+    """Daily outputs over four runs into one folder. The first writes the
+    earlier half of the days; the second is cut off after data, before the
+    record; the third resumes and works what is not done; the last works the
+    first day again. Versions say which run a day's rows come from."""
+    t = detections.located(_typed(spark, d)).withColumns({"family": detections.family(F.col("source")), "acq_day": F.date_format("day", "yyyyMMdd")}).select("event_id", "family", "acq_day")
+    path, by, key = shared_dir(spark, "outputs"), ["family", "acq_day"], ["acq_day"]
+    days = t.select("acq_day").distinct()
+    first, middle = days.agg(F.min("acq_day"), F.percentile_approx(F.col("acq_day").cast("int"), 0.5).cast("string")).first()
+
+    def rows(work: DataFrame, version: int) -> DataFrame:
+        return t.join(work.select("acq_day"), "acq_day", "left_semi").withColumn("version", F.lit(version))
+
+    if first is not None:
+        early = days.where(F.col("acq_day") <= middle)
+        outputs.write_outputs(rows(early, 2), path, by, early, key)
+        outputs.write_partitions(rows(days.where(F.col("acq_day") > middle), 1), path, by)  # never noted as done
+        rest = cut(outputs.still_to_do(days, path, key), "still-to-do")
+        outputs.write_outputs(rows(rest, 2), path, by, rest, key)
+        again = days.where(F.col("acq_day") == first)
+        outputs.write_outputs(rows(again, 3), path, by, again, key)
+    done = outputs.outputs_done(spark, path, key).select("acq_day", (F.col("n_rows") > 0).alias("is_done"))
+    back = spark.read.schema("event_id long, version int, family string, acq_day string").parquet(path) if first is not None else t.limit(0).withColumn("version", F.lit(0))
+    return back.groupBy("family", "acq_day", "version").agg(F.count("*").alias("n")).join(done, "acq_day").select("family", "acq_day", "version", "n", "is_done")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import radiometry
 from ..operators.catalog import typed_scenes
+from ..operators.sizes import small
 from ..operators.tiles import missing_layers
 
 DETECTION_COLUMNS = ("latitude", "longitude", "brightness", "scan", "track", "acq_date", "acq_time", "satellite", "instrument", "confidence", "version", "bright_t31", "frp", "daynight")
@@ -43,7 +44,7 @@ def layer_scan(cells: DataFrame, layers: DataFrame, complete: bool = False) -> D
         absent = [r["field"] for r in missing_layers(layers, cells).select("field").limit(10).collect()]
         if absent:
             raise ValueError(f"layers without cells: {', '.join(sorted(absent))}")
-    return cells.join(F.broadcast(layers), "field")
+    return cells.join(small(layers), "field")
 
 
 def in_valid_range(value: Column, low: Column, high: Column) -> Column:

@@ -1,4 +1,8 @@
-"""Sinks: partitioned Parquet or CSV, GeoJSON text."""
+"""Sinks: partitioned Parquet or CSV, GeoJSON text.
+
+Sinks with partitions overwrite those that they have rows of and leave others;
+``sources.outputs`` adds the record of what is done.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.detections import family
+from .outputs import write_partitions
 
 
 def write_detections_by_day(located: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", file_rows: int = 2_000_000) -> None:
@@ -15,24 +20,24 @@ def write_detections_by_day(located: DataFrame, path: str, fmt: str = "parquet",
     files = d.groupBy(F.col("family").alias("n_family"), F.col("acq_day").alias("n_day")).agg(F.ceil(F.count("*") / file_rows).alias("n_files"))
     dealt = d.join(files, (F.col("family") == F.col("n_family")) & (F.col("acq_day") == F.col("n_day"))).drop("n_family", "n_day")
     dealt = dealt.withColumn("n_files", F.pmod(F.xxhash64("lon", "lat", F.monotonically_increasing_id()), F.col("n_files")))
-    dealt.repartition("family", "acq_day", "n_files").drop("n_files").write.mode(mode).partitionBy("family", "acq_day").format(fmt).save(path)
+    write_partitions(dealt.repartition("family", "acq_day", "n_files").drop("n_files"), path, ["family", "acq_day"], mode, fmt)
 
 
 def write_period(located: DataFrame, path: str, mode: str = "overwrite") -> None:
     """All days of a period in order of date, one folder per family."""
     d = located.withColumn("family", family(F.col("source")))
-    d.repartitionByRange("family", "day").sortWithinPartitions("family", "day").write.mode(mode).partitionBy("family").parquet(path)
+    write_partitions(d.repartitionByRange("family", "day").sortWithinPartitions("family", "day"), path, ["family"], mode)
 
 
 def write_layers(chips: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Composite layers, as ``plans.imagery.composite_outputs`` gives
     them, by satellite, layer and day."""
-    chips.write.mode(mode).partitionBy("satellite", "layer", "date_token").parquet(path)
+    write_partitions(chips, path, ["satellite", "layer", "date_token"], mode)
 
 
 def write_bands(bands: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per band."""
-    bands.write.mode(mode).partitionBy("band").parquet(path)
+    write_partitions(bands, path, ["band"], mode)
 
 
 def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> None:

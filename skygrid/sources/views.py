@@ -86,6 +86,26 @@ FROM (
   CROSS JOIN (VALUES (0, 0, 0, 0, 0, 10), (0, 1, 0, 10, 10, 10), (0, 2, 10, 10, 10, 0), (0, 3, 10, 0, 0, 0),
                      (1, 0, 2, 2, 6, 2), (1, 1, 6, 2, 6, 6), (1, 2, 6, 6, 2, 2)) AS r(ring, edge, fx1, fy1, fx2, fy2)
   WHERE (p.part = 0 OR twofold) AND (r.ring = 0 OR holed)) q""",
+    # Regions of one to some dozen tiles; no bound lies on a tile's or a cell's.
+    "fx_regions": """
+SELECT s_suppkey AS aoi_id, CAST(10 + s_suppkey % 140 AS DOUBLE) + 0.37e0 AS west, CAST(s_suppkey * 7 % 60 AS DOUBLE) + 0.37e0 AS south,
+       CAST(13 + s_suppkey % 140 + s_suppkey % 25 AS DOUBLE) + 0.37e0 AS east, CAST(s_suppkey * 7 % 60 + 2 + s_suppkey % 20 AS DOUBLE) + 0.37e0 AS north
+FROM {supplier}""",
+    "fx_windows": """
+SELECT o_orderkey AS window_id, 1 + o_custkey % (SELECT count(*) FROM {supplier}) AS aoi_id,
+       CAST(o_orderdate AS DATE) AS first_day, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS last_day
+FROM {orders}""",
+    # A granule's cells, of three layers on grids of 24, 24 and 12 cells a tile.
+    "fx_granule_cells": """
+SELECT l_orderkey AS granule_id, CASE l_linenumber % 3 WHEN 0 THEN 'refl' WHEN 1 THEN 'qc' ELSE 'state' END AS field,
+       l_partkey % CASE WHEN l_linenumber % 3 = 2 THEN 12 ELSE 24 END AS row_idx, l_suppkey % CASE WHEN l_linenumber % 3 = 2 THEN 12 ELSE 24 END AS col_idx,
+       CASE l_linenumber % 3 WHEN 0 THEN CASE WHEN (l_orderkey + l_partkey) % 13 = 0 THEN -28672 ELSE (l_orderkey * 29 + l_partkey * 3) % 16000 - 100 END
+            WHEN 1 THEN 4294967295 - l_partkey % 7 ELSE (l_orderkey * 11 + l_partkey) % 65536 END AS dn
+FROM {lineitem}""",
+    "fx_footprints": """
+SELECT item_id, edge, west + size * fx1 // 100 AS x1, south + size * fy1 // 100 AS y1, west + size * fx2 // 100 AS x2, south + size * fy2 // 100 AS y2
+FROM (SELECT concat('SC_', lpad(CAST(o_orderkey AS STRING), 8, '0')) AS item_id, 130000 + o_custkey % 200 * 10 AS west, 32000 + o_orderkey % 150 * 10 AS south, 60 + o_orderkey % 50 AS size FROM {orders}) q
+CROSS JOIN (VALUES (0, 30, 0, 100, 20), (1, 100, 20, 70, 100), (2, 70, 100, 0, 80), (3, 0, 80, 30, 0)) AS r(edge, fx1, fy1, fx2, fy2)""".replace("//", "{div}"),
     "fx_grids": """
 SELECT p_partkey AS grid_id, 500000e0 + CAST(p_partkey % 977 AS DOUBLE) * 10e0 AS left_x, 3600000e0 + CAST(p_partkey % 1013 AS DOUBLE) * 10e0 AS top_y,
        10e0 AS res, CAST(50 + p_size * 3 AS INT) AS width, CAST(40 + p_size * 2 AS INT) AS height
@@ -94,8 +114,10 @@ FROM {part}""",
 
 
 class _Names(dict):
-    def __init__(self, table):
-        super().__init__()
+    """Names of tables and views, and what the two engines write differently."""
+
+    def __init__(self, table, **words: str):
+        super().__init__(words)
         self.table = table
 
     def __missing__(self, name: str) -> str:
@@ -104,11 +126,11 @@ class _Names(dict):
 
 def sql(*names: str) -> str:
     """A WITH clause that defines the views over plainly named tables."""
-    plain = _Names(lambda t: t)
+    plain = _Names(lambda t: t, div="//")
     return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].format_map(plain)})" for n in names) + " "
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(VIEWS[name].format_map(_Names(lambda t: f"parquet.`{sf_dir}/{t}.parquet`")))
+    return spark.sql(VIEWS[name].format_map(_Names(lambda t: f"parquet.`{sf_dir}/{t}.parquet`", div="DIV")))
