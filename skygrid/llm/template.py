@@ -14,11 +14,18 @@ split by a hash of page_id). In a block:
    an article or main element have a template of their own, and there only such
    text is main. In the others it is the slots whose text varies over the
    pages and is not mostly link text; names such as "content" break ties only.
+   A heading that is the same on all pages stays where what stands beside it in
+   one element varies.
 5. Within main slots, text of a valid role (or of the rest of a slot) that is
    the same in all pages that have it is the template's, if these pages have
-   more than two different texts; but no page is emptied by this.
+   different texts beside it. That holds for boxes only: headings, paragraphs,
+   items of lists and the like are an author's, however often they repeat, and
+   no page is emptied.
 6. A page's text is what remains, without elements that are never main text
-   (menus, forms, scripts, adverts, comments, ...).
+   (menus, forms, scripts, adverts, comments, ...). Names tell such elements
+   only as whole words of a class or id, and never an article or main element
+   or what stands around one; a page of which they leave nothing is read
+   without them.
 
 Pages are compressed before they move, and each moves once.
 
@@ -54,7 +61,14 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 NEVER = frozenset("head nav footer aside form script style noscript template iframe svg canvas button select textarea dialog menu object map title".split())
 MAIN = frozenset(("article", "main"))
-NEVER_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adbox|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|replies|respond|share|sharing|sidebar|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])")
+#: Class and id names that tell what is no main text: each word of a name must
+#: be one of these, or of the words that go with them.
+NEVER_WORDS = frozenset("ad ads advert adverts advertisement advertisements adbox banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+WITH_WORDS = frozenset("area bar bottom box buttons container form inner left links list main page panel reader right section site slot the top user wrap wrapper".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond".split())
+HEADER_WORDS = frozenset("banner header masthead".split())
+#: Elements that authors write their text in.
+WRITTEN = frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story)(?:$|[\s_-])")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -91,21 +105,42 @@ def parse(html: str) -> Iterator[tuple[int, str, str]]:
         yield TEXT, "", html[at:]
 
 
+#: Why text is never main: its element, a form, a name, a name of comments.
+ELEMENT, FORM, NAMED, COMMENTS = 1, 2, 4, 8
+
+
+def named_never(names: str, main: bool) -> int:
+    """What the class and id names of an element say, inside an article or not."""
+    found = 0
+    for token in names.split():
+        words = [w for w in re.split("[-_]+", token) if w]
+        telling = NEVER_WORDS.intersection(words) - (HEADER_WORDS if main else frozenset())
+        if telling and all(w in NEVER_WORDS or w in WITH_WORDS for w in words):
+            found |= COMMENTS if telling & COMMENT_WORDS else NAMED
+    return found
+
+
+def read_page(html: str) -> Page:
+    """A page; without regard to names if they would leave nothing of it."""
+    page = Page(html)
+    return page if page.has_text() else Page(html, by_names=False)
+
+
 class Page:
     """A page's tag tokens with roles, and its texts between them."""
 
     __slots__ = ("roles", "texts")
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, by_names: bool = True):
         #: roles: (role, number of texts before it); texts: (raw text, kind)
         #: with kind 0 text, 1 block bound, 2 white space; flags as bits.
         self.roles: list[tuple[str, int]] = []
         self.texts: list[tuple[str, bool, bool, bool, str]] = []  # text, never, in main, in link, path
-        stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]  # name, path, never, main, link
+        stack: list[tuple[str, str, int, bool, bool]] = [("", "", 0, False, False)]  # name, path, never (bits), main, link
         for kind, name, names in parse(html):
             if kind == TEXT:
                 _, path, never, main, link = stack[-1]
-                self.texts.append((name or names, never, main, link, path))
+                self.texts.append((name or names, never > 0, main, link, path))
                 continue
             if kind == OPEN:
                 if name in CLOSES_P and stack[-1][0] == "p" or name == "li" and stack[-1][0] == "li":
@@ -113,14 +148,23 @@ class Page:
                 _, path, never, main, link = stack[-1]
                 inline = name in INLINE
                 if not inline:
-                    self.texts.append(("\n" if name != "br" else " ", never, main, link, path))
+                    self.texts.append(("\n" if name != "br" else " ", never > 0, main, link, path))
                     path = f"{path}/{name}.{names}" if names else f"{path}/{name}"
+                if name in MAIN:
+                    # What a name or a form around it says does not hold for an
+                    # article, unless it stands among comments.
+                    never &= ~(NAMED | FORM)
+                    main = True
+                elif name == "form":
+                    never |= FORM
                 # A header inside an article may hold its heading; one outside
                 # is the page's.
-                odd = name in NEVER or name == "header" and not main or bool(names) and name not in ("html", "body") and bool(NEVER_NAMES.search(names))
-                main = main or name in MAIN
+                elif name in NEVER or name == "header" and not main:
+                    never |= ELEMENT
+                elif names and by_names and name not in ("html", "body"):
+                    never |= named_never(names, main)
                 self.roles.append((f"{path}|{name}", len(self.texts)))
-                stack.append((name, path, never or odd, main, link or name == "a"))
+                stack.append((name, path, never, main, link or name == "a"))
             else:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == name:
@@ -132,9 +176,12 @@ class Page:
         name, path, *_ = stack.pop()
         if name not in INLINE and name != "br":
             _, outer, never, main, link = stack[-1]
-            self.texts.append(("\n", never, main, link, outer))
+            self.texts.append(("\n", never > 0, main, link, outer))
         self.roles.append((f"{path}|/{name}", len(self.texts)))
 
+    def has_text(self) -> bool:
+        return any(not never and t.strip() for t, never, *_ in self.texts)
+
     def has_main(self) -> bool:
         """Some text of an article or main element may be main text."""
         return any(main and not never and t.strip() for t, never, main, _, _ in self.texts)
@@ -234,7 +281,7 @@ def nested(pages: list[Page], span: list[str], classes: list[list[str]]) -> dict
 def extract(htmls: list[str]) -> list[str]:
     """Main texts of pages of one host. Pages with and without text in an
     article or main element have a template each."""
-    pages = [Page(h) for h in htmls]
+    pages = [read_page(h) for h in htmls]
     out = [""] * len(htmls)
     for in_main in (True, False):
         rows = [i for i, p in enumerate(pages) if p.has_main() == in_main]
@@ -281,6 +328,14 @@ def _extract(htmls: list[str], pages: list[Page], whole: bool) -> list[str]:
                 held[s] = held.get(s, "") + t
         texts.append(held)
     main_slots = usable > 0
+    # The path of the element whose tag opens a slot, and what it stands in.
+    opens = [""] + [r.rpartition("|")[0] if not r.rpartition("|")[2].startswith("/") else r.rpartition("|")[0].rpartition("/")[0] for r in span]
+
+    def beside(varied: np.ndarray) -> np.ndarray:
+        """Slots of headings that stand in one element, not the body, with text that varies."""
+        held = {opens[i].rpartition("/")[0] for i in np.flatnonzero(varied)}
+        return np.array([re.match(r"h[1-6](\.|$)", p.rpartition("/")[2]) is not None and p.count("/") > 3 and p.rpartition("/")[0] in held for p in opens])
+
     if not whole:
         # Slots that vary over the pages are main; repeated lists of links are
         # menus even if nothing names them so.
@@ -291,7 +346,8 @@ def _extract(htmls: list[str], pages: list[Page], whole: bool) -> list[str]:
         if len(distinct) > 2:
             fixed = np.array([len({h.get(s, "") for h in texts}) == 1 for s in range(n)])
             if (main_slots & ~fixed).any():
-                main_slots &= ~fixed
+                varied = main_slots & ~fixed
+                main_slots = varied | (main_slots & beside(varied))
         # Names only break ties: where few pages show no variation, or among
         # slots of which the named ones hold most of the text.
         paths = [""] + [r.rpartition("|")[0] for r in span]
@@ -318,7 +374,7 @@ def _extract(htmls: list[str], pages: list[Page], whole: bool) -> list[str]:
             if len(values[u]) < 2:
                 values[u].add(" ".join(parts))
             around[u].add(text)
-    template = {u for u, v in values.items() if len(v) == 1 and len(around[u]) > 2}
+    template = {u for u, v in values.items() if len(v) == 1 and len(around[u]) > 1 and re.split(r"[.]", u[1].rpartition("/")[2])[0] not in WRITTEN}
     out = []
     for p in pages:
         found = kept(p)
@@ -334,7 +390,7 @@ def extract_pages(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame
     large = p.groupBy("host").count().where(F.col("count") > block_pages).select(F.col("host").alias("large_host"), F.ceil(F.col("count") / block_pages).alias("blocks"))
     if large.count() <= BROADCAST_HOSTS:
         large = F.broadcast(large)
-    p = p.join(large, F.col("host") == F.col("large_host"), "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("blocks")), F.lit(0)))
+    p = p.join(large, F.col("host") == F.col("large_host"), "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.col("blocks")), F.lit(0)))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
