@@ -30,7 +30,10 @@ and hold about ``part_tokens`` tokens, so a frequent context is spread over
 several. What such a context has in other parts (its total, its number of
 successors, their places) is known from the first and last contexts of each
 part. The vocabulary is cut by hash, into more parts for more input splits.
-Scoring tasks memory-map the files, so workers of a machine share pages.
+Scoring tasks memory-map the files, so workers of a machine share pages. Parts
+are listed in a file beside them; a level has ``MOST_PARTS`` at most, of more
+tokens each where the corpus is larger, so what the driver holds is bounded.
+Counts have 64 bits; words are numbered by 32, and more of them are an error.
 
 Defined cases: a null or empty text is one end token; null doc_ids count as
 empty text in the fold rule; without training texts every token is unknown and
@@ -42,8 +45,8 @@ are ignored.
 from __future__ import annotations
 
 import json
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -59,7 +62,12 @@ BATCH_BYTES = 6 << 20
 BATCH_TOKENS = 1_500_000
 HELD_KEYS = 4_000_000
 PART_TOKENS = 4_000_000
+#: Parts of a level; from 10 ** 12 tokens on they hold more than PART_TOKENS.
+MOST_PARTS = 1 << 18
 PART_SAMPLE = 400
+#: Quantiles that one aggregate gives; more are found within its ranges.
+QUANTILES = 512
+MOST_WORDS = (1 << 32) - 2
 TEXTS_DRAWN = 4
 SPLITS_OF_PART = 16
 MEMO_WORDS = 300_000
@@ -185,10 +193,23 @@ def grouped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # --- the levels -----------------------------------------------------------
 
 
+class Files(Sequence):
+    """Names of a level's files: a beginning, and numbers from 0."""
+
+    def __init__(self, beginning: str, n: int):
+        self.beginning, self.n = beginning, n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: int) -> str:
+        return f"{self.beginning}-{range(self.n)[i]}"
+
+
 class Parts:
     """The files of a level; ``starts`` has the first index of each."""
 
-    def __init__(self, uris: list[str], starts: np.ndarray):
+    def __init__(self, uris: Sequence[str], starts: np.ndarray):
         self.uris, self.starts, self.held = uris, starts, {}
 
     def __getitem__(self, i: int) -> dict[str, np.ndarray]:
@@ -228,9 +249,9 @@ class Parts:
 class Vocabulary:
     """Words to ids, -1 for unknown ones."""
 
-    def __init__(self, uris: list[str], sizes: list[int], total: int, memo_words: int = MEMO_WORDS):
-        self.parts = Parts(uris, np.cumsum([0, *sizes])[:-1])
-        self.size, self.total, self.memo, self.limit = sum(sizes), total, {}, memo_words
+    def __init__(self, uris: Sequence[str], sizes: np.ndarray, total: int, memo_words: int = MEMO_WORDS):
+        self.parts = Parts(uris, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[:-1].astype(np.int64))
+        self.size, self.total, self.memo, self.limit = int(np.sum(sizes)), total, {}, memo_words
         self.bits = max(0, len(uris).bit_length() - 1)
 
     def ids(self, words: list[bytes]) -> np.ndarray:
@@ -238,7 +259,7 @@ class Vocabulary:
 
         if len(self.memo) > self.limit:
             self.memo.clear()
-        if new := list(set(words) - self.memo.keys()):
+        if new := [w for w in set(words) if w not in self.memo]:
             h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in new), np.uint64, len(new))
             order = np.argsort(h)
             h, found = h[order], np.full(len(new), -1, np.int64)
@@ -268,8 +289,8 @@ class Bigrams:
     ``offsets`` how many successors of its first context earlier parts hold.
     """
 
-    def __init__(self, uris: list[str], bounds: list[int], offsets: list[int], sizes: list[int]):
-        self.by_key, self.nodes = Parts(uris, np.asarray(bounds, np.int64)), Parts(uris, np.cumsum([0, *sizes])[:-1])
+    def __init__(self, uris: Sequence[str], bounds: np.ndarray, offsets: np.ndarray, sizes: np.ndarray):
+        self.by_key, self.nodes = Parts(uris, np.asarray(bounds).astype(np.int64)), Parts(uris, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[:-1].astype(np.int64))
         self.nodes.held, self.offsets = self.by_key.held, offsets
 
     def _local(self, i: int, v: np.ndarray) -> np.ndarray:
@@ -315,8 +336,8 @@ class Bigrams:
 class Trigrams:
     """Level 3: contexts are nodes of level 2; keys are node << places | place."""
 
-    def __init__(self, uris: list[str], bounds: list[int], places: int):
-        self.parts, self.places = Parts(uris, np.asarray(bounds, np.int64)), places
+    def __init__(self, uris: Sequence[str], bounds: np.ndarray, places: int):
+        self.parts, self.places = Parts(uris, np.asarray(bounds).astype(np.int64)), places
 
     def find(self, node: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of p (nan: no such trigram), log10 backoff of the context."""
@@ -346,7 +367,7 @@ def encode(docs: DataFrame, words: dict) -> DataFrame:
     ones for unknown words. Later passes read these and not the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(words["words"], words["sizes"], words["total"])
+        vocabulary = load(words)[0]
         for b in batches:
             for i, j, texts in text_runs(b, BATCH_BYTES):
                 lists = [tokens(t) for t in texts]
@@ -384,17 +405,25 @@ def _squeeze(keys: np.ndarray, counts: np.ndarray) -> bytes:
     import zstandard
 
     step = np.diff(keys, prepend=np.uint64(0)) if len(keys) else keys
-    planes = step.astype("<u8").view(np.uint8).reshape(-1, 8).T if len(keys) else np.empty((8, 0), np.uint8)
-    return len(keys).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(planes.tobytes() + counts.astype("<u4").tobytes())
+    return len(keys).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(_planes(step) + _planes(counts))
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte: all lowest bytes, then all next ones. High
+    bytes are mostly zero and cost next to nothing compressed."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes() if len(x) else b""
+
+
+def _from_planes(raw: bytes, n: int, at: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, at).reshape(8, n).T).view("<u8").ravel()
 
 
 def _unsqueeze(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     import zstandard
 
     n = int.from_bytes(data[:8], "little")
-    raw = zstandard.ZstdDecompressor().decompress(data[8:], max_output_size=12 * n + 16)
-    planes = np.frombuffer(raw, np.uint8, 8 * n).reshape(8, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64), np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64)
+    raw = zstandard.ZstdDecompressor().decompress(data[8:], max_output_size=16 * n + 16)
+    return np.cumsum(_from_planes(raw, n, 0), dtype=np.uint64), _from_planes(raw, n, 8 * n).astype(np.int64)
 
 
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -448,25 +477,42 @@ def _count_level(rows: DataFrame, read: Callable, make_keys: Callable, bounds: n
 def quantiles(rows: DataFrame, make_keys: Callable, tokens: int, part_tokens: int) -> np.ndarray:
     """First keys of parts of about ``part_tokens``, by a sample of about
     ``PART_SAMPLE`` keys a part, drawn by hash from one text of
-    ``TEXTS_DRAWN``. Where the bounds lie decides about balance, not about
-    results: every key is counted."""
-    parts = max(1, tokens // part_tokens)
+    ``TEXTS_DRAWN``. The sample stays in Spark: aggregates tell its quantiles,
+    in two steps where there are many. Where the bounds lie decides about
+    balance, not about results: every key is counted."""
+    parts = min(MOST_PARTS, max(1, tokens // part_tokens))
     if parts == 1:
         return np.zeros(1, np.uint64)
     most = np.uint64(min(2**64 - 1, int(2.0**64 * TEXTS_DRAWN * PART_SAMPLE * parts / tokens)))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_of, found = make_keys(), []
+        keys_of = make_keys()
         for b in batches:
             for piece in _runs(b):
                 k = keys_of(piece)
-                found.append(k[mix(k, mix(np.arange(len(k), dtype=np.uint64), 9)) <= most])
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(found).tobytes() if found else b""], pa.binary())], names=["keys"])
+                k = k[mix(k, mix(np.arange(len(k), dtype=np.uint64), 9)) <= most]
+                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.float64))], names=["key"])
+
+    # Quantiles are doubles: exact up to 2 ** 53, beyond that close to a key.
+    keys = rows.where(F.pmod(F.xxhash64("ids"), F.lit(TEXTS_DRAWN)) == 0).mapInArrow(draw, "key double")
+    coarse = min(parts, QUANTILES)
+    if coarse < parts:
+        keys = cut(keys, "trie-keys")
+
+    def within(n: int):
+        return F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 10_000).alias("at")
+
+    found = np.array(keys.agg(within(coarse)).first()["at"] or [], np.float64)
+    if coarse < parts:
+        bounds = found
 
-    rows = rows.where(F.pmod(F.xxhash64("ids"), F.lit(TEXTS_DRAWN)) == 0)
-    drawn = np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows.mapInArrow(draw, "keys binary").collect()] or [np.empty(0, np.uint64)]))
-    at = np.arange(1, parts) * len(drawn) // parts
-    return np.unique(np.concatenate([np.zeros(1, np.uint64), drawn[at] if len(drawn) else drawn]))
+        def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b["key"], pa.array(np.searchsorted(bounds, b["key"].to_numpy(), side="right"), pa.int32())], names=["key", "range_no"])
+
+        fine = keys.mapInArrow(ranges, "key double, range_no int").groupBy("range_no").agg(within(-(-parts // coarse)))
+        found = np.concatenate([found, *(np.array(r["at"], np.float64) for r in fine.toLocalIterator())])
+    return np.unique(np.concatenate([np.zeros(1, np.uint64), found[found < 2.0**64].astype(np.uint64)]))
 
 
 def _level(spark, rows: DataFrame, make_keys: Callable, bounds: np.ndarray, shift: int, contexts: int, path: str, write_part: Callable) -> dict:
@@ -547,31 +593,39 @@ def build(docs: DataFrame, vocabulary_parts: int | None = None, part_tokens: int
     bounds = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
     read = lambda b: text_runs(b, BATCH_BYTES)
     said = _count_level(docs.where("not held_out").select("text"), read, word_keys, bounds, write_words)
+    model = {"path": path, "total": 0, "places": 0, "parts": [0, 0, 0]}
     if not said:
-        model = {"words": [], "sizes": [], "total": 0}
+        put_file(f"{path}/parts", pack({"sizes": np.empty(0, np.int64)}))
         return model, cut(encode(docs, model), "trie-ids")
     for i in set(range(1 << bits)) - said.keys():
         said[i] = write_words(i, np.empty(0, np.uint64), np.empty(0, np.int64))
-    model = {"words": [f"{path}/words-{i}" for i in range(1 << bits)], "sizes": [said[i]["n"] for i in range(1 << bits)], "total": sum(x["total"] for x in said.values())}
-    size, total = sum(model["sizes"]), model["total"]
+    listed = {"sizes": np.array([said[i]["n"] for i in range(1 << bits)], np.int64)}
+    size, total = int(listed["sizes"].sum()), sum(x["total"] for x in said.values())
+    check_words(size)
+    put_file(f"{path}/parts", pack(listed))
+    model |= {"total": total, "parts": [1 << bits, 0, 0]}
     encoded = cut(encode(docs, model), "trie-ids")
     ids_of = encoded.where("not held_out").select("ids")
 
+    one = dict(model)
+
     def bigram_keys() -> Callable:
         return lambda piece: (_previous(piece[2], piece[3], size) << 32 | piece[2]).astype(np.uint64)
 
     def write_bigrams(part: int, k: np.ndarray, smooth: Callable) -> None:
         w = (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        p, back, first = smooth(Vocabulary(model["words"], model["sizes"], total).p(w))
+        p, back, first = smooth(load(one)[0].p(w))
         put_file(f"{path}/bigrams-{part}", pack({"succ": w.astype("<u4"), "p": codes(p), "back": codes(back), **ef_encode(first, "first")}))
 
     bounds = quantiles(ids_of, bigram_keys, total, part_tokens)
     got = _level(spark, ids_of, bigram_keys, bounds, 32, size + 1, f"{path}/bigrams", write_bigrams)
-    model |= {"bigrams": [f"{path}/bigrams-{i}" for i in range(len(bounds))], "bounds": bounds.tolist(), "offsets": got["offsets"], "nodes": got["sizes"]}
+    listed |= {"bounds": bounds, "offsets": np.array(got["offsets"], np.int64), "nodes": np.array(got["sizes"], np.int64)}
     places = int(size + 2).bit_length()
+    two_levels = model | {"places": places, "parts": [1 << bits, len(bounds), 0], "list": "parts-2"}
+    put_file(f"{path}/parts-2", pack(listed))
 
     def trigram_keys() -> Callable:
-        _, two, _ = load(model)
+        _, two, _ = load(two_levels)
 
         def keys(piece: tuple) -> np.ndarray:
             _, _, ids, n = piece
@@ -583,7 +637,7 @@ def build(docs: DataFrame, vocabulary_parts: int | None = None, part_tokens: int
         return keys
 
     def write_trigrams(part: int, k: np.ndarray, smooth: Callable) -> None:
-        _, two, _ = load(model)
+        _, two, _ = load(two_levels)
         node, place = (k >> np.uint64(places)).astype(np.int64), (k & np.uint64((1 << places) - 1)).astype(np.int64)
         u, order, group = grouped(node)
         second = two.nodes.gather("succ", u).astype(np.int64) if len(u) else u
@@ -593,8 +647,16 @@ def build(docs: DataFrame, vocabulary_parts: int | None = None, part_tokens: int
         put_file(f"{path}/trigrams-{part}", pack({"succ": place.astype(kind), "p": codes(p), "back": codes(back), **ef_encode(first, "first")}))
 
     third = quantiles(ids_of, trigram_keys, total, part_tokens)
-    _level(spark, ids_of, trigram_keys, third, places, max(1, sum(model["nodes"])), f"{path}/trigrams", write_trigrams)
-    return model | {"trigrams": [f"{path}/trigrams-{i}" for i in range(len(third))], "third": third.tolist(), "places": places}, encoded
+    _level(spark, ids_of, trigram_keys, third, places, max(1, int(listed["nodes"].sum())), f"{path}/trigrams", write_trigrams)
+    put_file(f"{path}/parts-3", pack(listed | {"third": third}))
+    return two_levels | {"parts": [1 << bits, len(bounds), len(third)], "list": "parts-3"}, encoded
+
+
+def check_words(n: int) -> None:
+    """Ids of words, and the place after one, have 32 bits beside the mark of
+    unknown words."""
+    if n > MOST_WORDS:
+        raise ValueError(f"{n} words: ids have 32 bits, for {MOST_WORDS} at most")
 
 
 def _smooth(context: np.ndarray, count: np.ndarray, contexts: int, lower: np.ndarray, d: float, known: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -611,11 +673,11 @@ def _smooth(context: np.ndarray, count: np.ndarray, contexts: int, lower: np.nda
 
 
 def load(model: dict) -> tuple[Vocabulary, Bigrams, Trigrams]:
-    return (
-        Vocabulary(model["words"], model["sizes"], model["total"]),
-        Bigrams(model.get("bigrams", []), model.get("bounds", []), model.get("offsets", []), model.get("nodes", [])),
-        Trigrams(model.get("trigrams", []), model.get("third", []), model.get("places", 0)),
-    )
+    """A model's levels, by the list of its parts; other files are opened when
+    they are asked for."""
+    listed = defaultdict(lambda: np.empty(0, np.int64), unpack(f"{model['path']}/{model.get('list', 'parts')}"))
+    words, bigrams, trigrams = (Files(f"{model['path']}/{level}", n) for level, n in zip(("words", "bigrams", "trigrams"), model["parts"]))
+    return Vocabulary(words, listed["sizes"], model["total"]), Bigrams(bigrams, listed["bounds"], listed["offsets"], listed["nodes"]), Trigrams(trigrams, listed["third"], model["places"])
 
 
 def log_probabilities(levels: tuple, ids: np.ndarray, size: np.ndarray, low1: np.ndarray) -> np.ndarray:

@@ -611,7 +611,7 @@ def test_trie_scores(spark, monkeypatch):
     rows = [(i, t) for i, t in corpus(120) if i != 900] + [(902, "New Unknown words A b"), (5, "twice the id"), (None, "no id")]
     d = frame(spark, rows)
     model, encoded = trie.build(d.select("doc_id", "text", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1).alias("held_out")), vocabulary_parts=4, part_tokens=60)
-    assert len(model["bigrams"]) > 3 and len(model["trigrams"]) > 3
+    assert model["parts"][1] > 3 and model["parts"][2] > 3
     got = collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in trie.score(encoded, model).collect())
     full = {(r["doc_id"], r["n_tokens"]): r["score"] for r in trie.score(encoded, model).collect()}
 
@@ -628,8 +628,8 @@ def test_trie_scores(spark, monkeypatch):
         want[(i, held(i), len(w), sum(x in c for x in w), n, round(sum(math.log10(p1(x)) for x in w), 6))] += 1
     assert got == want
     # One part's model by hand.
-    parts = {b >> 32 for b in model["bounds"]}
-    assert len(model["bigrams"]) > len(parts)  # some context lies in several parts
+    bounds = trie.unpack(f"{model['path']}/{model['list']}")["bounds"].tolist()
+    assert model["parts"][1] == len(bounds) > len({b >> 32 for b in bounds})  # some context lies in several parts
     one, again = trie.build(d.select("doc_id", "text", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1).alias("held_out")), 1, 10**9)
     two, three = collections.Counter(), collections.Counter()
     for i, t in rows:
@@ -662,6 +662,31 @@ def test_trie_scores(spark, monkeypatch):
     assert full == scores
 
 
+def test_trie_counts_and_ids_beyond_32_bits():
+    keys = np.array([0, 5, 1 << 40, (1 << 64) - 3], np.uint64)
+    counts = np.array([1, 5_000_000_000, 1 << 40, 3])
+    k, c = trie._unsqueeze(trie._squeeze(keys, counts))
+    assert k.tolist() == keys.tolist() and c.tolist() == counts.tolist()
+    k, c = trie._merge([k, k], [c, c])
+    assert k.tolist() == keys.tolist() and c.tolist() == (2 * counts).tolist()
+    trie.check_words((1 << 32) - 2)
+    with pytest.raises(ValueError):
+        trie.check_words((1 << 32) - 1)
+
+
+def test_many_parts_are_bounded_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(trie, "QUANTILES", 4)
+    ids = np.random.default_rng(0).integers(0, 1000, (50, 400)).astype("<u4")
+    rows = spark.createDataFrame([(bytearray(x.tobytes()),) for x in ids], "ids binary")
+    make_keys = lambda: lambda piece: (piece[2].astype(np.uint64) << np.uint64(54))
+    bounds = trie.quantiles(rows, make_keys, 20_000, 1000)
+    assert 16 <= len(bounds) <= 24 and bounds[0] == 0 and (np.diff(bounds.astype(object)) > 0).all()
+    held = np.diff(np.searchsorted(np.sort(ids.ravel().astype(np.uint64) << np.uint64(54)), [*bounds, np.uint64(2**64 - 1)]))
+    assert held.max() < 3000
+    monkeypatch.setattr(trie, "MOST_PARTS", 3)
+    assert len(trie.quantiles(rows, make_keys, 20_000, 1000)) == 3
+
+
 def test_trie_of_nothing(spark):
     assert trie.train_and_score(frame(spark, [])).count() == 0
     held = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
