@@ -93,8 +93,9 @@ class WordHashes:
         memo = self.memo
         if len(memo) > self.limit:
             memo.clear()
-        for w in set(words) - memo.keys():
-            memo[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in memo:
+                memo[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 

@@ -106,7 +106,7 @@ class Scorer:
         flat = [w for d in words for w in d]
         if len(self.memo) > self.limit:
             self._reset()
-        if new := list(set(flat) - self.memo.keys()):
+        if new := [w for w in set(flat) if w not in self.memo]:
             self._learn(new)
         at = np.fromiter(map(self.memo.__getitem__, flat), np.int64, len(flat))
         doc = np.repeat(np.arange(len(docs)), n)
