@@ -22,7 +22,7 @@ def tile_affine(tiles: DataFrame, pixels: int) -> DataFrame:
     return tiles.withColumns({"x_min": F.coalesce(ok, F.expr(x)), "y_max": F.expr(y), "pixel_m": F.lit(size), "label": geo.resolution_label(F.lit(size))})
 
 
-def global_cells(cells: DataFrame, pixels: int) -> DataFrame:
+def global_cells(cells: DataFrame, pixels: int | Column) -> DataFrame:
     """Row and column counted from the upper left of the tile grid."""
     return cells.withColumns({"grow": F.col("v") * pixels + F.col("row_idx"), "gcol": F.col("h") * pixels + F.col("col_idx")})
 

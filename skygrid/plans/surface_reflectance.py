@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..operators import aoi, catalog, intervals, spans, tiles
 from ..operators.sizes import small
+from .scratch import cut
 
 FIRST = ["product", "acq_date", "field", "h", "v", "row_idx", "col_idx"]
 
@@ -79,36 +80,37 @@ def process_areas(granules: DataFrame, cells: DataFrame, layers: DataFrame, wind
     on that mosaic, scaled, and masked outside the area: reflectance is missing
     there and QA has its fill. ``done`` (aoi_id, product, acq_date) is left out.
     """
-    edges = aoi.aoi_edges(areas)
-    on_grid = aoi.project_edges(edges, "sinusoidal", tolerance)
+    # Shapes and days are small beside cells and used several times, so they
+    # are written once.
+    edges = cut(aoi.aoi_edges(areas), "area-edges")
+    on_grid = cut(aoi.project_edges(edges, "sinusoidal", tolerance), "projected-edges")
     found = intervals.granules_in_windows(catalog.parse_granules(granules), windows, edges)
     wanted = found if done is None else catalog.skip_existing(found, done, ["aoi_id", "product", "acq_date"])
-    days = wanted.select("aoi_id", "product", "acq_date", "granule_id", "h", "v").distinct()
+    days = cut(wanted.select("aoi_id", "product", "acq_date", "granule_id", "h", "v").distinct(), "area-days")
     grid = _grid_of_days(days, layers)
     if clip:
         box = aoi.aoi_bbox(on_grid).select("aoi_id", F.col("west").alias("ax0"), F.col("south").alias("ay0"), F.col("east").alias("ax1"), F.col("north").alias("ay1"))
         # An area that only touches a tile has no window on it, and no row.
         window = tiles.crop_windows(grid.join(box, "aoi_id"))
     else:
-        window = grid.withColumns({"col_off": F.lit(0).cast("long"), "row_off": F.lit(0).cast("long"), "n_cols": F.col("width").cast("long"), "n_rows": F.col("height").cast("long")})
-    window = window.select("aoi_id", "product", "acq_date", "pixels", "h0", "v0", "left_x", "top_y", "res", "row_off", "col_off", "n_rows", "n_cols")
+        window = grid.withColumns({"col_off": F.lit(0), "row_off": F.lit(0), "n_cols": F.col("width"), "n_rows": F.col("height")})
+    # Cells are counted from the upper left of the whole tile grid, so that all
+    # days of an area share one raster, and its rows' spans.
+    p = F.col("pixels")
+    window = window.withColumns({"first_row": F.col("v0") * p + F.col("row_off"), "first_col": F.col("h0") * p + F.col("col_off")})
+    window = window.select("aoi_id", "product", "acq_date", "pixels", "left_x", "top_y", "res", "row_off", "col_off", "n_rows", "n_cols", "first_row", "first_col")
     place = small(layers.select("product", "field", "kind", "resolution", "pixels"))
-    c = cells.join(days, "granule_id").join(place, ["product", "field"]).join(window.drop("left_x", "top_y", "res"), ["aoi_id", "product", "acq_date", "pixels"])
-    row = (F.col("v") - F.col("v0")) * F.col("pixels") + F.col("row_idx") - F.col("row_off")
-    col = (F.col("h") - F.col("h0")) * F.col("pixels") + F.col("col_idx") - F.col("col_off")
-    c = c.withColumns({"row_idx": row.cast("long"), "col_idx": col.cast("long")}).where((F.col("row_idx") >= 0) & (F.col("row_idx") < F.col("n_rows")) & (F.col("col_idx") >= 0) & (F.col("col_idx") < F.col("n_cols")))
-    out = ["aoi_id", "product", "acq_date", "kind", "resolution", "pixels", "field"]
-    m = _mosaic_of_products(c, layers, [*out, "row_idx", "col_idx"])
+    c = tiles.global_cells(cells.join(days, "granule_id").join(place, ["product", "field"]), p)
+    c = c.join(window.select("aoi_id", "product", "acq_date", "pixels", "first_row", "first_col", "n_rows", "n_cols"), ["aoi_id", "product", "acq_date", "pixels"])
+    c = c.where((F.col("grow") - F.col("first_row")).between(0, F.col("n_rows") - 1) & (F.col("gcol") - F.col("first_col")).between(0, F.col("n_cols") - 1))
+    m = _mosaic_of_products(c, layers, ["aoi_id", "product", "acq_date", "kind", "resolution", "pixels", "field", "first_row", "first_col", "grow", "gcol"])
     if clip:
-        # Windows of one place and size share their rows' spans.
-        raster = ["left_x", "top_y", "res", "n_rows", "n_cols"]
-        moved = window.withColumns({"left_x": F.col("left_x") + F.col("col_off") * F.col("res"), "top_y": F.col("top_y") - F.col("row_off") * F.col("res")})
-        rasters = moved.select("aoi_id", *raster).distinct().withColumnsRenamed({"n_rows": "height", "n_cols": "width"})
-        runs = spans.row_spans(on_grid, rasters.withColumn("raster", _raster_of("width", "height")), ["raster"])
-        m = m.join(moved.select("aoi_id", "product", "acq_date", "pixels", _raster_of("n_cols", "n_rows").alias("raster")), ["aoi_id", "product", "acq_date", "pixels"])
-        m = spans.in_spans(m, runs, ["aoi_id", "raster"]).drop("raster")
+        raster = {"left_x": F.lit(geo.SINU_X_MIN), "top_y": F.lit(geo.SINU_Y_MAX), "res": F.lit(geo.TILE_SIZE) / p, "width": 36 * p, "height": 18 * p}
+        rasters = window.select("aoi_id", "pixels").distinct().withColumns(raster)
+        m = spans.in_spans(m, spans.row_spans(on_grid, rasters, ["pixels"]), ["aoi_id", "pixels"], "grow", "gcol")
     else:
         m = m.withColumn("in_area", F.lit(True))
+    m = m.withColumns({"row_idx": (F.col("grow") - F.col("first_row")).cast("long"), "col_idx": (F.col("gcol") - F.col("first_col")).cast("long")})
     values = _scaled(m, layers).drop("in_area", "pixels")
     used = days.select("product").distinct().join(small(layers), "product")
     products = sorted(r["product"] for r in layers.select("product").distinct().collect())
@@ -117,10 +119,6 @@ def process_areas(granules: DataFrame, cells: DataFrame, layers: DataFrame, wind
     return Layers(values, window, tiles.layer_groups(used, ["product"]), tiles.layer_sidecars(used, ["product"]), coverage)
 
 
-def _raster_of(width: str, height: str) -> Column:
-    return F.struct("left_x", "top_y", "res", F.col(width).cast("long").alias("width"), F.col(height).cast("long").alias("height"))
-
-
 def _mosaic_of_products(cells: DataFrame, layers: DataFrame, key: list[str]) -> DataFrame:
     c = cells.join(small(layers.select("product", "field", F.col("fill").cast("long").alias("fill"))), ["product", "field"]).withColumn("dn", F.col("dn").cast("long"))
     first = F.min_by("dn", F.when(F.col("fill").isNull() | (F.col("dn") != F.col("fill")), F.col("granule_id")))

@@ -89,7 +89,7 @@ FROM (
     # Regions of one to some dozen tiles; no bound lies on a tile's or a cell's.
     "fx_regions": """
 SELECT s_suppkey AS aoi_id, CAST(10 + s_suppkey % 140 AS DOUBLE) + 0.37e0 AS west, CAST(s_suppkey * 7 % 60 AS DOUBLE) + 0.37e0 AS south,
-       CAST(13 + s_suppkey % 140 + s_suppkey % 25 AS DOUBLE) + 0.37e0 AS east, CAST(s_suppkey * 7 % 60 + 2 + s_suppkey % 20 AS DOUBLE) + 0.37e0 AS north
+       CAST(13 + s_suppkey % 140 + s_suppkey % 25 AS DOUBLE) + 0.37e0 AS east, CAST(s_suppkey * 7 % 60 + 2 + s_suppkey % 20 AS DOUBLE) + 0.58e0 AS north
 FROM {supplier}""",
     "fx_windows": """
 SELECT o_orderkey AS window_id, 1 + o_custkey % (SELECT count(*) FROM {supplier}) AS aoi_id,
