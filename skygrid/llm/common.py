@@ -18,19 +18,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under the folder that driver and executors share.
+#: Where a local session without spark.checkpoint.dir puts shared files.
+LOCAL = "file:///tmp/skygrid-shared"
+#: A process keeps all its folders in one.
+RUN = f"llm-run-{uuid.uuid4().hex}"
+
 
-    ``spark.checkpoint.dir`` names the shared folder. Only where the session
-    has none (a local session) is one set, under /tmp.
-    """
+def base_dir(spark: SparkSession) -> str:
+    """This process's folder under spark.checkpoint.dir, which driver and
+    executors share. A local session may have none: nothing is set then, the
+    folder is just elsewhere."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file:///tmp/skygrid-shared"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = LOCAL
+    return f"{base.rstrip('/')}/{RUN}"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder."""
+    return f"{base_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Removes what this process's operators wrote to the shared folder: models,
+    token files and intermediate tables. DataFrames that read them can't be
+    read afterwards, so it is the caller's last step."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
