@@ -89,6 +89,36 @@ def from_utm(x: str, y: str, epsg: str) -> tuple[str, str]:
     return f"({_meridian(epsg)} + degrees(atan2(sinh({ep}), cos({xp}))))", f"degrees({lat})"
 
 
+def to_utm_steps(lon: str, lat: str, epsg: str, at: str) -> list[dict[str, str]]:
+    """``to_utm`` in steps that each read the names of the one before, found
+    as ``at`` and the name: u_t, u_dl; u_xi, u_eta; x, y."""
+    sin = f"sin(radians({lat}))"
+    xi, eta = f"{at}u_xi", f"{at}u_eta"
+    east = " + ".join([eta, *(f"{num(a)} * cos({2 * j}e0 * {xi}) * sinh({2 * j}e0 * {eta})" for j, a in enumerate(_ALPHA, 1))])
+    north = " + ".join([xi, *(f"{num(a)} * sin({2 * j}e0 * {xi}) * cosh({2 * j}e0 * {eta})" for j, a in enumerate(_ALPHA, 1))])
+    south = f"(CASE WHEN {epsg} >= 32700 THEN {num(FALSE_NORTHING)} ELSE 0e0 END)"
+    return [
+        {"u_t": f"sinh(atanh({sin}) - {num(_E)} * atanh({num(_E)} * {sin}))", "u_dl": f"radians({lon} - {_meridian(epsg)})"},
+        {"u_xi": f"atan2({at}u_t, cos({at}u_dl))", "u_eta": f"atanh(sin({at}u_dl) / sqrt(1e0 + {at}u_t * {at}u_t))"},
+        {"x": f"{num(FALSE_EASTING)} + {num(K0 * _RECT)} * ({east})", "y": f"{south} + {num(K0 * _RECT)} * ({north})"},
+    ]
+
+
+def from_utm_steps(x: str, y: str, epsg: str, at: str) -> list[dict[str, str]]:
+    """``from_utm`` in steps: u_xi, u_eta; u_xp, u_ep; u_chi, u_dl; lon, lat."""
+    south = f"(CASE WHEN {epsg} >= 32700 THEN {num(FALSE_NORTHING)} ELSE 0e0 END)"
+    xi, eta, chi = f"{at}u_xi", f"{at}u_eta", f"{at}u_chi"
+    return [
+        {"u_xi": f"(({y} - {south}) / {num(K0 * _RECT)})", "u_eta": f"(({x} - {num(FALSE_EASTING)}) / {num(K0 * _RECT)})"},
+        {
+            "u_xp": " - ".join([xi, *(f"{num(b)} * sin({2 * j}e0 * {xi}) * cosh({2 * j}e0 * {eta})" for j, b in enumerate(_BETA, 1))]),
+            "u_ep": " - ".join([eta, *(f"{num(b)} * cos({2 * j}e0 * {xi}) * sinh({2 * j}e0 * {eta})" for j, b in enumerate(_BETA, 1))]),
+        },
+        {"u_chi": f"asin(sin({at}u_xp) / cosh({at}u_ep))", "u_dl": f"degrees(atan2(sinh({at}u_ep), cos({at}u_xp)))"},
+        {"lon": f"{_meridian(epsg)} + {at}u_dl", "lat": "degrees(" + " + ".join([chi, *(f"{num(d)} * sin({2 * j}e0 * {chi})" for j, d in enumerate(_DELTA, 1))]) + ")"},
+    ]
+
+
 def to_sinusoidal(lon: str, lat: str) -> tuple[str, str]:
     return f"({num(SPHERE_RADIUS)} * radians({lon}) * cos(radians({lat})))", f"({num(SPHERE_RADIUS)} * radians({lat}))"
 

@@ -130,7 +130,7 @@ def _kept(parts: Column, wanted) -> Column:
     return F.transform(parts, lambda p: F.struct(F.filter(p["outer"], wanted).alias("outer"), F.transform(p["holes"], lambda h: F.filter(h, wanted)).alias("holes")))
 
 
-def _area_cells(edges: DataFrame) -> DataFrame:
+def area_cells(edges: DataFrame) -> DataFrame:
     """level, cx, cy, aoi_id, near: the cells of each area's box that it meets.
 
     A cell's side is 2 ** level, so that a box has few cells however large it
@@ -172,9 +172,15 @@ def points_in_areas(points: DataFrame, edges: DataFrame, key: list[str], x: str
     One equi-join on cells, which adaptive execution can split or broadcast;
     points of whole cells need no test, others are tested in the row.
     """
-    cells = _area_cells(edges).withColumnsRenamed({"level": "c_level", "cx": "c_cx", "cy": "c_cy"})
     # One level per power of two of box sizes: a handful, whatever the data.
     levels = sorted(r[0] for r in aoi_bbox(edges).select(_level().alias("level")).distinct().collect())
+    return points_in_cells(points, area_cells(edges), levels, key, x, y)
+
+
+def points_in_cells(points: DataFrame, cells: DataFrame, levels: list[int], key: list[str], x: str = "lon", y: str = "lat") -> DataFrame:
+    """``points_in_areas`` with the ``area_cells`` of areas, which may have been
+    stored, and the levels that occur in them."""
+    cells = cells.withColumnsRenamed({"level": "c_level", "cx": "c_cx", "cy": "c_cy"})
     p = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*key, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
     p = p.withColumn("p_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>"))) if len(levels) != 1 else p.withColumn("p_level", F.lit(levels[0]))
     side = F.pow(F.lit(2.0), F.col("p_level"))

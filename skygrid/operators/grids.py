@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -96,3 +96,79 @@ def regrid_bilinear(source: DataFrame, target: DataFrame, s: dict, t: dict, valu
     j = near.join(src, [*key, "s_row", "s_col"], "left").where((F.col("w") > 0) | F.col("v").isNull())
     w = F.sum(F.when(F.col("v").isNotNull(), F.col("w")))
     return j.groupBy(*cell).agg((F.sum(F.col("w") * F.col("v")) / F.nullif(w, F.lit(0.0))).alias(value))
+
+
+GRID = ("left_x", "top_y", "res", "epsg")
+#: Cells that a place found at a chip's lattice may be off by, and neighbours.
+MARGIN = 2
+
+
+def _mapped(array: str, steps: list[dict[str, str]]) -> str:
+    """An array of structs taken through steps, each binding its names once."""
+    for step in steps:
+        array = f"transform({array}, p -> named_struct({', '.join(f"'{n}', {e}" for n, e in step.items())}))"
+    return array
+
+
+def _on_source(points: str) -> str:
+    """SQL for an array of target places (r, c: row and column, in cells) as
+    places on the source grid (sr, sc). Zones are left and entered only where
+    the grids differ in them."""
+    metres = _mapped(points, [{"x": "left_x + p.c * res", "y": "top_y - p.r * res"}])
+    other = _mapped(metres, geo.from_utm_steps("p.x", "p.y", "epsg", "p.") + geo.to_utm_steps("p.lon", "p.lat", "s_epsg", "p."))
+    return _mapped(f"(CASE WHEN epsg = s_epsg THEN {metres} ELSE {other} END)", [{"sr": "(s_top_y - p.y) / s_res", "sc": "(p.x - s_left_x) / s_res"}])
+
+
+def regrid_chips(chips: DataFrame, sources: DataFrame, targets: DataFrame, value: str, key: Sequence[str], size: int, method: str = "nearest") -> DataFrame:
+    """Chips on the grids of ``sources`` as chips on those of ``targets``: for
+    each target cell what ``regrid_nearest`` or ``regrid_bilinear`` give. Every
+    key has a grid of its own in both tables (left_x, top_y, res, epsg; targets
+    width and height too), in any UTM zones.
+
+    A target chip finds the few source chips below it from a lattice of its
+    places, and meets them by one equi-join; its cells are then looked up in
+    their arrays inside the row. So chips move, not cells. Absent source chips
+    count as missing cells; a target chip always comes back.
+    """
+    if method not in ("nearest", "bilinear"):
+        raise ValueError("method is nearest or bilinear")
+    t = targets.select(*key, *GRID, "width", "height").join(sources.select(*key, *[F.col(c).alias(f"s_{c}") for c in GRID]), list(key))
+    for axis, n in (("chip_row", "height"), ("chip_col", "width")):
+        t = t.withColumn(axis, F.explode(F.sequence(F.lit(0), (F.ceil(F.col(n) / size) - 1).cast("int"))))
+    # Five by five places over the chip, its corners among them. How far the
+    # middle lies from the mean of the corners tells how bent the map is.
+    lattice = f"transform(sequence(0, 24), k -> named_struct('r', chip_row * {size} + (k DIV 5) * {size / 4!r}e0, 'c', chip_col * {size} + (k % 5) * {size / 4!r}e0))"
+    t = t.withColumn("at", F.explode(F.array(F.expr(_on_source(lattice)))))
+
+    def bent(n: str) -> Column:
+        corners = [F.get("at", F.lit(k))[n] for k in (0, 4, 20, 24)]
+        return F.abs(F.get("at", F.lit(12))[n] - (corners[0] + corners[1] + corners[2] + corners[3]) / 4)
+
+    for n, out in (("sr", "s_row"), ("sc", "s_col")):
+        each = F.col("at")[n]
+        low, high = F.array_min(each) - bent(n) - MARGIN, F.array_max(each) + bent(n) + MARGIN
+        t = t.withColumn(out, F.sequence(F.greatest(F.floor(low / size), F.lit(0)).cast("int"), F.greatest(F.floor(high / size), F.lit(0)).cast("int")))
+    t = t.drop("at").withColumn("s_row", F.explode("s_row")).withColumn("s_col", F.explode("s_col"))
+    held = chips.select(*key, F.col("chip_row").cast("int").alias("s_row"), F.col("chip_col").cast("int").alias("s_col"), F.col(value).alias("held"))
+    grid = [*key, *GRID, *[f"s_{c}" for c in GRID], "width", "height", "chip_row", "chip_col"]
+    under = F.collect_list(F.when(F.col("held").isNotNull(), F.struct((F.col("s_row").cast("long") * (1 << 31) + F.col("s_col")).alias("key"), F.col("held").alias("value"))))
+    g = t.join(held, [*key, "s_row", "s_col"], "left").groupBy(*grid).agg(F.map_from_entries(under).alias("under"))
+    cells = f"transform(sequence(0, {size * size - 1}), k -> named_struct('r', chip_row * {size} + k DIV {size} + 0.5e0, 'c', chip_col * {size} + k % {size} + 0.5e0))"
+
+    def cell(r: str, c: str) -> str:
+        """The value of a source cell; null where there is none."""
+        inside = f"{r} >= 0 AND {c} >= 0"
+        return f"(CASE WHEN {inside} THEN get(try_element_at(under, {r} DIV {size} * {1 << 31} + {c} DIV {size}), CAST({r} % {size} * {size} + {c} % {size} AS INT)) END)"
+
+    placed = _on_source(cells)
+    if method == "nearest":
+        out = _mapped(placed, [{"r": "floor(p.sr)", "c": "floor(p.sc)"}, {"v": cell("p.r", "p.c")}])
+    else:
+        corner = {f"v{i}{j}": f"CAST({cell(f'(p.r + {i})', f'(p.c + {j})')} AS DOUBLE)" for i in (0, 1) for j in (0, 1)}
+        w = {f"w{i}{j}": f"({'p.fr' if i else '1e0 - p.fr'}) * ({'p.fc' if j else '1e0 - p.fc'})" for i in (0, 1) for j in (0, 1)}
+        total = " + ".join(f"CASE WHEN p.v{k} IS NULL THEN 0e0 ELSE p.w{k} END" for k in ("00", "01", "10", "11"))
+        mean = " + ".join(f"CASE WHEN p.v{k} IS NULL THEN 0e0 ELSE p.w{k} * p.v{k} END" for k in ("00", "01", "10", "11"))
+        out = _mapped(placed, [{"r": "floor(p.sr - 0.5e0)", "c": "floor(p.sc - 0.5e0)", "fr": "p.sr - 0.5e0 - floor(p.sr - 0.5e0)", "fc": "p.sc - 0.5e0 - floor(p.sc - 0.5e0)"}, corner | w, {"v": f"({mean}) / nullif({total}, 0e0)"}])
+    on_grid = f"chip_row * {size} + k DIV {size} < height AND chip_col * {size} + k % {size} < width"
+    values = F.expr(f"transform({out}, (p, k) -> CASE WHEN {on_grid} THEN p.v END)")
+    return g.select(*key, "chip_row", "chip_col", values.alias(value))

@@ -63,6 +63,23 @@ def crop_cells(cells: DataFrame, windows: DataFrame, key: list[str]) -> DataFram
     return j.where(inside).select(*[moved.get(n, F.col(f"c.`{n}`")) for n in cells.columns])
 
 
+def crop_chips(chips: DataFrame, windows: DataFrame, bands: list[str], key: list[str], size: int) -> DataFrame:
+    """Chips with the cells outside their key's window set to missing. windows:
+    key, row_off, col_off, n_rows, n_cols; a key has one. Works inside the
+    arrays: no cell becomes a row."""
+    w = windows.select(*key, "row_off", "col_off", "n_rows", "n_cols")
+    j = chips.join(w, key)
+    r0, c0 = F.col("chip_row") * size, F.col("chip_col") * size
+
+    def inside(i: Column) -> Column:
+        row, col = r0 + F.floor(i / size), c0 + i % size
+        return (row >= F.col("row_off")) & (row < F.col("row_off") + F.col("n_rows")) & (col >= F.col("col_off")) & (col < F.col("col_off") + F.col("n_cols"))
+
+    whole = (r0 >= F.col("row_off")) & (r0 + size <= F.col("row_off") + F.col("n_rows")) & (c0 >= F.col("col_off")) & (c0 + size <= F.col("col_off") + F.col("n_cols"))
+    cut = {b: F.when(whole, F.col(b)).otherwise(F.transform(b, lambda v, i: F.when(inside(i), v))) for b in bands}
+    return j.withColumns(cut).select(*chips.columns)
+
+
 def in_areas(cells: DataFrame, edges: DataFrame, key: list[str], x: str = "cx_m", y: str = "cy_m", most: int = FEW_EDGES) -> DataFrame:
     """Adds ``in_area``: whether a cell's centre, in the edges' projection,
     lies in some area. The edges of a few areas are written out as one

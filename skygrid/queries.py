@@ -947,3 +947,75 @@ def outputs_rerun(spark, d):
     done = outputs.outputs_done(spark, path, key).select("acq_day", (F.col("n_rows") > 0).alias("is_done"))
     back = spark.read.schema("event_id long, version int, family string, acq_day string").parquet(path) if first is not None else t.limit(0).withColumn("version", F.lit(0))
     return back.groupBy("family", "acq_day", "version").agg(F.count("*").alias("n")).join(done, "acq_day").select("family", "acq_day", "version", "n", "is_done")
+
+
+# Each scene's source and target grid, in metres of one zone.
+_SIDE_CHIP = 16
+
+
+def _regrid_keyed(spark: SparkSession, d: str, method: str) -> DataFrame:
+    p = read(spark, d, "fx_pixels")
+    size, no = _SIDE_CHIP, F.col("scene_no")
+    held = chips.pack_chips(p.select(*pixels.CELL, "b03"), ["b03"], ["scene_no"], size)
+    of_scenes = p.groupBy("scene_no").agg(F.max("row_idx").alias("last_row"))
+    sources = of_scenes.select("scene_no", F.lit(500000.0).alias("left_x"), F.lit(3600000.0).alias("top_y"), (20.0 + no).alias("res"), F.lit(32652).alias("epsg"))
+    targets = of_scenes.select("scene_no", (500000.0 + no * 3.0).alias("left_x"), (3600000.0 - 9.0 - no).alias("top_y"), (15.0 + no).alias("res"), F.lit(32652).alias("epsg"), F.lit(7).alias("width"), (F.col("last_row") + 1).alias("height"))
+    out = grids.regrid_chips(held, sources, targets, "b03", ["scene_no"], size, method)
+    return chips.unpack_chips(out, ["b03"], ["scene_no"], size)
+
+
+_T_KEYED = "t AS (SELECT k.*, (dx + (col_idx + 0.5e0) * tres) / sres AS sc, (dy + (row_idx + 0.5e0) * tres) / sres AS sr FROM (SELECT scene_no, r AS row_idx, c AS col_idx, 20e0 + scene_no AS sres, 15e0 + scene_no AS tres, scene_no * 3e0 AS dx, 9e0 + scene_no AS dy FROM (SELECT scene_no, unnest(generate_series(0, max(row_idx))) AS r FROM fx_pixels GROUP BY scene_no) a CROSS JOIN (SELECT unnest(generate_series(0, 6)) AS c) b) k)"
+
+
+@query(_with(_T_KEYED) + " SELECT t.scene_no, CAST(t.row_idx AS INT) AS row_idx, CAST(t.col_idx AS INT) AS col_idx, s.b03 FROM t JOIN fx_pixels s ON s.scene_no = t.scene_no AND s.row_idx = floor(sr) AND s.col_idx = floor(sc)", "fx_pixels")
+def regrid_chips_nearest(spark, d):
+    """Scenes that each have grids of their own, regridded chip by chip."""
+    return _regrid_keyed(spark, d, "nearest")
+
+
+@query(_with(_T_KEYED + """, f AS (SELECT scene_no, row_idx, col_idx, sr - 0.5e0 AS fr, sc - 0.5e0 AS fc FROM t),
+ n AS (SELECT scene_no, row_idx, col_idx, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE WHEN j = 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) AS w FROM f CROSS JOIN (VALUES (0), (1)) AS a(i) CROSS JOIN (VALUES (0), (1)) AS b(j)),
+ v AS (SELECT n.scene_no, n.row_idx, n.col_idx, round(sum(w * s.b03) / nullif(sum(CASE WHEN s.b03 IS NOT NULL THEN w END), 0), 6) AS b03 FROM n JOIN fx_pixels s ON s.scene_no = n.scene_no AND s.row_idx = sr AND s.col_idx = sc GROUP BY n.scene_no, n.row_idx, n.col_idx)""") + " SELECT scene_no, CAST(row_idx AS INT) AS row_idx, CAST(col_idx AS INT) AS col_idx, b03 FROM v WHERE b03 IS NOT NULL", "fx_pixels")
+def regrid_chips_bilinear(spark, d):
+    return _regrid_keyed(spark, d, "bilinear").withColumn("b03", F.round("b03", 6))
+
+
+@query(_with("p AS (SELECT DISTINCT source, latitude, longitude, acq_date, acq_time, concat_ws('|', source, latitude, longitude, acq_date, acq_time) AS event_id, try_cast(nullif(longitude, '') AS DOUBLE) AS lon, try_cast(nullif(latitude, '') AS DOUBLE) AS lat, try_cast(acq_date AS DATE) AS day FROM fx_detections WHERE try_cast(acq_date AS DATE) IS NOT NULL), " + _BOXES + ", " + _INSIDE) + " SELECT day, source, aoi_id, count(*) AS n FROM (SELECT DISTINCT event_id, aoi_id FROM y WHERE o = 1 AND h = 0) z JOIN p USING (event_id) GROUP BY day, source, aoi_id", "fx_detections", "fx_edges")
+def detections_stream_areas(spark, d):
+    """The table in four polls, in order of time, each clipped to the areas.
+    The last day comes twice and counts once."""
+    raw = read(spark, d, "fx_detections").drop("frp")
+    day = F.to_date("ts")
+    a, b = raw.agg(F.min(day), F.max(day)).first()
+    span = max(1, -(-((b - a).days + 1) // 4)) if a else 1
+    polls = [raw.where(F.floor(F.date_diff(day, F.lit(a)) / span) == i) for i in range(4)] + [raw.where(day == F.lit(b))]
+    path = shared_dir(spark, "detections-areas")
+    edges = _edges(spark, d)
+    areas = stream.AreaCells(lambda: edges)
+    for i, p in enumerate(polls):
+        p.drop("ts").write.parquet(f"{path}/in/{i}")
+        stream.poll_areas(spark, f"{path}/in", p.drop("ts").schema, areas, f"{path}/out", f"{path}/state")
+    return stream.area_counts(spark.read.parquet(f"{path}/out"))
+
+
+@query(" SELECT scene_no, row_idx, col_idx, b03 FROM fx_pixels WHERE row_idx BETWEEN 100 + scene_no * 10 AND 219 + scene_no * 10 AND col_idx BETWEEN 1 AND 4", "fx_pixels")
+def chips_in_windows(spark, d):
+    """Chips stored along a curve; of each scene the chips of its window are
+    read, and cells beside the window cut off."""
+    path, size = shared_dir(spark, "chips"), 32
+    p = read(spark, d, "fx_pixels")
+    sinks.write_chips(chips.pack_chips(p, ["b03"], ["scene_no"], size), path, ["scene_no"], file_chips=64)
+    no = F.col("scene_no")
+    windows = p.select("scene_no").distinct().select("scene_no", (100 + no * 10).alias("row_off"), F.lit(1).alias("col_off"), F.lit(120).alias("n_rows"), F.lit(4).alias("n_cols"))
+    found = readers.read_windows(spark, path, windows, ["scene_no"], size)
+    return chips.unpack_chips(tiles.crop_chips(found, windows, ["b03"], ["scene_no"], size), ["b03"], ["scene_no"], size)
+
+
+@query(""" SELECT 'all scenes' AS run, count(*) AS n_items, count(*) FILTER (scene_no % 97 <> 0 AND scene_no % 5 <> 0) AS n_processed, count(*) FILTER (scene_no % 97 <> 0 AND scene_no % 5 = 0) AS n_skipped, count(*) FILTER (scene_no % 97 = 0) AS n_failed,
+ CASE WHEN count(*) FILTER (scene_no % 97 = 0) = 0 THEN 'success' WHEN count(*) FILTER (scene_no % 97 = 0) = count(*) THEN 'failed' ELSE 'partial' END AS status FROM fx_scenes""", "fx_scenes")
+def run_report_observed(spark, d):
+    """The report of a run, counted while its items were written."""
+    status = F.when(F.col("scene_no") % 97 == 0, "failed").when(F.col("scene_no") % 5 == 0, "skipped").otherwise("processed")
+    items, seen = report.observed(read(spark, d, "fx_scenes").select("item_id", status.alias("status")), "scenes")
+    items.write.parquet(shared_dir(spark, "run-items"))
+    return report.observed_report(spark, {"all scenes": seen})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +52,29 @@ def layer_scan(cells: DataFrame, layers: DataFrame, complete: bool = False) -> D
 def in_valid_range(value: Column, low: Column, high: Column) -> Column:
     """Whether a stored number lies in its layer's valid range."""
     return value.between(F.coalesce(low, value), F.coalesce(high, value))
+
+
+def read_window(spark: SparkSession, path: str, rows: tuple[int, int], cols: tuple[int, int], size: int, where: Column | None = None) -> DataFrame:
+    """Chips of ``sinks.write_chips`` that a window (first and last row, first
+    and last column of cells) meets. The window goes down to the files as
+    ranges of chips, so most row groups are never read; cells beside it, in
+    chips on its bounds, are left to ``tiles.crop_chips``."""
+    c = spark.read.parquet(path)
+    if where is not None:
+        c = c.where(where)
+    return c.where(F.col("chip_row").between(rows[0] // size, rows[1] // size) & F.col("chip_col").between(cols[0] // size, cols[1] // size))
+
+
+def read_windows(spark: SparkSession, path: str, windows: DataFrame, key: Sequence[str], size: int) -> DataFrame:
+    """The same for a table of windows: key, row_off, col_off, n_rows, n_cols,
+    one a key. Windows become chips and meet the stored ones by an equi-join;
+    the ranges that hold them all go down to the files."""
+    last_row, last_col = F.col("row_off") + F.col("n_rows") - 1, F.col("col_off") + F.col("n_cols") - 1
+    w = windows.where((F.col("n_rows") > 0) & (F.col("n_cols") > 0)).withColumns({"r0": F.floor(F.col("row_off") / size), "r1": F.floor(last_row / size), "c0": F.floor(F.col("col_off") / size), "c1": F.floor(last_col / size)})
+    r = w.agg(F.min("r0"), F.max("r1"), F.min("c0"), F.max("c1")).first()
+    stored = spark.read.parquet(path)
+    if r[0] is None:
+        return stored.limit(0)
+    stored = stored.where(F.col("chip_row").between(r[0], r[1]) & F.col("chip_col").between(r[2], r[3]))
+    met = w.select(*key, F.explode(F.sequence("r0", "r1")).alias("chip_row"), "c0", "c1").select(*key, "chip_row", F.explode(F.sequence("c0", "c1")).alias("chip_col"))
+    return stored.join(met, [*key, "chip_row", "chip_col"], "left_semi")

@@ -35,6 +35,27 @@ def write_layers(chips: DataFrame, path: str, mode: str = "overwrite") -> None:
     write_partitions(chips, path, ["satellite", "layer", "date_token"], mode)
 
 
+def _interleaved(row, col, bits: int = 20):
+    """A place on a curve that keeps near chips near: the bits of row and column
+    in turn."""
+    out = F.lit(0).cast("long")
+    for i in range(bits):
+        for n, c in ((2 * i, col), (2 * i + 1, row)):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(c.cast("long"), i).bitwiseAND(F.lit(1)), n))
+    return out
+
+
+def write_chips(chips: DataFrame, path: str, key: list[str], file_chips: int = 4096, group_bytes: int = 64 << 20, mode: str = "overwrite") -> None:
+    """Chips in order of a space-filling curve within each key, so that the
+    statistics of files and row groups cover small squares of chips, and
+    windows (``readers.read_window``) skip the others. ``file_chips`` chips to
+    a file and ``group_bytes`` to a row group, about."""
+    at = _interleaved(F.col("chip_row"), F.col("chip_col"))
+    files = max(1, -(-chips.count() // file_chips))
+    c = chips.withColumn("curve", at).repartitionByRange(files, *key, "curve").sortWithinPartitions(*key, "curve").drop("curve")
+    c.write.mode(mode).option("parquet.block.size", group_bytes).parquet(path)
+
+
 def write_bands(bands: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per band."""
     write_partitions(bands, path, ["band"], mode)

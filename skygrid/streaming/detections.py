@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import aoi
 from ..operators.detections import located, typed
+from ..plans.scratch import cut
 
 IDENTITY = ["source", "latitude", "longitude", "acq_date", "acq_time"]
 
@@ -42,6 +46,46 @@ def poll(spark, folder: str, schema, out: str, checkpoint: str, **options) -> No
     run_to_table(daily_counts(arrived, **options), out, checkpoint).awaitTermination()
 
 
+class AreaCells:
+    """The cells of areas that may change while a stream runs. They are worked
+    out and stored anew only when the areas' content differs."""
+
+    def __init__(self, edges: Callable[[], DataFrame]):
+        self.edges, self.version, self.cells, self.levels = edges, None, None, []
+
+    def now(self) -> tuple[DataFrame, list[int]]:
+        e = self.edges()
+        content = F.xxhash64("aoi_id", "part", "ring", *aoi.EDGE)
+        version = tuple(e.agg(F.count("*"), F.bit_xor(content), F.sum(F.shiftright(content, 20))).first())
+        if version != self.version:
+            self.cells = cut(aoi.area_cells(e), "area-cells")
+            self.levels = sorted(r["level"] for r in self.cells.select("level").distinct().collect())
+            self.version = version
+        return self.cells, self.levels
+
+
+def poll_areas(spark, folder: str, schema, areas: AreaCells, out: str, checkpoint: str, delay: str = "1 day", identity: list[str] = IDENTITY) -> None:
+    """One poll, clipped to areas: each row that came, once, is joined with the
+    areas as they are when its batch runs. A batch keeps its counts per day,
+    source and area in a folder of its own, which a replay overwrites;
+    ``area_counts`` adds them up."""
+    t = located(typed(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)))
+    stamp = F.try_to_timestamp(F.concat_ws(" ", "acq_date", F.lpad("acq_time", 4, "0")), F.lit("yyyy-MM-dd HHmm"))
+    t = t.withColumn("acq_ts", stamp).where(F.col("acq_ts").isNotNull()).withWatermark("acq_ts", delay).dropDuplicatesWithinWatermark(identity)
+
+    def keep(batch: DataFrame, no: int) -> None:
+        cells, levels = areas.now()
+        held = aoi.points_in_cells(batch, cells, levels, ["day", "source"])
+        held.groupBy("day", "source", "aoi_id").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch={no}")
+
+    t.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+
+
+def area_counts(updates: DataFrame) -> DataFrame:
+    """Counts of each day, source and area over all batches."""
+    return updates.groupBy("day", "source", "aoi_id").agg(F.sum("n").alias("n"))
+
+
 def latest(updates: DataFrame) -> DataFrame:
     """The last count of each day and source."""
     return updates.groupBy("day", "source").agg(F.max_by("n", "batch").alias("n"))

@@ -9,7 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from skygrid.functions import geo
-from skygrid.operators import aoi, intervals
+from skygrid.operators import aoi, catalog, chips, grids, intervals, pixels, report, spans, tiles
+from skygrid.plans import surface_reflectance
+from skygrid.sources import outputs, readers, sinks
+from skygrid.streaming import detections as stream
 
 EDGES = "aoi_id long, part int, ring int, edge int, x1 double, y1 double, x2 double, y2 double"
 
@@ -230,3 +233,165 @@ def test_interval_join(spark):
         intervals.interval_join(a, a, ["k"], ("s", "e"), ("s", "e"))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+# --- row spans ------------------------------------------------------------
+
+
+def test_row_spans_equal_point_in_polygon(spark):
+    """Cell for cell, with bounds on cells' centres, holes and several parts."""
+    r = random.Random(11)
+    shapes = {i: [[[(x * 5, y * 5) for x, y in quad(r, 60)]]] for i in range(12)}
+    shapes[50] = [[[(0, 0), (200, 0), (200, 200), (0, 200)], [(45, 45), (155, 45), (155, 155), (45, 155)]], [[(75, 75), (125, 75), (125, 125), (75, 125)]]]
+    shapes[51] = [[[(5, 5), (105, 5), (105, 105), (5, 105)]]]  # bounds on centres
+    shapes[52] = [[[(15, 15), (55, 95), (95, 15), (55, 45)]]]  # a dent
+    e = edge_frame(spark, shapes)
+    box = {"left_x": -1500.0, "top_y": 1500.0, "res": 10.0}
+    grid = e.select("aoi_id").distinct().select("aoi_id", *[F.lit(v).alias(k) for k, v in box.items()], F.lit(320).alias("width"), F.lit(310).alias("height"))
+    s = spans.row_spans(e, grid)
+    rows = s.collect()
+    got = {(x["aoi_id"], x["row_idx"], c) for x in rows for a in x["spans"] for c in range(a["c0"], a["c1"] + 1)}
+    assert sum(a["c1"] - a["c0"] + 1 for x in rows for a in x["spans"]) == len(got)  # runs don't overlap
+    assert all(b["c0"] > a["c1"] + 1 for x in rows for a, b in zip(x["spans"], x["spans"][1:]))  # nor touch
+    cells = spark.range(310 * 320).selectExpr("CAST(id DIV 320 AS LONG) AS row_idx", "CAST(id % 320 AS LONG) AS col_idx").withColumns({"lon": -1500.0 + (F.col("col_idx") + 0.5) * 10.0, "lat": 1500.0 - (F.col("row_idx") + 0.5) * 10.0})
+    want = {(x["aoi_id"], x["row_idx"], x["col_idx"]) for x in aoi.points_in_areas(cells, e, ["row_idx", "col_idx"]).collect()}
+    assert got == want
+    masked = spans.in_spans(cells.withColumn("aoi_id", F.lit(50)), s, ["aoi_id"])
+    assert masked.count() == 310 * 320 and masked.where("in_area").count() == sum(i == 50 for i, _, _ in want)
+    assert spans.row_spans(e.limit(0), grid).count() == 0
+
+
+# --- chips ----------------------------------------------------------------
+
+
+def plane(spark, keys, rows, cols):
+    return spark.createDataFrame([(k, r, c, float(r * 3 + c * 2 + k * 1000) if (r * 7 + c) % 11 else None) for k in keys for r in range(rows) for c in range(cols)], "k int, row_idx int, col_idx int, v double")
+
+
+@pytest.mark.parametrize("method", ["nearest", "bilinear"])
+def test_regrid_chips_equals_the_cell_form(spark, method):
+    """Keys with grids of their own, in zones of their own."""
+    rows, cols, size = 40, 50, 16
+    cells = plane(spark, (1, 2, 3), rows, cols)
+    s = {1: (700000.0, 3900000.0, 30.0, 32652), 2: (705000.0, 3899000.0, 25.0, 32652), 3: (160000.0, 3900500.0, 30.0, 32653)}
+    t = {1: (700100.0, 3899950.0, 20.0, 32652), 2: (157900.0, 3900200.0, 40.0, 32653), 3: (704900.0, 3900100.0, 30.0, 32652)}
+    spec = "k int, left_x double, top_y double, res double, epsg int"
+    sources = spark.createDataFrame([(k, *g) for k, g in s.items()], spec)
+    targets = spark.createDataFrame([(k, *g, 45, 37) for k, g in t.items()], spec + ", width int, height int")
+    out = grids.regrid_chips(chips.pack_chips(cells, ["v"], ["k"], size), sources, targets, "v", ["k"], size, method)
+    assert out.count() == 3 * 3 * 3
+    got = {(r["k"], r["row_idx"], r["col_idx"]): r["v"] for r in chips.unpack_chips(out, ["v"], ["k"], size).collect()}
+    want = {}
+    names = ("left_x", "top_y", "res", "epsg")
+    for k in (1, 2, 3):
+        target = spark.range(37 * 45).selectExpr(f"{k} AS k", "CAST(id DIV 45 AS INT) AS row_idx", "CAST(id % 45 AS INT) AS col_idx")
+        cell_form = grids.regrid_nearest if method == "nearest" else grids.regrid_bilinear
+        for r in cell_form(cells.where(F.col("k") == k), target, dict(zip(names, s[k])), dict(zip(names, t[k])), "v", ["k"]).where("v IS NOT NULL").collect():
+            want[k, r["row_idx"], r["col_idx"]] = r["v"]
+    assert got.keys() == want.keys() and len(want) > 1500
+    assert all(got[x] == pytest.approx(want[x], abs=1e-6) for x in want)
+
+
+def test_windows_read_few_row_groups(spark, tmp_path):
+    size, path = 8, f"file://{tmp_path}/chips"
+    cells = spark.range(256 * 256).selectExpr("0 AS k", "CAST(id DIV 256 AS INT) AS row_idx", "CAST(id % 256 AS INT) AS col_idx", "CAST(id AS DOUBLE) AS v")
+    sinks.write_chips(chips.pack_chips(cells, ["v"], ["k"], size), path, ["k"], file_chips=64, group_bytes=16 << 10)
+
+    def rows_scanned(df):
+        plan = df._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        while plan.children().size():
+            plan = plan.children().apply(0)
+        return plan.metrics().apply("numOutputRows").value(), plan.toString()
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    every, _ = rows_scanned(spark.read.parquet(path))
+    window = readers.read_window(spark, path, (100, 119), (40, 61), size)
+    read, plan = rows_scanned(window)
+    assert "GreaterThanOrEqual(chip_row,12)" in plan and "LessThanOrEqual(chip_col,7)" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert every == 1024 and read <= every // 8
+    w = spark.createDataFrame([(0, 100, 40, 20, 22)], "k int, row_off int, col_off int, n_rows int, n_cols int")
+    found = readers.read_windows(spark, path, w, ["k"], size)
+    got = {(r["row_idx"], r["col_idx"]): r["v"] for r in chips.unpack_chips(tiles.crop_chips(found, w, ["v"], ["k"], size), ["v"], ["k"], size).collect()}
+    assert got == {(r, c): float(r * 256 + c) for r in range(100, 120) for c in range(40, 62)}
+    assert readers.read_windows(spark, path, w.limit(0), ["k"], size).count() == 0
+
+
+# --- outputs --------------------------------------------------------------
+
+
+def test_a_rerun_leaves_other_days(spark, tmp_path):
+    path = f"file://{tmp_path}/out"
+    d = lambda day, n: spark.createDataFrame([("modis", day, i) for i in range(n)], "family string, acq_day string, i int")
+    by = ["family", "acq_day"]
+    read = lambda: {r["acq_day"]: r["count"] for r in spark.read.schema("i int, family string, acq_day string").parquet(path).groupBy("acq_day").count().collect()}
+    work = spark.createDataFrame([("0101",), ("0102",), ("0103",)], "acq_day string")
+    assert outputs.outputs_done(spark, path, ["acq_day"]).count() == 0
+    outputs.write_outputs(d("0101", 3), path, by, work.where("acq_day in ('0101', '0103')"), ["acq_day"])
+    assert {r["acq_day"]: r["n_rows"] for r in outputs.outputs_done(spark, path, ["acq_day"]).collect()} == {"0101": 3, "0103": 0}
+    assert [r["acq_day"] for r in outputs.still_to_do(work, path, ["acq_day"]).collect()] == ["0102"]
+    outputs.write_partitions(d("0102", 9), path, by)  # cut off before the record
+    assert [r["acq_day"] for r in outputs.still_to_do(work, path, ["acq_day"]).collect()] == ["0102"]
+    outputs.write_outputs(d("0102", 2), path, by, work.where("acq_day = '0102'"), ["acq_day"])
+    assert read() == {"0101": 3, "0102": 2} and outputs.still_to_do(work, path, ["acq_day"]).count() == 0
+    assert outputs.still_to_do(work, path, ["acq_day"], "overwrite").count() == 3
+    # A rerun that fails half way is not done, though an earlier run was.
+    bad = d("0101", 5).withColumn("i", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        outputs.write_outputs(bad, path, by, work.where("acq_day = '0101'"), ["acq_day"])
+    assert [r["acq_day"] for r in outputs.still_to_do(work, path, ["acq_day"]).collect()] == ["0101"]
+    with pytest.raises(ValueError):
+        outputs.write_outputs(bad, path, by, work, ["i"])
+
+
+def test_masks_of_another_shape_are_an_error(spark):
+    key = ["row_idx", "col_idx"]
+    image = spark.createDataFrame([(0, 0, 5), (0, 1, 6)], "row_idx int, col_idx int, b03 int")
+    mask = lambda *rows: spark.createDataFrame(rows, "row_idx int, col_idx int, cloud_class int")
+    snow = lambda *rows: spark.createDataFrame(rows, "row_idx int, col_idx int, snow int")
+    whole = pixels.join_masks(image, mask((0, 0, 1), (0, 1, None)), snow((0, 1, 1)), key)
+    assert sorted(map(tuple, whole.select("row_idx", "col_idx", "b03", "cloud_class", "snow").collect()), key=repr) == [(0, 0, 5, 1, None), (0, 1, 6, None, 1)]
+    for cloud, more in ((mask((0, 0, 1)), None), (mask((0, 0, 1), (0, 1, 0), (1, 0, 0)), None), (mask((0, 0, 1), (0, 1, 0)), snow((5, 5, 1)))):
+        with pytest.raises(Exception, match="cells"):
+            pixels.join_masks(image, cloud, more, key).collect()
+    assert pixels.join_masks(image, mask((0, 0, 1)), None, key, strict=False).count() == 1
+
+
+def test_coverage_is_by_product(spark):
+    day = datetime.date(2024, 1, 1)
+    w = spark.createDataFrame([(p, p, day, day) for p in ("MOD09GA", "MYD09GA")], "window_id string, product string, start date, end date")
+    g = spark.createDataFrame([("MYD09GA", day)], "product string, acq_date date")
+    assert {r["window_id"]: r["action"] for r in catalog.calendar_coverage(w, g).collect()} == {"MOD09GA": "skip", "MYD09GA": "process"}
+
+
+def test_fills_of_unsigned_layers(spark):
+    g = spark.createDataFrame([(1, "MOD09GA.A2024001.h28v05.061.1.hdf"), (2, "MOD09GA.A2024001.h28v05.061.2.hdf")], "granule_id long, filename string")
+    fill = 4294967295
+    cells = spark.createDataFrame([(1, "qc", 0, 0, fill), (2, "qc", 0, 0, 4294967290), (1, "qc", 0, 1, fill)], "granule_id long, field string, row_idx int, col_idx int, dn long")
+    layers = spark.createDataFrame([("qc", "qa", None, None, float(fill))], "field string, kind string, scale double, offset double, fill double")
+    w = spark.createDataFrame([(1, datetime.date(2024, 1, 1), datetime.date(2024, 1, 2))], "window_id int, start date, end date")
+    values, report = surface_reflectance.process_days(g, cells, layers, w)
+    assert {(r["col_idx"], r["qa"]) for r in values.collect()} == {(0, 4294967290), (1, fill)}
+    assert [r["action"] for r in report.orderBy("acq_date").collect()] == ["process", "skip"]
+
+
+def test_observed_reports_need_no_pass_of_their_own(spark):
+    items, seen = report.observed(spark.createDataFrame([("processed",), ("failed",), ("skipped",), ("processed",), (None,)], "status string"), "run")
+    items.write.format("noop").mode("overwrite").save()
+    assert tuple(report.observed_report(spark, {"a": seen}).first()) == ("a", 5, 2, 1, 1, "partial")
+
+
+def test_area_streams_follow_changed_areas(spark, tmp_path):
+    spec = "source string, latitude string, longitude string, acq_date string, acq_time string"
+    row = lambda lon, hour: ("MODIS_SP", "0.5", lon, "2024-01-01", f"{hour:02}00")
+    west = edge_frame(spark, {1: [[[(0, 0), (1, 0), (1, 1), (0, 1)]]]})
+    east = edge_frame(spark, {1: [[[(0, 0), (1, 0), (1, 1), (0, 1)]]], 2: [[[(2, 0), (3, 0), (3, 1), (2, 1)]]]})
+    current = [west]
+    areas = stream.AreaCells(lambda: current[0])
+    for i, rows in enumerate(([row("0.5", 1), row("2.5", 1)], [row("0.5", 1), row("2.5", 2), row("0.6", 2)])):
+        spark.createDataFrame(rows, spec).write.parquet(f"{tmp_path}/in/{i}")
+        stream.poll_areas(spark, f"{tmp_path}/in", spec, areas, f"{tmp_path}/out", f"{tmp_path}/state")
+        current[0] = east
+    got = stream.area_counts(spark.read.parquet(f"{tmp_path}/out")).collect()
+    assert {(r["aoi_id"], r["n"]) for r in got} == {(1, 2), (2, 1)}
