@@ -2,12 +2,16 @@
 
 Every document of a source asks for the same number of copies f = target /
 source size. The whole part is taken; the fraction is a copy probability.
-Pairs of fractional documents move probability mass, counted in words, from
-one to the other until one of the two is integral: the words expected from
-the pair stay what they were. One fractional document is left of each block,
-and blocks combine their leftovers in a reduction tree until one is left per
-source, which is rounded by a coin. A source's words then miss its target by
-less than one document.
+Pairs move probability mass, counted in words, from one to the other until one
+of the two is integral: the words expected from the pair stay what they were.
+A pair is the longest fractional document of a block and the block's other
+ones, taken as one unit whose members rise or fall together. Between two single
+documents the shorter would always be integral first, and the longest be left
+to the end; against a unit the longest is settled first. One fractional
+document is left of each block, its shortest as a rule, and blocks combine
+their leftovers in a reduction tree until one is left per source, which is
+rounded by a coin. A source's words then miss its target by less than that
+document.
 
 DataFrame functions only. Blocks are dealt by a hash of document and level,
 so a source with a third of all rows spreads over many blocks, and no block
@@ -31,8 +35,7 @@ from .common import cut, word_count
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 FAN = 64
-#: Size stands first: blocks meet their long documents first, so that what is
-#: left at the end tends to be short.
+#: Size stands first: blocks settle their long documents first.
 KEY = ["size", "mix_hash", "doc_id", "source"]
 
 
@@ -74,25 +77,37 @@ def _uniform(*parts: Column) -> Column:
 
 
 def _pivot(level: int, seed: int):
-    """The merge of F.aggregate: the leftover so far meets the next document."""
+    """The merge of F.aggregate over a block's documents, longest first.
+
+    The state has the document left, those that are integral, and about the
+    unit of those still to come: their words ``words``, their mass ``mass`` by
+    their first probabilities, and what all of these have become: a * p + b.
+    """
 
     def merge(state: Column, x: Column) -> Column:
-        a, done = state["left"], state["done"]
-        room_a, mass_a = (1 - a["p"]) * a["size"], a["p"] * a["size"]
-        room_x, mass_x = (1 - x["p"]) * x["size"], x["p"] * x["size"]
-        up, down = F.least(room_a, mass_x), F.least(mass_a, room_x)
-        draw = _uniform(a["mix_hash"], a["doc_id"], x["mix_hash"], x["doc_id"], F.lit(level), F.lit(seed))
-        rises = (up + down <= 0) | (draw * (up + down) < down)
-        first_done = F.when(rises, room_a <= mass_x).otherwise(mass_a <= room_x)
-        sign = F.when(rises, 1.0).otherwise(-1.0)
-        moved = F.when(rises, up).otherwise(down)
-
-        def node(n: Column, p: Column) -> Column:
-            return F.struct(*[n[c].alias(c) for c in KEY], F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)).alias("p"))
-
-        ended = F.when(first_done, node(a, F.when(rises, 1.0).otherwise(0.0))).otherwise(node(x, F.when(rises, 0.0).otherwise(1.0)))
-        stays = F.when(first_done, node(x, x["p"] - sign * moved / x["size"])).otherwise(node(a, a["p"] + sign * moved / a["size"]))
-        return F.when(a.isNull(), F.struct(x.alias("left"), done.alias("done"))).otherwise(F.struct(stays.alias("left"), F.concat(done, F.array(ended)).alias("done")))
+        a, b, size = state["a"], state["b"], x["size"].cast("double")
+        words, mass = state["words"] - size, state["mass"] - x["p"] * size
+        p = F.least(F.greatest(a * x["p"] + b, F.lit(0.0)), F.lit(1.0))
+        unit_mass = F.least(F.greatest(a * mass + b * words, F.lit(0.0)), words)
+        unit_room = words - unit_mass
+        up, down = F.least((1 - p) * size, unit_mass), F.least(p * size, unit_room)
+        rises = _uniform(x["mix_hash"], x["doc_id"], F.lit(level), F.lit(seed)) * (up + down) < down
+        # The share of the unit's mass, or room, that moves; 1 settles the unit.
+        share = F.when(rises, F.coalesce(F.try_divide(up, unit_mass), F.lit(0.0))).otherwise(F.coalesce(F.try_divide(down, unit_room), F.lit(0.0)))
+        settled = F.when(rises, (1 - p) * size <= unit_mass).otherwise(p * size <= unit_room)
+        final = F.when(rises, F.when(settled, 1.0).otherwise(p + up / size)).otherwise(F.when(settled, 0.0).otherwise(p - down / size))
+
+        def node(value: Column) -> Column:
+            return F.struct(*[x[c].alias(c) for c in KEY], value.alias("p"))
+
+        def next_state(left: Column, done: Column, a: Column, b: Column) -> Column:
+            return F.struct(left.alias("left"), done.alias("done"), a.alias("a"), b.alias("b"), words.alias("words"), mass.alias("mass"))
+
+        zero, kept = F.lit(0.0), 1 - share
+        paired = F.when(settled, next_state(state["left"], F.concat(state["done"], F.array(node(final))), a * kept, b * kept + F.when(rises, zero).otherwise(share))).otherwise(next_state(node(final), state["done"], zero, F.when(rises, 0.0).otherwise(1.0)))
+        # The unit was settled before: its members are what b says.
+        member = next_state(state["left"], F.concat(state["done"], F.array(node(b))), zero, b)
+        return F.when(state["left"].isNotNull(), member).when(words <= 0, next_state(node(p), state["done"], a, b)).otherwise(paired)
 
     return merge
 
@@ -108,7 +123,9 @@ def round_copies(units: DataFrame, fan: int = FAN, seed: int = 0) -> DataFrame:
         blocks = left.join(n, F.col("source").eqNullSafe(F.col("n_source"))).drop("n_source")
         block = F.pmod(F.xxhash64("mix_hash", "doc_id", F.lit(level), F.lit(seed)), F.ceil(F.col("n") / fan))
         folded = blocks.groupBy("source", block.alias("block")).agg(F.sort_array(F.collect_list(F.struct(*KEY, "p")), asc=False).alias("nodes"))
-        start = F.expr(f"named_struct('left', cast(null as {node}), 'done', cast(array() as array<{node}>))")
+        total = F.expr("aggregate(nodes, 0e0, (t, x) -> t + x.size)"), F.expr("aggregate(nodes, 0e0, (t, x) -> t + x.p * x.size)")
+        none = F.lit(None).cast(node), F.array().cast(f"array<{node}>")
+        start = F.struct(none[0].alias("left"), none[1].alias("done"), F.lit(1.0).alias("a"), F.lit(0.0).alias("b"), total[0].alias("words"), total[1].alias("mass"))
         state = F.aggregate("nodes", start, _pivot(level, seed))
         folded = cut(folded.select(state.alias("s")), f"mix-level{level}")
         decided.append(folded.select(F.explode("s.done").alias("d")).select("d.*"))
