@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing, radiometry
-from .aoi import GEOJSON, boxes_meet, geometry, rings
+from .aoi import GEOJSON, aoi_edges, boxes_meet, geometry, rings
 from .sizes import small
 
 # Asset and label of each band number, and bands masks need.
@@ -91,6 +91,13 @@ def typed_scenes(items: DataFrame, strict: bool = True) -> DataFrame:
     })
 
 
+def footprint_edges(items: DataFrame, strict: bool = False) -> DataFrame:
+    """Edges of catalog items' geometries, for ``polygons_in_areas``: their
+    ``aoi_id`` is the item_id. Items without polygon have none, or are an error
+    if ``strict``."""
+    return aoi_edges(items.select(F.col("item_id").alias("aoi_id"), "geometry"), "geometry", strict)
+
+
 def scene_metadata(scenes: DataFrame) -> DataFrame:
     """Acquisition time, image id, sun angles (zenith else 90 - elevation),
     baseline and offset of scenes that have a geometry."""

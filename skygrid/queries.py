@@ -712,10 +712,14 @@ def granule_pick_link(spark, d):
     return read(spark, d, "fx_granules").select("granule_id", parsing.pick_link(F.array(F.lit("thumb.png"), "filename")).alias("link"))
 
 
-@query(_with(_GRAN) + " SELECT granule_id FROM g WHERE acq_date >= DATE '1996-03-01' AND acq_date < DATE '1996-09-01' AND h BETWEEN 27 AND 29 AND v BETWEEN 4 AND 6", "fx_granules")
+_SEARCHED = '{"type":"Polygon","coordinates":[[[115.2,22.37],[140.6,22.37],[140.6,48.58],[115.2,48.58],[115.2,22.37]]]}'
+
+
+@query(_with(_GRAN + ", fx_regions AS (SELECT 1 AS aoi_id, 115.2e0 AS west, 22.37e0 AS south, 140.6e0 AS east, 48.58e0 AS north), " + _TILES) + " SELECT granule_id FROM g JOIN t ON g.h = t.h AND g.v = t.v WHERE acq_date >= DATE '1996-03-01' AND acq_date < DATE '1996-09-01'", "fx_granules")
 def granule_search(spark, d):
-    covering = spark.range(9).selectExpr("CAST(27 + id % 3 AS INT) AS h", "CAST(4 + id DIV 3 AS INT) AS v")
-    return catalog.granule_search(_granules(spark, d), covering, "1996-03-01", "1996-08-31").select("granule_id")
+    """Granules of a period on the tiles that cover an area."""
+    edges = aoi.aoi_edges(spark.createDataFrame([(1, _SEARCHED)], "aoi_id int, geojson string"))
+    return catalog.granule_search(_granules(spark, d), aoi.covering_tiles(edges), "1996-03-01", "1996-08-31").select("granule_id")
 
 
 @query(_with(f"{_GRAN}, {_TILES}") + " SELECT w.aoi_id, w.window_id, g.granule_id FROM g JOIN t ON g.h = t.h AND g.v = t.v JOIN fx_windows w ON w.aoi_id = t.aoi_id AND g.acq_date BETWEEN first_day AND last_day", "fx_granules", "fx_regions", "fx_windows")
@@ -1019,3 +1023,32 @@ def run_report_observed(spark, d):
     items, seen = report.observed(read(spark, d, "fx_scenes").select("item_id", status.alias("status")), "scenes")
     items.write.parquet(shared_dir(spark, "run-items"))
     return report.observed_report(spark, {"all scenes": seen})
+
+
+_RUN_BANDS = ["b03", "b04", "b11"]
+_BY_PRESET = "CAST(CASE WHEN prefix = 'S2C' THEN least(greatest(CAST({v} AS FLOAT) * CAST(0.0001 AS FLOAT), CAST(0 AS FLOAT)), CAST(1 AS FLOAT)) ELSE least(greatest(CAST({v} AS FLOAT) * CAST(0.0000275 AS FLOAT) + CAST(-0.2 AS FLOAT), CAST(0 AS FLOAT)), CAST(1 AS FLOAT)) END AS FLOAT)"
+_RUN_SQL = (
+    f"p AS (SELECT DISTINCT aoi_id, item_id FROM ({SQL['scenes_in_windows']}) q), n AS (SELECT item_id, {_PREFIX} AS prefix, strftime(acquired, '%Y%m%d') AS date_token, {_OFFSET} AS dn_offset FROM fx_scenes), "
+    + "v AS (SELECT p.aoi_id, prefix, date_token, row_idx, col_idx, cloud_class, " + ", ".join(f"CASE WHEN {b} = 0 THEN 0e0 ELSE greatest({b} - dn_offset, 0e0) END AS {b}" for b in _RUN_BANDS) + " FROM fx_scene_cells JOIN n USING (item_id) JOIN p USING (item_id)), "
+    + "r AS (SELECT aoi_id, prefix, date_token, row_idx, col_idx, cloud_class, " + ", ".join(f"{_BY_PRESET.format(v=b)} AS {b}" for b in _RUN_BANDS) + f" FROM v), {_S}, "
+    + "m AS (SELECT *, cloud_class IN (1, 2, 3) OR snow = 1 OR b03 = 0 OR (greatest(b03, b04, b11) = 0 AND least(b03, b04, b11) = 0) AS masked FROM s), "
+    + "c AS (SELECT aoi_id, prefix, date_token, row_idx, col_idx, " + ", ".join(f"min(CASE WHEN NOT masked THEN {b} END) AS m_{b}, min(CASE WHEN snow <> 1 THEN {b} END) AS s_{b}" for b in _RUN_BANDS) + ", CAST(coalesce(min(cloud_class), 0) AS FLOAT) AS class, CAST(coalesce(max(nullif(snow, 255)), 255) AS FLOAT) AS snow FROM m GROUP BY aoi_id, prefix, date_token, row_idx, col_idx)"
+)
+_RUN_LAYERS = [*[("masked", b, f"m_{b}") for b in _RUN_BANDS], ("cloudmask", "class", "class"), *[("snowmasked", b, f"s_{b}") for b in _RUN_BANDS], ("snowmask", "snow", "snow")]
+
+
+@query(_with(_RUN_SQL) + " SELECT aoi_id, prefix AS satellite, date_token, row_idx, col_idx, layer, band, value FROM (" + " UNION ALL ".join(f"SELECT aoi_id, prefix, date_token, row_idx, col_idx, '{layer}' AS layer, '{band}' AS band, {c} AS value FROM c" for layer, band, c in _RUN_LAYERS) + ") q WHERE value IS NOT NULL", "fx_scenes", "fx_windows", "fx_scene_cells")
+def imagery_runs(spark, d):
+    """The whole imagery plan in two runs: the first works the windows of the
+    earlier half of time, the second all of them, of which it leaves out the
+    days that are done."""
+    path, windows, size = shared_dir(spark, "imagery"), cut(_windows(spark, d), "windows"), 16
+    args = read(spark, d, "fx_scenes"), read(spark, d, "fx_scene_cells"), _RUN_BANDS
+    edges = cut(_edges(spark, d), "edges")
+    middle = windows.agg(F.percentile(F.unix_date("start"), 0.5).cast("int").alias("m")).first()["m"]
+    early = windows.where(F.unix_date("start") <= F.lit(middle))
+    for asked in (early, windows):
+        imagery.process_windows(*args, asked, edges, path, size=size)
+    kept = spark.read.schema("band string, chip_row int, chip_col int, values array<float>, aoi_id long, satellite string, layer string, date_token string").parquet(path)
+    back = chips.unpack_chips(kept, ["values"], ["aoi_id", "satellite", "date_token", "layer", "band"], size)
+    return back.withColumnRenamed("values", "value").select("aoi_id", "satellite", "date_token", "row_idx", "col_idx", "layer", "band", "value")

@@ -101,6 +101,11 @@ SELECT l_orderkey AS granule_id, CASE l_linenumber % 3 WHEN 0 THEN 'refl' WHEN 1
        l_partkey % CASE WHEN l_linenumber % 3 = 2 THEN 12 ELSE 24 END AS row_idx, l_suppkey % CASE WHEN l_linenumber % 3 = 2 THEN 12 ELSE 24 END AS col_idx,
        CASE l_linenumber % 3 WHEN 0 THEN CASE WHEN (l_orderkey + l_partkey) % 13 = 0 THEN -28672 ELSE (l_orderkey * 29 + l_partkey * 3) % 16000 - 100 END
             WHEN 1 THEN 4294967295 - l_partkey % 7 ELSE (l_orderkey * 11 + l_partkey) % 65536 END AS dn
+FROM {lineitem}""",
+    "fx_scene_cells": """
+SELECT concat('SC_', lpad(CAST(l_orderkey AS STRING), 8, '0')) AS item_id, CAST(l_partkey % 40 AS INT) AS row_idx, CAST(l_suppkey % 30 AS INT) AS col_idx, CAST((l_suppkey + l_orderkey) % 4 AS INT) AS cloud_class,
+       CASE WHEN l_partkey % 29 = 0 THEN 0 ELSE (l_orderkey * 37 + l_suppkey * 101 + l_partkey) % 19941 END AS b03, CASE WHEN l_partkey % 29 = 0 THEN 0 ELSE (l_orderkey * 41 + l_suppkey * 7 + l_partkey) % 19929 END AS b04,
+       CASE WHEN l_partkey % 29 = 0 THEN 0 ELSE (l_orderkey * 47 + l_suppkey * 5 + l_partkey) % 12007 END AS b11
 FROM {lineitem}""",
     "fx_footprints": """
 SELECT item_id, edge, west + size * fx1 // 100 AS x1, south + size * fy1 // 100 AS y1, west + size * fx2 // 100 AS x2, south + size * fy2 // 100 AS y2
