@@ -263,8 +263,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
             yield pa.RecordBatch.from_pylist([{"file_no": no, "path": uri, "n_docs": writer.n_docs, "n_ids": writer.n_ids, "n_bytes": writer.n_bytes}], schema=pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())]))
 
     bounded_batches(docs.sparkSession)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    dealt = d.repartitionByRange(files, "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key", "text")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text", F.monotonically_increasing_id().alias("row_no"))
+    # Rows that are alike in all may be many: their place spreads them over files.
+    dealt = d.repartitionByRange(files, "doc_id", "text_key", "row_no").sortWithinPartitions("doc_id", "text_key", "text")
     return cut(dealt.select("doc_id", "text").mapInArrow(write, MANIFEST), "token-manifest")
 
 
