@@ -163,15 +163,28 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     return each.select("doc_id", F.col("size"), "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds i, from 1, over equal documents. They may be a third of all rows, so
+    each input partition's are numbered apart, after those of earlier ones."""
+    group = ["doc_id", "source", "mix_hash"]
+    before = W.partitionBy(*group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    n = rows.groupBy(*group, "part").agg(F.count("*").alias("n"))
+    n = n.select(*[F.col(c).alias(f"n_{c}") for c in (*group, "part")], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(W.partitionBy(*group, "part").orderBy("row_no"))
+    j = rows.withColumn("own", own).join(n, [F.col(c).eqNullSafe(F.col(f"n_{c}")) for c in (*group, "part")])
+    return j.withColumn("i", F.col("start") + F.col("own"))
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as many times as it is taken, all columns."""
     m = mix_copies(docs, **options).where("copies > 0").select("doc_id", "source", "mix_hash", "rows", "copies").alias("m")
     # The document travels as one column, so that no name can clash.
     key = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("mix_hash")]
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *key).alias("d")
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *key, F.monotonically_increasing_id().alias("row_no")).alias("d")
     joined = d.join(m, [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in ("doc_id", "source", "mix_hash")]).select("d.*", "m.rows", "m.copies")
     once, often = joined.where("rows = 1"), joined.where("rows > 1")
-    i = F.row_number().over(W.partitionBy("doc_id", "source", "mix_hash").orderBy(F.lit(0)))
-    often = often.withColumn("copies", F.floor(F.col("copies") / F.col("rows")) + (i <= F.col("copies") % F.col("rows")).cast("long"))
+    # Written, as numbers of partitions must not change between two readings.
+    often = _numbered(cut(often.withColumn("part", F.shiftrightunsigned("row_no", 33)), "mix-often"))
+    often = often.withColumn("copies", F.floor(F.col("copies") / F.col("rows")) + (F.col("i") <= F.col("copies") % F.col("rows")).cast("long")).select(once.columns)
     rows = once.unionByName(often).where("copies > 0")
     return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("i")).select("doc.*")

@@ -119,6 +119,17 @@ def test_mix(spark):
     assert m.columns == d.columns and m.count() == sum(x["copies"] for x in r)
 
 
+def test_mix_shares_copies_among_equal_rows(spark):
+    """A third of all rows is one document, over many partitions."""
+    rows = [(i, f"word{i} " * (1 + i % 9)) for i in range(120)] + [(5, "the same text again")] * 60 + [(None, "nor this")] * 3
+    d = frame(spark, rows).withColumns({"source": F.lit("a"), "lang": F.lit("en")}).repartition(7)
+    r = mixing.mix_report(d).collect()
+    copies = collections.Counter((x["doc_id"], x["size"]) for x in r for _ in range(x["copies"]))
+    m = mixing.mix_documents(d).collect()
+    assert collections.Counter((x["doc_id"], len(words_of(x["text"]))) for x in m) == copies
+    assert copies[5, 4] in range(50, 71)
+
+
 def test_mix_is_unbiased_in_words(spark):
     u = spark.range(300).selectExpr("id AS doc_id", "'s' AS source", "xxhash64(id) AS mix_hash", "1 + id % 7 AS size", "0.3e0 AS p")
     want = 0.3 * sum(1 + i % 7 for i in range(300))
