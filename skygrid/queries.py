@@ -1037,11 +1037,11 @@ _RUN_SQL = (
 _RUN_LAYERS = [*[("masked", b, f"m_{b}") for b in _RUN_BANDS], ("cloudmask", "class", "class"), *[("snowmasked", b, f"s_{b}") for b in _RUN_BANDS], ("snowmask", "snow", "snow")]
 
 
-@query(_with(_RUN_SQL) + " SELECT aoi_id, prefix AS satellite, date_token, row_idx, col_idx, layer, band, value FROM (" + " UNION ALL ".join(f"SELECT aoi_id, prefix, date_token, row_idx, col_idx, '{layer}' AS layer, '{band}' AS band, {c} AS value FROM c" for layer, band, c in _RUN_LAYERS) + ") q WHERE value IS NOT NULL", "fx_scenes", "fx_windows", "fx_scene_cells")
+@query(_with(_RUN_SQL) + " SELECT aoi_id, prefix AS satellite, layer, band, count(DISTINCT date_token) AS n_days, count(*) AS n_cells, min(value) AS least, max(value) AS most FROM (" + " UNION ALL ".join(f"SELECT aoi_id, prefix, date_token, row_idx, col_idx, '{layer}' AS layer, '{band}' AS band, {c} AS value FROM c" for layer, band, c in _RUN_LAYERS) + ") q WHERE value IS NOT NULL GROUP BY aoi_id, prefix, layer, band", "fx_scenes", "fx_windows", "fx_scene_cells")
 def imagery_runs(spark, d):
     """The whole imagery plan in two runs: the first works the windows of the
     earlier half of time, the second all of them, of which it leaves out the
-    days that are done."""
+    days that are done. What came of it, a row an area and layer."""
     path, windows, size = shared_dir(spark, "imagery"), cut(_windows(spark, d), "windows"), 16
     args = read(spark, d, "fx_scenes"), read(spark, d, "fx_scene_cells"), _RUN_BANDS
     edges = cut(_edges(spark, d), "edges")
@@ -1049,6 +1049,6 @@ def imagery_runs(spark, d):
     early = windows.where(F.unix_date("start") <= F.lit(middle))
     for asked in (early, windows):
         imagery.process_windows(*args, asked, edges, path, size=size)
-    kept = spark.read.schema("band string, chip_row int, chip_col int, values array<float>, aoi_id long, satellite string, layer string, date_token string").parquet(path)
+    kept = outputs.read_runs(spark, path, f"aoi_id long, {imagery.OUTPUTS}", imagery.OUTPUT_KEY)
     back = chips.unpack_chips(kept, ["values"], ["aoi_id", "satellite", "date_token", "layer", "band"], size)
-    return back.withColumnRenamed("values", "value").select("aoi_id", "satellite", "date_token", "row_idx", "col_idx", "layer", "band", "value")
+    return back.groupBy("aoi_id", "satellite", "layer", "band").agg(F.count_distinct("date_token").alias("n_days"), F.count("*").alias("n_cells"), F.min("values").alias("least"), F.max("values").alias("most"))

@@ -345,6 +345,17 @@ def test_a_rerun_leaves_other_days(spark, tmp_path):
         outputs.write_outputs(bad, path, by, work, ["i"])
 
 
+def test_runs_take_each_others_place(spark, tmp_path):
+    path, key = f"file://{tmp_path}/runs", ["k"]
+    d = lambda *rows: spark.createDataFrame(rows, "k int, v int")
+    work = d((1, 0), (2, 0), (3, 0)).select("k")
+    outputs.write_run(d((1, 10), (1, 11), (2, 20)), path, work, key)
+    outputs.write_run(d((2, 25)), path, work.where("k = 2"), key)
+    d((3, 99)).write.parquet(f"{path}/run=lost")  # cut off before the record
+    assert sorted(map(tuple, outputs.read_runs(spark, path, "k int, v int", key).collect())) == [(1, 10), (1, 11), (2, 25)]
+    assert {r["k"]: r["n_rows"] for r in outputs.outputs_done(spark, path, key).collect()} == {"1": 2, "2": 1, "3": 0}
+
+
 def test_masks_of_another_shape_are_an_error(spark):
     key = ["row_idx", "col_idx"]
     image = spark.createDataFrame([(0, 0, 5), (0, 1, 6)], "row_idx int, col_idx int, b03 int")
