@@ -7,6 +7,11 @@ the discounts and the interpolated probabilities with groupings and joins.
 Characters are counted, not words: their table saturates, so copies of a text
 do not make the text look predictable, and it stays small beside the corpus.
 
+A second model of the same kind has order 1: single characters by all their
+counts. Junk that is regular (words with a bar or two marks after each, texts
+in capitals) is soon as predictable as prose to windows of four, as the model
+has counted such junk too; its characters stay rare ones.
+
 A model that has seen a document finds it predictable, even noise. So documents
 are split in two halves by a hash of doc_id, each half has a model, and every
 document is scored by that of the other half.
@@ -18,12 +23,13 @@ shared folder and memory-mapped by the scoring tasks.
 A document's perplexity is taken over its characters and one end symbol, and
 again for stretches of about 200 of these; ``typical`` is the median over its
 stretches, so that one foreign passage, name list or address does not make a
-document look like junk, which is odd throughout. The band of a language lies
-around the median of all its documents that pass the base rule, by what is
-typical of each. On the log scale it reaches down by ``width`` times 1.4826 times the
+document look like junk, which is odd throughout; ``typical_characters`` is
+the same by the model of order 1. A language has a band for each of the two,
+around the median of all its documents that pass the base rule. On the log
+scale it reaches down by ``width`` times 1.4826 times the
 median distance of those below the median, up by that of those above it, and
 ``least_reach`` at least, so that documents which are much alike do not reject
-each other. Documents outside are rejected.
+each other. Documents outside of either band are rejected.
 
 Defined cases: a null or empty text has no words and fails the base rule; a
 null lang is the same language as the empty one; null doc_ids are in one half;
@@ -48,6 +54,8 @@ from pyspark.sql import types as T
 from .common import WordHashes, bounded_batches, cut, map_array, mix, put_file, shared_dir, slices, small
 
 ORDER = 4
+#: Kinds of the model of order 1 begin here.
+CHARACTERS = 32
 START, END, OTHER = 1, 2, 3
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -172,20 +180,20 @@ def _discounts(grams: DataFrame) -> DataFrame:
     return c.select(F.col("lang").alias("d_lang"), d(1), d(2), d(3))
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, code, n) of the top order -> lang, kind, code, value: log
     probabilities of windows of k (kind k) and log weights of contexts of k
     (kind 16 + k), interpolated modified Kneser-Ney."""
     # What has a row a language comes by broadcast while there are few.
     few = counts.select("lang").distinct().count() <= BROADCAST_LANGUAGES
     hint = F.broadcast if few else (lambda df: df)
-    grams, raw = {ORDER: counts}, counts
-    for k in range(ORDER - 1, 0, -1):
+    grams, raw = {order: counts}, counts
+    for k in range(order - 1, 0, -1):
         raw = raw.groupBy("lang", F.col("code").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("code")).agg(F.count("*").alias("n"))
-        raw = cut(raw, f"kn-grams{k}")
+        raw = cut(raw, f"kn{order}-grams{k}")
         grams[k] = raw
     parts, lower = [], None
-    for k in range(1, ORDER + 1):
+    for k in range(1, order + 1):
         g = grams[k].withColumn("context", F.shiftrightunsigned("code", 16))
         d = hint(_discounts(g))
         contexts = g.groupBy("lang", "context").agg(F.sum("n").cast("double").alias("total"), F.count_if(F.col("n") == 1).alias("m1"), F.count_if(F.col("n") == 2).alias("m2"), F.count_if(F.col("n") > 2).alias("m3"))
@@ -202,7 +210,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         else:
             l = lower.select(F.col("lang").alias("l_lang"), F.col("code").alias("l_code"), F.col("p").alias("p_low"))
             j = j.join(l, (F.col("lang") == F.col("l_lang")) & (F.col("code").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1)) == F.col("l_code")))
-        lower = cut(j.select("lang", "code", "context", "gamma", (own + F.col("gamma") * F.col("p_low")).alias("p")), f"kn-p{k}")
+        lower = cut(j.select("lang", "code", "context", "gamma", (own + F.col("gamma") * F.col("p_low")).alias("p")), f"kn{order}-p{k}")
         parts.append(lower.select("lang", F.lit(k).alias("kind"), "code", F.log("p").alias("value")))
         parts.append(lower.select("lang", F.lit(16 + k - 1).alias("kind"), F.col("context").alias("code"), F.log("gamma").alias("value")).distinct())
     out = parts[0]
@@ -211,6 +219,13 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return out
 
 
+def both_models(counts: DataFrame) -> DataFrame:
+    """The models of ORDER and of order 1 from the counts of windows."""
+    single = counts.groupBy("lang", F.col("code").bitwiseAND(F.lit(0xFFFF)).alias("code")).agg(F.sum("n").alias("n"))
+    characters = kneser_ney(cut(single, "kn-characters"), 1).withColumn("kind", F.col("kind") + CHARACTERS)
+    return kneser_ney(counts).unionByName(characters)
+
+
 def _key(lang: str, kind: int, code: np.ndarray) -> np.ndarray:
     import xxhash
 
@@ -264,13 +279,14 @@ class Arrays:
         back[order] = out
         return back
 
-    def log_p(self, lang: str, codes: np.ndarray) -> np.ndarray:
-        """Natural log probability of the last symbol of each window; missing
-        windows back off."""
+    def log_p(self, lang: str, codes: np.ndarray, order: int = ORDER, first: int = 0) -> np.ndarray:
+        """Natural log probability of the last symbol of each window, by the
+        model of ``order`` whose kinds begin at ``first``; missing windows
+        back off."""
         total, open_ = np.zeros(len(codes)), np.arange(len(codes))
-        for k in range(ORDER, -1, -1):
+        for k in range(order, -1, -1):
             part = codes[open_] & np.uint64((1 << 16 * k) - 1)
-            v = self.get(lang, k, part)
+            v = self.get(lang, first + k, part)
             if k == 0:
                 v = np.where(np.isnan(v), np.log(1 / 0x10000), v)
             hit = ~np.isnan(v)
@@ -278,10 +294,15 @@ class Arrays:
             open_ = open_[~hit]
             if not len(open_):
                 break
-            weight = self.get(lang, 16 + k - 1, (codes[open_] & np.uint64((1 << 16 * k) - 1)) >> np.uint64(16))
+            weight = self.get(lang, first + 16 + k - 1, (codes[open_] & np.uint64((1 << 16 * k) - 1)) >> np.uint64(16))
             total[open_] += np.where(np.isnan(weight), 0.0, weight)
         return total
 
+    def log_p_characters(self, lang: str, codes: np.ndarray) -> np.ndarray:
+        """The same by the model of order 1."""
+        last, back = np.unique(codes & np.uint64(0xFFFF), return_inverse=True)
+        return self.log_p(lang, last, 1, CHARACTERS)[back]
+
 
 def _repeat_words(words: list[list[bytes]], hashes: WordHashes) -> np.ndarray:
     """Words per document that lie in 3-word windows found twice or more."""
@@ -321,7 +342,7 @@ def _dup_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-FOUND = [("n_words", T.LongType(), pa.int64()), ("word_chars", T.LongType(), pa.int64()), ("n_symbols", T.LongType(), pa.int64()), ("n_dup_lines", T.LongType(), pa.int64()), ("n_repeat_words", T.LongType(), pa.int64()), ("log_perplexity", T.DoubleType(), pa.float64()), ("typical", T.DoubleType(), pa.float64())]
+FOUND = [("n_words", T.LongType(), pa.int64()), ("word_chars", T.LongType(), pa.int64()), ("n_symbols", T.LongType(), pa.int64()), ("n_dup_lines", T.LongType(), pa.int64()), ("n_repeat_words", T.LongType(), pa.int64()), ("log_perplexity", T.DoubleType(), pa.float64()), ("typical", T.DoubleType(), pa.float64()), ("typical_characters", T.DoubleType(), pa.float64())]
 
 
 MADE = [*[name for name, _, _ in FOUND], "base_failed", "kept", "kn_key"]
@@ -343,6 +364,7 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
                 lp = model.log_p(lang, w.codes)[w.where]
                 out["log_perplexity"][rows] = -np.add.reduceat(lp, w.doc_start) / (w.size + 1)
                 out["typical"][rows] = _typical(-lp, w.doc_start, w.size + 1)
+                out["typical_characters"][rows] = _typical(-model.log_p_characters(lang, w.codes)[w.where], w.doc_start, w.size + 1)
                 ascii_ = np.minimum(w.chars, 127)
                 for name, table in (("n_symbols", symbol), ("word_chars", white)):
                     # Text counts run over the pads too: the pads are neither.
@@ -361,10 +383,14 @@ def measure(docs: DataFrame, shards: list[str]) -> DataFrame:
     return keyed.mapInArrow(run, T.StructType(fields)).withColumn("base_failed", failed)
 
 
-def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH) -> DataFrame:
-    """b_lang, low, high of the typical log perplexity. Medians are over values rounded
+#: The measures that have bands.
+BANDED = ("typical", "typical_characters")
+
+
+def bands(measured: DataFrame, width: float = WIDTH, least_reach: float = LEAST_REACH, measure: str = "typical") -> DataFrame:
+    """b_lang, low, high of ``measure``. Medians are over values rounded
     to 1/1000, so that a language's group holds few distinct values."""
-    m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round("typical", 3).alias("v"))
+    m = measured.where("not base_failed").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("b_lang"), F.round(measure, 3).alias("v"))
     middle = cut(m.groupBy("b_lang").agg(F.percentile("v", 0.5).alias("middle")), "kn-medians")
     off = m.join(small(middle.withColumnRenamed("b_lang", "m_lang")), F.col("b_lang") == F.col("m_lang")).withColumn("off", F.round(F.col("v") - F.col("middle"), 3))
 
@@ -379,16 +405,20 @@ def judge(docs: DataFrame, columns: list[str] | None = None, width: float = WIDT
     These take the place of columns of the same names."""
     bounded_batches(docs.sparkSession)
     docs = docs.drop(*MADE)
-    model = cut(kneser_ney(cut(count_windows(docs), "kn-counts")), "kn-model")
+    model = cut(both_models(cut(count_windows(docs), "kn-counts")), "kn-model")
     shards = store(model, model.count())
     measured = measure(docs, shards)
     if columns is not None:
         measured = measured.drop(*(set(docs.columns) - set(columns) - {"lang"}))
     measured = cut(measured, "kn-measured")
-    b = small(cut(bands(measured, width, least_reach), "kn-bands"))
-    j = measured.alias("m").join(b.alias("b"), F.coalesce(F.col("m.lang").cast("string"), F.lit("")) == F.col("b.b_lang"), "left")
-    inside = F.coalesce(F.col("m.typical").between(F.col("b.low"), F.col("b.high")), F.lit(True))
-    return j.select("m.*", (~F.col("m.base_failed") & inside).alias("kept"))
+    names, inside = measured.columns, F.lit(True)
+    j = measured.alias("m")
+    for name in BANDED:
+        b = f"b_{name}"
+        band = small(cut(bands(measured, width, least_reach, name), "kn-bands")).alias(b)
+        j = j.join(band, F.coalesce(F.col("m.lang").cast("string"), F.lit("")) == F.col(f"{b}.b_lang"), "left")
+        inside = inside & F.coalesce(F.col(f"m.{name}").between(F.col(f"{b}.low"), F.col(f"{b}.high")), F.lit(True))
+    return j.select(*[F.col(f"m.`{c}`") for c in names], (~F.col("m.base_failed") & inside).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, **options) -> DataFrame:

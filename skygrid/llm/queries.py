@@ -56,7 +56,7 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), ["doc_id"])
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", F.col("typical").alias("typical_log_perplexity"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", F.col("typical").alias("typical_log_perplexity"), F.col("typical_characters").alias("typical_characters_log_perplexity"))
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -550,6 +550,34 @@ def test_model_matches_formulas(spark):
     assert sum(p((ord("t"), ord("h"), ord("e"), c)) for c in {ord(c) for t in texts for c in t} | {2}) == pytest.approx(1, abs=0.05)
 
 
+def test_characters_have_a_model_of_their_own(spark):
+    texts = ["the cat sat on the mat", "the dog sat", "a cat and a dog", "", "zebra!", "\u4f60\u597d the", "The Cat"]
+    d = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["typical_characters"] for r in perplexity.judge(d).collect()}
+    half = {r["doc_id"]: r["h"] for r in d.select("doc_id", F.expr("pmod(xxhash64(doc_id), 2)").alias("h")).collect()}
+    for i, t in enumerate(texts):
+        counts = collections.Counter(c for j, u in enumerate(texts) if half[j] != half[i] for c in u + "\x02")
+        n = collections.Counter(counts.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0
+        raw = [k - (k + 1) * y * n[k + 1] / n[k] if n[1] and n[k] else 0.5 * k for k in (1, 2, 3)]
+        cuts = [0, *[min(max(x, 0.05), k - 0.05) for k, x in enumerate(raw, 1)]]
+        total = counts.total()
+        rest = sum(cuts[min(c, 3)] for c in counts.values()) / total / (len(counts) + 1)
+        want = -sum(math.log(max(counts[c] - cuts[min(counts[c], 3)], 0) / total + rest) for c in t + "\x02") / (len(t) + 1)
+        assert got[i] == pytest.approx(want, rel=1e-5)
+
+
+def test_bands_reject_junk_that_the_model_has_learned(spark):
+    r = random.Random(16)
+    vocabulary = ["".join(r.choice("etaoinshñé") for _ in range(r.randint(2, 6))) for _ in range(300)]
+    say = lambda: [r.choice(vocabulary) for _ in range(r.randint(80, 200))]
+    rows = [(i, " ".join(say()), ("es", "fr")[i % 2]) for i in range(300)]
+    kinds = (lambda w: " | ".join(w), lambda w: " ".join(x.upper() + "!!" for x in w), lambda w: " ".join(x + r.choice(("%%%", "###", "***")) for x in w))
+    junk = [(900 + i, kinds[i % 3](say()), ("es", "fr")[i % 2]) for i in range(48)]
+    d = spark.createDataFrame([*rows, *junk], "doc_id long, text string, lang string")
+    assert {x["doc_id"] for x in perplexity.filter_documents(d).collect()} == set(range(300))
+
+
 def test_typical_perplexity_is_the_median_stretch():
     r = np.random.default_rng(2)
     size = np.array([1, 1, 199, 200, 399, 400, 1000, 777, 2])
