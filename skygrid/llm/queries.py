@@ -60,9 +60,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list is that of all pages on hosts named after spam."""
+    """The list: pages on hosts named after spam, and pages found under more
+    than one spelling of their canonical URL, whatever their host."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(urls.host_of(F.col("url")).contains("spam"))
+    spellings = pages.groupBy(urls.canonical(F.col("url")).alias("canonical")).agg(F.min("url").alias("url"), F.max("url").alias("other"))
+    listed = pages.where(urls.host_of(F.col("url")).contains("spam")).select("url").unionByName(spellings.where("url <> other").select("url"))
     return urls.judge_urls(pages, listed, URL_RULES)
 
 
@@ -115,7 +117,7 @@ QUERIES = {
 SQL = {
     "op6_url_filters": r"""
 WITH u AS (
-  SELECT page_id,
+  SELECT page_id, url,
          coalesce(translate(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          coalesce(regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
@@ -128,7 +130,7 @@ r(h, p, v) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'
 m AS (
   SELECT page_id, max_by(concat(h, p), length(h) + length(p)) AS rule, max_by(v, length(h) + length(p)) AS rule_verdict
   FROM c JOIN r ON (host = h OR ends_with(host, concat('.', h))) AND starts_with(path, p) GROUP BY page_id),
-l AS (SELECT DISTINCT canonical FROM c WHERE contains(host, 'spam'))
+l AS (SELECT canonical FROM c GROUP BY canonical HAVING bool_or(contains(host, 'spam')) OR count(DISTINCT url) > 1)
 SELECT c.page_id, c.host, c.path, m.rule, coalesce(m.rule_verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
        l.canonical IS NOT NULL AS listed
 FROM c LEFT JOIN m ON c.page_id = m.page_id LEFT JOIN l ON c.canonical = l.canonical
