@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skygrid.functions import geo
 from skygrid.operators import aoi, catalog, chips, grids, intervals, pixels, report, spans, tiles
 from skygrid.plans import surface_reflectance
-from skygrid.sources import outputs, readers, sinks
+from skygrid.sources import outputs, readers, sinks, views
 from skygrid.streaming import detections as stream
 
 EDGES = "aoi_id long, part int, ring int, edge int, x1 double, y1 double, x2 double, y2 double"
@@ -406,3 +406,23 @@ def test_area_streams_follow_changed_areas(spark, tmp_path):
         current[0] = east
     got = stream.area_counts(spark.read.parquet(f"{tmp_path}/out")).collect()
     assert {(r["aoi_id"], r["n"]) for r in got} == {(1, 2), (2, 1)}
+
+
+def test_a_cell_twice_in_a_granule_gives_the_first_one(spark):
+    rows = [(7, "state", 0, 0, dn, at) for at, dn in enumerate([5, 9, 3, 8, 1, 6])]
+    layers = spark.createDataFrame([("state", 65535.0)], "field string, fill double")
+    schema = "granule_id long, field string, row_idx int, col_idx int, dn long, cell_ord int"
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        cells = spark.createDataFrame(order, schema).repartition(1)
+        assert surface_reflectance.mosaic(cells, layers, ["row_idx", "col_idx"]).first()["dn"] == 5
+        # Without an order of cells no tie is left to chance either.
+        assert surface_reflectance.mosaic(cells.drop("cell_ord"), layers, ["row_idx", "col_idx"]).first()["dn"] == 1
+
+
+def test_views_in_order_are_the_views(spark, tmp_path):
+    lines = [(1, 30 - i, 5, i, i * 24 * 12) for i in range(1, 7)]
+    spark.createDataFrame(lines, "l_orderkey long, x long, l_suppkey long, l_linenumber int, l_partkey long").coalesce(1).write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    ordered = views.read_in_order(spark, f"file://{tmp_path}", "fx_granule_cells", "lineitem", "cell_ord")
+    plain = views.read(spark, f"file://{tmp_path}", "fx_granule_cells")
+    assert sorted(ordered.drop("cell_ord").collect()) == sorted(plain.collect())
+    assert sorted(r["cell_ord"]["row_index"] for r in ordered.collect()) == list(range(6))
