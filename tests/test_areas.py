@@ -426,3 +426,33 @@ def test_views_in_order_are_the_views(spark, tmp_path):
     plain = views.read(spark, f"file://{tmp_path}", "fx_granule_cells")
     assert sorted(ordered.drop("cell_ord").collect()) == sorted(plain.collect())
     assert sorted(r["cell_ord"]["row_index"] for r in ordered.collect()) == list(range(6))
+
+
+def _copies(shapes, n):
+    return {i + 100 * k: parts for i, parts in shapes.items() for k in range(n)}
+
+
+def test_equal_areas_and_boxes_are_met_once(spark):
+    shapes = {1: [[[(0, 0), (1, 0), (1, 1), (0, 1)]]], 2: [[[(0.5, 0.5), (3, 0.5), (3, 2), (0.5, 2)], [(1, 1), (2, 1), (2, 1.5)]]]}
+    edges = edge_frame(spark, _copies(shapes, 20)).repartition(4)
+    few, members = aoi.alike(edges)
+    assert {r["aoi_id"] for r in few.select("aoi_id").distinct().collect()} == {1, 2}
+    assert sorted((r["aoi_id"], r["shape"]) for r in members.collect()) == sorted((i, i % 100) for i in _copies(shapes, 20))
+    boxes = spark.createDataFrame([(f"s{i}", float(i % 3), 0.2, i % 3 + 0.4, 0.6) for i in range(30)], "item_id string, west double, south double, east double, north double")
+    met = aoi._boxes_met(boxes.select(*aoi.BOX).distinct(), few, True, 0.5).collect()
+    assert len(met) == len({tuple(r) for r in met}) == 4
+    got = sorted(map(tuple, aoi.boxes_in_areas(boxes, edges).collect()))
+    want = [(f"s{i}", a) for i in range(30) for a in _copies(shapes, 20) if (i % 3, a % 100) in {(0, 1), (1, 1), (1, 2), (2, 2)}]
+    assert got == sorted(want)
+    points = spark.createDataFrame([(i, 0.7, 0.7) for i in range(3)], "event_id int, lon double, lat double")
+    assert aoi.points_in_areas(points, edges, ["event_id"]).count() == 3 * 40
+
+
+def test_windows_meet_days_in_few_buckets(spark):
+    day = datetime.date(2024, 1, 1)
+    days = lambda n: day + datetime.timedelta(n)
+    a = spark.createDataFrame([(1, i, days(i)) for i in range(400)], "k int, item int, at date")
+    spans_ = [(w, w * 3, w * 3 + n) for w, n in enumerate([0, 1, 7, 31, 32, 40, 100, 364, 1000])]
+    b = spark.createDataFrame([(1, w, days(s), days(e)) for w, s, e in spans_], "k int, w int, s date, e date")
+    got = sorted((r["w"], r["item"]) for r in intervals.interval_join(a, b, ["k"], ("at", "at"), ("s", "e")).collect())
+    assert got == sorted((w, i) for w, s, e in spans_ for i in range(400) if s <= i <= e)
