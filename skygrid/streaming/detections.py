@@ -51,17 +51,20 @@ class AreaCells:
     out and stored anew only when the areas' content differs."""
 
     def __init__(self, edges: Callable[[], DataFrame]):
-        self.edges, self.version, self.cells, self.levels = edges, None, None, []
+        self.edges, self.version, self.cells, self.levels, self.members = edges, None, None, [], None
 
-    def now(self) -> tuple[DataFrame, list[int]]:
+    def now(self) -> tuple[DataFrame, list[int], DataFrame]:
+        """The cells of each different shape, their levels, and the areas of
+        each shape."""
         e = self.edges()
         content = F.xxhash64("aoi_id", "part", "ring", *aoi.EDGE)
         version = tuple(e.agg(F.count("*"), F.bit_xor(content), F.sum(F.shiftright(content, 20))).first())
         if version != self.version:
-            self.cells = cut(aoi.area_cells(e), "area-cells")
+            few, self.members = aoi.alike(e)
+            self.cells = cut(aoi.area_cells(few).withColumnRenamed("aoi_id", "shape"), "area-cells")
             self.levels = sorted(r["level"] for r in self.cells.select("level").distinct().collect())
             self.version = version
-        return self.cells, self.levels
+        return self.cells, self.levels, self.members
 
 
 def poll_areas(spark, folder: str, schema, areas: AreaCells, out: str, checkpoint: str, delay: str = "1 day", identity: list[str] = IDENTITY) -> None:
@@ -74,9 +77,11 @@ def poll_areas(spark, folder: str, schema, areas: AreaCells, out: str, checkpoin
     t = t.withColumn("acq_ts", stamp).where(F.col("acq_ts").isNotNull()).withWatermark("acq_ts", delay).dropDuplicatesWithinWatermark(identity)
 
     def keep(batch: DataFrame, no: int) -> None:
-        cells, levels = areas.now()
-        held = aoi.points_in_cells(batch, cells, levels, ["day", "source"])
-        held.groupBy("day", "source", "aoi_id").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch={no}")
+        cells, levels, members = areas.now()
+        held = aoi.points_in_cells(batch, cells, levels, ["day", "source"], of="shape")
+        # Counted before shapes become areas, which may be far more.
+        counts = held.groupBy("day", "source", "shape").agg(F.count("*").alias("n"))
+        aoi.of_members(counts, members).select("day", "source", "aoi_id", "n").write.mode("overwrite").parquet(f"{out}/batch={no}")
 
     t.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
 
