@@ -29,10 +29,15 @@ def write_period(located: DataFrame, path: str, mode: str = "overwrite") -> None
     write_partitions(d.repartitionByRange("family", "day").sortWithinPartitions("family", "day"), path, ["family"], mode)
 
 
+#: Chips to a row group. Chips of missing cells take few bytes in a file, but
+#: all their places in memory; a reader's batch ends with its row group.
+GROUP_CHIPS = 64
+
+
 def write_layers(chips: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Composite layers, as ``plans.imagery.composite_outputs`` gives
     them, by satellite, layer and day."""
-    write_partitions(chips, path, ["satellite", "layer", "date_token"], mode)
+    write_partitions(chips, path, ["satellite", "layer", "date_token"], mode, **{"parquet.block.row.count.limit": GROUP_CHIPS})
 
 
 def _interleaved(row, col, bits: int = 20):

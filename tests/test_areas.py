@@ -456,3 +456,14 @@ def test_windows_meet_days_in_few_buckets(spark):
     b = spark.createDataFrame([(1, w, days(s), days(e)) for w, s, e in spans_], "k int, w int, s date, e date")
     got = sorted((r["w"], r["item"]) for r in intervals.interval_join(a, b, ["k"], ("at", "at"), ("s", "e")).collect())
     assert got == sorted((w, i) for w, s, e in spans_ for i in range(400) if s <= i <= e)
+
+
+def test_row_groups_of_layers_hold_few_chips(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    n = 3 * sinks.GROUP_CHIPS
+    c = spark.range(n).selectExpr("'S2C' AS satellite", "'masked' AS layer", "'20240116' AS date_token", "'b03' AS band", "CAST(id AS INT) AS chip_row", "0 AS chip_col", "array_repeat(CAST(NULL AS FLOAT), 64) AS values")
+    sinks.write_layers(c.coalesce(1), f"file://{tmp_path}/layers")
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.glob("layers/*/*/*/*.parquet")]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == n and max(groups) <= sinks.GROUP_CHIPS
