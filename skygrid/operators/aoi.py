@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..plans.scratch import cut
-from .sizes import small
+from .sizes import small, spread
 
 _GEOMETRY = "struct<type:string,coordinates:string>"
 GEOJSON = f"struct<type:string,coordinates:string,geometry:{_GEOMETRY},features:array<struct<geometry:{_GEOMETRY}>>>"
@@ -142,7 +142,7 @@ def _level() -> Column:
 def _spread(shaped: DataFrame, key: str) -> DataFrame:
     """Areas dealt to all tasks. They are few bytes before they are taken apart
     into cells; a stated number keeps adaptive execution from judging by that."""
-    return shaped.repartition(int(shaped.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return spread(shaped, key)
 
 
 def _kept(parts: Column, wanted) -> Column:

@@ -79,16 +79,19 @@ def typed_scenes(items: DataFrame, strict: bool = True) -> DataFrame:
     and metadata read: acquired, platform, cloud_cover, processing_baseline,
     sun angles, and the geometry's box (null without polygon)."""
     props = F.col("props")
-    g = geometry(F.from_json("geometry", GEOJSON))
-    points = F.flatten(F.flatten(rings(g)))
-    x, y = F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
-    return items.withColumns({
+    typed = items.withColumns({
         "acquired": parsing.scene_datetime(props, strict), "platform": F.try_element_at(props, F.lit("platform")),
         "cloud_cover": F.try_element_at(props, F.lit("eo:cloud_cover")).try_cast("double"),
         "processing_baseline": F.coalesce(F.try_element_at(props, F.lit("s2:processing_baseline")), F.try_element_at(props, F.lit("processing_baseline"))),
         "sun_azimuth": parsing.first_number(props, SUN_AZIMUTH), "sun_zenith": parsing.first_number(props, SUN_ZENITH), "sun_elevation": parsing.first_number(props, SUN_ELEVATION),
-        "west": F.array_min(x), "south": F.array_min(y), "east": F.array_max(x), "north": F.array_max(y),
     })
+    # Expanding a list of one keeps a text from being parsed once a bound and
+    # filter; filters on what was typed above go below it.
+    steps = (F.from_json("geometry", GEOJSON), geometry(F.col("g")), rings(F.col("g")), F.flatten(F.flatten("g")))
+    for step in steps:
+        typed = typed.withColumn("g", F.explode(F.array(step)))
+    x, y = F.transform("g", lambda p: p[0]), F.transform("g", lambda p: p[1])
+    return typed.withColumns({"west": F.array_min(x), "south": F.array_min(y), "east": F.array_max(x), "north": F.array_max(y)}).drop("g")
 
 
 def footprint_edges(items: DataFrame, strict: bool = False) -> DataFrame:
@@ -98,14 +101,14 @@ def footprint_edges(items: DataFrame, strict: bool = False) -> DataFrame:
     return aoi_edges(items.select(F.col("item_id").alias("aoi_id"), "geometry"), "geometry", strict)
 
 
-def scene_metadata(scenes: DataFrame) -> DataFrame:
+def scene_metadata(scenes: DataFrame, *more: str) -> DataFrame:
     """Acquisition time, image id, sun angles (zenith else 90 - elevation),
-    baseline and offset of scenes that have a geometry."""
+    baseline and offset of scenes that have a geometry, and ``more`` columns."""
     s = with_offset(scenes, "processing_baseline").where(F.col("west").isNotNull())
     return s.select(
         F.date_format("acquired", "yyyy-MM-dd HH:mm:ss").alias("acquisition_date"), F.col("item_id").alias("image_id"),
         F.col("sun_azimuth").alias("solar_azimuth"), F.coalesce("sun_zenith", 90.0 - F.col("sun_elevation")).alias("solar_zenith"),
-        "processing_baseline", "baseline", F.when(F.col("collection") == "sentinel-2-l2a", F.col("dn_offset")).alias("dn_offset"), "west", "south", "east", "north",
+        "processing_baseline", "baseline", F.when(F.col("collection") == "sentinel-2-l2a", F.col("dn_offset")).alias("dn_offset"), "west", "south", "east", "north", *more,
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import geo, parsing, radiometry
 from .operators import aoi, catalog, chips, composite, detections, grids, intervals, pixels, report, spans, tiles
+from .operators.sizes import spread
 from .plans import imagery, surface_reflectance
 from .plans.scratch import cut, shared_dir
 from .sources import outputs, readers, sinks, views
@@ -254,10 +255,10 @@ def scene_catalog(spark, d):
     corners = F.array(*[F.array(F.col(x), F.col(y)) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
     shape = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")))
     path = shared_dir(spark, "catalog")
-    s.select("item_id", "collection", shape.alias("geometry"), props.alias("props")).write.json(path)
+    # Items are far longer as text than as rows of the table.
+    spread(s, "item_id").select("item_id", "collection", shape.alias("geometry"), props.alias("props")).write.json(path)
     found = catalog.scene_search(readers.read_scenes(spark, path), "1993-01-01", "1997-12-31", BBOX)
-    m = catalog.scene_metadata(found).join(found.select(F.col("item_id").alias("image_id"), "cloud_cover"), "image_id")
-    return m.select(
+    return catalog.scene_metadata(found, "cloud_cover").select(
         F.col("image_id").alias("item_id"), F.col("acquisition_date").alias("acquired"), F.col("solar_azimuth").alias("azimuth"), F.col("solar_zenith").alias("zenith"), F.col("processing_baseline").alias("baseline"), "dn_offset",
         *[F.round(c, 6).alias(c) for c in ("cloud_cover", "west", "north")],
     )
@@ -960,9 +961,10 @@ _SIDE_CHIP = 16
 
 
 def _regrid_keyed(spark: SparkSession, d: str, method: str) -> DataFrame:
-    p = read(spark, d, "fx_pixels")
+    # The view groups the table, so it is worked out once for both uses.
+    p = cut(read(spark, d, "fx_pixels").select(*pixels.CELL, "b03"), "regrid-pixels")
     size, no = _SIDE_CHIP, F.col("scene_no")
-    held = chips.pack_chips(p.select(*pixels.CELL, "b03"), ["b03"], ["scene_no"], size)
+    held = chips.pack_chips(p, ["b03"], ["scene_no"], size)
     of_scenes = p.groupBy("scene_no").agg(F.max("row_idx").alias("last_row"))
     sources = of_scenes.select("scene_no", F.lit(500000.0).alias("left_x"), F.lit(3600000.0).alias("top_y"), (20.0 + no).alias("res"), F.lit(32652).alias("epsg"))
     targets = of_scenes.select("scene_no", (500000.0 + no * 3.0).alias("left_x"), (3600000.0 - 9.0 - no).alias("top_y"), (15.0 + no).alias("res"), F.lit(32652).alias("epsg"), F.lit(7).alias("width"), (F.col("last_row") + 1).alias("height"))

@@ -11,6 +11,7 @@ from skygrid.functions import geo, parsing, radiometry
 from skygrid.operators import aoi, catalog, chips, composite, detections, grids, pixels, report, tiles
 from skygrid.plans import detections as fires
 from skygrid.plans import imagery, surface_reflectance
+from skygrid.queries import QUERIES
 from skygrid.sources import readers, sinks
 
 
@@ -435,3 +436,14 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "event_id long, source string, acq_date string, longitude string, latitude string, scan string, track string")
     t = detections.typed(none)
     assert detections.by_day(t).count() == 0 and detections.bounds(detections.footprints(t, 10.0)).count() == 0
+
+
+# --- work that costs more than its bytes ------------------------------------
+
+
+def test_catalog_text_is_written_by_all_tasks_and_read_once(spark):
+    df = QUERIES["scene_catalog"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") + plan.count("JsonToStructs") <= 3  # the geometry, and its coordinates of either type
+    assert df._jdf.queryExecution().executedPlan().toString().count("Scan json") == 1
+    assert len(df.inputFiles()) > 1
