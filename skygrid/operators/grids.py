@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .sizes import spread
 
 CORNERS = [("west", "south"), ("east", "south"), ("east", "north"), ("west", "north")]
 
@@ -135,6 +136,8 @@ def regrid_chips(chips: DataFrame, sources: DataFrame, targets: DataFrame, value
     t = targets.select(*key, *GRID, "width", "height").join(sources.select(*key, *[F.col(c).alias(f"s_{c}") for c in GRID]), list(key))
     for axis, n in (("chip_row", "height"), ("chip_col", "width")):
         t = t.withColumn(axis, F.explode(F.sequence(F.lit(0), (F.ceil(F.col(n) / size) - 1).cast("int"))))
+    # A few grids are a few rows before they are chips, which are dealt anew.
+    t = spread(t, *key, "chip_row", "chip_col")
     # Five by five places over the chip, its corners among them. How far the
     # middle lies from the mean of the corners tells how bent the map is.
     lattice = f"transform(sequence(0, 24), k -> named_struct('r', chip_row * {size} + (k DIV 5) * {size / 4!r}e0, 'c', chip_col * {size} + (k % 5) * {size / 4!r}e0))"
@@ -153,7 +156,9 @@ def regrid_chips(chips: DataFrame, sources: DataFrame, targets: DataFrame, value
     grid = [*key, *GRID, *[f"s_{c}" for c in GRID], "width", "height", "chip_row", "chip_col"]
     under = F.collect_list(F.when(F.col("held").isNotNull(), F.struct((F.col("s_row").cast("long") * (1 << 31) + F.col("s_col")).alias("key"), F.col("held").alias("value"))))
     g = t.join(held, [*key, "s_row", "s_col"], "left").groupBy(*grid).agg(F.map_from_entries(under).alias("under"))
-    cells = f"transform(sequence(0, {size * size - 1}), k -> named_struct('r', chip_row * {size} + k DIV {size} + 0.5e0, 'c', chip_col * {size} + k % {size} + 0.5e0))"
+    # Only places on the grid are worked out; a chip on its bound holds few.
+    n_rows, n_cols = f"greatest(1, least({size}, height - chip_row * {size}))", f"greatest(1, least({size}, width - chip_col * {size}))"
+    cells = f"transform(sequence(0, {n_rows} * {n_cols} - 1), k -> named_struct('r', chip_row * {size} + k DIV {n_cols} + 0.5e0, 'c', chip_col * {size} + k % {n_cols} + 0.5e0))"
 
     def cell(r: str, c: str) -> str:
         """The value of a source cell; null where there is none."""
@@ -170,5 +175,6 @@ def regrid_chips(chips: DataFrame, sources: DataFrame, targets: DataFrame, value
         mean = " + ".join(f"CASE WHEN p.v{k} IS NULL THEN 0e0 ELSE p.w{k} * p.v{k} END" for k in ("00", "01", "10", "11"))
         out = _mapped(placed, [{"r": "floor(p.sr - 0.5e0)", "c": "floor(p.sc - 0.5e0)", "fr": "p.sr - 0.5e0 - floor(p.sr - 0.5e0)", "fc": "p.sc - 0.5e0 - floor(p.sc - 0.5e0)"}, corner | w, {"v": f"({mean}) / nullif({total}, 0e0)"}])
     on_grid = f"chip_row * {size} + k DIV {size} < height AND chip_col * {size} + k % {size} < width"
-    values = F.expr(f"transform({out}, (p, k) -> CASE WHEN {on_grid} THEN p.v END)")
+    g = g.select(*key, "chip_row", "chip_col", "width", "height", F.explode(F.array(F.expr(f"transform({out}, p -> p.v)"))).alias("found"))
+    values = F.expr(f"transform(sequence(0, {size * size - 1}), k -> CASE WHEN {on_grid} THEN get(found, CAST(k DIV {size} * {n_cols} + k % {size} AS INT)) END)")
     return g.select(*key, "chip_row", "chip_col", values.alias(value))

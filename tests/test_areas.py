@@ -292,6 +292,20 @@ def test_regrid_chips_equals_the_cell_form(spark, method):
     assert all(got[x] == pytest.approx(want[x], abs=1e-6) for x in want)
 
 
+def test_chips_of_one_grid_are_regridded_by_all_tasks(spark):
+    """Source and target of one key are a row each; their chips are dealt anew."""
+    spec = "k int, left_x double, top_y double, res double, epsg int"
+    source = spark.createDataFrame([(1, 0.0, 3900000.0, 10.0, 32652)], spec)
+    target = spark.createDataFrame([(1, 0.0, 3900000.0, 10.0, 32652, 7, 60)], spec + ", width int, height int")
+    cells = plane(spark, (1,), 60, 7)
+    out = grids.regrid_chips(chips.pack_chips(cells, ["v"], ["k"], 16), source, target, "v", ["k"], 16)
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    assert len(rows) == 4 and all(len(r["v"]) == 256 for r in rows)
+    got = {(r["row_idx"], r["col_idx"]): r["v"] for r in chips.unpack_chips(out, ["v"], ["k"], 16).collect()}
+    assert got == {(r["row_idx"], r["col_idx"]): r["v"] for r in cells.where("v IS NOT NULL").collect()}
+
+
 def test_windows_read_few_row_groups(spark, tmp_path):
     size, path = 8, f"file://{tmp_path}/chips"
     cells = spark.range(256 * 256).selectExpr("0 AS k", "CAST(id DIV 256 AS INT) AS row_idx", "CAST(id % 256 AS INT) AS col_idx", "CAST(id AS DOUBLE) AS v")
