@@ -447,3 +447,24 @@ def test_catalog_text_is_written_by_all_tasks_and_read_once(spark):
     assert plan.count("from_json(") + plan.count("JsonToStructs") <= 3  # the geometry, and its coordinates of either type
     assert df._jdf.queryExecution().executedPlan().toString().count("Scan json") == 1
     assert len(df.inputFiles()) > 1
+
+
+def test_areas_of_one_shape_share_a_days_outputs(spark, tmp_path):
+    """Areas 1 and 2 are alike, their windows are not; a day is worked once."""
+    day = dt.datetime(2024, 1, 5, 10)
+    scenes = spark.createDataFrame([(i, "sentinel-2-l2a", "Sentinel-2A", day + dt.timedelta(days=n), 1.0, "02.00", 0.0, 0.0, 1.0, 1.0) for n, i in enumerate(("a", "b"))], "item_id string, collection string, platform string, acquired timestamp, cloud_cover double, processing_baseline string, west double, south double, east double, north double")
+    cells = spark.createDataFrame([("a", 0, 0, 0, 500, 500, 500), ("b", 0, 1, 0, 700, 700, 700)], "item_id string, row_idx int, col_idx int, cloud_class int, b03 int, b04 int, b11 int")
+    corners = [(0.2, 0.2), (0.8, 0.2), (0.8, 0.8), (0.2, 0.8)]
+    edges = spark.createDataFrame([(i, 0, 0, k, *corners[k], *corners[(k + 1) % 4]) for i in (1, 2) for k in range(4)], "aoi_id long, part int, ring int, edge int, x1 double, y1 double, x2 double, y2 double")
+    d = day.date()
+    windows = spark.createDataFrame([(1, 1, d, d), (2, 2, d, d + dt.timedelta(days=1))], "aoi_id long, window_id int, start date, end date")
+    path = f"file://{tmp_path}/o"
+    args = scenes, cells, ["b03", "b04", "b11"]
+    first = imagery.process_windows(*args, windows.where("aoi_id = 1"), edges, path, size=4)
+    assert [(r["aoi_id"], r["n_processed"]) for r in first.collect()] == [(1, 1)]
+    second = {r["aoi_id"]: r for r in imagery.process_windows(*args, windows, edges, path, size=4).collect()}
+    assert (second[1]["n_skipped"], second[2]["n_skipped"], second[2]["n_processed"]) == (1, 1, 1)
+    held = spark.read.parquet(path).where("layer = 'masked' AND band = 'b03'")
+    assert held.select("date_token").distinct().count() == held.count() == 2
+    got = imagery.read_areas(spark, path).where("layer = 'masked' AND band = 'b03'")
+    assert sorted((r["aoi_id"], r["date_token"]) for r in got.collect()) == [(1, "20240105"), (2, "20240105"), (2, "20240106")]
