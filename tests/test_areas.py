@@ -481,3 +481,27 @@ def test_row_groups_of_layers_hold_few_chips(spark, tmp_path):
     files = [pq.ParquetFile(f).metadata for f in tmp_path.glob("layers/*/*/*/*.parquet")]
     groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
     assert sum(groups) == n and max(groups) <= sinks.GROUP_CHIPS
+
+
+def test_areas_of_one_shape_share_a_mosaic(spark):
+    """Areas 1 and 2 are alike, their windows are not; cells are mosaicked once
+    a tile and are not shuffled by area."""
+    d = [datetime.date(2024, 1, 5), datetime.date(2024, 1, 6)]
+    text = '{"type":"Polygon","coordinates":[[[1.1,1.1],[4.1,1.1],[4.1,4.1],[1.1,4.1],[1.1,1.1]]]}'
+    areas = spark.createDataFrame([(1, text), (2, text)], "aoi_id long, geojson string")
+    g = spark.createDataFrame([(7, "MOD09GA.A2024005.h18v08.061.7.hdf"), (8, "MOD09GA.A2024006.h18v08.061.8.hdf")], "granule_id long, filename string")
+    cells = spark.createDataFrame([(i, "qc", r, c, 100 * i + 10 * r + c) for i in (7, 8) for r in range(10) for c in range(10)], "granule_id long, field string, row_idx int, col_idx int, dn int")
+    layers = spark.createDataFrame([("MOD09GA", "qc", "qa", "500m", 10, 16, None, None, 65535.0, "qc_1")], "product string, field string, kind string, resolution string, pixels int, bits int, scale double, offset double, fill double, sds_path string")
+    w = spark.createDataFrame([(1, 1, d[0], d[0]), (2, 2, d[0], d[1]), (2, 3, d[1], d[0])], "aoi_id long, window_id int, start date, end date")
+    out = surface_reflectance.process_areas(g, cells, layers, w, areas)
+    plan = out.values._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "gcol" in x]
+    got = {}
+    for r in out.values.collect():
+        got.setdefault((r["aoi_id"], r["acq_date"]), {})[r["row_idx"], r["col_idx"]] = r["qa"]
+    assert set(got) == {(1, d[0]), (2, d[0]), (2, d[1])}
+    assert got[1, d[0]] == got[2, d[0]] and {k: v + 100 for k, v in got[2, d[0]].items() if v != 65535} == {k: v for k, v in got[2, d[1]].items() if v != 65535}
+    assert any(v != 65535 for v in got[1, d[0]].values())
+    done = spark.createDataFrame([(2, "MOD09GA", d[0])], "aoi_id long, product string, acq_date date")
+    rest = surface_reflectance.process_areas(g, cells, layers, w, areas, done).values
+    assert sorted(map(tuple, rest.select("aoi_id", "acq_date").distinct().collect())) == [(1, d[0]), (2, d[1])]
