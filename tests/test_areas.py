@@ -505,3 +505,17 @@ def test_areas_of_one_shape_share_a_mosaic(spark):
     done = spark.createDataFrame([(2, "MOD09GA", d[0])], "aoi_id long, product string, acq_date date")
     rest = surface_reflectance.process_areas(g, cells, layers, w, areas, done).values
     assert sorted(map(tuple, rest.select("aoi_id", "acq_date").distinct().collect())) == [(1, d[0]), (2, d[1])]
+
+
+def test_one_day_rows_move_once_to_windows_of_two_months(spark):
+    """Windows of a day to two months have one kind of buckets: rows of a day
+    are not multiplied to meet them, and each pair comes once."""
+    day = datetime.date(2024, 1, 1)
+    days = lambda n: day + datetime.timedelta(n)
+    a = spark.createDataFrame([("a", i, days(i - 150)) for i in range(300)], "k string, item int, at date")
+    spans_ = [(w, w * 5 - 100, w * 5 - 100 + n) for w, n in enumerate([0, 1, 6, 7, 8, 30, 31, 32, 39, 63])]
+    b = spark.createDataFrame([("a", w, days(s), days(e)) for w, s, e in spans_], "k string, w int, s date, e date")
+    got = intervals.interval_join(a, b, ["k"], ("at", "at"), ("s", "e"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert sorted((r["w"], r["item"]) for r in got.collect()) == sorted((w, i) for w, s, e in spans_ for i in range(300) if s <= i - 150 <= e)
