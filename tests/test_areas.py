@@ -519,3 +519,12 @@ def test_one_day_rows_move_once_to_windows_of_two_months(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate explode") == 1
     assert sorted((r["w"], r["item"]) for r in got.collect()) == sorted((w, i) for w, s, e in spans_ for i in range(300) if s <= i - 150 <= e)
+
+
+def test_names_of_granules_are_parsed_once(spark):
+    names = ["MOD09GA.A2024005.h18v08.061.7.hdf", "browse.jpg", "MOD09GA.A2024366.h01v17.061.8.hdf", "MOD09GA.A2024005.x.hdf", None]
+    g = catalog.parse_granules(spark.createDataFrame(list(enumerate(names)), "granule_id int, filename string"))
+    plan = g.join(spark.createDataFrame([(18, 8), (1, 17)], "h int, v int"), ["h", "v"])._jdf.queryExecution().executedPlan().toString()
+    # Written once as an expression that occurs nowhere else, however many columns and filters use it.
+    assert plan.count("gettimestamp(") == 1
+    assert sorted((r["granule_id"], str(r["acq_date"]), r["h"], r["v"]) for r in g.collect()) == [(0, "2024-01-05", 18, 8), (2, "2024-12-31", 1, 17)]
