@@ -528,3 +528,22 @@ def test_names_of_granules_are_parsed_once(spark):
     # Written once as an expression that occurs nowhere else, however many columns and filters use it.
     assert plan.count("gettimestamp(") == 1
     assert sorted((r["granule_id"], str(r["acq_date"]), r["h"], r["v"]) for r in g.collect()) == [(0, "2024-01-05", 18, 8), (2, "2024-12-31", 1, 17)]
+
+
+def test_edges_do_not_move_to_find_equal_ones(spark):
+    """Edges are added up where they lie; of a few shapes neither edges nor
+    areas are shuffled by id again. Order and repeats of edges, unknown numbers
+    and swapped columns tell shapes apart as their lists would."""
+    square, n = [(0.0, 0.0, 1.0, 0.0), (1.0, 0.0, 1.0, 1.0), (1.0, 1.0, 0.0, 0.0)], None
+    lists = {1: square, 2: square[::-1], 3: [*square, square[0]], 4: [(y, x, v, u) for x, y, u, v in square], 5: [(n, *square[0][1:]), *square[1:]], 6: [(n, *square[0][1:]), *square[1:]], 7: [(square[0][0], n, *square[0][2:]), *square[1:]]}
+    edges = spark.createDataFrame([(i, 0, 0, k, *e) for i, es in lists.items() for k, e in enumerate(es)], EDGES).repartition(3)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, members = aoi.alike(edges)
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (few, members)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert not any("SortMergeJoin" in p for p in plans)
+    assert {r["aoi_id"]: r["shape"] for r in members.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7}
+    assert few.count() == 4 + 4 * 3
