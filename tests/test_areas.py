@@ -547,3 +547,14 @@ def test_edges_do_not_move_to_find_equal_ones(spark):
     assert not any("SortMergeJoin" in p for p in plans)
     assert {r["aoi_id"]: r["shape"] for r in members.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7}
     assert few.count() == 4 + 4 * 3
+
+
+def test_areas_of_a_shape_are_met_in_lists(spark):
+    """A shape is looked up once a row for many areas."""
+    n = 2 * aoi.AREAS_A_ROW + 5
+    members = spark.range(n).select(F.col("id").alias("aoi_id"), F.when(F.col("id") == 3, 3).otherwise(0).cast("long").alias("shape"))
+    found = spark.createDataFrame([("s1", 0), ("s2", 3), ("s3", 9), ("s4", None)], "item_id string, shape long")
+    got = aoi.of_members(found, members)
+    assert "explode(aoi_ids" in got._jdf.queryExecution().executedPlan().toString()
+    rows = [(r["item_id"], r["aoi_id"]) for r in got.collect()]
+    assert len(rows) == n and set(rows) == {("s1", i) for i in range(n) if i != 3} | {("s2", 3)}
