@@ -468,3 +468,18 @@ def test_areas_of_one_shape_share_a_days_outputs(spark, tmp_path):
     assert held.select("date_token").distinct().count() == held.count() == 2
     got = imagery.read_areas(spark, path).where("layer = 'masked' AND band = 'b03'")
     assert sorted((r["aoi_id"], r["date_token"]) for r in got.collect()) == [(1, "20240105"), (2, "20240105"), (2, "20240106")]
+
+
+def test_gaps_of_chips_are_filled_once_for_all_bands(spark):
+    rows = [(k, r, c, *[float(100 * k + 10 * r + c + b) if (r + c + b) % 3 else None for b in range(6)]) for k in range(2) for r, c in ((0, 1), (0, 1), (2, 3), (5, 0), (5, 3), (3, 2))]
+    bands = [f"b{i}" for i in range(6)]
+    p = spark.createDataFrame(rows, "k int, row_idx int, col_idx int, " + ", ".join(f"{b} float" for b in bands))
+    plans = [chips.pack_chips(p, bands[:n], ["k"], 4)._jdf.queryExecution().optimizedPlan().toString() for n in (1, 6)]
+    assert plans[0].count("array_repeat(") == plans[1].count("array_repeat(") > 0
+    got = {(r["k"], r["chip_row"]): [r[b] for b in bands] for r in chips.pack_chips(p, bands, ["k"], 4).collect()}
+    want = {}
+    for k, r, c, *vs in rows:
+        held = want.setdefault((k, r // 4), [[None] * 16 for _ in bands])
+        for b, v in enumerate(vs):
+            held[b][r % 4 * 4 + c] = v
+    assert got == want
